@@ -133,6 +133,10 @@ def normalize_long(raw: DataFrame) -> DataFrame:
 
 
 def long_to_daily(raw: DataFrame) -> DataFrame:
+    return marked_to_daily(normalize_long(raw))
+
+
+def marked_to_daily(normalized: DataFrame) -> DataFrame:
     """One daily row per station, day and run; the largest of repeated readings wins.
 
     Only doubles and a count are aggregated, so Spark combines rows in hash maps before the
@@ -142,7 +146,7 @@ def long_to_daily(raw: DataFrame) -> DataFrame:
         return F.max(F.when(F.col("datatype") == datatype, F.col("value")))
 
     wide = (
-        accepted(normalize_long(raw))
+        accepted(normalized)
         .groupBy(*DAILY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("obs_count"),

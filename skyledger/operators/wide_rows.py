@@ -75,9 +75,13 @@ def normalize_wide(raw: DataFrame) -> DataFrame:
 
 
 def wide_to_daily(raw: DataFrame) -> DataFrame:
+    return marked_to_daily(normalize_wide(raw))
+
+
+def marked_to_daily(normalized: DataFrame) -> DataFrame:
     """Daily rows one to one from usable raw rows; wind to m/s, snow to mm. No shuffle."""
     return conform(
-        accepted(normalize_wide(raw)),
+        accepted(normalized),
         DAILY,
         source=F.lit(SOURCE),
         date="day",
