@@ -25,9 +25,7 @@ def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
     return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
 
 
-def cube_cell(x: Column, y: Column, z: Column, depth: int) -> Column:
-    """Id of the grid cube of side ``2**-depth`` that holds a point of the unit sphere."""
-    def step(axis: Column) -> Column:
-        return F.floor((axis + 1) * F.lit(float(2 ** depth))).cast("bigint")
-
-    return F.shiftleft(F.shiftleft(step(x), 20) + step(y), 20) + step(z)
+def cube_cell(depth: int) -> Column:
+    """Id of the grid cube of side ``2**-depth`` that holds the point ``x, y, z`` of the unit sphere."""
+    step = {axis: f"CAST(floor(({axis} + 1) * {2 ** depth}D) AS BIGINT)" for axis in "xyz"}
+    return F.expr(f"shiftleft(shiftleft({step['x']}, 20) + {step['y']}, 20) + {step['z']}")

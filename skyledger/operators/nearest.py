@@ -13,15 +13,15 @@ query names the facets it accepts, so that this condition is part of the join ke
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.geo import cube_cell, haversine_km, unit_vector
 
 QUERY = ("query_latitude", "query_longitude", "country", "state")
 
-# Cube sides are two to the minus these: about 3200, 400, 25, 1.5 and 0.1 km.
-DEPTHS = (1, 4, 8, 12, 16)
+# Cube sides are two to the minus these: about 3200, 200, 6 and 0.1 km.
+DEPTHS = (1, 5, 10, 16)
 
 # Straight-line distance squared under which two distances count as equal while pruning (some
 # metres); the final choice compares great-circle distances.
@@ -51,29 +51,21 @@ def _facets_of_query(country: Column, region: Column) -> Column:
 
 
 def _points(catalog: DataFrame) -> DataFrame:
-    """Catalogue positions by facet; of stations at one position only the first is ever nearest."""
+    """Catalogue positions on the unit sphere, by facet."""
     x, y, z = unit_vector(F.col("latitude"), F.col("longitude"))
-    return (
-        catalog.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        .select(
-            F.explode(
-                _facets_of_station(F.coalesce("country", F.lit("")), F.coalesce("region", F.lit("")))
-            ).alias("facet"),
-            "latitude", "longitude", "position",
-        )
-        .groupBy("facet", "latitude", "longitude")
-        .agg(F.min("position").alias("position"))
-        .withColumns({"x": x, "y": y, "z": z})
+    facets = _facets_of_station(F.coalesce("country", F.lit("")), F.coalesce("region", F.lit("")))
+    return catalog.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
+        F.explode(facets).alias("facet"), "latitude", "longitude", "position",
+        x.alias("x"), y.alias("y"), z.alias("z"),
     )
 
 
 def _cells(points: DataFrame, depth: int, parent_depth: int | None) -> DataFrame:
     """Occupied cubes of one level, with their parent and the extent of their points."""
-    axes = [F.col(axis) for axis in AXES]
-    keys = [F.col("facet"), cube_cell(*axes, depth).alias("cell")]
+    keys = [F.col("facet"), cube_cell(depth).alias("cell")]
     if parent_depth is not None:
-        keys.append(cube_cell(*axes, parent_depth).alias("parent"))
-    extent = [bound(axis).alias(f"{name}_{axis}") for axis in AXES for name, bound in (("lo", F.min), ("hi", F.max))]
+        keys.append(cube_cell(parent_depth).alias("parent"))
+    extent = [F.expr(f"{bound}({axis}) AS {name}_{axis}") for axis in AXES for name, bound in (("lo", "min"), ("hi", "max"))]
     return points.groupBy(*keys).agg(*extent)
 
 
@@ -82,26 +74,14 @@ def _keep_promising(held: DataFrame) -> DataFrame:
 
     A query's first tier that holds any cube at all also drops its later tiers.
     """
-    def square(side: Column) -> Column:
-        return side * side
-
-    def q(axis: str) -> Column:
-        return F.col(f"q_{axis}")
-
-    def lo(axis: str) -> Column:
-        return F.col(f"lo_{axis}")
-
-    def hi(axis: str) -> Column:
-        return F.col(f"hi_{axis}")
-
-    nearest = sum(square(F.greatest(lo(a) - q(a), q(a) - hi(a), F.lit(0.0))) for a in AXES)
-    farthest = sum(square(F.greatest(F.abs(q(a) - lo(a)), F.abs(q(a) - hi(a)))) for a in AXES)
-    best = F.min(F.struct("tier", "farthest")).over(Window.partitionBy(*QUERY))
+    nearest = " + ".join(f"pow(greatest(lo_{a} - q_{a}, q_{a} - hi_{a}, 0D), 2)" for a in AXES)
+    farthest = " + ".join(f"pow(greatest(q_{a} - lo_{a}, hi_{a} - q_{a}), 2)" for a in AXES)
+    carried = (*QUERY, *[f"q_{a}" for a in AXES], "tier", "facet", "cell")
+    best = f"min(struct(tier, {farthest} AS farthest)) OVER (PARTITION BY {', '.join(QUERY)}) AS best"
     return (
-        held.withColumns({"nearest": nearest, "farthest": farthest})
-        .withColumn("best", best)
-        .filter((F.col("tier") == F.col("best.tier")) & (F.col("nearest") <= F.col("best.farthest") + SLACK))
-        .select(*QUERY, *[f"q_{a}" for a in AXES], "tier", "facet", "cell")
+        held.selectExpr(*carried, f"{nearest} AS nearest", best)
+        .filter(f"tier = best.tier AND nearest <= best.farthest + {SLACK}D")
+        .select(*carried)
     )
 
 
@@ -111,44 +91,40 @@ def nearest_station(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     ``queries`` hold the columns of ``QUERY``, places never null, country and state blank where
     unknown. ``catalog`` holds ``position`` (its order), ``latitude``, ``longitude``, ``country``
     and ``region``. A station is acceptable if its country and region equal the query's wherever
-    both are known. Queries without one in their country are answered from all countries. Ties go to
-    the first in the catalogue. Queries without an acceptable station are left out.
+    both are known. Queries without one in their country are answered from all countries. Ties go
+    to the first in the catalogue. Queries without an acceptable station are left out.
     """
     points = _points(catalog)
     x, y, z = unit_vector(F.col("query_latitude"), F.col("query_longitude"))
-    tiers = F.concat(
-        F.transform(
-            _facets_of_query(F.col("country"), F.col("state")),
-            lambda facet: F.struct(F.lit(1).alias("tier"), facet.alias("facet")),
-        ),
-        F.when(F.col("country") == "", F.array().cast("array<struct<tier:int,facet:string>>")).otherwise(
-            F.transform(
-                _facets_of_query(F.lit(""), F.col("state")),
-                lambda facet: F.struct(F.lit(2).alias("tier"), facet.alias("facet")),
-            )
-        ),
-    )
+
+    def tier(number: int, country: Column) -> Column:
+        return F.transform(
+            _facets_of_query(country, F.col("state")),
+            lambda facet: F.struct(F.lit(number).alias("tier"), facet.alias("facet")),
+        )
+
+    first, second = tier(1, F.col("country")), tier(2, F.lit(""))
+    accepts = F.when(F.col("country") == "", first).otherwise(F.concat(first, second))
     held = (
         queries.select(*QUERY).distinct()
-        .withColumns({"q_x": x, "q_y": y, "q_z": z, "accepts": F.explode(tiers)})
-        .select(*QUERY, "q_x", "q_y", "q_z", "accepts.*")
+        .select(*QUERY, x.alias("q_x"), y.alias("q_y"), z.alias("q_z"), F.inline(accepts))
     )
     parent_depth = None
     for depth in DEPTHS:
         cells = _cells(points, depth, parent_depth)
-        if parent_depth is None:
-            held = held.join(cells, "facet")
-        else:
-            held = held.withColumnRenamed("cell", "parent").join(cells, ["facet", "parent"])
-        held = _keep_promising(held)
+        if parent_depth is not None:
+            held = held.withColumnRenamed("cell", "parent")
+        held = _keep_promising(held.join(cells, ["facet"] if parent_depth is None else ["facet", "parent"]))
         parent_depth = depth
 
-    leaves = points.withColumn("cell", cube_cell(*[F.col(a) for a in AXES], parent_depth))
+    # Of stations at one position only the first can be the answer.
+    leaves = points.groupBy("facet", "latitude", "longitude", cube_cell(parent_depth).alias("cell")).agg(
+        F.min("position").alias("position")
+    )
     km = haversine_km(F.col("query_latitude"), F.col("query_longitude"), F.col("latitude"), F.col("longitude"))
     return (
         held.join(leaves, ["facet", "cell"])
-        .withColumn("km", km)
         .groupBy(*QUERY)
-        .agg(F.min(F.struct("km", "position")).alias("found"))
-        .select(*QUERY, F.col("found.position").alias("position"), F.col("found.km").alias("km"))
+        .agg(F.min(F.struct(km.alias("km"), "position")).alias("found"))
+        .select(*QUERY, "found.position", "found.km")
     )

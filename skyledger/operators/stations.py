@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import covers_day, day_date
 from skyledger.functions.values import first_present, number, present, station_code, truthy
-from skyledger.operators.nearest import nearest_station
+from skyledger.operators.nearest import QUERY, nearest_station
 
 # Match types in order of precedence, the distance limit, and failure messages.
 BY_ID, BY_NATIONAL, BY_ICAO, BY_DISTANCE = "meteostat_station_id", "national", "icao", "nearest"
@@ -145,9 +145,8 @@ def match_identifiers(manifest: DataFrame, catalog: DataFrame, start: date) -> D
     missed = manifest.select(
         *columns, F.lit(None).cast("int").alias("precedence"), F.lit(None).cast("bigint").alias("position")
     )
-    match_type = F.element_at(
-        F.array(F.lit(BY_ID), F.lit(BY_NATIONAL), F.lit(BY_ICAO)), F.min("precedence") + 1
-    )
+    best = F.min("precedence")
+    match_type = F.when(best == 0, F.lit(BY_ID)).when(best == 1, F.lit(BY_NATIONAL)).when(best == 2, F.lit(BY_ICAO))
     return hits.unionByName(missed).groupBy(*columns).agg(
         match_type.alias("match_type"), F.min_by("position", "precedence").alias("position")
     )
@@ -165,42 +164,39 @@ def match_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> Data
     ``start``, unless it is too far away. Exactly one of position and message is set.
     """
     columns = manifest.columns
-    matched = match_identifiers(manifest, catalog, start)
-    by_identifier = matched.filter(F.col("position").isNotNull()).withColumns({
-        "distance_km": F.lit(None).cast("double"), "error_message": F.lit(None).cast("string"),
-    })
-
     latitude, longitude = query_place(*[
         F.col(name)
         for name in ("latitude", "longitude", "meteostat_query_latitude", "meteostat_query_longitude")
     ])
-    searching = matched.filter(F.col("position").isNull()).select(
-        *columns,
-        F.struct(
-            latitude.alias("query_latitude"),
-            longitude.alias("query_longitude"),
-            F.coalesce("country", F.lit("")).alias("country"),
-            F.coalesce("state", F.lit("")).alias("state"),
-        ).alias("query"),
-    )
-    located = F.col("query.query_latitude").isNotNull() & F.col("query.query_longitude").isNotNull()
+    matched = match_identifiers(manifest, catalog, start).withColumns({"_lat": latitude, "_lon": longitude})
+    located = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    searching = F.col("position").isNull() & located
+
+    def query(lat: Column, lon: Column, country: Column, state: Column) -> Column:
+        return F.struct(*[part.alias(name) for name, part in zip(QUERY, (lat, lon, country, state))])
+
+    # Rows that are not searched for meet no answer. They get keys of their own all the same, so
+    # that the join spreads them.
+    nowhere = F.lit(None).cast("double")
+    keyed = matched.withColumn("query", F.when(
+        searching, query(F.col("_lat"), F.col("_lon"), F.coalesce("country", F.lit("")), F.coalesce("state", F.lit("")))
+    ).otherwise(query(nowhere, nowhere, F.col("noaa_station_id"), F.col("station_name"))))
     reaching_back = catalog.filter(covers_day(F.col("daily_start"), F.col("daily_end"), F.lit(start)))
-    found = nearest_station(searching.filter(located).select("query.*"), reaching_back).select(
-        F.struct("query_latitude", "query_longitude", "country", "state").alias("query"),
-        F.col("position").alias("found"), "km",
+    found = nearest_station(keyed.filter(searching).select("query.*"), reaching_back).select(
+        F.struct(*QUERY).alias("query"), F.col("position").alias("found"), "km"
     )
     near = F.col("km") <= MAX_DISTANCE_KM
-    by_distance = searching.join(found, "query", "left").select(
+    return keyed.join(found, "query", "left").select(
         *columns,
-        F.when(near, F.lit(BY_DISTANCE)).alias("match_type"),
-        F.when(near, F.col("found")).alias("position"),
+        F.coalesce("match_type", F.when(near, F.lit(BY_DISTANCE))).alias("match_type"),
+        F.coalesce("position", F.when(near, F.col("found"))).alias("position"),
         F.when(near, F.round("km", 2)).alias("distance_km"),
-        F.when(~located, F.format_string(NO_COORDINATES, "noaa_station_id"))
+        F.when(F.col("position").isNotNull() | near, F.lit(None))
+        .when(~located, F.format_string(NO_COORDINATES, "noaa_station_id"))
         .when(F.col("km").isNull(), F.format_string(NO_CANDIDATE, "noaa_station_id"))
-        .when(~near, F.format_string(TOO_FAR, "noaa_station_id", "km"))
+        .otherwise(F.format_string(TOO_FAR, "noaa_station_id", "km"))
         .alias("error_message"),
     )
-    return by_identifier.unionByName(by_distance)
 
 
 def resolve_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> DataFrame:

@@ -25,7 +25,7 @@ from skyledger.operators.validity import REASON
 from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, settle
 from skyledger.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def flat_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return stations.flatten_catalog(inputs.catalog(spark, sf).select("position", *CATALOG))
 
 
+def settled_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalogue as a table: matching stations reads it once per level of its search."""
+    return settle(flat_catalog(spark, sf), "catalog")
+
+
 def normalized_observations(spark: SparkSession, sf: str) -> DataFrame:
     return observations.normalize_observations(inputs.observations(spark, sf))
 
@@ -195,7 +200,7 @@ def station_all_or_nothing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def station_year_rows(spark: SparkSession, sf: str) -> DataFrame:
-    resolved = stations.resolve_stations(inputs.manifest(spark, sf), flat_catalog(spark, sf), WINDOW_START)
+    resolved = stations.resolve_stations(inputs.manifest(spark, sf), settled_catalog(spark, sf), WINDOW_START)
     return wide_rows.station_year_rows(
         inputs.station_year_lines(spark, sf), resolved, LINES_START, LINES_END, RUN_DATE
     )
@@ -381,7 +386,7 @@ def nearest_station(spark: SparkSession, sf: str) -> DataFrame:
     places = inputs.manifest(spark, sf).select(
         latitude.alias("query_latitude"), longitude.alias("query_longitude"), "country", "state"
     ).filter(F.col("query_latitude").isNotNull() & F.col("query_longitude").isNotNull())
-    catalog = flat_catalog(spark, sf).filter(
+    catalog = settled_catalog(spark, sf).filter(
         dates.covers_day(F.col("daily_start"), F.col("daily_end"), F.lit(WINDOW_START))
     )
     return nearest.nearest_station(places, catalog).withColumn("km", F.round("km", 2))
@@ -389,7 +394,7 @@ def nearest_station(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def station_resolve(spark: SparkSession, sf: str) -> DataFrame:
-    resolved = stations.resolve_stations(inputs.manifest(spark, sf), flat_catalog(spark, sf), WINDOW_START)
+    resolved = stations.resolve_stations(inputs.manifest(spark, sf), settled_catalog(spark, sf), WINDOW_START)
     return resolved.select(
         "noaa_station_id", "meteostat_match_type", "meteostat_station_distance_km",
         "meteostat_station_id", "meteostat_station_name", "meteostat_station_latitude",
@@ -400,7 +405,7 @@ def station_resolve(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def resolve_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return stations.resolution_failures(
-        inputs.manifest(spark, sf), flat_catalog(spark, sf), WINDOW_START, WINDOW_END, RUN_DATE
+        inputs.manifest(spark, sf), settled_catalog(spark, sf), WINDOW_START, WINDOW_END, RUN_DATE
     )
 
 

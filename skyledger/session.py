@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +24,9 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.showConsoleProgress": "false",
+        # Recording the Python line of every column expression makes up most of the time it takes
+        # to build a large plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -41,3 +44,11 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
         return tempfile.mkdtemp(prefix=f"{prefix}-")
     run = spark.sql("SELECT uuid()").first()[0]
     return f"{shared.rstrip('/')}/{prefix}-{run}"
+
+
+def settle(df: DataFrame, prefix: str) -> DataFrame:
+    """Writes a frame that a plan would otherwise compute many times, and reads it back."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark, prefix)}/table"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
