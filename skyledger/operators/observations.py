@@ -68,27 +68,47 @@ def normalize_observations(observations: DataFrame, zone: str | Column = DEFAULT
 
 
 def summarize_days(normalized: DataFrame) -> DataFrame:
-    """One row per station, run and local day, with metadata of the earliest observation that has any."""
-    def earliest(value: Column, present: Column) -> Column:
-        return F.min(F.when(present, F.struct(F.col("observed_at"), value.alias("value"))))["value"]
+    """One row per station, run and local day, with metadata of the earliest observation that has any.
 
-    position = F.struct(F.col("payload_latitude").alias("lat"), F.col("payload_longitude").alias("lon"))
-    has_position = F.col("payload_latitude").isNotNull() | F.col("payload_longitude").isNotNull()
-    return (
+    Choosing the earliest text or position needs a sort-based aggregate. So that it does not sort
+    every observation, rows are first combined per stated metadata as well, which is nearly
+    always one group per station-day, and with numbers only, which Spark does in hash maps.
+    """
+    variants = (
         accepted(normalized)
-        .groupBy("station_id", "run_date", "day")
+        .groupBy("station_id", "run_date", "day", "station_name", "payload_latitude", "payload_longitude")
         .agg(
-            earliest(F.col("station_name"), F.col("station_name").isNotNull()).alias("station_name"),
-            earliest(position, has_position).alias("position"),
+            F.min("observed_at").alias("first_at"),
             F.count(F.lit(1)).alias("obs_count"),
-            round_aggregate(F.avg("temperature_c")).alias("avg_temp_c"),
+            F.sum("temperature_c").alias("temp_sum"),
+            F.count("temperature_c").alias("temp_count"),
             F.min("temperature_c").alias("min_temp_c"),
             F.max("temperature_c").alias("max_temp_c"),
-            round_aggregate(F.avg("wind_mps")).alias("avg_wind_mps"),
-            round_aggregate(F.max("wind_mps")).alias("max_wind_mps"),
+            F.sum("wind_mps").alias("wind_sum"),
+            F.count("wind_mps").alias("wind_count"),
+            F.max("wind_mps").alias("max_wind_mps"),
         )
     )
 
+    def earliest(value: Column, present: Column) -> Column:
+        return F.min(F.when(present, F.struct(F.col("first_at"), value.alias("value"))))["value"]
+
+    def mean(measure: str) -> Column:
+        return round_aggregate(F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_count")))
+
+    position = F.struct(F.col("payload_latitude").alias("lat"), F.col("payload_longitude").alias("lon"))
+    has_position = F.col("payload_latitude").isNotNull() | F.col("payload_longitude").isNotNull()
+    return variants.groupBy("station_id", "run_date", "day").agg(
+        earliest(F.col("station_name"), F.col("station_name").isNotNull()).alias("station_name"),
+        earliest(position, has_position).alias("position"),
+        F.sum("obs_count").alias("obs_count"),
+        mean("temp").alias("avg_temp_c"),
+        F.min("min_temp_c").alias("min_temp_c"),
+        F.max("max_temp_c").alias("max_temp_c"),
+        mean("wind").alias("avg_wind_mps"),
+        round_aggregate(F.max("max_wind_mps")).alias("max_wind_mps"),
+    )
+
 
 def enrich_days(days: DataFrame, manifest: DataFrame) -> DataFrame:
     """Daily rows from local-day summaries, with the manifest's metadata where it knows the station.

@@ -30,11 +30,12 @@ def station_year_rows(
 ) -> DataFrame:
     """Raw wide rows within a window for every resolved manifest station.
 
-    ``lines`` hold ``meteostat_station_id`` and the file's text fields; ``resolved`` is the
-    output of ``stations.resolve_stations``. Lines without a readable date are left out here;
-    ``quality.all_or_nothing`` on ``dated_rows`` drops whole stations that have a bad one.
+    ``lines`` hold ``meteostat_station_id`` and the file's text fields, dated or not; ``resolved``
+    is the output of ``stations.resolve_stations``. Lines without a readable date are left out
+    here; ``quality.all_or_nothing`` on ``dated_rows`` drops whole stations that have a bad one.
     """
-    in_window = dated_rows(lines).filter(F.col("observed_on").between(start, end))
+    dated = lines if "observed_on" in lines.columns else dated_rows(lines)
+    in_window = dated.filter(F.col("observed_on").between(start, end))
     measures = [
         (number(F.col(name)) if name in lines.columns else F.lit(None).cast("double")).alias(name)
         for name in WIDE_MEASURES

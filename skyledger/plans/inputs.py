@@ -171,7 +171,7 @@ def observation_rows(events: DataFrame) -> DataFrame:
             event != "purchase",
             F.struct(
                 F.lit("Point").alias("type"),
-                F.array((k - 100).cast("double"), (user % 90).cast("double")).alias("coordinates"),
+                F.array((k % 3 - 100).cast("double"), (user % 90).cast("double")).alias("coordinates"),
             ),
         ).alias("geometry"),
     )

@@ -124,7 +124,7 @@ FROM (
     CASE WHEN event_type NOT IN ('error', 'signup') THEN
       CASE WHEN k < 90 AND k % 2 = 0 THEN k::double / 3.6 ELSE k::double END END AS wind_mps,
     CASE WHEN event_type <> 'purchase' THEN (user_id % 90)::double END AS plat,
-    CASE WHEN event_type <> 'purchase' THEN (k - 100)::double END AS plon
+    CASE WHEN event_type <> 'purchase' THEN (k % 3 - 100)::double END AS plon
   FROM ev
 )""", "ev")
 

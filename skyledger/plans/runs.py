@@ -1,4 +1,4 @@
-"""Whole runs: raw files to processed, curated and published datasets.
+"""Whole runs: landed files to raw rows, and those to processed, curated and published datasets.
 
 Counters of a run are taken from the datasets it has committed, not collected on the side while
 tasks run: a task that is repeated because an executor was lost would be counted twice there.
@@ -7,15 +7,24 @@ tasks run: a task that is repeated because an executor was lost would be counted
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from skyledger.operators import curate, long_rows, observations, publish, wide_rows
-from skyledger.operators.quality import fail_on_reject, metrics_summary
+from skyledger.functions.values import station_code
+from skyledger.operators import curate, incremental, long_rows, observations, publish, stations, wide_rows
+from skyledger.operators.quality import (
+    all_or_nothing,
+    bad_stations,
+    fail_on_reject,
+    metrics_summary,
+    require_some_success,
+)
 from skyledger.operators.validity import rejected
 from skyledger.schemas import CLIMATE_DAILY, DAILY, PROCESSED_DATASETS, RUN_METRICS, SOURCE_YEAR, STATION_YEAR, conform
+from skyledger.session import settle
 from skyledger.sources import raw, tables
 
 SOURCES = ("nws", "noaa", "meteostat")
@@ -30,6 +39,9 @@ class Zones:
     def raw(self, source: str) -> str:
         return f"{self.root}/raw/{source}"
 
+    def failures(self, source: str) -> str:
+        return f"{self.root}/failures/{source}"
+
     @property
     def processed(self) -> str:
         return f"{self.root}/processed"
@@ -47,6 +59,10 @@ class Zones:
     def snapshot(self) -> str:
         return f"{self.root}/published/climate_daily"
 
+    @property
+    def observation_snapshot(self) -> str:
+        return f"{self.root}/published/observations"
+
 
 def check_sources(sources: list[str]) -> list[str]:
     """The distinct sources in their order; unknown ones are an error."""
@@ -56,6 +72,90 @@ def check_sources(sources: list[str]) -> list[str]:
     return list(dict.fromkeys(sources))
 
 
+class StationError(RuntimeError):
+    """Some station of a run failed, and the run was told to stop at that."""
+
+
+def _record_failures(failures: DataFrame, zones: Zones, source: str, on_error: str) -> int:
+    """Adds failed stations to the source's ledger and returns their number."""
+    failures = settle(failures, "failures")
+    failed = failures.count()
+    if failed:
+        tables.append_failures(failures, zones.failures(source))
+        if on_error == "fail":
+            raise StationError(f"{source}: {failed} stations failed, see {zones.failures(source)}")
+    return failed
+
+
+def _failed(manifest: DataFrame, source: str, run_date: str, start: date, end: date, message: str) -> DataFrame:
+    return manifest.select(
+        F.lit(run_date).alias("run_date"), F.lit(source).alias("source"),
+        "noaa_station_id", "nws_station_id", "station_name", "state",
+        F.lit(start).cast("string").alias("start_date"), F.lit(end).cast("string").alias("end_date"),
+        F.lit("ValueError").alias("error_type"),
+        F.format_string(message, F.coalesce("noaa_station_id", F.lit(""))).alias("error_message"),
+    )
+
+
+def land_long(
+    spark: SparkSession, zones: Zones, files: str, manifest: DataFrame, start: date, end: date, run_date: str,
+    on_error: str = "reject",
+) -> int:
+    """Writes a run's raw long rows from by-station files; returns the number of failed stations.
+
+    A manifest station fails if the files have no line of it.
+    """
+    lines = raw.read_ghcn_lines(spark, files)
+    listed = manifest.filter(F.col("noaa_station_id") != "")
+    found = lines.select(station_code(F.col("station_id")).alias("code")).distinct()
+    absent = listed.join(found, station_code(F.col("noaa_station_id")) == F.col("code"), "left_anti")
+    failed = _record_failures(
+        _failed(absent, "noaa", run_date, start, end, "no station file landed for %s"), zones, "noaa", on_error
+    )
+    rows = long_rows.station_rows(lines, listed, start, end, run_date)
+    tables.write_json_lines(rows.drop("run_date"), f"{zones.raw('noaa')}/run_date={run_date}")
+    if failed:
+        require_some_success(failed, raw.read_long(spark, zones.raw("noaa"), run_date).limit(1).count())
+    return failed
+
+
+def land_wide(
+    spark: SparkSession, zones: Zones, catalog_file: str, files: str, manifest: DataFrame, start: date, end: date,
+    run_date: str, on_error: str = "reject", resume: bool = True,
+) -> int:
+    """Writes a run's raw wide rows from a catalogue and station-year files; returns failed stations.
+
+    Stations that have rows in the run already are passed over, unless ``resume`` is off; then
+    the run is written anew. A station fails if it cannot be resolved, or if one of its files has
+    an unreadable date: then none of its rows are written.
+    """
+    source = wide_rows.SOURCE
+    landed = raw.optional(lambda: raw.read_wide(spark, zones.raw(source), run_date)) if resume else None
+    pending = manifest if landed is None else incremental.pending_stations(manifest, landed)
+    catalog = settle(stations.flatten_catalog(raw.read_catalog(spark, catalog_file)), "catalog")
+    resolved = settle(stations.resolve_stations(pending, catalog, start), "resolved")
+    unresolved = stations.resolution_failures(pending, catalog, start, end, run_date)
+
+    lines = raw.read_station_years(spark, files, start, end)
+    dated = wide_rows.dated_rows(lines).join(
+        resolved.select("meteostat_station_id").distinct(), "meteostat_station_id", "left_semi"
+    )
+    unreadable = F.col("date_status") == "bad"
+    broken = resolved.join(bad_stations(dated, "meteostat_station_id", unreadable), "meteostat_station_id", "left_semi")
+    failed = _record_failures(
+        unresolved.unionByName(_failed(broken, source, run_date, start, end, "unreadable date in a file of %s")),
+        zones, source, on_error,
+    )
+    whole = all_or_nothing(dated, "meteostat_station_id", unreadable)
+    rows = wide_rows.station_year_rows(whole, resolved, start, end, run_date)
+    tables.write_json_lines(
+        rows.drop("run_date"), f"{zones.raw(source)}/run_date={run_date}", "append" if resume else "overwrite"
+    )
+    if failed:
+        require_some_success(failed, raw.read_wide(spark, zones.raw(source), run_date).limit(1).count())
+    return failed
+
+
 def process_source(
     spark: SparkSession, zones: Zones, source: str, run_date: str, manifest: DataFrame, on_error: str = "reject"
 ) -> DataFrame:
@@ -133,6 +233,13 @@ def publish_curated(spark: SparkSession, zones: Zones) -> DataFrame:
     return tables.publish_snapshot(spark, zones.snapshot, publish.to_documents(daily))
 
 
+def publish_raw_observations(spark: SparkSession, zones: Zones, run_date: str) -> DataFrame:
+    """Merges a run's single observations into a snapshot of their own, by day of observation."""
+    rows = observations.explode_features(raw.read_payloads(spark, zones.raw("nws"), run_date))
+    documents = observations.raw_observation_documents(rows).withColumn("day", F.substring("timestamp", 1, 10))
+    return tables.publish_snapshot(spark, zones.observation_snapshot, documents, ("day",), "ingestRunDate")
+
+
 def run(
     spark: SparkSession, root: str, run_date: str, manifest_path: str, sources: list[str] | None = None
 ) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,9 @@ LONG_FILE = "noaa_daily.jsonl"
 WIDE_FILE = "meteostat_daily.jsonl"
 OBSERVATION_FILE = "nws_raw.json"
 
+# Landed by an outside client under its fixed name, or by ``plans.runs`` as part files.
+ANY_PART = "part-*"
+
 GHCN_FIELDS = ("station_id", "raw_day", "datatype", "raw_value", "mflag", "qflag", "sflag", "obs_time")
 STATION_YEAR_FIELDS = (
     "date", "time", "year", "month", "day", "temp", "tmin", "tmax", "prcp", "snwd", "wspd", "wpgt",
@@ -49,7 +53,7 @@ def _json_lines(
     fields = schema | {"malformed": "string"} if malformed else schema
     rows = (
         spark.read.schema(ddl(fields))
-        .option("pathGlobFilter", file_name)
+        .option("pathGlobFilter", f"{{{file_name},{ANY_PART}}}")
         .option("columnNameOfCorruptRecord", "malformed")
         .json(root)
         .select(*fields)
@@ -74,7 +78,7 @@ def check_fields(spark: SparkSession, root: str, file_name: str, required: Itera
     """Fails if some required field is stated by no line at all. Reads the files once."""
     required = list(required)
     stated = (
-        spark.read.option("pathGlobFilter", file_name).text(root)
+        spark.read.option("pathGlobFilter", f"{{{file_name},{ANY_PART}}}").text(root)
         .select(F.explode(F.json_object_keys("value")).alias("field"))
         .filter(F.col("field").isin(required))
         .distinct()
@@ -126,12 +130,14 @@ def read_ghcn_lines(spark: SparkSession, path: str) -> DataFrame:
     return fields.select(*[F.col("fields")[i].alias(name) for i, name in enumerate(GHCN_FIELDS)])
 
 
-def read_station_years(spark: SparkSession, path: str) -> DataFrame:
-    """Station-year file lines; the station is named by the file, the fields by its own header.
+def read_station_years(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
+    """Lines of the station-year files ``root/<year>/<station>.csv.gz`` of a window's years.
 
-    Files may differ in their columns, so every line is joined with the header of its file.
+    Years without files are passed over. The station is named by the file, the fields by its own
+    header. Files may differ in their columns, so every line is joined with the header of its file.
     """
-    lines = spark.read.text(path).select(
+    years = ",".join(str(year) for year in range(start.year, end.year + 1))
+    lines = spark.read.text(f"{root}/{{{years}}}/*.csv*").select(
         F.col("_metadata.file_path").alias("path"), F.split("value", ",").alias("fields")
     )
     is_header = F.lower(F.col("fields")[0]).isin("date", "time", "year", "station")

@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 from skyledger.operators.curate import publication_order
 from skyledger.operators.publish import latest_per_key, merge_snapshot, upsert_counts
 from skyledger.schemas import FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
-from skyledger.session import scratch_dir
+from skyledger.session import settle
 from skyledger.sources.raw import optional
 
-SNAPSHOT_PARTITIONS = ("source", "year")
-
-
 def read_table(spark: SparkSession, path: str, schema: Mapping[str, str]) -> DataFrame:
     """A Parquet dataset in the schema's column order; partition columns keep its types."""
     return spark.read.schema(ddl(schema)).parquet(path).select(*schema)
@@ -91,25 +88,28 @@ def iterate_records(df: DataFrame, limit: int | None = None) -> Iterator[dict[st
     return (row.asDict(recursive=True) for row in rows.toLocalIterator())
 
 
-def publish_snapshot(spark: SparkSession, path: str, documents: DataFrame) -> DataFrame:
+def publish_snapshot(
+    spark: SparkSession,
+    path: str,
+    documents: DataFrame,
+    partition_by: tuple[str, ...] = ("source", "year"),
+    order: str = "ingest_run_date",
+) -> DataFrame:
     """Merges documents into the snapshot at ``path`` and returns what was done, as counts.
 
-    Only partitions with incoming documents are read and rewritten; a document's key fixes its
-    partition. The merge result is written beside the snapshot first, so that the
-    snapshot's files are replaced only once it is whole, and counts need no second merge.
+    Only partitions with incoming documents are read and rewritten, so a document's key must fix
+    its partition. The merge result is written beside the snapshot first: the snapshot's files
+    are replaced only once it is whole, and counts need no second merge.
     """
-    incoming = latest_per_key(documents)
-    existing = optional(lambda: spark.read.parquet(path))
+    incoming = latest_per_key(documents, order=order)
+    existing = optional(lambda: spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns))
     if existing is None:
         existing = spark.createDataFrame([], incoming.schema)
     else:
-        existing = spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns)
-        touched = incoming.select(*[F.col(name).alias(f"new_{name}") for name in SNAPSHOT_PARTITIONS]).distinct()
-        same = [F.col(name).eqNullSafe(F.col(f"new_{name}")) for name in SNAPSHOT_PARTITIONS]
+        touched = incoming.select(*[F.col(name).alias(f"new_{name}") for name in partition_by]).distinct()
+        same = [F.col(name).eqNullSafe(F.col(f"new_{name}")) for name in partition_by]
         existing = existing.join(touched, same, "left_semi")
 
-    staged_path = f"{scratch_dir(spark, 'snapshot')}/merged"
-    merge_snapshot(existing, incoming).write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    overwrite_partitions(staged.drop("action"), path, *SNAPSHOT_PARTITIONS)
+    staged = settle(merge_snapshot(existing, incoming), "snapshot")
+    overwrite_partitions(staged.drop("action"), path, *partition_by)
     return upsert_counts(staged)

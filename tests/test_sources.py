@@ -102,7 +102,8 @@ def test_station_year_files_with_different_headers(spark, tmp_path):
     put(tmp_path / "2023" / "M1.csv.gz", "date,temp,tmin,wpgt\n2023-01-01,1.5,,9\n")
     put(tmp_path / "2024" / "M1.csv.gz", "year,month,day,tmin,temp\n2024,1,2,-1,2.5\n2024,1,,0,0\n")
     put(tmp_path / "2024" / "M2.csv", "time,temp\n2024-02-30,3\n")
-    rows = wide_rows.dated_rows(raw.read_station_years(spark, str(tmp_path / "*")))
+    put(tmp_path / "2022" / "M1.csv.gz", "date,temp\n2022-01-01,1\n")
+    rows = wide_rows.dated_rows(raw.read_station_years(spark, str(tmp_path), date(2023, 5, 1), date(2025, 1, 1)))
     got = sorted((r.meteostat_station_id, r.date_status, str(r.observed_on), r.temp, r.tmin or "", r.wpgt) for r in rows.collect())
     assert got == [
         ("M1", "ok", "2023-01-01", "1.5", "", "9"), ("M1", "ok", "2024-01-02", "2.5", "-1", None),
