@@ -28,7 +28,8 @@ def leading_date(text: Column) -> Column:
 
 def compact_date(text: Column) -> Column:
     """``yyyyMMdd`` text as a date; anything unparseable gives null."""
-    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    parts = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike(r"^\d{8}$"), parts.try_cast("date"))
 
 
 def flexible_date(date: Column, time: Column, year: Column, month: Column, day: Column) -> Column:

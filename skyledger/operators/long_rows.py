@@ -16,7 +16,7 @@ from skyledger.functions.values import (
     scaled_measure,
     station_code,
 )
-from skyledger.operators.validity import REASON, accepted, first_reason
+from skyledger.operators.validity import accepted
 from skyledger.schemas import DAILY, RAW_LONG, REQUIRED_LONG, conform, require_columns
 
 SOURCE = "noaa"
@@ -31,6 +31,13 @@ PIVOTED = {
     "SNOW": "snow",
 }
 
+# A row without a value is usable.
+CHECKS = {
+    "missing_station": "noaa_station_id IS NULL",
+    "missing_datatype": "datatype IS NULL",
+    "bad_date": "day IS NULL",
+}
+
 DAILY_KEYS = (
     "noaa_station_id", "station_name", "state", "country", "latitude", "longitude", "run_date", "day",
 )
@@ -113,7 +120,7 @@ def page_rows(
 
 
 def normalize_long(raw: DataFrame) -> DataFrame:
-    """Typed raw long rows, unusable ones marked. A row without a value is usable."""
+    """Typed raw long rows."""
     return require_columns(raw, REQUIRED_LONG, SOURCE).select(
         "noaa_station_id", "station_name", "state", "country",
         number(F.col("latitude")).alias("latitude"),
@@ -122,21 +129,14 @@ def normalize_long(raw: DataFrame) -> DataFrame:
         iso_date(F.col("date")).alias("day"),
         "datatype",
         number(F.col("value")).alias("value"),
-    ).withColumn(
-        REASON,
-        first_reason(
-            missing_station=F.col("noaa_station_id").isNull(),
-            missing_datatype=F.col("datatype").isNull(),
-            bad_date=F.col("day").isNull(),
-        ),
     )
 
 
 def long_to_daily(raw: DataFrame) -> DataFrame:
-    return marked_to_daily(normalize_long(raw))
+    return normalized_to_daily(normalize_long(raw))
 
 
-def marked_to_daily(normalized: DataFrame) -> DataFrame:
+def normalized_to_daily(normalized: DataFrame) -> DataFrame:
     """One daily row per station, day and run; the largest of repeated readings wins.
 
     Only doubles and a count are aggregated, so Spark combines rows in hash maps before the
@@ -146,7 +146,7 @@ def marked_to_daily(normalized: DataFrame) -> DataFrame:
         return F.max(F.when(F.col("datatype") == datatype, F.col("value")))
 
     wide = (
-        accepted(normalized)
+        accepted(normalized, CHECKS)
         .groupBy(*DAILY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("obs_count"),

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from skyledger.functions.dates import DEFAULT_ZONE, local_time
 from skyledger.functions.display import temperature_text, wind_text
 from skyledger.functions.values import first_present, number, round_aggregate, wind_to_mps
-from skyledger.operators.validity import REASON, accepted, first_reason
+from skyledger.operators.validity import accepted
 from skyledger.schemas import DAILY, conform
 
 SOURCE = "nws"
 
+CHECKS = {
+    "missing_station": "station_id IS NULL",
+    "bad_timestamp": "day IS NULL",
+    "no_measure": "temperature_c IS NULL AND wind_mps IS NULL",
+}
+
+DAY_KEYS = ("station_id", "run_date", "day")
+
 # Where a raw path states its run date.
 RUN_DATE_IN_PATH = r"run_date=([^/]+)/"
 LEGACY_DATE_IN_PATH = r"raw/([^/]+)/"
@@ -41,12 +49,12 @@ def explode_features(payloads: DataFrame) -> DataFrame:
 
 
 def normalize_observations(observations: DataFrame, zone: str | Column = DEFAULT_ZONE) -> DataFrame:
-    """Typed observations with their local time and day, unusable ones marked.
+    """Typed observations with their local time and day.
 
     ``zone`` is one zone for all stations, or a column naming each row's own. Timestamp text is
     read as an instant; the day does not depend on the session's time zone.
     """
-    typed = observations.select(
+    return observations.select(
         "run_date",
         F.col("stationId").alias("station_id"),
         F.col("stationName").alias("station_name"),
@@ -57,14 +65,6 @@ def normalize_observations(observations: DataFrame, zone: str | Column = DEFAULT
         F.get("geometry.coordinates", F.lit(1)).alias("payload_latitude"),
         F.get("geometry.coordinates", F.lit(0)).alias("payload_longitude"),
     ).withColumn("day", F.to_date("local_time"))
-    return typed.withColumn(
-        REASON,
-        first_reason(
-            missing_station=F.col("station_id").isNull(),
-            bad_timestamp=F.col("day").isNull(),
-            no_measure=F.col("temperature_c").isNull() & F.col("wind_mps").isNull(),
-        ),
-    )
 
 
 def summarize_days(normalized: DataFrame) -> DataFrame:
@@ -75,8 +75,8 @@ def summarize_days(normalized: DataFrame) -> DataFrame:
     always one group per station-day, and with numbers only, which Spark does in hash maps.
     """
     variants = (
-        accepted(normalized)
-        .groupBy("station_id", "run_date", "day", "station_name", "payload_latitude", "payload_longitude")
+        accepted(normalized, CHECKS)
+        .groupBy(*DAY_KEYS, "station_name", "payload_latitude", "payload_longitude")
         .agg(
             F.min("observed_at").alias("first_at"),
             F.count(F.lit(1)).alias("obs_count"),
@@ -98,7 +98,7 @@ def summarize_days(normalized: DataFrame) -> DataFrame:
 
     position = F.struct(F.col("payload_latitude").alias("lat"), F.col("payload_longitude").alias("lon"))
     has_position = F.col("payload_latitude").isNotNull() | F.col("payload_longitude").isNotNull()
-    return variants.groupBy("station_id", "run_date", "day").agg(
+    return variants.groupBy(*DAY_KEYS).agg(
         earliest(F.col("station_name"), F.col("station_name").isNotNull()).alias("station_name"),
         earliest(position, has_position).alias("position"),
         F.sum("obs_count").alias("obs_count"),

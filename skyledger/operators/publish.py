@@ -20,7 +20,7 @@ RECORD_TYPE = "climate_daily"
 
 def to_documents(daily: DataFrame, level: str = "curated") -> DataFrame:
     """Daily rows as documents: key, ISO text date, data level and record type."""
-    return daily.withColumn("date", F.date_format("date", "yyyy-MM-dd")).select(
+    return daily.withColumn("date", F.col("date").cast("string")).select(
         document_key(
             F.col("source"), F.col("source_station_id"), F.col("noaa_station_id"), F.col("date")
         ).alias(KEY),

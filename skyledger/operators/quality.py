@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.curate import unite
-from skyledger.operators.validity import REASON
+from skyledger.operators.validity import Checks, reason
 from skyledger.schemas import RUN_METRICS, conform
 
 COUNTERS = (
@@ -19,20 +19,22 @@ class AllStationsFailedError(RuntimeError):
     """A run in which stations failed and nothing was landed."""
 
 
-def run_metrics(marked: DataFrame, source: str, run_date: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """One row of counters for a run over marked rows whose daily rows are grouped by ``keys``.
+def run_metrics(
+    rows: DataFrame, checks: Checks, source: str, run_date: str, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row of counters for a run over normalised rows whose daily rows are grouped by ``keys``.
 
     Without keys every usable row is one daily row. Rows are first counted per group, unusable
     ones as one group; the final sums then read only the groups.
     """
-    usable = F.col(REASON).isNull()
+    usable = reason(checks).isNull()
     if keys:
-        groups = marked.groupBy(
+        groups = rows.groupBy(
             usable.alias("usable"), *[F.when(usable, F.col(key)).alias(key) for key in keys]
         ).agg(F.count(F.lit(1)).alias("n"))
         output = F.count_if("usable")
     else:
-        groups = marked.groupBy(usable.alias("usable")).agg(F.count(F.lit(1)).alias("n"))
+        groups = rows.groupBy(usable.alias("usable")).agg(F.count(F.lit(1)).alias("n"))
         output = F.sum(F.when(F.col("usable"), F.col("n")))
     counts = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw_input_rows"),
@@ -113,18 +115,6 @@ def all_or_nothing(rows: DataFrame, station: str, bad: Column) -> DataFrame:
     return rows.join(bad_stations(rows, station, bad).select(station), station, "left_anti")
 
 
-def fail_on_reject(marked: DataFrame, on_error: str = "reject") -> DataFrame:
-    """``reject`` leaves marked rows to be split off; ``fail`` makes any marked row fail its job."""
-    if on_error == "reject":
-        return marked
-    if on_error != "fail":
-        raise ValueError(f"on_error must be 'fail' or 'reject', not {on_error!r}")
-    checked = F.when(
-        F.col(REASON).isNotNull(), F.raise_error(F.concat(F.lit("unusable row: "), F.col(REASON))).cast("string")
-    )
-    return marked.withColumn(REASON, checked)
-
-
 def require_some_success(failed: int, landed: int) -> None:
     """Fails a run in which stations failed and nothing was landed."""
     if failed and not landed:

@@ -1,21 +1,42 @@
-"""Marking unusable rows with a reason, and splitting on it."""
+"""Telling usable rows from unusable ones, by named checks.
+
+Checks are SQL predicates that hold for unusable rows, in the order in which they give the reason.
+Usable rows are filtered by the plain predicates, which Spark can push down to the scan one by one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASON = "reject_reason"
 
+Checks = Mapping[str, str]
+
+
+class UnusableRowError(ValueError):
+    """An input has a row that its checks do not let pass."""
 
-def first_reason(**checks: Column) -> Column:
+
+def reason(checks: Checks) -> Column:
     """Name of the first check that holds for a row, null if the row is usable."""
-    return F.coalesce(*[F.when(check, F.lit(name)) for name, check in checks.items()])
+    return F.coalesce(*[F.when(F.expr(check), F.lit(name)) for name, check in checks.items()])
+
+
+def accepted(rows: DataFrame, checks: Checks) -> DataFrame:
+    for check in checks.values():
+        rows = rows.filter(f"NOT ({check})")
+    return rows
 
 
-def accepted(marked: DataFrame) -> DataFrame:
-    return marked.filter(F.col(REASON).isNull()).drop(REASON)
+def rejected(rows: DataFrame, checks: Checks) -> DataFrame:
+    return rows.withColumn(REASON, reason(checks)).filter(F.col(REASON).isNotNull())
 
 
-def rejected(marked: DataFrame) -> DataFrame:
-    return marked.filter(F.col(REASON).isNotNull())
+def require_usable(rows: DataFrame, checks: Checks) -> None:
+    """Fails if there is an unusable row; looks for one until it is found."""
+    first = rejected(rows, checks).select(REASON).first()
+    if first is not None:
+        raise UnusableRowError(f"unusable row: {first[REASON]}")

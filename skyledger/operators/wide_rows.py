@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import date_status, flexible_date, iso_date
 from skyledger.functions.values import cm_to_mm, kmh_to_mps, number
-from skyledger.operators.validity import REASON, accepted, first_reason
+from skyledger.operators.validity import accepted
 from skyledger.schemas import DAILY, RAW_WIDE, REQUIRED_WIDE, WIDE_MEASURES, conform, require_columns
 
 SOURCE = "meteostat"
 PROVIDER = "meteostat_bulk"
 
+CHECKS = {
+    "missing_station": "noaa_station_id IS NULL OR meteostat_station_id IS NULL",
+    "bad_date": "day IS NULL",
+    "no_measure": f"coalesce({', '.join(WIDE_MEASURES)}) IS NULL",
+}
+
 
 def dated_rows(lines: DataFrame) -> DataFrame:
     """Station-year file lines with their date, whichever way the file states it, and its status."""
@@ -52,7 +58,7 @@ def station_year_rows(
 
 
 def normalize_wide(raw: DataFrame) -> DataFrame:
-    """Typed raw wide rows, unusable ones marked: both ids, a date and some measure are needed."""
+    """Typed raw wide rows."""
     require_columns(raw, REQUIRED_WIDE, SOURCE)
     measures = [
         (number(F.col(name)) if name in raw.columns else F.lit(None).cast("double")).alias(name)
@@ -65,24 +71,17 @@ def normalize_wide(raw: DataFrame) -> DataFrame:
         "run_date",
         iso_date(F.col("date")).alias("day"),
         *measures,
-    ).withColumn(
-        REASON,
-        first_reason(
-            missing_station=F.col("noaa_station_id").isNull() | F.col("meteostat_station_id").isNull(),
-            bad_date=F.col("day").isNull(),
-            no_measure=F.coalesce(*WIDE_MEASURES).isNull(),
-        ),
     )
 
 
 def wide_to_daily(raw: DataFrame) -> DataFrame:
-    return marked_to_daily(normalize_wide(raw))
+    return normalized_to_daily(normalize_wide(raw))
 
 
-def marked_to_daily(normalized: DataFrame) -> DataFrame:
+def normalized_to_daily(normalized: DataFrame) -> DataFrame:
     """Daily rows one to one from usable raw rows; wind to m/s, snow to mm. No shuffle."""
     return conform(
-        accepted(normalized),
+        accepted(normalized, CHECKS),
         DAILY,
         source=F.lit(SOURCE),
         date="day",

@@ -31,9 +31,13 @@ def text(*parts: Column | str) -> Column:
     return F.concat(*[part.cast("string") if isinstance(part, Column) else F.lit(part) for part in parts])
 
 
+def day_text(ts: Column | str) -> Column:
+    return F.to_date(ts).cast("string")
+
+
 def event_number() -> Column:
-    """The number ``k`` (0 to 99) in an event's properties."""
-    return F.get_json_object("props", "$.k").try_cast("int")
+    """A number from 0 to 99: the last two digits of an event's value in hundredths."""
+    return F.floor(F.col("value") * 100).cast("int") % 100
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +140,7 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("US").alias("country"),
         text(user % 90, ".25").alias("latitude"),
         text("-", user % 180, ".5").alias("longitude"),
-        F.when(k == 97, F.lit("bad-date")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("date"),
+        F.when(k == 97, F.lit("bad-date")).otherwise(day_text("ts")).alias("date"),
         F.when(k != 98, F.when(k < 8, F.lit("SNOW")).when(k < 14, F.lit("SNWD")).otherwise(by_event))
         .alias("datatype"),
         "value",
@@ -180,7 +184,7 @@ def observation_rows(events: DataFrame) -> DataFrame:
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nested payload per event: none, one or two features, under a present or legacy path."""
     k, user = F.col("k"), F.col("user_id")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = day_text("ts")
 
     def feature(name: str, measured: Column) -> Column:
         return F.struct(
@@ -234,7 +238,7 @@ def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(supplier % 90, ".75").alias("latitude"),
         text("-", supplier % 180, ".25").alias("longitude"),
         text("M", supplier).alias("meteostat_station_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+        day_text("l_shipdate").alias("date"),
         measure(quantity).alias("temp"),
         measure(quantity - 5).alias("tmin"),
         measure(quantity + 5).alias("tmax"),
@@ -276,12 +280,12 @@ def station_year_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A station-year file line per order, stating its date in one of the known ways, or badly."""
     day, priority, price = F.col("o_orderdate"), F.col("o_orderpriority"), F.col("o_totalprice")
     in_parts = priority.isin("3-MEDIUM", "4-NOT SPECIFIED")
-    day_text = F.date_format(day, "yyyy-MM-dd")
+    stated = day_text(day)
     value = F.floor(price / 1000).cast("string")
     return table(spark, sf_dir, "orders").select(
         text("M", F.col("o_custkey")).alias("meteostat_station_id"),
-        F.when(priority == "1-URGENT", F.when(price < 20000, F.lit("1996-02-31")).otherwise(day_text)).alias("date"),
-        F.when(priority == "2-HIGH", day_text).alias("time"),
+        F.when(priority == "1-URGENT", F.when(price < 20000, F.lit("1996-02-31")).otherwise(stated)).alias("date"),
+        F.when(priority == "2-HIGH", stated).alias("time"),
         F.when(in_parts, F.year(day).cast("string")).alias("year"),
         F.when(in_parts, F.month(day).cast("string")).alias("month"),
         F.when(in_parts & (price >= 50000), F.dayofmonth(day).cast("string"))

@@ -43,7 +43,7 @@ def sql(body: str, *reads: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({PARTS[name][1]})" for name in ordered) + "\n" + body
 
 
-part("ev", "SELECT *, try_cast(json_extract_string(props, '$.k') AS integer) AS k FROM events")
+part("ev", "SELECT *, floor(value * 100)::integer % 100 AS k FROM events")
 
 part("manifest", """
 SELECT 'GHCND:U' || c_custkey AS noaa_station_id, c_name AS station_name,

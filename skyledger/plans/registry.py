@@ -21,7 +21,7 @@ from skyledger.operators import (
     wide_rows,
     windows,
 )
-from skyledger.operators.validity import REASON
+from skyledger.operators.validity import REASON, rejected
 from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG
@@ -95,8 +95,8 @@ def result_page_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def long_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    marked = long_rows.normalize_long(inputs.raw_long(spark, sf))
-    return marked.filter(F.col(REASON).isNotNull()).groupBy(REASON).agg(F.count(F.lit(1)).alias("rows"))
+    bad = rejected(long_rows.normalize_long(inputs.raw_long(spark, sf)), long_rows.CHECKS)
+    return bad.groupBy(REASON).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
@@ -249,12 +249,15 @@ def trend_sorted_top(spark: SparkSession, sf: str) -> DataFrame:
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return curate.unite([
         quality.run_metrics(
-            long_rows.normalize_long(inputs.raw_long(spark, sf)), "noaa", RUN_DATE, long_rows.DAILY_KEYS
+            long_rows.normalize_long(inputs.raw_long(spark, sf)), long_rows.CHECKS, "noaa", RUN_DATE,
+            long_rows.DAILY_KEYS,
         ),
         quality.run_metrics(
-            normalized_observations(spark, sf), "nws", RUN_DATE, ("station_id", "run_date", "day")
+            normalized_observations(spark, sf), observations.CHECKS, "nws", RUN_DATE, observations.DAY_KEYS
+        ),
+        quality.run_metrics(
+            wide_rows.normalize_wide(inputs.raw_wide(spark, sf)), wide_rows.CHECKS, "meteostat", RUN_DATE
         ),
-        quality.run_metrics(wide_rows.normalize_wide(inputs.raw_wide(spark, sf)), "meteostat", RUN_DATE),
     ])
 
 

@@ -18,11 +18,10 @@ from skyledger.operators import curate, incremental, long_rows, observations, pu
 from skyledger.operators.quality import (
     all_or_nothing,
     bad_stations,
-    fail_on_reject,
     metrics_summary,
     require_some_success,
 )
-from skyledger.operators.validity import rejected
+from skyledger.operators.validity import rejected, require_usable
 from skyledger.schemas import CLIMATE_DAILY, DAILY, PROCESSED_DATASETS, RUN_METRICS, SOURCE_YEAR, STATION_YEAR, conform
 from skyledger.session import settle
 from skyledger.sources import raw, tables
@@ -162,20 +161,23 @@ def process_source(
     """Turns one source's raw rows of a run into daily rows and rejects; returns its metrics."""
     if source == "noaa":
         rows = raw.read_long(spark, zones.raw(source), run_date)
-        marked, to_daily = long_rows.normalize_long(rows), long_rows.marked_to_daily
+        normalized, checks = long_rows.normalize_long(rows), long_rows.CHECKS
+        daily = long_rows.normalized_to_daily
     elif source == "nws":
         rows = observations.explode_features(raw.read_payloads(spark, zones.raw(source), run_date))
-        marked = observations.normalize_observations(rows)
+        normalized, checks = observations.normalize_observations(rows), observations.CHECKS
 
-        def to_daily(usable: DataFrame) -> DataFrame:
-            return observations.enrich_days(observations.summarize_days(usable), manifest)
+        def daily(normalized: DataFrame) -> DataFrame:
+            return observations.enrich_days(observations.summarize_days(normalized), manifest)
     else:
         rows = raw.read_wide(spark, zones.raw(source), run_date)
-        marked, to_daily = wide_rows.normalize_wide(rows), wide_rows.marked_to_daily
+        normalized, checks = wide_rows.normalize_wide(rows), wide_rows.CHECKS
+        daily = wide_rows.normalized_to_daily
 
-    marked = fail_on_reject(marked, on_error)
-    rejects = rejected(marked).drop("run_date")
-    tables.overwrite_run(to_daily(marked), zones.daily(source), "ingest_run_date", run_date)
+    if on_error == "fail":
+        require_usable(normalized, checks)
+    rejects = rejected(normalized, checks).drop("run_date")
+    tables.overwrite_run(daily(normalized), zones.daily(source), "ingest_run_date", run_date)
     tables.overwrite_run(rejects, zones.rejects(source), "run_date", run_date)
     metrics = committed_metrics(spark, zones, source, run_date, rejects.schema)
     tables.write_metrics(metrics, zones.processed, source, run_date)

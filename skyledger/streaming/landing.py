@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import round_aggregate
+from skyledger.operators.observations import CHECKS
 from skyledger.operators.validity import accepted
 
 LATENESS = "2 hours"
@@ -48,7 +49,7 @@ def stream_days(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """
     local = F.col("local_time").cast("timestamp")
     return (
-        accepted(normalized)
+        accepted(normalized, CHECKS)
         .withColumn("local_time", local)
         .withWatermark("local_time", lateness)
         .groupBy("station_id", "run_date", F.window("local_time", "1 day").alias("day_window"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import curate, long_rows, observations, quality, wide_rows
-from skyledger.operators.validity import REASON
+from skyledger.operators.validity import REASON, UnusableRowError, reason, rejected, require_usable
 from skyledger.schemas import DAILY, OBSERVATION_PROPERTIES, RAW_LONG, RAW_OBSERVATIONS, RAW_WIDE, MissingColumnsError, ddl
 
 LONG = "noaa_station_id string, station_name string, state string, country string, latitude string, " \
@@ -50,8 +50,12 @@ def test_long_rows_pivot_to_days(spark):
     assert (first.source, first.latitude, first.longitude, first.max_wind_mps) == ("noaa", 33.5, None, None)
 
 
+def mark(raw):
+    return long_rows.normalize_long(raw).withColumn(REASON, reason(long_rows.CHECKS))
+
+
 def test_long_rejects_name_their_reason(spark):
-    marked = long_rows.normalize_long(long(
+    marked = mark(long(
         spark, (None, "r", "2024-01-01", None, 1.0), ("S", "r", "2024-01-01", None, 1.0), ("S", "r", "x", "TMAX", 1.0),
         ("S", "r", "2024-01-01", "TMAX", None),
     ))
@@ -67,12 +71,11 @@ def test_missing_columns_fail_at_once(spark):
 
 
 def test_on_error_fail(spark):
-    marked = long_rows.normalize_long(long(spark, ("S", "r", "x", "TMAX", 1.0)))
-    assert quality.fail_on_reject(marked, "reject").count() == 1
-    with pytest.raises(Exception, match="unusable row: bad_date"):
-        quality.fail_on_reject(marked, "fail").collect()
-    with pytest.raises(ValueError):
-        quality.fail_on_reject(marked, "ignore")
+    rows = long_rows.normalize_long(long(spark, ("S", "r", "x", "TMAX", 1.0), ("S", "r", "2024-01-01", "TMAX", 1.0)))
+    assert [r[REASON] for r in rejected(rows, long_rows.CHECKS).collect()] == ["bad_date"]
+    with pytest.raises(UnusableRowError, match="bad_date"):
+        require_usable(rows, long_rows.CHECKS)
+    require_usable(rows.filter("day IS NOT NULL"), long_rows.CHECKS)
 
 
 GHCN = "station_id string, raw_day string, datatype string, raw_value string, mflag string, qflag string, sflag string, obs_time string"
@@ -145,7 +148,9 @@ def test_observations_to_days(spark):
         ("K1", 2): ("G1", "Manifest One", 33.3, -2.0, 3, 2.5, 2.0, 3.0, 7.33, 10.0, "2024-01-03"),
         ("K2", 2): (None, "Two", None, -5.0, 1, 10.0, 10.0, 10.0, 10.0, 10.0, "2024-01-03"),
     }
-    reasons = observations.normalize_observations(exploded).groupBy(REASON).count().collect()
+    reasons = (
+        observations.normalize_observations(exploded).groupBy(reason(observations.CHECKS).alias(REASON)).count().collect()
+    )
     assert {r[REASON]: r["count"] for r in reasons} == {
         None: 5, "missing_station": 2, "bad_timestamp": 1, "no_measure": 1,
     }
@@ -203,12 +208,14 @@ def test_wide_rows_to_days(spark):
 
 def test_metrics_add_up(spark):
     rows = [("S1", "r", "2024-01-01", "TMAX", 1.0)] * 3 + [("S2", "r", "2024-01-01", "TMAX", 1.0), (None, "r", "x", "T", 1.0)]
-    marked = long_rows.normalize_long(long(spark, *rows))
-    metrics = quality.run_metrics(marked, "noaa", "r", long_rows.DAILY_KEYS)
+    typed = long_rows.normalize_long(long(spark, *rows))
+    metrics = quality.run_metrics(typed, long_rows.CHECKS, "noaa", "r", long_rows.DAILY_KEYS)
     assert tuple(metrics.first()) == ("noaa", "r", 5, 1, 4, 2, 2)
-    nothing = quality.run_metrics(marked.limit(0), "noaa", "r", long_rows.DAILY_KEYS)
+    nothing = quality.run_metrics(typed.limit(0), long_rows.CHECKS, "noaa", "r", long_rows.DAILY_KEYS)
     assert tuple(nothing.first()) == ("noaa", "r", 0, 0, 0, 0, 0)
-    one_to_one = quality.run_metrics(wide_rows.normalize_wide(wide(spark, [USABLE, USABLE | {"temp": 1.0}])), "meteostat", "r")
+    one_to_one = quality.run_metrics(
+        wide_rows.normalize_wide(wide(spark, [USABLE, USABLE | {"temp": 1.0}])), wide_rows.CHECKS, "meteostat", "r"
+    )
     assert tuple(one_to_one.first()) == ("meteostat", "r", 2, 1, 1, 1, 0)
     summary = quality.metrics_summary(curate.unite([metrics, one_to_one]))
     assert tuple(summary.first()) == (7, 2, 5, 3, 2, 2)
