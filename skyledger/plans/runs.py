@@ -156,9 +156,14 @@ def land_wide(
 
 
 def process_source(
-    spark: SparkSession, zones: Zones, source: str, run_date: str, manifest: DataFrame, on_error: str = "reject"
+    spark: SparkSession, zones: Zones, source: str, run_date: str, manifest: DataFrame, on_error: str = "reject",
+    ordered: bool = False,
 ) -> DataFrame:
-    """Turns one source's raw rows of a run into daily rows and rejects; returns its metrics."""
+    """Turns one source's raw rows of a run into daily rows and rejects; returns its metrics.
+
+    ``ordered`` lays the daily rows out in published order. The curated dataset is laid out so
+    in any case, and reads the daily rows whole, so the shuffle is seldom worth while here.
+    """
     if source == "noaa":
         rows = raw.read_long(spark, zones.raw(source), run_date)
         normalized, checks = long_rows.normalize_long(rows), long_rows.CHECKS
@@ -177,7 +182,7 @@ def process_source(
     if on_error == "fail":
         require_usable(normalized, checks)
     rejects = rejected(normalized, checks).drop("run_date")
-    tables.overwrite_run(daily(normalized), zones.daily(source), "ingest_run_date", run_date)
+    tables.overwrite_run(daily(normalized), zones.daily(source), "ingest_run_date", run_date, ordered)
     tables.overwrite_run(rejects, zones.rejects(source), "run_date", run_date)
     metrics = committed_metrics(spark, zones, source, run_date, rejects.schema)
     tables.write_metrics(metrics, zones.processed, source, run_date)

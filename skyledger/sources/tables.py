@@ -47,9 +47,10 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str, ordered:
     )
 
 
-def overwrite_run(df: DataFrame, path: str, partition: str, run_date: str) -> None:
-    """Replaces one run's partition of a Parquet dataset, also with nothing."""
-    df.drop(partition).hint("rebalance").write.mode("overwrite").parquet(f"{path}/{partition}={run_date}")
+def overwrite_run(df: DataFrame, path: str, partition: str, run_date: str, ordered: bool = False) -> None:
+    """Replaces one run's partition of a Parquet dataset, also with nothing; ``ordered`` as above."""
+    rows = publication_order(df) if ordered else df.hint("rebalance")
+    rows.drop(partition).write.mode("overwrite").parquet(f"{path}/{partition}={run_date}")
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

@@ -47,7 +47,9 @@ def stream_days(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
     observations later than that are dropped. State holds one row of partial results per open
     station-day, built up within tasks first, so a busy station costs no more than a quiet one.
     """
-    local = F.col("local_time").cast("timestamp")
+    # Windows start at midnight UTC, so wall-clock time is put there, whatever the session's zone.
+    local = F.from_utc_timestamp(F.col("local_time").cast("timestamp"), F.current_timezone())
+    day = F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col("day_window.start")))
     return (
         accepted(normalized, CHECKS)
         .withColumn("local_time", local)
@@ -62,7 +64,7 @@ def stream_days(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
             round_aggregate(F.max("wind_mps")).alias("max_wind_mps"),
         )
         .select(
-            "station_id", "run_date", F.to_date("day_window.start").alias("day"),
+            "station_id", "run_date", day.alias("day"),
             "obs_count", "avg_temp_c", "min_temp_c", "max_temp_c", "avg_wind_mps", "max_wind_mps",
         )
     )

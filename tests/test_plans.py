@@ -56,6 +56,18 @@ def test_rollup_reads_only_what_it_needs(spark):
     assert "l_partkey" not in lineitem and "l_returnflag" not in lineitem
 
 
+def test_checks_reach_the_scan(spark, tmp_path):
+    from skyledger.operators import wide_rows
+    path = str(tmp_path / "raw")
+    inputs.raw_wide(spark, SF_DIR).write.parquet(path)
+    text = plan(wide_rows.wide_to_daily(spark.read.parquet(path)))
+    assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(noaa_station_id\), IsNotNull\(meteostat_station_id\)", text)
+
+
+def test_partition_writes_are_rebalanced(spark):
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(registry.unified(spark, SF_DIR).hint("rebalance", "source", "year"))
+
+
 def test_report_filters_reach_the_scan(spark):
     from skyledger.operators import curate
     from skyledger.sources import tables

@@ -45,6 +45,15 @@ def test_days_come_out_when_they_close(spark, tmp_path):
     assert days(spark, tmp_path) == [("K1", 2, 3, 3.0), ("K1", 3, 1, 9.0), ("K2", 2, 1, 5.0), ("K2", 3, 1, 9.0)]
 
 
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        observed(spark, tmp_path / "in", ("K1", "02T04:30:00", 1.0), ("K1", "02T05:30:00", 2.0), ("K1", "04T05:30:00", 2.0))
+        assert days(spark, tmp_path) == [("K1", 1, 1, 1.0), ("K1", 2, 1, 2.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_closed_days_equal_the_batch_result(spark, tmp_path):
     rows = [(f"K{i % 7}", f"{1 + i // 24:02}T{i % 24:02}:10:00", float(i % 13)) for i in range(240)]
     observed(spark, tmp_path / "in", *rows)
