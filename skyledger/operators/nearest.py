@@ -1,10 +1,11 @@
 """Nearest catalogue station, exact at any distance, without pairing everything with everything.
 
-Catalogue positions are sorted into a tree of cubes around the unit sphere. A query walks down
-the tree: at each level it joins the occupied cubes inside those it still holds, and keeps only
-those that can be nearer than the farthest point of some other. Every join is an equi-join on a
-cube, a cube has a bounded number of children, and the leaves are small enough that even a place
-with a large share of all stations is met by few of its points at a time.
+Catalogue positions are sorted into a tree of cubes around the unit sphere, each with the extent
+of its points and one of them as its sample. A query walks down the tree: at each level it joins
+the occupied cubes inside those it still holds, and keeps only those that reach as near as the
+nearest sample met so far. Every join is an equi-join on a cube, a cube has a bounded number of
+children, and the leaves are small enough that even a place with a large share of all stations is
+met by few of its points at a time.
 
 Which stations a query may match depends on country and region, where either side may be blank.
 Each catalogue row therefore stands under four facets (country or any, region or any), and each
@@ -20,8 +21,8 @@ from skyledger.functions.geo import cube_cell, haversine_km, unit_vector
 
 QUERY = ("query_latitude", "query_longitude", "country", "state")
 
-# Cube sides are two to the minus these: about 3200, 200, 6 and 0.1 km.
-DEPTHS = (1, 5, 10, 16)
+# Cube sides are two to the minus these: from 6400 km down to 0.1 km.
+DEPTHS = (0, 2, 4, 7, 11, 16)
 
 # Straight-line distance squared under which two distances count as equal while pruning (some
 # metres); the final choice compares great-circle distances.
@@ -66,22 +67,26 @@ def _cells(points: DataFrame, depth: int, parent_depth: int | None) -> DataFrame
     if parent_depth is not None:
         keys.append(cube_cell(parent_depth).alias("parent"))
     extent = [F.expr(f"{bound}({axis}) AS {name}_{axis}") for axis in AXES for name, bound in (("lo", "min"), ("hi", "max"))]
-    return points.groupBy(*keys).agg(*extent)
+    sample = [F.expr(f"min_by({axis}, position) AS s_{axis}") for axis in AXES]
+    return points.groupBy(*keys).agg(*extent, *sample)
 
 
 def _keep_promising(held: DataFrame) -> DataFrame:
-    """Drops cubes whose nearest point is farther than the farthest point of another of the query.
+    """Drops cubes that are farther, at their nearest, than a sample the query has met.
 
-    A query's first tier that holds any cube at all also drops its later tiers.
+    Samples of the levels above are known before the shuffle, those of this level after it. A
+    query's first tier that holds any cube at all also drops its later tiers.
     """
     nearest = " + ".join(f"pow(greatest(lo_{a} - q_{a}, q_{a} - hi_{a}, 0D), 2)" for a in AXES)
-    farthest = " + ".join(f"pow(greatest(q_{a} - lo_{a}, hi_{a} - q_{a}), 2)" for a in AXES)
+    sample = " + ".join(f"pow(s_{a} - q_{a}, 2)" for a in AXES)
     carried = (*QUERY, *[f"q_{a}" for a in AXES], "tier", "facet", "cell")
-    best = f"min(struct(tier, {farthest} AS farthest)) OVER (PARTITION BY {', '.join(QUERY)}) AS best"
+    best = f"min(struct(tier, sample)) OVER (PARTITION BY {', '.join(QUERY)}) AS best"
     return (
-        held.selectExpr(*carried, f"{nearest} AS nearest", best)
-        .filter(f"tier = best.tier AND nearest <= best.farthest + {SLACK}D")
-        .select(*carried)
+        held.selectExpr(*carried, "reach", f"{nearest} AS nearest", f"{sample} AS sample")
+        .filter(f"nearest <= reach + {SLACK}D")
+        .selectExpr(*carried, "reach", "nearest", best)
+        .filter(f"tier = best.tier AND nearest <= best.sample + {SLACK}D")
+        .selectExpr(*carried, "least(reach, best.sample) AS reach")
     )
 
 
@@ -107,7 +112,7 @@ def nearest_station(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     accepts = F.when(F.col("country") == "", first).otherwise(F.concat(first, second))
     held = (
         queries.select(*QUERY).distinct()
-        .select(*QUERY, x.alias("q_x"), y.alias("q_y"), z.alias("q_z"), F.inline(accepts))
+        .select(*QUERY, x.alias("q_x"), y.alias("q_y"), z.alias("q_z"), F.lit(4.0).alias("reach"), F.inline(accepts))
     )
     parent_depth = None
     for depth in DEPTHS:
