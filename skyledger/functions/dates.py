@@ -32,25 +32,16 @@ def compact_date(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{8}$"), parts.try_cast("date"))
 
 
-def flexible_date(date: Column, time: Column, year: Column, month: Column, day: Column) -> Column:
-    """The date of a row that states it as ``date``, as ``time``, or in three parts."""
-    whole = F.coalesce(present(date), present(time))
+def stated_date(date: Column, time: Column, year: Column, month: Column, day: Column) -> Column:
+    """The text of a date that a row states as ``date``, as ``time``, or in three parts; else null."""
+    has_parts = present(year).isNotNull() & present(month).isNotNull() & present(day).isNotNull()
     parts = F.concat_ws("-", F.lpad(F.trim(year), 4, "0"), F.trim(month), F.trim(day))
-    return F.when(whole.isNotNull(), day_date(whole)).when(has_date_parts(year, month, day), day_date(parts))
+    return F.coalesce(present(date), present(time), F.when(has_parts, parts))
 
 
-def has_date_parts(year: Column, month: Column, day: Column) -> Column:
-    return present(year).isNotNull() & present(month).isNotNull() & present(day).isNotNull()
-
-
-def date_status(date: Column, time: Column, year: Column, month: Column, day: Column) -> Column:
+def date_status(stated: Column, day: Column) -> Column:
     """``ok``, ``skip`` (no date stated at all) or ``bad`` (stated, but not a date)."""
-    stated = F.coalesce(present(date), present(time)).isNotNull() | has_date_parts(year, month, day)
-    return (
-        F.when(~stated, F.lit("skip"))
-        .when(flexible_date(date, time, year, month, day).isNull(), F.lit("bad"))
-        .otherwise(F.lit("ok"))
-    )
+    return F.when(stated.isNull(), F.lit("skip")).when(day.isNull(), F.lit("bad")).otherwise(F.lit("ok"))
 
 
 def local_time(instant: Column, zone: str | Column = DEFAULT_ZONE) -> Column:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.dates import date_status, flexible_date, iso_date
+from skyledger.functions.dates import date_status, day_date, iso_date, stated_date
 from skyledger.functions.values import cm_to_mm, kmh_to_mps, number
 from skyledger.operators.validity import accepted
 from skyledger.schemas import DAILY, RAW_WIDE, REQUIRED_WIDE, WIDE_MEASURES, conform, require_columns
@@ -24,10 +24,13 @@ CHECKS = {
 
 def dated_rows(lines: DataFrame) -> DataFrame:
     """Station-year file lines with their date, whichever way the file states it, and its status."""
-    stated = [F.col(name) if name in lines.columns else F.lit(None).cast("string")
+    fields = [F.col(name) if name in lines.columns else F.lit(None).cast("string")
               for name in ("date", "time", "year", "month", "day")]
-    return lines.select(
-        "*", flexible_date(*stated).alias("observed_on"), date_status(*stated).alias("date_status")
+    return (
+        lines.withColumn("_stated", stated_date(*fields))
+        .withColumn("observed_on", day_date(F.col("_stated")))
+        .withColumn("date_status", date_status(F.col("_stated"), F.col("observed_on")))
+        .drop("_stated")
     )
 
 

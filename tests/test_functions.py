@@ -74,7 +74,7 @@ def test_dates(spark):
     assert column(spark, compact, "string", dates.compact_date) == [date(2024, 2, 29), None, None, None, None, None]
 
 
-def test_flexible_date(spark):
+def test_stated_date(spark):
     rows = [
         ("2024-01-02", None, None, None, None), (None, "2024-01-03", None, None, None),
         ("", "2024-01-04", None, None, None), (None, None, "2024", "1", "5"), (None, None, "2024", "1", ""),
@@ -84,9 +84,9 @@ def test_flexible_date(spark):
         [(i, *row) for i, row in enumerate(rows)], "i int, date string, time string, year string, month string, day string"
     )
     parts = [F.col(c) for c in ("date", "time", "year", "month", "day")]
-    got = frame.select(
-        "i", dates.flexible_date(*parts).alias("d"), dates.date_status(*parts).alias("s")
-    ).orderBy("i").collect()
+    stated = dates.stated_date(*parts)
+    day = dates.day_date(stated)
+    got = frame.select("i", day.alias("d"), dates.date_status(stated, day).alias("s")).orderBy("i").collect()
     assert [(row.d and row.d.isoformat(), row.s) for row in got] == [
         ("2024-01-02", "ok"), ("2024-01-03", "ok"), ("2024-01-04", "ok"), ("2024-01-05", "ok"), (None, "skip"),
         (None, "bad"), (None, "bad"), (None, "skip"),
