@@ -456,7 +456,7 @@ SELECT id, coalesce(daily_start <= f AND daily_end >= f, false) AS covers_start,
 FROM catalog, (SELECT date '2014-01-01' AS f, date '2024-06-30' AS l)""", "catalog"),
     "manifest_slice": sql("""
 SELECT noaa_station_id, ingest_enabled, priority_rank, row_number() OVER (ORDER BY priority_rank) - 1 AS ordinal
-FROM manifest WHERE ingest_enabled IN ('TRUE', ' yes ', '') ORDER BY priority_rank LIMIT 250 OFFSET 250""", "manifest"),
+FROM manifest WHERE ingest_enabled IN ('TRUE', ' yes ', '') ORDER BY priority_rank LIMIT 50 OFFSET 50""", "manifest"),
     "nearest_station": sql(f"""
 SELECT qlat AS query_latitude, qlon AS query_longitude, country, state, position, {rounded_row("km")} AS km
 FROM nearest""", "nearest"),

@@ -373,7 +373,7 @@ def interval_predicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def manifest_slice(spark: SparkSession, sf: str) -> DataFrame:
-    size = 250
+    size = 50
     offset = stations.batch_offset(2, size)
     return stations.slice_manifest(inputs.manifest(spark, sf), offset, size).select(
         "noaa_station_id", "ingest_enabled", "priority_rank", "ordinal"
