@@ -124,3 +124,46 @@ def open_shared(folder: str, name: str) -> pa.NativeFile:
 def salt(n: int, *columns: str) -> Column:
     """A number below ``n`` that spreads the rows of one hot key, the same in each attempt."""
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
+FILTER_BITS = 1 << 24
+
+
+def hash_filter(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap of fixed size over the longs in column ``value``; at most bits / 64 numbers reach the driver.
+
+    What it lets pass may be too much, never too little: a join decides. It only saves moving rows.
+    """
+    slot = F.pmod(F.xxhash64("value"), F.lit(bits))
+    found = (
+        values.select((slot / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(value), 64) as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("held"))
+    ).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[found["word"].to_numpy()] = found["held"].to_numpy()
+    return bitmap.view(np.uint64)
+
+
+def spark_hash(values: np.ndarray, seed: int = 42) -> np.ndarray:
+    """Spark's xxhash64 of longs, for arrays."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+    ))
+    v = values.astype(np.int64).view(np.uint64)
+
+    def turn(x: np.ndarray, r: int) -> np.ndarray:
+        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    h = np.full(len(v), np.uint64(seed)) + p5 + np.uint64(8)
+    h ^= turn(v * p2, 31) * p1
+    h = turn(h, 27) * p1 + p4
+    h ^= h >> np.uint64(33)
+    h *= p2
+    h ^= h >> np.uint64(29)
+    h *= p3
+    return h ^ (h >> np.uint64(32))
+
+
+def in_filter(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = spark_hash(values) % np.uint64(len(bitmap) * 64)
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -8,7 +8,7 @@ or is such a long line. Of all equal chunks the first stays (smallest document i
 
 1. Chunk hashes are counted, combined before the shuffle: those with several places are repeated.
 2. Texts of chunks whose hash may be repeated go to a join with the first place's text and are compared
-   byte by byte there. A filter of fixed size (``FILTER_BITS``), built from the repeated hashes, keeps other
+   byte by byte there. A filter of fixed size, built from the repeated hashes, keeps other
    chunks from moving; false positives only move more.
 3. Documents meet their list of removed chunks by id and are rewritten where they lie.
 
@@ -27,14 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import as_long, column_of, ids_and_texts, mix, settle, texts_of
+from skyledger.llm.common import as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of
 
 DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 16
 MIN_WORDS = 20
 LONG_LINE = 50
-FILTER_BITS = 1 << 24
 
 
 def chunk_lines(text: bytes) -> tuple[list[bytes], list[tuple[int, int, bool]]]:
@@ -82,20 +81,18 @@ def _chunk_rows(docs: DataFrame, wanted: "np.ndarray | None", with_text: bool) -
                         continue
                     body = b"\n".join(lines[first:end])
                     value = xxhash.xxh64_intdigest(body)
-                    if bits is not None and not bits[(value % FILTER_BITS) >> 3] >> (value & 7) & 1:
-                        continue
                     own = xxhash.xxh64_intdigest(text, 42) if own is None else own
                     rows.append((doc_id, own, number, value, len(body), body if with_text else None))
                 if len(rows) > 20_000:
-                    yield _rows(rows, names)
+                    yield _rows(rows, names, bits)
                     rows = []
             if rows:
-                yield _rows(rows, names)
+                yield _rows(rows, names, bits)
 
     return ids_and_texts(docs).mapInArrow(run, schema)
 
 
-def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def _rows(rows: list[tuple], names: list[str], bits: np.ndarray | None) -> pa.RecordBatch:
     ids, own, number, value, size, body = zip(*rows)
     arrays = [
         pa.array(ids, pa.int64()), as_long(np.array(own, np.uint64)), pa.array(number, pa.int32()),
@@ -103,19 +100,8 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     ]
     if len(names) == 6:
         arrays.append(pa.array(body, pa.binary()).cast(pa.string()))
-    return pa.RecordBatch.from_arrays(arrays, names)
-
-
-def _filter(repeated: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` bits; at most FILTER_BITS / 64 words reach the driver."""
-    slot = F.pmod(F.col("hash"), F.lit(FILTER_BITS))  # as unsigned: a power of two keeps the low bits
-    words = (
-        repeated.select((slot / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(pmod(hash, 64) as int))").alias("bit"))
-        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    ).toArrow()
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return bitmap.view(np.uint8)
+    out = pa.RecordBatch.from_arrays(arrays, names)
+    return out if bits is None else out.filter(pa.array(in_filter(bits, column_of(out, "hash").to_numpy())))
 
 
 def removed_chunks(docs: DataFrame) -> DataFrame:
@@ -126,7 +112,7 @@ def removed_chunks(docs: DataFrame) -> DataFrame:
         "chunk-hashes",
     )
     places = settle(
-        _chunk_rows(docs, _filter(repeated), True).join(repeated.select("hash", "size", "first"), ["hash", "size"]),
+        _chunk_rows(docs, hash_filter(repeated.select(F.col("hash").alias("value"))), True).join(repeated.select("hash", "size", "first"), ["hash", "size"]),
         "chunk-texts",
     )
     at_first = F.struct("doc_id", "text_hash", "chunk").eqNullSafe(F.col("first"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import license_scan, line_chunks, mixing, quality_outliers, warc_revisits
+from skyledger.llm import license_scan, line_chunks, mixing, order_minhash, quality_outliers, warc_revisits
 from skyledger.llm.shipping import ship_package
 
 
@@ -27,6 +27,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,9 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_line_chunks, op2_license_scan, op3_source_mix, op6_quality_outliers, op10_warc_revisits)
+    for query in (
+        op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op6_quality_outliers, op10_warc_revisits,
+    )
 }
 
 ORACLE = {
