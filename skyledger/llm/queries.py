@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import license_scan, line_chunks, mixing, order_minhash, quality_outliers, warc_revisits
+from skyledger.llm import (
+    license_scan, line_chunks, mixing, order_minhash, quality_outliers, template_leaks, warc_revisits,
+)
 from skyledger.llm.shipping import ship_package
 
 
@@ -35,6 +37,10 @@ def op6_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisits.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -42,7 +48,8 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op6_quality_outliers, op10_warc_revisits,
+        op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op6_quality_outliers, op8_template_leaks,
+        op10_warc_revisits,
     )
 }
 
