@@ -180,8 +180,8 @@ def read_archives(files: DataFrame, folder: str, tasks: int | None = None) -> Da
                 if held:
                     yield _batch(held, kinds, names)
 
-    spread = files.select("file").repartition(tasks, "file") if tasks else files.select("file").repartition("file")
-    return spread.mapInArrow(run, READ)
+    # One task per archive: the names are too few bytes for adaptive execution to keep them apart.
+    return files.select("file").repartition(tasks or max(1, files.count())).mapInArrow(run, READ)
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
