@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
-    license_scan, line_chunks, mixing, order_minhash, quality_outliers, template_leaks, warc_revisits,
+    license_scan, line_chunks, mixing, ngram_trie, order_minhash, quality_outliers, template_leaks, token_files,
+    warc_revisits,
 )
 from skyledger.llm.shipping import ship_package
 
@@ -33,6 +34,17 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary; the operator takes any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +53,10 @@ def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisits.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -48,8 +64,8 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op6_quality_outliers, op8_template_leaks,
-        op10_warc_revisits,
+        op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op5_token_files,
+        op6_quality_outliers, op8_template_leaks, op9_ngram_trie, op10_warc_revisits,
     )
 }
 
