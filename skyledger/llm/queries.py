@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
-    license_scan, line_chunks, mixing, ngram_trie, order_minhash, quality_outliers, template_leaks, token_files,
-    warc_revisits,
+    license_scan, line_chunks, mixing, ngram_trie, order_minhash, pii_contexts, quality_outliers, template_leaks,
+    token_files, warc_revisits,
 )
 from skyledger.llm.shipping import ship_package
 
@@ -49,6 +49,10 @@ def op6_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_pii_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_contexts.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op5_token_files,
-        op6_quality_outliers, op8_template_leaks, op9_ngram_trie, op10_warc_revisits,
+        op6_quality_outliers, op7_pii_contexts, op8_template_leaks, op9_ngram_trie, op10_warc_revisits,
     )
 }
 
