@@ -154,6 +154,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             arrays = [pa.array(c, pa.int64()) for c in columns[:6]]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(columns[6], pa.binary()).cast(pa.string())], names)
 
+    # Both sides are shuffled at any size: whether the list of removals is small changes with the corpus.
     return texts.join(
-        removed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("own") == F.col("h")), "left"
+        removed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("own") == F.col("h")), "left"
     ).select("doc_id", "text", "removed").mapInArrow(run, RESULT)
