@@ -311,4 +311,5 @@ def near_duplicates(
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents that stay, with their own columns. Rows equal in id and text stay together."""
     gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    # As for any size of the list, so that a growing corpus does not change the plan.
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")

@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm.common import TokenCodes, column_of, ids_and_texts, salt, settle, texts_of, windows
 
@@ -227,36 +228,48 @@ def robust_estimates(rows: DataFrame, steps: int) -> DataFrame:
     )
 
 
-def _text(name: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("-"))
+def _levels(lang: Column, source: Column) -> list[Column]:
+    """Names of a row's groups, from the narrowest to all rows."""
+    def text(column: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), column), F.lit("-"))
 
+    return [
+        F.to_json(F.array(F.lit("group"), text(lang), text(source))),
+        F.to_json(F.array(F.lit("language"), text(lang))),
+        F.lit("all"),
+    ]
 
-def judge_documents(
-    docs: DataFrame, cutoff: float = CUTOFF, steps: int = STEPS, min_rows: int = MIN_ROWS
-) -> DataFrame:
-    """One row per document: counts, ``base_failed``, ``distance`` (null where the base rule failed) and
-    ``kept``. The estimates are fitted to the documents that pass the base rule."""
+
+def group_estimates(docs: DataFrame, steps: int = STEPS, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Statistics of all documents, and the estimate each (language, source) uses; both settled."""
     stats = settle(
         with_features(document_statistics(docs)).withColumn("base_failed", base_failed()), "quality-statistics"
     )
     passed = stats.where(~F.col("base_failed"))
-    levels = [
-        F.to_json(F.array(F.lit("group"), _text("lang"), _text("source"))),
-        F.to_json(F.array(F.lit("language"), _text("lang"))),
-        F.lit("all"),
-    ]
-    fitted = passed.select(F.explode(F.array(*levels)).alias("group"), salt(SALTS, "doc_id", "n_words").alias("salt"), *FEATURES)
+    levels = _levels(F.col("lang"), F.col("source"))
+    fitted = passed.select(
+        F.explode(F.array(*levels)).alias("group"), salt(SALTS, "doc_id", "n_words").alias("salt"), *FEATURES
+    )
     estimates = settle(robust_estimates(fitted, steps), "quality-estimates")
-    groups = stats.where(~F.col("base_failed")).select(levels[0].alias("own"), levels[1].alias("language")).distinct()
+    groups = passed.select(levels[0].alias("own"), levels[1].alias("language")).distinct()
     large = estimates.where(F.col("rows") >= min_rows).select(F.col("group").alias("g"))
     chosen = (
         groups.join(large.withColumnRenamed("g", "own_g"), F.col("own") == F.col("own_g"), "left")
         .join(large.withColumnRenamed("g", "language_g"), F.col("language") == F.col("language_g"), "left")
         .select("own", F.coalesce("own_g", "language_g", F.lit("all")).alias("group"))
     )
-    used = settle(chosen.join(estimates, "group").drop("group", "rows").withColumnRenamed("own", "group"), "quality-used")
+    used = chosen.join(estimates, "group").drop("group", "rows").withColumnRenamed("own", "group")
+    return stats, settle(used, "quality-used")
+
+
+def judge_documents(
+    docs: DataFrame, cutoff: float = CUTOFF, steps: int = STEPS, min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """One row per document: counts, ``base_failed``, ``distance`` (null where the base rule failed) and
+    ``kept``. The estimates are fitted to the documents that pass the base rule."""
+    stats, used = group_estimates(docs, steps, min_rows)
     salted = used.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    keyed = stats.withColumn("group", levels[0]).withColumn("salt", salt(SALTS, "doc_id", "n_words"))
+    keyed = stats.withColumn("group", _levels(F.col("lang"), F.col("source"))[0]).withColumn("salt", salt(SALTS, "doc_id", "n_words"))
     return keyed.join(salted, ["group", "salt"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), F.round(distance() / F.col("scale"), 6))
     ).select(
@@ -268,10 +281,25 @@ def judge_documents(
 def keep_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with their own columns.
 
-    Where rows share an id, all go if one of them is rejected.
+    Each row carries its own counts, so rows that share an id are judged apart and no text is shuffled: the
+    verdict needs only the estimate of the row's group.
     """
-    rejected = judge_documents(docs, **options).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(
-        rejected.withColumnRenamed("doc_id", "rejected_id"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("rejected_id")), "left_anti",
-    )
+    used = group_estimates(docs, **{k: v for k, v in options.items() if k != "cutoff"})[1]
+    names = [part.split()[0] for part in STATISTICS.split(", ")][1:]
+    rows = docs.select(F.struct("*").alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = TokenCodes()
+        for batch in batches:
+            row = batch.column(0)
+            texts = row.field("text").cast(pa.binary()).to_pylist()
+            counted = [statistics(text or b"", codes) for text in texts]
+            arrays = [pa.array(values, pa.int64()) for values in zip(*counted)] or [pa.array([], pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays([row, *arrays], ["row", *names])
+
+    schema = T.StructType([rows.schema["row"], *[T.StructField(name, T.LongType()) for name in names]])
+    judged = with_features(rows.mapInArrow(run, schema)).where(~base_failed()).withColumn(
+        "group", _levels(F.col("row.lang").cast("string"), F.col("row.source").cast("string"))[0]
+    ).join(used, "group")
+    kept = judged.where(F.round(distance() / F.col("scale"), 6) <= options.get("cutoff", CUTOFF))
+    return kept.select(*[F.col("row")[name].alias(name) for name in docs.columns])
