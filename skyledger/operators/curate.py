@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import round_aggregate
@@ -30,19 +30,38 @@ def climate_daily(frames: list[DataFrame]) -> DataFrame:
 def station_years(daily: DataFrame) -> DataFrame:
     """Yearly values per station.
 
-    Every aggregate works on numbers, so rows are combined in hash maps before the shuffle, and a
-    source or station with most of the rows does not weigh on one task. Coordinates are those of
-    the station key; where a key has several, the smallest, so that the result is fixed.
+    Days are first combined per key and position, which is nearly always one group per station-year,
+    and with numbers only: in hash maps, before the shuffle, so a source or station with most of the
+    rows does not weigh on one task. The place is one position that the days state: of several the one
+    of least latitude, then longitude; positions that lack a coordinate come last.
     """
-    return daily.groupBy(*STATION_YEAR_KEYS).agg(
-        F.min("latitude").alias("latitude"),
-        F.min("longitude").alias("longitude"),
-        F.count(F.lit(1)).alias("days_covered"),
-        round_aggregate(F.avg("avg_temp_c")).alias("annual_avg_temp_c"),
-        round_aggregate(F.avg("min_temp_c")).alias("annual_avg_min_temp_c"),
-        round_aggregate(F.avg("max_temp_c")).alias("annual_avg_max_temp_c"),
+    means = ("avg_temp_c", "min_temp_c", "max_temp_c", "avg_wind_mps")
+    places = daily.groupBy(*STATION_YEAR_KEYS, "latitude", "longitude").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("precip_mm").alias("precip_mm"),
+        *[F.sum(name).alias(f"{name}_sum") for name in means],
+        *[F.count(name).alias(f"{name}_count") for name in means],
+    )
+
+    def mean(name: str) -> Column:
+        return round_aggregate(F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")))
+
+    place = F.min(F.struct(
+        F.col("latitude").isNull().alias("no_latitude"), "latitude",
+        F.col("longitude").isNull().alias("no_longitude"), "longitude",
+    ))
+    return places.groupBy(*STATION_YEAR_KEYS).agg(
+        place.alias("place"),
+        F.sum("days").alias("days_covered"),
+        mean("avg_temp_c").alias("annual_avg_temp_c"),
+        mean("min_temp_c").alias("annual_avg_min_temp_c"),
+        mean("max_temp_c").alias("annual_avg_max_temp_c"),
         round_aggregate(F.sum("precip_mm")).alias("annual_precip_mm"),
-        round_aggregate(F.avg("avg_wind_mps")).alias("annual_avg_wind_mps"),
+        mean("avg_wind_mps").alias("annual_avg_wind_mps"),
+    ).select(
+        *STATION_YEAR_KEYS, F.col("place.latitude").alias("latitude"), F.col("place.longitude").alias("longitude"),
+        "days_covered", "annual_avg_temp_c", "annual_avg_min_temp_c", "annual_avg_max_temp_c", "annual_precip_mm",
+        "annual_avg_wind_mps",
     )
 
 
@@ -85,10 +104,10 @@ def sample_rows(daily: DataFrame, source: str, day: str, n: int = 8) -> DataFram
     )
 
 
-def latest_trends(trends: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows of a yearly dataset in its published order: newest year, then keys."""
+def trend_order(trends: DataFrame) -> DataFrame:
+    """A yearly dataset in its published order: newest year, then keys."""
     keys = [name for name in STATION_YEAR_KEYS if name in trends.columns and name != "year"]
-    return trends.orderBy(F.desc("year"), *[F.col(name).asc_nulls_first() for name in keys]).limit(n)
+    return trends.orderBy(F.desc("year"), *[F.col(name).asc_nulls_first() for name in keys])
 
 
 def publication_order(daily: DataFrame) -> DataFrame:

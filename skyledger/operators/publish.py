@@ -69,17 +69,20 @@ def merge_snapshot(existing: DataFrame, incoming: DataFrame, key: str = KEY) ->
     )
 
 
-def upsert_counts(merged: DataFrame) -> DataFrame:
-    """Processed, upserted, modified and matched documents of a merge."""
+def upsert_counts(merged: DataFrame, documents: DataFrame, key: str = KEY) -> DataFrame:
+    """Processed, upserted, modified and matched documents of a merge.
+
+    Processed are all ``documents`` with a key that were handed over, copies of a key included.
+    """
+    names = ("to_process", "upserted", "modified", "matched")
+
     def count(*actions: str) -> Any:
         return F.count_if(F.col("action").isin(*actions))
 
-    return merged.agg(
-        count(INSERTED, REPLACED, UNCHANGED).alias("to_process"),
-        count(INSERTED).alias("upserted"),
-        count(REPLACED).alias("modified"),
-        count(REPLACED, UNCHANGED).alias("matched"),
-    )
+    nothing = F.lit(0).cast("bigint")
+    handed = documents.agg(F.count(key), nothing, nothing, nothing).toDF(*names)
+    done = merged.agg(nothing, count(INSERTED), count(REPLACED), count(REPLACED, UNCHANGED)).toDF(*names)
+    return handed.unionByName(done).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def publish_batches(

@@ -201,6 +201,11 @@ def match_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> Data
 
 def resolve_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> DataFrame:
     """Manifest rows with the catalogue station each one is resolved to."""
+    return resolved_rows(match_stations(manifest, catalog, start), catalog)
+
+
+def resolved_rows(matched: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The same from matches at hand, so that one search serves rows and failures."""
     stations = catalog.select(
         "position",
         F.col("id").alias("meteostat_station_id"),
@@ -210,8 +215,7 @@ def resolve_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> Da
         F.col("elevation").alias("meteostat_station_elevation_m"),
     )
     return (
-        match_stations(manifest, catalog, start)
-        .filter(F.col("position").isNotNull())
+        matched.filter(F.col("position").isNotNull())
         .drop("meteostat_station_id")
         .withColumnsRenamed({"match_type": "meteostat_match_type", "distance_km": "meteostat_station_distance_km"})
         .join(stations, "position")
@@ -221,9 +225,12 @@ def resolve_stations(manifest: DataFrame, catalog: DataFrame, start: date) -> Da
 
 def resolution_failures(manifest: DataFrame, catalog: DataFrame, start: date, end: date, run_date: str) -> DataFrame:
     """Ledger rows of the manifest stations that cannot be resolved, with the reason."""
+    return failure_rows(match_stations(manifest, catalog, start), start, end, run_date)
+
+
+def failure_rows(matched: DataFrame, start: date, end: date, run_date: str) -> DataFrame:
     return (
-        match_stations(manifest, catalog, start)
-        .filter(F.col("error_message").isNotNull())
+        matched.filter(F.col("error_message").isNotNull())
         .select(
             F.lit(run_date).alias("run_date"),
             F.lit("meteostat").alias("source"),

@@ -180,9 +180,11 @@ part("unified", f"""{CALENDAR} (
   SELECT * FROM long_daily UNION ALL BY NAME SELECT * FROM obs_daily UNION ALL BY NAME SELECT * FROM wide_daily
 )""", "long_daily", "obs_daily", "wide_daily")
 
+# The choice among several positions of a station-year (least latitude, then longitude) is ours.
 part("yearly_station", f"""
-SELECT source, noaa_station_id, station_name, state, country, year, min(latitude) AS latitude,
-  min(longitude) AS longitude, count(*) AS days_covered, {rounded("avg(avg_temp_c)")} AS annual_avg_temp_c,
+SELECT source, noaa_station_id, station_name, state, country, year,
+  first(latitude ORDER BY latitude NULLS LAST, longitude NULLS LAST) AS latitude,
+  first(longitude ORDER BY latitude NULLS LAST, longitude NULLS LAST) AS longitude, count(*) AS days_covered, {rounded("avg(avg_temp_c)")} AS annual_avg_temp_c,
   {rounded("avg(min_temp_c)")} AS annual_avg_min_temp_c, {rounded("avg(max_temp_c)")} AS annual_avg_max_temp_c,
   {rounded("sum(precip_mm)")} AS annual_precip_mm, {rounded("avg(avg_wind_mps)")} AS annual_avg_wind_mps
 FROM unified GROUP BY source, noaa_station_id, station_name, state, country, year""", "unified")
@@ -284,8 +286,9 @@ part("documents_all", f"{DOCUMENT} unified", "unified")
 part("snapshot", LATEST % f"""{DOCUMENT} ({CALENDAR}
   (SELECT * FROM long_daily UNION ALL BY NAME SELECT * FROM earlier_obs_daily))""",
      "long_daily", "earlier_obs_daily")
-part("incoming", LATEST % f"""{DOCUMENT} ({CALENDAR}
+part("handed_over", f"""{DOCUMENT} ({CALENDAR}
   (SELECT * FROM obs_daily UNION ALL BY NAME SELECT * FROM wide_daily))""", "obs_daily", "wide_daily")
+part("incoming", LATEST % "SELECT * FROM handed_over", "handed_over")
 part("incoming_obs", LATEST % f"{DOCUMENT} ({CALENDAR} obs_daily)", "obs_daily")
 
 FIELDS = CONTENT + ("ingest_run_date", '"dataLevel"', '"recordType"')
@@ -395,7 +398,7 @@ WHERE source = 'noaa' AND date = date '2024-01-15'
 ORDER BY station_name, avg_temp_c NULLS LAST, precip_mm NULLS LAST, avg_wind_mps NULLS LAST LIMIT 8""", "unified"),
     "trend_sorted_top": sql("""
 SELECT * FROM yearly_station ORDER BY year DESC, source NULLS FIRST, noaa_station_id NULLS FIRST,
-  station_name NULLS FIRST, state NULLS FIRST, country NULLS FIRST LIMIT 20""", "yearly_station"),
+  station_name NULLS FIRST, state NULLS FIRST, country NULLS FIRST""", "yearly_station"),
     "run_metrics": sql("SELECT * FROM metrics", "metrics"),
     "metrics_summary": sql("""
 SELECT sum(raw_input_rows)::bigint AS raw_input_rows, sum(invalid_rows_removed)::bigint AS invalid_rows_removed,
@@ -483,12 +486,10 @@ WHERE station_id IN (SELECT nws_station_id FROM manifest WHERE nws_station_id IS
     "latest_per_key": sql(LATEST % "SELECT * FROM documents_all", "documents_all"),
     "keyed_upsert": sql("SELECT * FROM merged", "merged"),
     "upsert_counts": sql("""
-SELECT count(*) FILTER (action <> 'kept') AS to_process, count(*) FILTER (action = 'inserted') AS upserted,
+SELECT (SELECT count(_id) FROM handed_over) AS to_process, count(*) FILTER (action = 'inserted') AS upserted,
   count(*) FILTER (action = 'replaced') AS modified, count(*) FILTER (action IN ('replaced', 'unchanged')) AS matched
-FROM merged""", "merged"),
+FROM merged""", "merged", "handed_over"),
     "streaming_local_day": sql("""
-SELECT * EXCLUDE (station_name, latitude, longitude) FROM obs_days
-WHERE day + interval 1 day <= (SELECT max(local_ts) FROM obs WHERE reject_reason IS NULL) - interval 2 hours""",
-                               "obs_days", "obs"),
+SELECT * FROM obs_days""", "obs_days"),
     "streaming_upsert": sql(MERGE % "incoming_obs", "snapshot", "incoming_obs"),
 }

@@ -26,6 +26,7 @@ from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG
 from skyledger.session import scratch_dir, settle
+from skyledger.sources import tables
 from skyledger.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,7 +241,7 @@ def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def trend_sorted_top(spark: SparkSession, sf: str) -> DataFrame:
-    return curate.latest_trends(yearly_station(spark, sf), 20)
+    return curate.trend_order(yearly_station(spark, sf))
 
 
 # Accounting and checks
@@ -446,9 +447,13 @@ def earlier_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return publish.latest_per_key(documents)
 
 
-def next_documents(spark: SparkSession, sf: str) -> DataFrame:
+def handed_over(spark: SparkSession, sf: str) -> DataFrame:
     frames = [obs_daily(spark, sf), wide_rows.wide_to_daily(inputs.raw_wide(spark, sf))]
-    return publish.latest_per_key(publish.to_documents(curate.climate_daily(frames)))
+    return publish.to_documents(curate.climate_daily(frames))
+
+
+def next_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return publish.latest_per_key(handed_over(spark, sf))
 
 
 @query
@@ -458,7 +463,7 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def upsert_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return publish.upsert_counts(keyed_upsert(spark, sf))
+    return publish.upsert_counts(keyed_upsert(spark, sf), handed_over(spark, sf))
 
 
 # Streams
@@ -467,21 +472,38 @@ def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.observation_rows(landing.stream_parquet(spark, f"{sf}/events.parquet"))
 
 
+def days_like(spark: SparkSession, sf: str) -> DataFrame:
+    return observations.summarize_days(normalized_observations(spark, sf))
+
+
 @query
 def streaming_local_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The streamed summaries of all station-days; the same rows and columns as the batch query's."""
     folder = scratch_dir(spark, "streaming-local-day")
-    days = landing.stream_days(observations.normalize_observations(streamed_events(spark, sf)))
-    landing.land(days, f"{folder}/days", f"{folder}/checkpoint")
-    return spark.read.schema(days.schema).parquet(f"{folder}/days")
+    stream = observations.normalize_observations(streamed_events(spark, sf))
+    landing.stream_days(stream, folder, f"{folder}/checkpoint")
+    days = landing.read_days(spark, folder, days_like(spark, sf))
+    return days.select("*", "position.lat", "position.lon").drop("position").withColumnsRenamed(
+        {"lat": "latitude", "lon": "longitude"}
+    )
 
 
 @query
 def streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Observations landed by a stream, summarised and merged into the earlier snapshot."""
+    """Days of streamed observations published batch by batch into the earlier snapshot, and what became of it."""
     folder = scratch_dir(spark, "streaming-upsert")
-    stream = streamed_events(spark, sf)
-    landing.land(stream, f"{folder}/observations", f"{folder}/checkpoint")
-    landed = spark.read.schema(stream.schema).parquet(f"{folder}/observations")
-    daily = observations.observations_to_daily(landed, inputs.manifest(spark, sf))
-    documents = publish.latest_per_key(publish.to_documents(curate.with_calendar(daily)))
-    return publish.merge_snapshot(earlier_snapshot(spark, sf), documents)
+    snapshot, before = f"{folder}/snapshot", earlier_snapshot(spark, sf)
+    tables.publish_snapshot(spark, snapshot, before)
+    manifest = inputs.manifest(spark, sf)
+
+    def documents(days: DataFrame) -> DataFrame:
+        return publish.to_documents(curate.with_calendar(observations.enrich_days(days, manifest)))
+
+    stream = observations.normalize_observations(streamed_events(spark, sf))
+    landing.stream_days(
+        stream, folder, f"{folder}/checkpoint",
+        lambda days, number: tables.publish_snapshot(spark, snapshot, documents(days)),
+    )
+    streamed = documents(landing.read_days(spark, folder, days_like(spark, sf))).select(publish.KEY)
+    published = spark.read.schema(before.schema).parquet(snapshot).select(*before.columns)
+    return publish.merge_snapshot(before, published.join(streamed, publish.KEY, "left_semi"))

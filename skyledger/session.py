@@ -34,21 +34,38 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def runs_here(master: str) -> bool:
+    """Whether tasks run in the driver's process."""
+    return master == "local" or master.startswith("local[")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a finished job has staged, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A new folder path below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a local temporary folder is used.
+    Where that is unset, a local temporary folder is used if all tasks run in this very process, as
+    in tests; on a cluster it is an error, as executors would each write to their own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not runs_here(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         return tempfile.mkdtemp(prefix=f"{prefix}-")
     run = spark.sql("SELECT uuid()").first()[0]
     return f"{shared.rstrip('/')}/{prefix}-{run}"
 
 
-def settle(df: DataFrame, prefix: str) -> DataFrame:
-    """Writes a frame that a plan would otherwise compute many times, and reads it back."""
+def settle(df: DataFrame, prefix: str, path: str | None = None) -> DataFrame:
+    """Writes a frame that a plan would otherwise compute many times, and reads it back.
+
+    Below the shared scratch folder, or at ``path``.
+    """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark, prefix)}/table"
+    path = path or f"{scratch_dir(spark, prefix)}/table"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

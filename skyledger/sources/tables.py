@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from typing import Any
+import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.curate import publication_order
-from skyledger.operators.publish import latest_per_key, merge_snapshot, upsert_counts
+from skyledger.operators.publish import KEY, latest_per_key, merge_snapshot, upsert_counts
 from skyledger.schemas import FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
-from skyledger.session import settle
+from skyledger.session import remove_folder, settle
 from skyledger.sources.raw import optional
 
+#: As many touched partitions are named in the scan of a snapshot; beyond that it is read whole.
+NAMED_PARTITIONS = 2000
+
+
 def read_table(spark: SparkSession, path: str, schema: Mapping[str, str]) -> DataFrame:
     """A Parquet dataset in the schema's column order; partition columns keep its types."""
     return spark.read.schema(ddl(schema)).parquet(path).select(*schema)
@@ -83,12 +87,6 @@ def read_metrics(spark: SparkSession, root: str, source: str, run_date: str) ->
     return optional(lambda: spark.read.schema(ddl(RUN_METRICS)).json(path))
 
 
-def iterate_records(df: DataFrame, limit: int | None = None) -> Iterator[dict[str, Any]]:
-    """Rows as dicts, fetched one partition at a time."""
-    rows = df if limit is None else df.limit(limit)
-    return (row.asDict(recursive=True) for row in rows.toLocalIterator())
-
-
 def publish_snapshot(
     spark: SparkSession,
     path: str,
@@ -99,18 +97,44 @@ def publish_snapshot(
     """Merges documents into the snapshot at ``path`` and returns what was done, as counts.
 
     Only partitions with incoming documents are read and rewritten, so a document's key must fix
-    its partition. The merge result is written beside the snapshot first: the snapshot's files
-    are replaced only once it is whole, and counts need no second merge.
+    its partition. Their values, at most ``NAMED_PARTITIONS``, are named in the scan. The merge
+    result is written beside the snapshot first: the snapshot's files are replaced only once it is
+    whole, and counts need no second merge. What was staged is removed at the end.
     """
     incoming = latest_per_key(documents, order=order)
     existing = optional(lambda: spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns))
     if existing is None:
         existing = spark.createDataFrame([], incoming.schema)
     else:
-        touched = incoming.select(*[F.col(name).alias(f"new_{name}") for name in partition_by]).distinct()
-        same = [F.col(name).eqNullSafe(F.col(f"new_{name}")) for name in partition_by]
-        existing = existing.join(touched, same, "left_semi")
+        existing = existing.filter(touched_partitions(documents, partition_by))
 
-    staged = settle(merge_snapshot(existing, incoming), "snapshot")
+    beside = f"{path.rstrip('/')}_staged/{uuid.uuid4().hex}"
+    staged = settle(merge_snapshot(existing, incoming), "snapshot", beside)
     overwrite_partitions(staged.drop("action"), path, *partition_by)
-    return upsert_counts(staged)
+    counts = upsert_counts(staged, documents).first()
+    remove_folder(spark, beside)
+    return spark.createDataFrame([counts], "to_process bigint, upserted bigint, modified bigint, matched bigint")
+
+
+def touched_partitions(documents: DataFrame, partition_by: tuple[str, ...]) -> Column:
+    """A predicate of literals that holds for the partitions of the documents."""
+    found = documents.filter(F.col(KEY).isNotNull()).select(*partition_by).distinct().limit(NAMED_PARTITIONS + 1).collect()
+    if len(found) > NAMED_PARTITIONS:
+        return F.lit(True)
+    held = F.lit(False)
+    for row in found:
+        same = F.lit(True)
+        for name, value in zip(partition_by, row):
+            same = same & (F.col(name).isNull() if value is None else F.col(name) == F.lit(value))
+        held = held | same
+    return held
+
+
+def overwrite_source(df: DataFrame, path: str, source: str, ordered: bool = False) -> None:
+    """Replaces one source's part of a dataset partitioned by source and year, years that ``df`` lacks included."""
+    rows = df.filter(F.col("source") == source).drop("source")
+    rows = publication_order(rows.withColumn("source", F.lit(source))).drop("source") if ordered else rows.hint("rebalance", "year")
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year")
+        .parquet(f"{path}/source={source}")
+    )

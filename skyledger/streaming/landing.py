@@ -1,20 +1,20 @@
-"""Continuing with what has arrived since the last run, and summarising days as they close.
+"""Continuing with what has arrived since the last run, and summarising days as they grow.
 
 Streams read files, run once over everything available and stop; the checkpoint remembers which
-files are done. They write files, so that no callback into Python is needed per batch.
+files are done.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from skyledger.functions.values import round_aggregate
-from skyledger.operators.observations import CHECKS
+from skyledger.operators.observations import CHECKS, DAY_KEYS, summarize_days
 from skyledger.operators.validity import accepted
 
-LATENESS = "2 hours"
-
 
 def stream_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A stream over a Parquet dataset (a file or a folder), with the schema it has now."""
@@ -40,31 +40,48 @@ def land(stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str,
     query.awaitTermination()
 
 
-def stream_days(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Station-day summaries of a stream of normalised observations, each when its day has closed.
+def _numbered(df: DataFrame) -> StructType:
+    """The frame's schema with the number of the batch."""
+    return StructType([*df.schema.fields, StructField("batch", LongType())])
+
 
-    A day closes when an observation arrives that lies ``lateness`` past its end in local time;
-    observations later than that are dropped. State holds one row of partial results per open
-    station-day, built up within tasks first, so a busy station costs no more than a quiet one.
+def stream_days(
+    normalized: DataFrame, folder: str, checkpoint: str, publish: Callable[[DataFrame, int], None] | None = None
+) -> None:
+    """Station-day summaries of a stream of normalised observations, complete at any moment.
+
+    Each micro-batch adds its usable rows to ``folder/rows`` and computes every station-day it touches
+    anew from all rows of those days, so a day needs no closing and a late row is never lost: its day
+    simply comes out again. Days that had been summarised before are listed in ``folder/late``. Everything
+    is written under the batch's number and replaced when Spark repeats the batch. ``publish`` gets the
+    batch's days and its number, and must be repeatable too (a merge by key is).
     """
-    # Windows start at midnight UTC, so wall-clock time is put there, whatever the session's zone.
-    local = F.from_utc_timestamp(F.col("local_time").cast("timestamp"), F.current_timezone())
-    day = F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col("day_window.start")))
-    return (
-        accepted(normalized, CHECKS)
-        .withColumn("local_time", local)
-        .withWatermark("local_time", lateness)
-        .groupBy("station_id", "run_date", F.window("local_time", "1 day").alias("day_window"))
-        .agg(
-            F.count(F.lit(1)).alias("obs_count"),
-            round_aggregate(F.avg("temperature_c")).alias("avg_temp_c"),
-            F.min("temperature_c").alias("min_temp_c"),
-            F.max("temperature_c").alias("max_temp_c"),
-            round_aggregate(F.avg("wind_mps")).alias("avg_wind_mps"),
-            round_aggregate(F.max("wind_mps")).alias("max_wind_mps"),
-        )
-        .select(
-            "station_id", "run_date", day.alias("day"),
-            "obs_count", "avg_temp_c", "min_temp_c", "max_temp_c", "avg_wind_mps", "max_wind_mps",
-        )
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = f"{folder}/rows"
+        usable = accepted(batch, CHECKS)
+        usable.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{rows}/batch={number}")
+        landed = spark.read.schema(_numbered(usable)).option("basePath", rows).parquet(rows).filter(F.col("batch") <= number)
+        # The dates of one batch are few, and named in the scan; its stations may be many, and are joined.
+        dates = [row.day for row in landed.filter(F.col("batch") == number).select("day").distinct().collect()]
+        touched = landed.filter(F.col("batch") == number).select(*DAY_KEYS).distinct()
+        found = landed.filter(F.col("day").isin(dates)).join(touched, list(DAY_KEYS), "left_semi")
+        days = summarize_days(found.drop("batch"))
+        days.write.mode("overwrite").parquet(f"{folder}/days/batch={number}")
+        late = found.filter(F.col("batch") < number).select(*DAY_KEYS).distinct()
+        late.write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+        if publish is not None:
+            publish(spark.read.schema(days.schema).parquet(f"{folder}/days/batch={number}"), number)
+
+    query = (
+        normalized.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    query.awaitTermination()
+
+
+def read_days(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The newest summary of each station-day, in the columns of ``like``."""
+    path = f"{folder}/days"
+    days = spark.read.schema(_numbered(like)).option("basePath", path).parquet(path)
+    newest = days.groupBy(*DAY_KEYS).agg(F.max("batch").alias("batch"))
+    return days.join(newest, [*DAY_KEYS, "batch"], "left_semi").select(*like.columns)

@@ -248,9 +248,14 @@ def test_union_and_rollups(spark):
     }
     sources = {(r.source, r.year): (r.stations_covered, r.mean_station_temp_c) for r in curate.source_years(years).collect()}
     assert sources == {("noaa", 2024): (3, 3.5), ("noaa", 2023): (1, 9.0), ("nws", 2024): (1, 3.0)}
-    latest = curate.latest_trends(years, 2).collect()
+    latest = curate.trend_order(years).take(2)
     assert [(r.year, r.source, r.noaa_station_id) for r in latest] == [(2024, "noaa", None), (2024, "noaa", "A")]
     assert [r["rows"] for r in quality.duplicate_keys(daily).collect()] == []
     assert quality.duplicate_keys(daily.union(daily)).count() == 8
+    # The place of a station-year is one that its days state, not the least of each coordinate.
+    moved = curate.climate_daily([spark.createDataFrame([
+        day("noaa", "A", date(2024, 1, n + 1), 1.0, None, lat) for n, lat in enumerate((20.0, 10.0, None))
+    ], full).withColumn("longitude", F.when(F.col("latitude") == 10, 50.0).otherwise(30.0))])
+    assert [(r.latitude, r.longitude, r.days_covered) for r in curate.station_years(moved).collect()] == [(10.0, 50.0, 3)]
     with pytest.raises(ValueError):
         curate.unite([])

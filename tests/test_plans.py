@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from skyledger.plans import inputs, registry
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(name for name in contract.queries() if not name.startswith("streaming_"))
+BATCH = sorted(name for name in registry.QUERIES if not name.startswith("streaming_"))
 
 
 def plan(frame) -> str:

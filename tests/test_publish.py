@@ -48,7 +48,7 @@ def test_merge(spark):
     assert actions(merged) == {
         "A": ("kept", 1.0), "B": ("replaced", 2.5), "C": ("unchanged", None), "D": ("inserted", 4.0),
     }
-    assert tuple(publish.upsert_counts(merged).first()) == (3, 1, 1, 2)
+    assert tuple(publish.upsert_counts(merged, new.unionAll(new)).first()) == (6, 1, 1, 2)
     again = publish.merge_snapshot(merged.drop("action"), new)
     assert {a for a, _ in actions(again).values()} == {"kept", "unchanged"}
     assert again.drop("action").exceptAll(merged.drop("action")).count() == 0
@@ -67,6 +67,10 @@ def test_snapshot_on_disk(spark, tmp_path):
     }
     assert {p.name for p in (tmp_path / "snapshot" / "source=noaa" / "year=2023").iterdir()} == untouched
     assert tuple(tables.publish_snapshot(spark, path, second).first()) == (3, 0, 0, 3)
+    assert not list((tmp_path / "snapshot_staged").iterdir())
+    named = spark.read.parquet(path).filter(tables.touched_partitions(second, ("source", "year")))
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "2024" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
 
 
 def test_publish_batches_on_executors(spark, tmp_path):
@@ -84,9 +88,3 @@ def test_publish_batches_on_executors(spark, tmp_path):
     batches = [json.loads(p.read_text()) for p in tmp_path.iterdir()]
     assert sorted(map(int, sum(batches, []))) == [i for i in range(25) if i != 3]
     assert max(map(len, batches)) <= 10
-
-
-def test_records(spark):
-    frame = spark.range(3).select("id", F.struct(F.lit(1).alias("a")).alias("s"))
-    assert list(tables.iterate_records(frame.orderBy("id"), 2)) == [{"id": 0, "s": {"a": 1}}, {"id": 1, "s": {"a": 1}}]
-    assert len(list(tables.iterate_records(frame))) == 3

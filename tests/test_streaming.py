@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from skyledger.operators import observations
@@ -24,43 +22,54 @@ def observed(spark, path, *rows):
     frame.coalesce(1).write.mode("append").parquet(str(path))
 
 
-def days(spark, tmp_path):
+def run_stream(spark, tmp_path, checkpoint="checkpoint", publish=None):
     stream = landing.stream_parquet(spark, str(tmp_path / "in"))
-    summary = landing.stream_days(observations.normalize_observations(stream))
-    landing.land(summary, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    out = spark.read.schema(summary.schema).parquet(str(tmp_path / "out"))
+    landing.stream_days(observations.normalize_observations(stream), str(tmp_path / "out"), str(tmp_path / checkpoint), publish)
+
+
+def days(spark, tmp_path):
+    run_stream(spark, tmp_path)
+    like = observations.summarize_days(observations.normalize_observations(spark.read.parquet(str(tmp_path / "in"))))
+    out = landing.read_days(spark, str(tmp_path / "out"), like)
     return sorted((r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in out.collect())
 
 
-def test_days_come_out_when_they_close(spark, tmp_path):
+def test_days_grow_and_late_rows_count(spark, tmp_path):
     observed(spark, tmp_path / "in", ("K1", "02T12:00:00", 1.0), ("K1", "02T13:00:00", 2.0), ("K2", "03T04:30:00", 5.0))
-    assert days(spark, tmp_path) == []
-    # The second of January closes in New York at 05:00Z; two hours more are waited for.
-    observed(spark, tmp_path / "in", ("K1", "03T06:00:00", 9.0), ("K1", "02T14:00:00", 6.0))
-    assert days(spark, tmp_path) == []
-    observed(spark, tmp_path / "in", ("K2", "03T07:30:00", 9.0))
-    assert days(spark, tmp_path) == [("K1", 2, 3, 3.0), ("K2", 2, 1, 5.0)]
-    # What arrives for a closed day is dropped; nothing comes out twice.
-    observed(spark, tmp_path / "in", ("K1", "02T15:00:00", 100.0), ("K2", "04T12:00:00", 1.0))
-    assert days(spark, tmp_path) == [("K1", 2, 3, 3.0), ("K1", 3, 1, 9.0), ("K2", 2, 1, 5.0), ("K2", 3, 1, 9.0)]
+    assert days(spark, tmp_path) == [("K1", 2, 2, 1.5), ("K2", 2, 1, 5.0)]
+    observed(spark, tmp_path / "in", ("K2", "05T07:30:00", 9.0))
+    # Long after, rows of an earlier day arrive: the day comes out again, and is listed.
+    observed(spark, tmp_path / "in", ("K1", "02T15:00:00", 6.0), ("K2", "04T12:00:00", 1.0))
+    assert days(spark, tmp_path) == [("K1", 2, 3, 3.0), ("K2", 2, 1, 5.0), ("K2", 4, 1, 1.0), ("K2", 5, 1, 9.0)]
+    late = spark.read.option("basePath", str(tmp_path / "out" / "late")).parquet(str(tmp_path / "out" / "late"))
+    assert [(r.station_id, r.day.day) for r in late.collect()] == [("K1", 2)]
+
+
+def test_repeated_batches_change_nothing(spark, tmp_path):
+    observed(spark, tmp_path / "in", ("K1", "02T12:00:00", 1.0), ("K2", "03T04:30:00", 5.0))
+    seen = []
+    run_stream(spark, tmp_path, publish=lambda batch, number: seen.append((number, batch.count())))
+    before = days(spark, tmp_path)
+    # Without its checkpoint a stream begins again at batch 0 and meets what it wrote.
+    run_stream(spark, tmp_path, "lost", lambda batch, number: seen.append((number, batch.count())))
+    assert seen == [(0, 2), (0, 2)] and days(spark, tmp_path) == before
 
 
 def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
         observed(spark, tmp_path / "in", ("K1", "02T04:30:00", 1.0), ("K1", "02T05:30:00", 2.0), ("K1", "04T05:30:00", 2.0))
-        assert days(spark, tmp_path) == [("K1", 1, 1, 1.0), ("K1", 2, 1, 2.0)]
+        assert days(spark, tmp_path) == [("K1", 1, 1, 1.0), ("K1", 2, 1, 2.0), ("K1", 4, 1, 2.0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_closed_days_equal_the_batch_result(spark, tmp_path):
+def test_streamed_days_equal_the_batch_result(spark, tmp_path):
     rows = [(f"K{i % 7}", f"{1 + i // 24:02}T{i % 24:02}:10:00", float(i % 13)) for i in range(240)]
     observed(spark, tmp_path / "in", *rows)
     streamed = days(spark, tmp_path)
     batch = observations.summarize_days(observations.normalize_observations(spark.read.parquet(str(tmp_path / "in"))))
-    closed = batch.filter(F.col("day") < date(2024, 1, 10)).collect()
-    assert streamed == sorted((r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in closed)
+    assert streamed == sorted((r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in batch.collect())
 
 
 def test_new_files_are_landed_once(spark, tmp_path):
