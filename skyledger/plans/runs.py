@@ -16,14 +16,23 @@ from pyspark.sql.types import StructType
 from skyledger.functions.values import station_code
 from skyledger.operators import curate, incremental, long_rows, observations, publish, stations, wide_rows
 from skyledger.operators.quality import (
-    all_or_nothing,
     bad_stations,
     metrics_summary,
     require_some_success,
 )
 from skyledger.operators.validity import rejected, require_usable
-from skyledger.schemas import CLIMATE_DAILY, DAILY, PROCESSED_DATASETS, RUN_METRICS, SOURCE_YEAR, STATION_YEAR, conform
-from skyledger.session import settle
+from skyledger.schemas import (
+    CLIMATE_DAILY,
+    DAILY,
+    PROCESSED_DATASETS,
+    REQUIRED_LONG,
+    REQUIRED_WIDE,
+    RUN_METRICS,
+    SOURCE_YEAR,
+    STATION_YEAR,
+    conform,
+)
+from skyledger.session import remove_folder, settle
 from skyledger.sources import raw, tables
 
 SOURCES = ("nws", "noaa", "meteostat")
@@ -98,12 +107,14 @@ def _failed(manifest: DataFrame, source: str, run_date: str, start: date, end: d
 
 def land_long(
     spark: SparkSession, zones: Zones, files: str, manifest: DataFrame, start: date, end: date, run_date: str,
-    on_error: str = "reject",
+    on_error: str = "reject", offset: int = 0, limit: int | None = None,
 ) -> int:
     """Writes a run's raw long rows from by-station files; returns the number of failed stations.
 
-    A manifest station fails if the files have no line of it.
+    Only enabled manifest stations are landed, of these the slice asked for. A station fails if the
+    files have no line of it.
     """
+    manifest = stations.slice_manifest(manifest, offset, limit)
     lines = raw.read_ghcn_lines(spark, files)
     listed = manifest.filter(F.col("noaa_station_id") != "")
     found = lines.select(station_code(F.col("station_id")).alias("code")).distinct()
@@ -120,32 +131,40 @@ def land_long(
 
 def land_wide(
     spark: SparkSession, zones: Zones, catalog_file: str, files: str, manifest: DataFrame, start: date, end: date,
-    run_date: str, on_error: str = "reject", resume: bool = True,
+    run_date: str, on_error: str = "reject", resume: bool = True, offset: int = 0, limit: int | None = None,
 ) -> int:
     """Writes a run's raw wide rows from a catalogue and station-year files; returns failed stations.
 
-    Stations that have rows in the run already are passed over, unless ``resume`` is off; then
-    the run is written anew. A station fails if it cannot be resolved, or if one of its files has
+    Only enabled manifest stations are landed, of these the slice asked for. Stations that have rows
+    in the run already are passed over, unless ``resume`` is off; then the run and the ledger of
+    failures are written anew. A station fails if it cannot be resolved, or if one of its files has
     an unreadable date: then none of its rows are written.
     """
     source = wide_rows.SOURCE
+    manifest = stations.slice_manifest(manifest, offset, limit)
+    if not resume:
+        remove_folder(spark, zones.failures(source))
     landed = raw.optional(lambda: raw.read_wide(spark, zones.raw(source), run_date)) if resume else None
     pending = manifest if landed is None else incremental.pending_stations(manifest, landed)
     catalog = settle(stations.flatten_catalog(raw.read_catalog(spark, catalog_file)), "catalog")
-    resolved = settle(stations.resolve_stations(pending, catalog, start), "resolved")
-    unresolved = stations.resolution_failures(pending, catalog, start, end, run_date)
+    # One search serves the resolved stations and the failures.
+    matched = settle(stations.match_stations(pending, catalog, start), "matched")
+    resolved = settle(stations.resolved_rows(matched, catalog), "resolved")
+    unresolved = stations.failure_rows(matched, start, end, run_date)
 
+    # The files are read and parsed once; ledger, check and rows use what was parsed.
     lines = raw.read_station_years(spark, files, start, end)
-    dated = wide_rows.dated_rows(lines).join(
+    dated = settle(wide_rows.dated_rows(lines).join(
         resolved.select("meteostat_station_id").distinct(), "meteostat_station_id", "left_semi"
-    )
+    ), "dated")
     unreadable = F.col("date_status") == "bad"
-    broken = resolved.join(bad_stations(dated, "meteostat_station_id", unreadable), "meteostat_station_id", "left_semi")
+    bad = settle(bad_stations(dated, "meteostat_station_id", unreadable), "bad-stations")
+    broken = resolved.join(bad, "meteostat_station_id", "left_semi")
     failed = _record_failures(
         unresolved.unionByName(_failed(broken, source, run_date, start, end, "unreadable date in a file of %s")),
         zones, source, on_error,
     )
-    whole = all_or_nothing(dated, "meteostat_station_id", unreadable)
+    whole = dated.join(bad, "meteostat_station_id", "left_anti")
     rows = wide_rows.station_year_rows(whole, resolved, start, end, run_date)
     tables.write_json_lines(
         rows.drop("run_date"), f"{zones.raw(source)}/run_date={run_date}", "append" if resume else "overwrite"
@@ -164,17 +183,20 @@ def process_source(
     ``ordered`` lays the daily rows out in published order. The curated dataset is laid out so
     in any case, and reads the daily rows whole, so the shuffle is seldom worth while here.
     """
+    landed = f"{zones.raw(source)}/run_date={run_date}"
     if source == "noaa":
+        raw.check_fields(spark, landed, raw.LONG_FILE, [name for name in REQUIRED_LONG if name != "run_date"])
         rows = raw.read_long(spark, zones.raw(source), run_date)
         normalized, checks = long_rows.normalize_long(rows), long_rows.CHECKS
         daily = long_rows.normalized_to_daily
     elif source == "nws":
-        rows = observations.explode_features(raw.read_payloads(spark, zones.raw(source), run_date))
+        rows = observations.explode_features(listed_payloads(raw.read_payloads(spark, zones.raw(source), run_date), manifest))
         normalized, checks = observations.normalize_observations(rows), observations.CHECKS
 
         def daily(normalized: DataFrame) -> DataFrame:
             return observations.enrich_days(observations.summarize_days(normalized), manifest)
     else:
+        raw.check_fields(spark, landed, raw.WIDE_FILE, [name for name in REQUIRED_WIDE if name != "run_date"])
         rows = raw.read_wide(spark, zones.raw(source), run_date)
         normalized, checks = wide_rows.normalize_wide(rows), wide_rows.CHECKS
         daily = wide_rows.normalized_to_daily
@@ -189,6 +211,13 @@ def process_source(
     return tables.read_metrics(spark, zones.processed, source, run_date)
 
 
+def listed_payloads(payloads: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Payloads without those in the folder of a station that the manifest no longer lists."""
+    placed = payloads.withColumn("station", F.regexp_extract("path", "/station=([^/]+)/", 1))
+    stale = incremental.stale_stations(placed.filter(F.col("station") != ""), manifest)
+    return placed.join(stale, "station", "left_anti").drop("station")
+
+
 def committed_metrics(
     spark: SparkSession, zones: Zones, source: str, run_date: str, reject_schema: StructType
 ) -> DataFrame:
@@ -217,17 +246,21 @@ def committed_metrics(
 def curate_sources(spark: SparkSession, zones: Zones, sources: list[str], run_date: str | None = None) -> None:
     """Unites processed sources and rolls them up to station-years and source-years.
 
-    Each rollup reads what the step before has written, so nothing is computed twice. With
-    several runs processed, ``run_date`` takes one of them.
+    A source's rows replace all it had, years that the run no longer has included; sources that are not
+    asked for stay. Each rollup reads what the step before has written, so nothing is computed twice.
+    With several runs processed, ``run_date`` takes one of them.
     """
-    frames = tables.read_existing(spark, zones.processed, sources, DAILY)
-    if run_date is not None:
-        frames = [frame.filter(F.col("ingest_run_date") == run_date) for frame in frames]
     daily_path, trend_path = zones.curated("climate_daily"), zones.curated("climate_trends")
-    tables.overwrite_partitions(curate.climate_daily(frames), daily_path, "source", "year", ordered=True)
-
-    daily = tables.read_table(spark, daily_path, CLIMATE_DAILY)
-    tables.overwrite_partitions(curate.station_years(daily), trend_path, "source", "year")
+    tables.read_existing(spark, zones.processed, sources, DAILY)  # an error if there is none
+    for source in sources:
+        frame = raw.optional(lambda: tables.read_table(spark, zones.daily(source), DAILY))
+        if frame is None:
+            continue
+        if run_date is not None:
+            frame = frame.filter(F.col("ingest_run_date") == run_date)
+        tables.overwrite_source(curate.climate_daily([frame]), daily_path, source, ordered=True)
+        own = tables.read_table(spark, daily_path, CLIMATE_DAILY).filter(F.col("source") == source)
+        tables.overwrite_source(curate.station_years(own), trend_path, source)
 
     trends = tables.read_table(spark, trend_path, STATION_YEAR)
     summary = conform(curate.source_years(trends), SOURCE_YEAR)

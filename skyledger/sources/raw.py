@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.functions.values import whole_number
 from skyledger.schemas import (
@@ -55,10 +58,12 @@ def _json_lines(
         spark.read.schema(ddl(fields))
         .option("pathGlobFilter", f"{{{file_name},{ANY_PART}}}")
         .option("columnNameOfCorruptRecord", "malformed")
-        .json(root)
+        .option("basePath", root)
+        # Only the run's own folder is listed.
+        .json(root if run_date is None else f"{root}/run_date={run_date}")
         .select(*fields)
     )
-    return rows if run_date is None else rows.filter(F.col("run_date") == run_date)
+    return rows
 
 
 def read_long(spark: SparkSession, root: str, run_date: str | None = None, malformed: bool = False) -> DataFrame:
@@ -130,38 +135,59 @@ def read_ghcn_lines(spark: SparkSession, path: str) -> DataFrame:
     return fields.select(*[F.col("fields")[i].alias(name) for i, name in enumerate(GHCN_FIELDS)])
 
 
+def station_year_headers(lines: DataFrame) -> DataFrame:
+    """(path, header): the first line of each file, whatever it says.
+
+    Lines of a compressed file come from one task in their order, and splits of a plain file in theirs,
+    so the least (start of the split, place in the task) is the first line. One row a file is combined in each task.
+    """
+    first = F.min(F.struct("start", "place", "value")).alias("first")
+    return lines.groupBy("path").agg(first).select("path", F.col("first.value").alias("header"))
+
+
 def read_station_years(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
     """Lines of the station-year files ``root/<year>/<station>.csv.gz`` of a window's years.
 
-    Years without files are passed over. The station is named by the file, the fields by its own
-    header. Files may differ in their columns, so every line is joined with the header of its file.
+    Years without files are passed over. The station is named by the file, the fields by the file's
+    first line, quoted or not. Files are read layout by layout: those with one header are parsed
+    together by Spark's CSV reader, so no line is joined with its header. A file without any known
+    field gives rows of nulls, whose date counts as missing; nothing is dropped here.
     """
     years = ",".join(str(year) for year in range(start.year, end.year + 1))
-    lines = spark.read.text(f"{root}/{{{years}}}/*.csv*").select(
-        F.col("_metadata.file_path").alias("path"), F.split("value", ",").alias("fields")
-    )
-    is_header = F.lower(F.col("fields")[0]).isin("date", "time", "year", "station")
-    headers = (
-        lines.filter(is_header)
-        .select("path", F.transform("fields", lambda name: F.lower(F.trim(name))).alias("header"))
-        .distinct()
-    )
-
-    def field(name: str) -> Column:
-        place = F.array_position("header", name).cast("int")
-        return F.when(place > 0, F.get("fields", place - 1)).alias(name)
-
-    station = F.regexp_extract("path", r"([^/]+)\.csv(\.gz)?$", 1)
-    return (
-        lines.filter(~is_header)
-        .join(headers, "path")
-        .select(station.alias("meteostat_station_id"), *[field(name) for name in STATION_YEAR_FIELDS])
+    pattern = f"{root}/{{{years}}}/*.csv*"
+    lines = spark.read.text(pattern).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value",
     )
+    # Names of files, which the driver lists for any scan, and their headers: a few layouts.
+    layouts: dict[str, list[str]] = {}
+    for row in station_year_headers(lines).toLocalIterator():
+        layouts.setdefault(row.header, []).append(row.path)
+    station = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(\.gz)?$", 1).alias("meteostat_station_id")
+    frames = []
+    for header, paths in layouts.items():
+        names = [name.strip().lower() for name in next(csv.reader([header]), [])]
+        columns = StructType([StructField(f"c{i}", StringType()) for i in range(max(1, len(names)))])
+        rows = spark.read.schema(columns).option("header", True).option("enforceSchema", True).csv(paths)
+        fields = [
+            (F.col(f"c{names.index(name)}") if name in names else F.lit(None).cast("string")).alias(name)
+            for name in STATION_YEAR_FIELDS
+        ]
+        frames.append(rows.select(station, *fields))
+    if not frames:
+        empty = ", ".join(f"{name} string" for name in ("meteostat_station_id", *STATION_YEAR_FIELDS))
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue stations with their position in the file."""
+    """Catalogue stations with their position in the file, of which there must be one.
+
+    A multi-line document is read by one task in its order; several files have no order among them.
+    """
     stations = spark.read.schema(ddl(CATALOG)).option("multiLine", True).json(path)
+    if len(files := stations.inputFiles()) > 1:
+        raise ValueError(f"a catalogue is one file, found {len(files)} at {path}")
     return stations.select(F.monotonically_increasing_id().alias("position"), *CATALOG)
 
 
