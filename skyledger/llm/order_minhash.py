@@ -3,8 +3,9 @@
 Texts are lower-cased words. For each of ``BANDS`` hash functions the ``PICKED`` least hashes of the
 text's occurrence-labelled runs of five words are kept in text order and hashed into one key (Marçais
 et al., 2019): equal keys need the same runs in the same order. Two texts whose labelled runs have
-Jaccard similarity 0.8 and one order agree in a key with probability about 0.51, so some key of 24
-agrees but for 4 in 10^8; at 0.7 but for 4 in 10^5.
+Jaccard similarity 0.8 and one order agree in a key with probability about 0.26, so some key of 56
+agrees but for 4 in 10^8; at 0.7 but for 9 in 10^4. Texts that only share a passage seldom agree: at 0.3
+one pair in 25 has a common key.
 
 A candidate is a near duplicate if its edit similarity, 1 - word edits / longer length, is at least
 ``SIMILARITY`` (0.8), decided by alignment in a band that is widened until the answer is certain.
@@ -13,7 +14,8 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
 * In each bucket of equal keys every class is compared with the bucket's leader, the class with the most
   bucket mates, not with every other. Links give components; a class that its bucket's leader did not
   draw in is then compared with all classes of the bucket that are in other components. So every pair of
-  a bucket is compared or already in one component.
+  a bucket is compared or already in one component. Lengths that differ by more than the similarity allows
+  need no alignment, and such pairs are not formed.
 * Components by alternating large and small stars on edges; nothing is collected. Buckets, classes and
   stars of any size are rows of joins that Spark may split.
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import (
@@ -38,8 +40,8 @@ from skyledger.llm.common import (
 )
 
 SHINGLE = 5
-PICKED = 3
-BANDS = 24
+PICKED = 6
+BANDS = 56
 SIMILARITY = 0.8
 _BLOCK = 1 << 20
 
@@ -173,22 +175,24 @@ def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILAR
 
 def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED) -> DataFrame:
     """doc_id, 128-bit hash of the text (h1, h2) and its keys; one scan, no shuffle."""
-    schema = "doc_id long, h1 long, h2 long, keys array<long>"
+    schema = "doc_id long, h1 long, h2 long, words int, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
         for batch in batches:
             texts = texts_of(batch)
             digests = [xxhash.xxh3_128_intdigest(text) for text in texts]
-            keys = [sketch(codes.array(text.translate(WORD_BYTES).split()), bands, picked) for text in texts]
+            found = [codes.array(text.translate(WORD_BYTES).split()) for text in texts]
+            keys = [sketch(own, bands, picked) for own in found]
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
                 column_of(batch, "doc_id"),
                 as_long(np.array([d >> 64 for d in digests], np.uint64)),
                 as_long(np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], np.uint64)),
+                pa.array([len(own) for own in found], pa.int32()),
                 pa.ListArray.from_arrays(pa.array(ends), as_long(values)),
-            ], ["doc_id", "h1", "h2", "keys"])
+            ], ["doc_id", "h1", "h2", "words", "keys"])
 
     return ids_and_texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, schema)
 
@@ -259,23 +263,27 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, class_id (least id with the same text), group_id (least id of its
     near duplicates), n_links (confirmed links of its class), kept (it is the document that stays)."""
+    def comparable(one: str, other: str) -> Column:
+        """Lengths whose difference alone does not rule out the similarity."""
+        return F.least(one, other) >= F.lit(similarity) * F.greatest(one, other) - 1e-6
+
     rows = settle(sketches(docs, bands, picked), "omh-sketches")
     classes = settle(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id")), "omh-classes")
     c = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "class_id")
     nodes = rows.join(c, (F.col("doc_id") == F.col("class_id")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
-    keyed = nodes.select(F.explode("keys").alias("key"), F.col("class_id").alias("node"))
+    keyed = nodes.select(F.explode("keys").alias("key"), F.col("class_id").alias("node"), "words")
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
     members = settle(keyed.join(buckets, "key").distinct(), "omh-members")
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
     ranked = members.join(degrees, "node")
     leaders = settle(
-        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("top"))
-        .select("key", (-F.col("top.minus")).alias("leader")),
+        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "words")).alias("top"))
+        .select("key", (-F.col("top.minus")).alias("leader"), F.col("top.words").alias("leader_words")),
         "omh-leaders",
     )
     codes = settle(token_codes(docs, hash_filter(members.select(F.col("node").alias("value")).distinct())), "omh-codes")
     led = members.join(leaders, "key").where("node <> leader")
-    first = led.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    first = led.where(comparable("words", "leader_words")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
     found = settle(verified(first, codes, similarity), "omh-links")
     held = settle(components(found), "omh-components")
 
@@ -285,11 +293,18 @@ def near_duplicates(
 
     # What the leader did not draw in meets the rest of its bucket, unless they are in one component.
     placed = settle(rooted(rooted(led, "node", "root"), "leader", "leader_root"), "omh-placed")
-    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    rest = placed.select("key", F.col("node").alias("y"), F.col("root").alias("y_root"), (F.col("root") != F.col("leader_root")).alias("y_apart"))
+    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("words").alias("x_words"))
+    rest = placed.select(
+        "key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("words").alias("y_words"),
+        (F.col("root") != F.col("leader_root")).alias("y_apart"),
+    )
+    x, y = apart.withColumnRenamed("key", "x_key"), rest
+    meet = (
+        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("y_root")) & comparable("x_words", "y_words")
+        & (~F.col("y_apart") | (F.col("x") < F.col("y")))
+    )
     second = (
-        apart.join(rest, "key").where("x_root <> y_root AND (NOT y_apart OR x < y)")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+        x.join(y, meet).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         .join(first, ["a", "b"], "left_anti")
     )
     links = settle(found.unionByName(verified(second, codes, similarity)), "omh-all-links")
