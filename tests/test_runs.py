@@ -8,9 +8,9 @@ import pytest
 from skyledger.operators import incremental
 from skyledger.operators.quality import AllStationsFailedError
 from skyledger.plans import runs
-from skyledger.schemas import CLIMATE_DAILY, SOURCE_YEAR, STATION_YEAR
+from skyledger.schemas import CLIMATE_DAILY, DAILY, SOURCE_YEAR, STATION_YEAR, MissingColumnsError
 from skyledger.sources import raw, tables
-from test_sources import lines, payload, put
+from test_sources import LONG, lines, payload, put
 
 MANIFEST = (
     "noaa_station_id,station_name,state,country,ingest_enabled,priority_rank,latitude,longitude,nws_station_id,"
@@ -116,7 +116,7 @@ def test_raw_observations_are_published_once(spark, landing):
 def test_rejects_are_kept_with_their_reason(spark, landing):
     zones = runs.Zones(str(landing / "zones"))
     put(landing / "zones" / "raw" / "noaa" / f"run_date={RUN}" / raw.LONG_FILE,
-        lines({"noaa_station_id": "G:1", "date": "x", "datatype": "TMAX"}, "{broken", {"noaa_station_id": "G:1", "date": "2024-01-01", "datatype": "TMAX", "value": 1}))
+        lines(LONG | {"date": "x"}, "{broken", LONG | {"value": 1}))
     manifest = raw.read_manifest(spark, str(landing / "manifest.csv"))
     metrics = runs.process_source(spark, zones, "noaa", RUN, manifest)
     assert tuple(metrics.first())[2:] == (3, 2, 1, 1, 0)
@@ -124,3 +124,49 @@ def test_rejects_are_kept_with_their_reason(spark, landing):
     assert sorted(r.reject_reason for r in rejects.collect()) == ["bad_date", "missing_station"]
     with pytest.raises(Exception, match="unusable row"):
         runs.process_source(spark, zones, "noaa", RUN, manifest, on_error="fail")
+
+
+def test_only_enabled_stations_are_landed(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    put(landing / "manifest.csv", MANIFEST.replace("GHCND:U1,One,AL,US,TRUE", "GHCND:U1,One,AL,US,FALSE"))
+    manifest = raw.read_manifest(spark, str(landing / "manifest.csv"))
+    assert runs.land_long(spark, zones, str(landing / "ghcn" / "*.gz"), manifest, START, END, RUN) == 1
+    assert {r.noaa_station_id for r in raw.read_long(spark, zones.raw("noaa"), RUN).collect()} == {"GHCND:U2"}
+
+
+def test_a_field_that_no_line_states_ends_the_run(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    put(landing / "zones" / "raw" / "noaa" / f"run_date={RUN}" / raw.LONG_FILE, lines({k: v for k, v in LONG.items() if k != "value"}))
+    with pytest.raises(MissingColumnsError, match="value"):
+        runs.process_source(spark, zones, "noaa", RUN, raw.read_manifest(spark, str(landing / "manifest.csv")))
+
+
+def test_payloads_of_stations_off_the_manifest_are_left_out(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    put(landing / "zones" / "raw" / "nws" / f"run_date={RUN}" / "station=K8" / raw.OBSERVATION_FILE, payload("K8"))
+    runs.process_source(spark, zones, "nws", RUN, raw.read_manifest(spark, str(landing / "manifest.csv")))
+    daily = tables.read_table(spark, zones.daily("nws"), DAILY)
+    assert {r.source_station_id for r in daily.collect()} == {"K1", "K9"}
+
+
+def test_ledger_begins_anew_without_resume(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    land(spark, landing, zones)
+    land(spark, landing, zones, resume=False)
+    assert tables.read_failures(spark, zones.failures("meteostat")).count() == 2
+
+
+def test_years_that_a_run_lost_leave_the_curated_data(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    land(spark, landing, zones)
+    manifest = str(landing / "manifest.csv")
+    runs.run(spark, zones.root, RUN, manifest)
+    # A later window: the line of 2023 is no longer there.
+    put(landing / "ghcn" / "U1.csv.gz", "U1,20240101,TMAX,120,,,W,\n")
+    runs.land_long(spark, zones, str(landing / "ghcn" / "*.gz"), raw.read_manifest(spark, manifest), START, END, RUN)
+    runs.run(spark, zones.root, RUN, manifest, ["noaa"])
+    daily = tables.read_table(spark, zones.curated("climate_daily"), CLIMATE_DAILY)
+    years = {(r.source, r.year) for r in daily.select("source", "year").collect()}
+    assert years == {("noaa", 2024), ("meteostat", 2023), ("meteostat", 2024), ("nws", 2024)}
+    trends = tables.read_table(spark, zones.curated("climate_trends"), STATION_YEAR)
+    assert {(r.source, r.year) for r in trends.select("source", "year").collect()} == years

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import observations, stations, wide_rows
 from skyledger.schemas import DAILY, MANIFEST, RAW_LONG, RAW_WIDE, MissingColumnsError, ddl
+from skyledger.session import scratch_dir
 from skyledger.sources import raw, tables
 
 
@@ -39,8 +40,7 @@ def test_long_lines_by_run_date(spark, tmp_path):
     assert {(r.run_date, r.value) for r in one.collect()} == {("2024-01-02", 3.0), ("2024-01-02", None)}
     broken = raw.read_long(spark, root, malformed=True).filter(F.col("malformed").isNotNull())
     assert {r.malformed for r in broken.collect()} == {"{broken"}
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_date" in plan
+    assert all("run_date=2024-01-02" in name for name in one.inputFiles())
     assert raw.optional(lambda: raw.read_long(spark, root + "/none")) is None
 
 
@@ -111,6 +111,43 @@ def test_station_year_files_with_different_headers(spark, tmp_path):
     ]
 
 
+def test_station_year_headers_are_first_lines(spark, tmp_path):
+    put(tmp_path / "2024" / "A.csv.gz", "temp,date\n1.5,2024-01-01\n")
+    put(tmp_path / "2024" / "B.csv.gz", '"date","temp"\n"2024-01-01","2,5"\n2024-01-02,3\n')
+    put(tmp_path / "2024" / "C.csv.gz", "humidity,temp\n50,7\n")
+    put(tmp_path / "2024" / "D.csv.gz", "")
+    rows = raw.read_station_years(spark, str(tmp_path), date(2024, 1, 1), date(2024, 12, 31))
+    got = sorted((r.meteostat_station_id, r.date or "", r.temp) for r in rows.collect())
+    # A file without a date keeps its rows; their date is missing.
+    assert got == [("A", "2024-01-01", "1.5"), ("B", "2024-01-01", "2,5"), ("B", "2024-01-02", "3"), ("C", "", "7")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_a_catalogue_is_one_file(spark, tmp_path):
+    put(tmp_path / "c" / "a.json", "[]")
+    put(tmp_path / "c" / "b.json", "[]")
+    with pytest.raises(ValueError, match="one file"):
+        raw.read_catalog(spark, str(tmp_path / "c"))
+
+
+def test_scratch_is_shared_or_refused():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})()
+
+    assert scratch_dir(Session("local[4]"), "x")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_dir(Session(master), "x")
+
+
 def test_catalog(spark, tmp_path):
     put(tmp_path / "lite.json.gz", json.dumps([
         {"id": "M1", "name": {"en": "One", "de": "Eins"}, "country": "US", "region": "AL", "identifiers": {"national": "U1", "icao": None},
