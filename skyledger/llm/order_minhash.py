@@ -239,7 +239,7 @@ def verified(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for all nodes of undirected links (a, b); the root is the least node it reaches."""
+    """(node, root) for nodes of undirected links (a, b) that are no roots; the root is the least node reached."""
     edges = settle(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars"
     )
