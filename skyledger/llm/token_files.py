@@ -21,6 +21,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,10 @@ from skyledger.llm.common import column_of, ids_and_texts, open_shared, publish_
 MAGIC = b"RANKVB01"
 END_ID = 0
 BLOCK_TOKENS = 1 << 21
+#: How byte-level vocabularies write a space.
+_SPACE = "\u0120"
 #: Remembered pieces; only time depends on it.
-PIECES = 400_000
+PIECES = 800_000
 
 _LENGTHS = np.array([[(control >> (2 * i) & 3) + 1 for i in range(4)] for control in range(256)], np.uint8)
 
@@ -98,81 +101,132 @@ def read_blocks(source: pa.NativeFile) -> Iterator[tuple[list[int | None], np.nd
         yield names, counts, ids[decode_ranks(control, data, tokens)]
 
 
+class _Whole(Exception):
+    """A piece that cannot be encoded apart from its neighbours."""
+
+
 class Pieces:
     """Texts to ids through pieces between single spaces.
 
     A byte-level tokenizer cuts before every space between two other characters, so such pieces are
-    encoded alone and remembered. Texts with other runs of spaces, or with the text of a special token,
-    are encoded whole.
+    encoded alone and remembered; likewise between letters and one closing mark. Texts with other runs of
+    spaces, or with the text of a special token, are encoded whole. Pieces are checked when first seen.
     """
 
-    _RUNS = re.compile(r" \s|\s ")
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaces = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaces[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
+        self.spaced = [text for text in special if " " in text]
         self.reset()
 
     def reset(self) -> None:
-        self.heads, self.tails, self.waiting = _Places(self, ""), _Places(self, " "), []
+        self.heads, self.tails, self.waiting, self.joined = _Places(self, ""), _Places(self, " "), [], []
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ids, self.filled, self.used = np.zeros(1 << 18, np.uint32), 1, 1
+        self.ids, self.used = np.zeros(1 << 18, np.uint32), 1
         self.ids[0], self.lengths[0], self.next = END_ID, 1, 1  # piece 0 is the end id
 
     def place(self, text: str) -> int:
-        self.waiting.append(text)
+        self.waiting.append((self.next, text))
+        self.next += 1
+        return self.next - 1
+
+    def join(self, first: int, second: int) -> int:
+        """A piece of two others, whose ids are written one after the other."""
+        self.joined.append((self.next, first, second))
         self.next += 1
         return self.next - 1
 
     def places(self, text: str) -> list[int]:
         if not text:
             return [0]
-        pieces = text.split(" ")
-        if not pieces[0] or not pieces[-1] or self._RUNS.search(text) or any(s in text for s in self.special):
-            return [self.place(text), 0]
-        tails = self.tails
-        return [self.heads[pieces[0]], *[tails[piece] for piece in pieces[1:]], 0]
+        head, *rest = text.split(" ")
+        try:
+            if self.spaced and any(special in text for special in self.spaced):
+                raise _Whole
+            out = [self.heads[head]]
+            out.extend(map(self.tails.__getitem__, rest))
+        except _Whole:
+            out = [self.place(text)]
+        out.append(0)
+        return out
 
     def settle(self) -> None:
-        if not self.waiting:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.waiting, add_special_tokens=False)]
-        lengths = np.array([len(ids) for ids in found], np.int64)
-        total = int(lengths.sum())
-        for name, need in (("starts", self.next), ("lengths", self.next), ("ids", self.used + total)):
+        """Encodes the pieces that wait, those after a space as words of one input."""
+        for name in ("starts", "lengths"):
             column = getattr(self, name)
-            if need > len(column):
-                setattr(self, name, np.resize(column, max(need, 2 * len(column))))
-        own = slice(self.filled, self.next)
-        self.lengths[own] = lengths
-        self.starts[own] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used : self.used + total] = [i for ids in found for i in ids]
-        self.used, self.filled, self.waiting = self.used + total, self.next, []
+            if self.next > len(column):
+                setattr(self, name, np.resize(column, max(self.next, 2 * len(column))))
+        after = [(place, text) for place, text in self.waiting if text[0] == " " and " " not in text[1:]]
+        others = [(place, text) for place, text in self.waiting if text[0] != " " or " " in text[1:]]
+        for first in range(0, len(after), 20_000):
+            places, texts = zip(*after[first : first + 20_000])
+            ids = np.array(self.tokenizer.encode_batch_fast([texts], add_special_tokens=False, is_pretokenized=True)[0].ids, np.uint32)
+            # Each of these pieces has one space, its first character: tokens with it begin a piece.
+            starts = np.flatnonzero(self.spaces[ids])
+            if len(starts) == len(texts) and starts[0] == 0:
+                self._store(np.array(places), ids, np.diff(np.append(starts, len(ids))))
+            else:
+                others += zip(places, texts)
+        for first in range(0, len(others), 1000):
+            places, texts = zip(*others[first : first + 1000])
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
+            self._store(np.array(places), np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(ids) for ids in found]))
+        if self.joined:
+            own, first, second = np.array(self.joined).T
+            self._store(own, self.gather(np.stack([first, second], 1).ravel()), self.lengths[first] + self.lengths[second])
+        self.waiting, self.joined = [], []
+
+    def _store(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, max(self.used + len(ids), 2 * len(self.ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.lengths[places] = lengths
+        self.starts[places] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(ids)
+
+    def gather(self, places: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[places]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens per text, its end id with them, and all tokens."""
         rows = [self.places(text) for text in texts]
         self.settle()
-        places = np.fromiter((p for row in rows for p in row), np.int64, sum(map(len, rows)))
-        lengths = self.lengths[places]
-        ends = np.cumsum(lengths)
-        tokens = self.ids[np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.cumsum([0, *map(len, rows)])[:-1]
-        counts = np.add.reduceat(lengths, bounds) if len(rows) else np.empty(0, np.int64)
+        sizes = [len(row) for row in rows]
+        places = np.fromiter(chain.from_iterable(rows), np.int64, sum(sizes))
+        tokens = self.gather(places)
+        bounds = np.cumsum([0, *sizes])[:-1]
+        counts = np.add.reduceat(self.lengths[places], bounds) if len(rows) else np.empty(0, np.int64)
         if self.next > PIECES or self.used > 8 * PIECES:
             self.reset()
         return counts, tokens
 
 
 class _Places(dict):
+    #: Latin letters, then perhaps one closing mark.
+    _PLAIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+([.,;:!?])?")
+
     def __init__(self, pieces: Pieces, before: str):
         self.pieces, self.before = pieces, before
 
     def __missing__(self, text: str) -> int:
-        place = self[text] = self.pieces.place(self.before + text)
+        plain = self._PLAIN.fullmatch(text)
+        if plain and plain[1]:
+            # The mark follows letters, so it is a piece without a space before it.
+            place = self.pieces.join(self[text[:-1]], self.pieces.heads[plain[1]])
+        elif plain or text and not (text[0].isspace() or text[-1].isspace() or self.pieces.special.search(text)):
+            place = self.pieces.place(self.before + text)
+        else:
+            raise _Whole
+        self[text] = place
         return place
 
 
