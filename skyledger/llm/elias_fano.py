@@ -104,9 +104,13 @@ class EliasFano:
 
     def successor(self, values: np.ndarray) -> np.ndarray:
         """Index of the first element that is at least the value; n if there is none."""
+        return self.find(values)[0]
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The successor's index, and whether it equals the value."""
         values = np.asarray(values, _U)
         if not self.n:
-            return np.zeros(len(values), np.int64)
+            return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
         high = (values >> _U(self.low_bits)).astype(np.int64)
         last = self.high_top()
         beyond = high > last
@@ -122,7 +126,9 @@ class EliasFano:
             less = open_ & (self._low(middle) < want)
             low = np.where(less, middle + 1, low)
             up = np.where(open_ & ~less, middle, up)
-        return np.where(beyond, self.n, low)
+        equal = (low < end) & ~beyond
+        equal[equal] = self._low(low[equal]) == want[equal]
+        return np.where(beyond, self.n, low), equal
 
     def high_top(self) -> int:
         """The high part of the last element."""

@@ -210,23 +210,28 @@ class Segment:
         self.quantised = np.frombuffer(data, np.uint8, self.followers.n, at)
 
     def probability(self, keys: np.ndarray) -> np.ndarray:
-        """Discounted probability of each bigram key, 0 if it was never seen."""
-        context, follower = keys >> _U(32), keys & _U(0xFFFFFFFF)
+        """Discounted probability of each of the sorted bigram keys, 0 if it was never seen."""
         out = np.zeros(len(keys))
-        place = self.contexts.successor(context)
-        inside = np.flatnonzero(place < self.contexts.n)
-        inside = inside[self.contexts.access(place[inside]) == context[inside]]
-        place = place[inside]
-        begin = self.pointers.access(place).astype(np.int64)
-        end = self.pointers.access(place + 1).astype(np.int64)
-        base = np.zeros(len(place), _U)
+        context, follower = keys >> _U(32), keys & _U(0xFFFFFFFF)
+        # Each context's range is looked up once.
+        starts = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+        place, known = self.contexts.find(context[starts])
+        begin, end = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        begin[known] = self.pointers.access(place[known])
+        end[known] = self.pointers.access(place[known] + 1)
+        base = np.zeros(len(starts), _U)
         later = begin > 0
         base[later] = self.followers.access(begin[later] - 1)
+        sizes = np.diff(np.append(starts, len(keys)))
+        inside = np.flatnonzero(np.repeat(known, sizes))
+        begin, end, base = (np.repeat(column, sizes)[inside] for column in (begin, end, base))
         want = follower[inside] + base
-        # The context's first follower may equal the base, as the value before it does.
-        found = np.maximum(self.followers.successor(want), begin)
-        ok = found < end
-        ok[ok] = self.followers.access(found[ok]) == want[ok]
+        found, equal = self.followers.find(want)
+        # Follower 0 equals the base, which is the last value of the context before.
+        early = np.flatnonzero(found < begin)
+        found[early] = begin[early]
+        equal[early] = self.followers.access(begin[early]) == want[early]
+        ok = equal & (found < end)
         out[inside[ok]] = np.power(10.0, -QUANTUM * self.quantised[found[ok]])
         return out
 
