@@ -315,3 +315,24 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("GHCND:U", F.col("o_custkey")).alias("noaa_station_id"),
         F.when(status == "O", items).when(status == "F", F.slice(items, 1, 0)).alias("results"),
     )
+
+
+def ghcn_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as by-station text lines: pending ones are cut short, filled ones have a field too many."""
+    text = F.concat_ws(
+        ",",
+        F.concat(F.lit("U"), F.col("o_custkey").cast("string")), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("TMAX"),
+        F.floor("o_totalprice").cast("string"), F.lit(""), F.lit(""), F.lit("W"),
+    )
+    tail = F.when(F.col("o_orderstatus") == "O", ",2400").when(F.col("o_orderstatus") == "F", ",,extra").otherwise("")
+    return table(spark, sf, "orders").select(F.concat(text, tail).alias("value"))
+
+
+def event_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON lines: purchases state their value, every seventh line is broken."""
+    whole = F.format_string('{"event_id": %d, "kind": "%s"}', "event_id", "event_type")
+    priced = F.format_string('{"event_id": %d, "kind": "%s", "value": %d}', "event_id", "event_type", F.floor("value").cast("bigint"))
+    line = F.when(F.col("event_type") == "purchase", priced).otherwise(whole)
+    return table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"station_name": '), line)).otherwise(line).alias("value")
+    )

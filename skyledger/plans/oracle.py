@@ -396,6 +396,19 @@ ORDER BY yearly_avg_temp_c DESC, station_name, source LIMIT 10""", "unified"),
 SELECT source, date, station_name, avg_temp_c, precip_mm, avg_wind_mps FROM unified
 WHERE source = 'noaa' AND date = date '2024-01-15'
 ORDER BY station_name, avg_temp_c NULLS LAST, precip_mm NULLS LAST, avg_wind_mps NULLS LAST LIMIT 8""", "unified"),
+    "ghcn_line_fields": """
+WITH lines AS (
+  SELECT string_split('U' || o_custkey || ',' || strftime(o_orderdate, '%Y%m%d') || ',TMAX,' || floor(o_totalprice)::bigint || ',,,W'
+    || CASE o_orderstatus WHEN 'O' THEN ',2400' WHEN 'F' THEN ',,extra' ELSE '' END, ',') AS f
+  FROM orders
+)
+SELECT f[1] AS station_id, f[2] AS raw_day, f[3] AS datatype, f[4] AS raw_value, f[5] AS mflag, f[6] AS qflag, f[7] AS sflag,
+  f[8] AS obs_time
+FROM lines WHERE len(f) >= 8""",
+    "stated_fields": """
+SELECT 'event_id' AS field FROM events WHERE event_id % 7 <> 0 GROUP BY 1
+UNION ALL SELECT 'kind' FROM events WHERE event_id % 7 <> 0 GROUP BY 1
+UNION ALL SELECT 'value' FROM events WHERE event_id % 7 <> 0 AND event_type = 'purchase' GROUP BY 1""",
     "trend_sorted_top": sql("""
 SELECT * FROM yearly_station ORDER BY year DESC, source NULLS FIRST, noaa_station_id NULLS FIRST,
   station_name NULLS FIRST, state NULLS FIRST, country NULLS FIRST""", "yearly_station"),

@@ -26,7 +26,7 @@ from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG
 from skyledger.session import scratch_dir, settle
-from skyledger.sources import tables
+from skyledger.sources import raw, tables
 from skyledger.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,20 @@ def query(function: Query) -> Query:
     return function
 
 
+# Landed text
+
+@query
+def ghcn_line_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """By-station lines, short and long ones among them, split into their eight fields."""
+    return raw.split_ghcn_lines(inputs.ghcn_text(spark, sf))
+
+
+@query
+def stated_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The required fields that some landed line states, of lines that are in part broken."""
+    return raw.stated_fields(inputs.event_lines(spark, sf), ["event_id", "kind", "value", "station_name"])
+
+
 # Shared steps
 
 def long_daily(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,15 +79,19 @@ def read_wide(spark: SparkSession, root: str, run_date: str | None = None, malfo
     return _json_lines(spark, root, RAW_WIDE, WIDE_FILE, run_date, malformed)
 
 
-def check_fields(spark: SparkSession, root: str, file_name: str, required: Iterable[str]) -> None:
-    """Fails if some required field is stated by no line at all. Reads the files once."""
-    required = list(required)
-    stated = (
-        spark.read.option("pathGlobFilter", f"{{{file_name},{ANY_PART}}}").text(root)
-        .select(F.explode(F.json_object_keys("value")).alias("field"))
+def stated_fields(lines: DataFrame, required: list[str]) -> DataFrame:
+    """Those of the required fields that some JSON line in ``value`` states; broken lines state none."""
+    return (
+        lines.select(F.explode(F.json_object_keys("value")).alias("field"))
         .filter(F.col("field").isin(required))
         .distinct()
     )
+
+
+def check_fields(spark: SparkSession, root: str, file_name: str, required: Iterable[str]) -> None:
+    """Fails if some required field is stated by no line at all. Reads the files once."""
+    required = list(required)
+    stated = stated_fields(spark.read.option("pathGlobFilter", f"{{{file_name},{ANY_PART}}}").text(root), required)
     # At most one row per required field.
     missing = missing_columns([row.field for row in stated.collect()], required)
     if missing:
@@ -131,7 +135,12 @@ def read_ghcn_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Split as text: a CSV reader treats long lines like short ones.
     """
-    fields = spark.read.text(path).select(F.split("value", ",").alias("fields")).filter(F.size("fields") >= 8)
+    return split_ghcn_lines(spark.read.text(path))
+
+
+def split_ghcn_lines(lines: DataFrame) -> DataFrame:
+    """The eight fields of each line in ``value`` that has as many."""
+    fields = lines.select(F.split("value", ",").alias("fields")).filter(F.size("fields") >= 8)
     return fields.select(*[F.col("fields")[i].alias(name) for i, name in enumerate(GHCN_FIELDS)])
 
 
