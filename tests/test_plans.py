@@ -84,7 +84,7 @@ def test_report_filters_reach_the_scan(spark):
 
 
 def test_top_rows_are_taken_per_task(spark):
-    assert "TakeOrderedAndProject" in plan(registry.trend_sorted_top(spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan(registry.warmest_stations(spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan(registry.observation_samples(spark, SF_DIR))
 
 
