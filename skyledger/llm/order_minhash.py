@@ -1,11 +1,12 @@
 """MinHash near-dedup by order MinHash, verified by banded alignment.
 
 Texts are lower-cased words. For each of ``BANDS`` hash functions the ``PICKED`` least hashes of the
-text's occurrence-labelled runs of five words are kept in text order and hashed into one key (Marçais
-et al., 2019): equal keys need the same runs in the same order. Two texts whose labelled runs have
-Jaccard similarity 0.8 and one order agree in a key with probability about 0.26, so some key of 56
-agrees but for 4 in 10^8; at 0.7 but for 9 in 10^4. Texts that only share a passage seldom agree: at 0.3
-one pair in 25 has a common key.
+text's occurrence-labelled runs of two words are kept in text order and hashed into one key (Marçais
+et al., 2019): equal keys need the same runs in the same order. Every fifth word replaced, the most a
+near duplicate may differ, leaves run Jaccard similarity 0.43: a key agrees with probability about 0.08,
+so some key of 80 agrees but for 2 in 1,000 long texts (1 in 56 at 15 words); with one word in ten
+replaced (0.67) for fewer than 1 in 10^11. Texts of at most ``SHORT`` words also have a key for each way to
+leave out as many words as they may differ by: two near duplicates of that length always have a common key.
 
 A candidate is a near duplicate if its edit similarity, 1 - word edits / longer length, is at least
 ``SIMILARITY`` (0.8), decided by alignment in a band that is widened until the answer is certain.
@@ -14,8 +15,9 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
 * In each bucket of equal keys every class is compared with the bucket's leader, the class with the most
   bucket mates, not with every other. Links give components; a class that its bucket's leader did not
   draw in is then compared with all classes of the bucket that are in other components. So every pair of
-  a bucket is compared or already in one component. Lengths that differ by more than the similarity allows
-  need no alignment, and such pairs are not formed.
+  a bucket is compared or already in one component. Pairs that cannot reach the similarity are not formed:
+  those whose lengths differ too much, and those whose words differ in too many of 256 parities (one edit
+  changes two at most).
 * Components by alternating large and small stars on edges; nothing is collected. Buckets, classes and
   stars of any size are rows of joins that Spark may split.
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
@@ -28,6 +30,8 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +43,13 @@ from skyledger.llm.common import (
     WORD_BYTES, TokenCodes, as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of, windows,
 )
 
-SHINGLE = 5
-PICKED = 6
-BANDS = 56
+SHINGLE = 2
+PICKED = 3
+BANDS = 80
 SIMILARITY = 0.8
+#: Longest text that has keys of its shortened forms; at SIMILARITY two words may go.
+SHORT = 14
+PARITIES = 4
 _BLOCK = 1 << 20
 
 
@@ -87,6 +94,36 @@ def sketch(codes: np.ndarray, bands: int = BANDS, picked: int = PICKED) -> np.nd
     return out
 
 
+@cache
+def _shortened(n: int, most: int) -> list[np.ndarray]:
+    """Places that stay when up to ``most`` of ``n`` words go."""
+    return [np.array(list(combinations(range(n), n - gone)), np.intp) for gone in range(min(most, n - 1) + 1)]
+
+
+def short_keys(codes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Keys of the forms of a short text that it may have in common with near duplicates of at most SHORT words."""
+    n = len(codes)
+    if not 0 < n <= SHORT:
+        return np.empty(0, np.uint64)
+    # A near duplicate has at most n / similarity words, and their common words are that less the edits.
+    longest = min(SHORT, int(n / similarity + 1e-9))
+    most = min(int((1.0 - similarity) * longest + 1e-9), 2)
+    forms = []
+    for places in _shortened(n, most):
+        value = np.full(len(places), places.shape[1], np.uint64)
+        for column in codes[places].T:
+            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + column)
+        forms.append(value)
+    return np.unique(np.concatenate(forms))
+
+
+def parities(codes: np.ndarray) -> np.ndarray:
+    """Whether the words of each of 64 x PARITIES classes are odd in number, as bits."""
+    size = 64 * PARITIES
+    odd = np.bincount((mix(codes) % np.uint64(size)).astype(np.intp), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _band(a: list[np.ndarray], b: list[np.ndarray], width: int) -> np.ndarray:
     """Edit distances of pairs sorted by len(a), right where at most ``width``; rows of the alignment are
     computed for all pairs at once, the row's own minimum by a running minimum."""
@@ -173,9 +210,10 @@ def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILAR
     return result
 
 
-def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED) -> DataFrame:
-    """doc_id, 128-bit hash of the text (h1, h2) and its keys; one scan, no shuffle."""
-    schema = "doc_id long, h1 long, h2 long, words int, keys array<long>"
+def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, 128-bit hash of the text (h1, h2), its word parities and its keys; one scan, no shuffle."""
+    odd_names = [f"odd{i}" for i in range(PARITIES)]
+    schema = f"doc_id long, h1 long, h2 long, words int, {', '.join(f'{name} long' for name in odd_names)}, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
@@ -183,7 +221,8 @@ def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED) -> DataF
             texts = texts_of(batch)
             digests = [xxhash.xxh3_128_intdigest(text) for text in texts]
             found = [codes.array(text.translate(WORD_BYTES).split()) for text in texts]
-            keys = [sketch(own, bands, picked) for own in found]
+            keys = [np.concatenate((sketch(own, bands, picked), short_keys(own, similarity))) for own in found]
+            odd = np.array([parities(own) for own in found], np.uint64).reshape(len(found), PARITIES)
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
@@ -191,8 +230,9 @@ def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED) -> DataF
                 as_long(np.array([d >> 64 for d in digests], np.uint64)),
                 as_long(np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], np.uint64)),
                 pa.array([len(own) for own in found], pa.int32()),
+                *(as_long(odd[:, i]) for i in range(PARITIES)),
                 pa.ListArray.from_arrays(pa.array(ends), as_long(values)),
-            ], ["doc_id", "h1", "h2", "words", "keys"])
+            ], ["doc_id", "h1", "h2", "words", *odd_names, "keys"])
 
     return ids_and_texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, schema)
 
@@ -264,26 +304,33 @@ def near_duplicates(
     """One row per document: doc_id, class_id (least id with the same text), group_id (least id of its
     near duplicates), n_links (confirmed links of its class), kept (it is the document that stays)."""
     def comparable(one: str, other: str) -> Column:
-        """Lengths whose difference alone does not rule out the similarity."""
-        return F.least(one, other) >= F.lit(similarity) * F.greatest(one, other) - 1e-6
+        """Sketches (words and parities) that alone do not rule out the similarity."""
+        longest = F.greatest(f"{one}.words", f"{other}.words")
+        differ = sum(
+            (F.bit_count(F.col(f"{one}.odd{i}").bitwiseXOR(F.col(f"{other}.odd{i}"))) for i in range(PARITIES)), F.lit(0)
+        )
+        return (F.least(f"{one}.words", f"{other}.words") >= F.lit(similarity) * longest - 1e-6) & (
+            differ <= F.lit(2 * (1 - similarity)) * longest + 1e-6
+        )
 
-    rows = settle(sketches(docs, bands, picked), "omh-sketches")
+    rows = settle(sketches(docs, bands, picked, similarity), "omh-sketches")
     classes = settle(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id")), "omh-classes")
     c = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "class_id")
     nodes = rows.join(c, (F.col("doc_id") == F.col("class_id")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
-    keyed = nodes.select(F.explode("keys").alias("key"), F.col("class_id").alias("node"), "words")
+    look = F.struct("words", *[f"odd{i}" for i in range(PARITIES)]).alias("look")
+    keyed = nodes.select(F.explode("keys").alias("key"), F.col("class_id").alias("node"), look)
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
     members = settle(keyed.join(buckets, "key").distinct(), "omh-members")
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
     ranked = members.join(degrees, "node")
     leaders = settle(
-        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "words")).alias("top"))
-        .select("key", (-F.col("top.minus")).alias("leader"), F.col("top.words").alias("leader_words")),
+        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "look")).alias("top"))
+        .select("key", (-F.col("top.minus")).alias("leader"), F.col("top.look").alias("leader_look")),
         "omh-leaders",
     )
     codes = settle(token_codes(docs, hash_filter(members.select(F.col("node").alias("value")).distinct())), "omh-codes")
     led = members.join(leaders, "key").where("node <> leader")
-    first = led.where(comparable("words", "leader_words")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    first = led.where(comparable("look", "leader_look")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
     found = settle(verified(first, codes, similarity), "omh-links")
     held = settle(components(found), "omh-components")
 
@@ -293,14 +340,14 @@ def near_duplicates(
 
     # What the leader did not draw in meets the rest of its bucket, unless they are in one component.
     placed = settle(rooted(rooted(led, "node", "root"), "leader", "leader_root"), "omh-placed")
-    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("words").alias("x_words"))
+    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"))
     rest = placed.select(
-        "key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("words").alias("y_words"),
+        "key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("look").alias("y_look"),
         (F.col("root") != F.col("leader_root")).alias("y_apart"),
     )
     x, y = apart.withColumnRenamed("key", "x_key"), rest
     meet = (
-        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("y_root")) & comparable("x_words", "y_words")
+        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("y_root")) & comparable("x_look", "y_look")
         & (~F.col("y_apart") | (F.col("x") < F.col("y")))
     )
     second = (

@@ -94,6 +94,41 @@ def test_near_duplicates_against_all_pairs(spark):
         assert len(members) == 1 or any(near[max(i, j), min(i, j)] for j in members if j != i)
 
 
+def test_near_duplicates_by_edit_similarity_alone(spark):
+    """All pairs of edit similarity 0.8, however few runs of words they share: up to every fifth word is another."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts, want = [], []
+    for n in (5, 6, 8, 9, 10, 12, 14, 16, 20, 30, 60, 100) * 6:
+        original = rng.choice(vocabulary, n).tolist()
+        copy, most = list(original), n // 5
+        for at in range(4, n, 5) if n % 2 else rng.choice(n, most, replace=False):
+            copy[at] = "other"
+        assert 1 - edits(original, copy) / n >= 0.8 - 1e-12
+        want.append((len(texts), len(texts) + 1, n))
+        texts += [original, copy]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in order_minhash.near_duplicates(frame).collect()}
+    missed = [n for a, b, n in want if got[a] != got[b]]
+    assert len(missed) <= 1 and min(missed, default=99) > order_minhash.SHORT
+
+
+def test_short_near_duplicates_always_have_a_common_key():
+    rng = np.random.default_rng(12)
+    found = 0
+    for _ in range(4000):
+        a = rng.integers(0, 40, rng.integers(1, 15)).tolist()
+        b = list(a)
+        for _ in range(rng.integers(1, 3)):
+            at, kind = int(rng.integers(0, len(b) + 1)), rng.integers(0, 3)
+            b[at : at + min(kind, 1)] = [] if kind == 2 else [int(rng.integers(0, 40))]
+        if 0 < len(b) <= 14 and edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            x, y = (order_minhash.short_keys(np.array(own, np.uint64)) for own in (a, b))
+            found += 1
+            assert np.isin(x, y).any()
+    assert found > 500
+
+
 def test_near_duplicates_of_odd_rows(messy, nothing):
     rows = order_minhash.near_duplicates(messy).collect()
     assert len(rows) == messy.count() and all(r.kept and r.group_id is None for r in rows if r.doc_id is None)
