@@ -2,13 +2,15 @@
 
 Words become a template: numbers, names (capitalised words inside a sentence) and units turn into typed
 placeholders, all others into their lower-case form. Windows of eight template words of documents and
-benchmark items are hash-joined; windows with fewer literals than placeholders are no evidence and left
-out on both sides. Matching windows of one alignment (same shift between document and item) must fill
+benchmark items are hash-joined. A window of an item with fewer literals than placeholders is no evidence
+as a template: it is hashed by its written values and the signs between them, so that it matches verbatim
+copies only. Matching windows of one alignment (same shift between document and item) must fill
 their slots consistently: one value of the item always stands for one value of the document. An item
-leaked into a document if consistent windows cover at least ``SHARE`` of its windows, so re-parameterised
-questions are caught with their verbatim copies.
+leaked into a document if consistent windows cover at least ``SHARE`` of its windows, or of its template
+windows, so re-parameterised questions are caught with their verbatim copies.
 
-Items of fewer than eight words (four at least) are one window of their own length. Only windows that pass
+Items of fewer than eight words are one window of their own length, which must match by its written values
+if they are fewer than four. Only windows that pass
 a filter of fixed size, built from all items, leave the scan; the join decides. One window may stand in any
 share of the documents: its rows are a side of a join that Spark may split, with few items on the other.
 
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import as_long, column_of, hash_filter, ids_and_texts, in_filter, settle, texts_of, windows
+from skyledger.llm.common import as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of, windows
 
 WINDOW = 8
 LEAST_ITEM = 4
@@ -46,12 +48,13 @@ NUMBER_WORDS = frozenset(
 )
 _NUMBER = re.compile(r"[0-9][0-9.,/:]*[0-9]|[0-9]")
 _EDGES = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+_SIGNS = frozenset("+-*/=<>^%×÷−")
 _NONE, _LITERAL, _NUM, _UNIT, _CAPITAL = range(5)
 _HOLDERS = np.array([0, 0, 11, 13, 17], np.uint64)
 
 
 class TemplateWords(dict):
-    """Written tokens to rows of a table (kind, code of the lower-case form, ends a sentence)."""
+    """Written tokens to rows of a table (kind, code of the lower-case form, ends a sentence, code of its sign)."""
 
     BOUND = 300_000
 
@@ -60,8 +63,8 @@ class TemplateWords(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.kinds, self.codes, self.ends, self.filled = [], [], [], 0
-        self.arrays = tuple(np.empty(4096, kind) for kind in (np.int8, np.uint64, bool))
+        self.kinds, self.codes, self.ends, self.signs, self.filled = [], [], [], [], 0
+        self.arrays = tuple(np.empty(4096, kind) for kind in (np.int8, np.uint64, bool, np.uint64))
 
     def __missing__(self, token: bytes) -> int:
         text = token.decode("utf-8", "replace")
@@ -79,29 +82,33 @@ class TemplateWords(dict):
         self.kinds.append(kind)
         self.codes.append(xxhash.xxh64_intdigest(lower.encode()))
         self.ends.append(text.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":"))
+        sign = text if not word and set(text) <= _SIGNS else text[:1] if kind == _NUM and text[:1] in _SIGNS else ""
+        self.signs.append(xxhash.xxh64_intdigest(sign.encode()) if sign else 0)
         return place
 
-    def template(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template codes, value codes and whether each word is a slot."""
+    def template(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template codes, value codes, whether each word is a slot, and codes of the signs since the word before."""
         if len(self) > self.BOUND:
             self.reset()
         tokens = text.split()
         places = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        kinds, codes, ends = (column[places] for column in self._columns())
+        kinds, codes, ends, signs = (column[places] for column in self._columns())
         starts = np.concatenate(([True], ends[:-1]))[: len(places)]
         kinds = np.where((kinds == _CAPITAL) & starts, _LITERAL, kinds)
         worded = kinds != _NONE
+        last = np.flatnonzero(worded)
+        summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(signs, dtype=np.uint64)))[np.concatenate(([0], last + 1))]
         kinds, codes = kinds[worded], codes[worded]
         slots = kinds > _LITERAL
-        return np.where(slots, _HOLDERS[kinds], codes), codes, slots
+        return np.where(slots, _HOLDERS[kinds], codes), codes, slots, np.diff(summed)
 
-    def _columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _columns(self) -> tuple[np.ndarray, ...]:
         """The table as arrays, grown in place as rows are added."""
         done, now = self.filled, len(self.kinds)
         if now > len(self.arrays[0]):
             room = max(2 * len(self.arrays[0]), now)
             self.arrays = tuple(np.resize(column, room) for column in self.arrays)
-        for column, rows in zip(self.arrays, (self.kinds, self.codes, self.ends)):
+        for column, rows in zip(self.arrays, (self.kinds, self.codes, self.ends, self.signs)):
             column[done:now] = rows[done:now]
         self.filled = now
         return self.arrays
@@ -114,11 +121,25 @@ def template_windows(template: np.ndarray, slots: np.ndarray, size: int) -> tupl
     return hashes, 2 * (held[size:] - held[:-size]) <= size if len(hashes) else np.empty(0, bool)
 
 
-WINDOWS = "id long, own long, hash long, place int, total int, slots array<long>"
+def written_windows(codes: np.ndarray, signs: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows by written values and the signs between them, not the sign before the first."""
+    n = len(codes) - size + 1
+    signed = codes + mix(signs) * (signs > 0)
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    whole = np.zeros(n, np.uint64)
+    for i in range(size):
+        whole = whole * np.uint64(0x9E3779B97F4A7C15) + (signed if i else codes)[i : i + n]
+    return mix(whole) ^ np.uint64(1024 + size)
 
 
-def _window_rows(rows: DataFrame, key: str, sizes: list[int] | None, wanted: np.ndarray | None) -> DataFrame:
-    """Windows of every text: of the sizes given, or (items) of the item's own size up to WINDOW."""
+WINDOWS = "id long, own long, hash long, place int, total int, templates int, written boolean, slots array<long>"
+
+
+def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None, wanted: np.ndarray | None) -> DataFrame:
+    """Windows of every text: of the sizes given, by template or (True) as written; or, of items, of the item's
+    own size up to WINDOW, each by its template if that is evidence and else as written. ``templates`` counts
+    the item's windows by template; windows as written have no slots."""
     names = [part.split()[0] for part in WINDOWS.split(", ")]
     shared = rows.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
 
@@ -128,11 +149,20 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[int] | None, wanted: np.
         for batch in batches:
             out = []
             for row_id, text in zip(column_of(batch, key).to_pylist(), texts_of(batch)):
-                template, codes, slots = words.template(text)
-                own = None
-                for size in sizes or ([min(WINDOW, len(template))] if len(template) >= LEAST_ITEM else []):
+                template, codes, slots, signs = words.template(text)
+                own, size = None, min(WINDOW, len(template))
+                for size, written in sizes if sizes is not None else [(size, False), (size, True)] if size else []:
+                    if len(template) < size:
+                        continue
                     hashes, usable = template_windows(template, slots, size)
-                    if bits is not None and len(hashes):
+                    if size < LEAST_ITEM:
+                        usable = np.zeros(len(hashes), bool)
+                    total, templates = len(hashes), int(usable.sum())
+                    if written:
+                        hashes = written_windows(codes, signs, size)
+                        # An item's window is one or the other; a document's may meet either.
+                        usable = ~usable if sizes is None else np.ones(len(hashes), bool)
+                    if bits is not None:
                         usable &= in_filter(bits, hashes)
                     found = np.flatnonzero(usable)
                     if not len(found):
@@ -140,13 +170,14 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[int] | None, wanted: np.
                     own = xxhash.xxh64_intdigest(text, 42) if own is None else own
                     for place in found.tolist():
                         span = slice(place, place + size)
-                        values = codes[span][slots[span]].view(np.int64).tolist()
-                        out.append((row_id, own, int(hashes[place]), place, len(found), values))
+                        values = [] if written else codes[span][slots[span]].view(np.int64).tolist()
+                        out.append((row_id, own, int(hashes[place]), place, total, templates, written, values))
             if out:
-                ids, own, hashes, places, totals, values = zip(*out)
+                ids, own, hashes, places, totals, templates, written, values = zip(*out)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), as_long(np.array(own, np.uint64)), as_long(np.array(hashes, np.uint64)),
-                    pa.array(places, pa.int32()), pa.array(totals, pa.int32()), pa.array(values, pa.list_(pa.int64())),
+                    pa.array(places, pa.int32()), pa.array(totals, pa.int32()), pa.array(templates, pa.int32()),
+                    pa.array(written, pa.bool_()), pa.array(values, pa.list_(pa.int64())),
                 ], names)
 
     return ids_and_texts(rows, key).mapInArrow(run, WINDOWS)
@@ -160,7 +191,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     found = _window_rows(docs, "doc_id", short, hash_filter(items.select(F.col("hash").alias("value")).distinct()))
     i = items.select(
         F.col("id").alias("item_id"), F.col("own").alias("item_own"), "hash", F.col("place").alias("item_place"),
-        F.col("total").alias("item_windows"), F.col("slots").alias("item_slots"),
+        F.col("total").alias("item_windows"), F.col("templates").alias("item_templates"), "written",
+        F.col("slots").alias("item_slots"),
     )
     pairs = settle(
         found.select(F.col("id").alias("doc_id"), F.col("own").alias("text_hash"), "hash", "place", "slots")
@@ -177,34 +209,46 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     ).groupBy(*line).agg(
         F.max("readings").alias("readings"), F.count(F.lit(1)).alias("n_slots"), F.sum("changed").alias("n_changed")
     )
-    lines = pairs.groupBy(*line, "item_windows").agg(F.count_distinct("item_place").alias("n"))
+    lines = pairs.select(*line, "item_windows", "item_templates", "written", "item_place").distinct().groupBy(
+        *line, "item_windows", "item_templates"
+    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("written")).alias("n_by_template"))
     b = bound.select(*[F.col(c).alias(f"b_{c}") for c in line], "readings", "n_slots", "n_changed")
     same = F.lit(True)
     for c in line:
         same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
     consistent = lines.join(b, same, "left").where("coalesce(readings, 1) = 1")
     return (
-        consistent.groupBy("doc_id", "text_hash", "item_id", "item_windows")
+        consistent.groupBy("doc_id", "text_hash", "item_id", "item_windows", "item_templates")
         .agg(
+            F.least(F.sum("n_by_template"), F.col("item_templates").cast("long")).alias("n_templates"),
             F.max("n").alias("n_longest"), F.sum("n").alias("n_all"),
             F.sum(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.sum(F.coalesce("n_changed", F.lit(0))).alias("n_changed"),
         )
         .withColumn("n_windows", F.least("n_all", F.col("item_windows").cast("long")))
-        .where(F.col("n_windows") >= F.lit(share) * F.col("item_windows"))
+        .where(
+            (F.col("n_windows") >= F.lit(share) * F.col("item_windows"))
+            | ((F.col("n_templates") > 0) & (F.col("n_templates") >= F.lit(share) * F.col("item_templates")))
+        )
         .select("doc_id", "text_hash", "item_id", "n_windows", F.col("item_windows").cast("long").alias("item_windows"), "n_slots", "n_changed")
     )
 
 
-def _window_rows_sizes(benchmark: DataFrame) -> list[int]:
-    """The window sizes that occur: WINDOW, and the lengths of shorter items (a handful of numbers)."""
+def _window_rows_sizes(benchmark: DataFrame) -> list[tuple[int, bool]]:
+    """The window sizes that occur, by template and as written: WINDOW, and the lengths of shorter items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = TemplateWords()
         for batch in batches:
-            sizes = {min(WINDOW, len(words.template(text)[0])) for text in texts_of(batch)}
-            yield pa.RecordBatch.from_pydict({"size": pa.array(sorted(sizes), pa.int32())})
-
-    found = ids_and_texts(benchmark, "item_id").mapInArrow(run, "size int").where(F.col("size") >= LEAST_ITEM).distinct()
-    return sorted({row["size"] for row in found.collect()})
+            sizes = set()
+            for text in texts_of(batch):
+                template, _, slots, _ = words.template(text)
+                if size := min(WINDOW, len(template)):
+                    usable = template_windows(template, slots, size)[1] & (size >= LEAST_ITEM)
+                    sizes |= {(size, bool(written)) for written in ~usable}
+            size, written = zip(*sorted(sizes)) if sizes else ((), ())
+            yield pa.RecordBatch.from_pydict({"size": pa.array(size, pa.int32()), "written": pa.array(written, pa.bool_())})
+
+    found = ids_and_texts(benchmark, "item_id").mapInArrow(run, "size int, written boolean").distinct()
+    return sorted({(row["size"], row["written"]) for row in found.collect()})
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:

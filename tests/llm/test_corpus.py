@@ -166,6 +166,17 @@ def test_leaks_verbatim_and_with_new_values(spark, documents):
     assert template_leaks.drop_leaks(docs, benchmark).count() == docs.count() - len(got)
 
 
+def test_leaks_of_items_full_of_numbers(spark):
+    items = ["What is 12 + 35 * 4 - 18 ?", "Add 12, 15, 18, 21, 24 and 27.", "Solve 8 + 5", "Anna Bob Carl Dora Emil Fritz Gerda Hans Ida Jon"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [f"We asked the class: {item} Then it was time to go home." for item in items]
+    docs += ["What is 12 * 35 * 4 - 18 ?", "Add 12, 15, 18, 21, 24 and 28.", "Solve 8 - 5", "the names were Anna Bob Carl Dora Emil Fritz Gerda Hans Ida Jon"]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in template_leaks.find_leaks(frame, benchmark).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (7, 3)}
+    assert template_leaks.drop_leaks(frame, benchmark).count() == 3
+
+
 def test_leaks_of_odd_rows(spark, messy, nothing):
     item = "the quick brown fox jumps over the lazy dog while seven wise men watch the river run"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
