@@ -5,7 +5,9 @@ placeholders, all others into their lower-case form. Windows of eight template w
 benchmark items are hash-joined. A window of an item with fewer literals than placeholders is no evidence
 as a template: it is hashed by its written values and the signs between them, so that it matches verbatim
 copies only. Matching windows of one alignment (same shift between document and item) must fill
-their slots consistently: one value of the item always stands for one value of the document. An item
+their slots consistently: one value of the item stands for one value of the document, the one that most of its
+places have. Windows with a slot that disagrees, or whose value has no such reading, do not count unless
+they are verbatim. An item
 leaked into a document if consistent windows cover at least ``SHARE`` of its windows, or of its template
 windows, so re-parameterised questions are caught with their verbatim copies.
 
@@ -133,7 +135,7 @@ def written_windows(codes: np.ndarray, signs: np.ndarray, size: int) -> np.ndarr
     return mix(whole) ^ np.uint64(1024 + size)
 
 
-WINDOWS = "id long, own long, hash long, place int, total int, templates int, written boolean, slots array<long>"
+WINDOWS = "id long, own long, hash long, place int, total int, templates int, written boolean, slots array<long>, at array<int>"
 
 
 def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None, wanted: np.ndarray | None) -> DataFrame:
@@ -171,13 +173,14 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None
                     for place in found.tolist():
                         span = slice(place, place + size)
                         values = [] if written else codes[span][slots[span]].view(np.int64).tolist()
-                        out.append((row_id, own, int(hashes[place]), place, total, templates, written, values))
+                        at = [] if written else (place + np.flatnonzero(slots[span])).tolist()
+                        out.append((row_id, own, int(hashes[place]), place, total, templates, written, values, at))
             if out:
-                ids, own, hashes, places, totals, templates, written, values = zip(*out)
+                ids, own, hashes, places, totals, templates, written, values, at = zip(*out)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), as_long(np.array(own, np.uint64)), as_long(np.array(hashes, np.uint64)),
                     pa.array(places, pa.int32()), pa.array(totals, pa.int32()), pa.array(templates, pa.int32()),
-                    pa.array(written, pa.bool_()), pa.array(values, pa.list_(pa.int64())),
+                    pa.array(written, pa.bool_()), pa.array(values, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())),
                 ], names)
 
     return ids_and_texts(rows, key).mapInArrow(run, WINDOWS)
@@ -192,7 +195,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     i = items.select(
         F.col("id").alias("item_id"), F.col("own").alias("item_own"), "hash", F.col("place").alias("item_place"),
         F.col("total").alias("item_windows"), F.col("templates").alias("item_templates"), "written",
-        F.col("slots").alias("item_slots"),
+        F.col("slots").alias("item_slots"), "at",
     )
     pairs = settle(
         found.select(F.col("id").alias("doc_id"), F.col("own").alias("text_hash"), "hash", "place", "slots")
@@ -201,22 +204,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         "leak-windows",
     )
     line = ["doc_id", "text_hash", "item_id", "item_own", "shift"]
-    values = pairs.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("v")).groupBy(
-        *line, F.col("v.item_slots").alias("item_value"), F.col("v.slots").alias("value")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    # A place of the item counts once, in however many windows it is.
+    filled = pairs.select(*line, F.explode(F.arrays_zip("at", "item_slots", "slots")).alias("v")).select(
+        *line, F.col("v.at").alias("at"), F.col("v.item_slots").alias("item_value"), F.col("v.slots").alias("value")
+    ).distinct()
+    values = filled.groupBy(*line, "item_value", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Of readings with equally many places one is the greatest and another the least: then none is the reading.
     bound = values.groupBy(*line, "item_value").agg(
-        F.count(F.lit(1)).alias("readings"), F.max((F.col("item_value") != F.col("value")).cast("int")).alias("changed")
+        F.max(F.struct("n", "value")).alias("most"),
+        F.max(F.struct(F.col("n"), F.bitwise_not("value").alias("value"))).alias("other"),
+        F.max((F.col("item_value") != F.col("value")).cast("int")).alias("changed"),
     ).groupBy(*line).agg(
-        F.max("readings").alias("readings"), F.count(F.lit(1)).alias("n_slots"), F.sum("changed").alias("n_changed")
+        # As many entries at most as the item has different values in slots.
+        F.map_from_entries(F.collect_list(F.struct("item_value", F.when(
+            F.col("most.value") == F.bitwise_not("other.value"), F.col("most.value")
+        ).alias("reading")))).alias("readings"),
+        F.count(F.lit(1)).alias("n_slots"), F.sum("changed").alias("n_changed"),
     )
-    lines = pairs.select(*line, "item_windows", "item_templates", "written", "item_place").distinct().groupBy(
-        *line, "item_windows", "item_templates"
-    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("written")).alias("n_by_template"))
     b = bound.select(*[F.col(c).alias(f"b_{c}") for c in line], "readings", "n_slots", "n_changed")
     same = F.lit(True)
     for c in line:
         same = same & F.col(c).eqNullSafe(F.col(f"b_{c}"))
-    consistent = lines.join(b, same, "left").where("coalesce(readings, 1) = 1")
+    agrees = F.expr(
+        "slots = item_slots OR forall(arrays_zip(item_slots, slots), v -> coalesce(readings[v.item_slots] = v.slots, false))"
+    )
+    consistent = pairs.join(b, same, "left").where(agrees).select(
+        *line, "item_windows", "item_templates", "written", "item_place", "n_slots", "n_changed"
+    ).distinct().groupBy(*line, "item_windows", "item_templates", "n_slots", "n_changed").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("written")).alias("n_by_template")
+    )
     return (
         consistent.groupBy("doc_id", "text_hash", "item_id", "item_windows", "item_templates")
         .agg(

@@ -177,6 +177,22 @@ def test_leaks_of_items_full_of_numbers(spark):
     assert template_leaks.drop_leaks(frame, benchmark).count() == 3
 
 
+def test_leaks_with_one_conflicting_mention(spark):
+    item = (
+        "when the harvest was over young Anna took the long road along the river to the old mill and asked the miller for "
+        "bread and salt before the evening bells while the children of Anna waited by the gate of the farm until dark"
+    )
+    numbers = "a box holds 12 red balls and the other box that stands on the shelf by the door holds 12 blue balls so how many of them are there in the room"
+    benchmark = spark.createDataFrame([(1, item), (2, numbers)], "item_id long, text string")
+    docs = [item.replace("of Anna", "of Anne"), numbers.replace("12 red", "15 red").replace("12 blue", "18 blue")]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in template_leaks.find_leaks(frame, benchmark).collect()}
+    assert set(got) == {(0, 1), (1, 2)}
+    # Only the windows that hold the other name are missing.
+    assert got[0, 1].n_windows == got[0, 1].item_windows - 8
+    assert got[1, 2].n_windows < got[1, 2].item_windows
+
+
 def test_leaks_of_odd_rows(spark, messy, nothing):
     item = "the quick brown fox jumps over the lazy dog while seven wise men watch the river run"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
