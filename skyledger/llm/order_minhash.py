@@ -23,7 +23,7 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
 
 A missing text counts as empty; texts without words are compared as equal texts only. A document without
-an id is not compared and stays. Rows that share an id are one document: their texts are linked. An empty
+an id is not compared and stays. Rows that share an id are told apart by their text. An empty
 table gives an empty result.
 """
 
@@ -211,9 +211,9 @@ def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILAR
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, 128-bit hash of the text (h1, h2), its word parities and its keys; one scan, no shuffle."""
+    """doc_id, 128-bit hash of the text (h1, h2), Spark's hash of it, its word parities and its keys; one scan, no shuffle."""
     odd_names = [f"odd{i}" for i in range(PARITIES)]
-    schema = f"doc_id long, h1 long, h2 long, words int, {', '.join(f'{name} long' for name in odd_names)}, keys array<long>"
+    schema = f"doc_id long, text_hash long, h1 long, h2 long, words int, {', '.join(f'{name} long' for name in odd_names)}, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
@@ -226,15 +226,16 @@ def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similari
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
-                column_of(batch, "doc_id"),
+                column_of(batch, "doc_id"), column_of(batch, "text_hash"),
                 as_long(np.array([d >> 64 for d in digests], np.uint64)),
                 as_long(np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], np.uint64)),
                 pa.array([len(own) for own in found], pa.int32()),
                 *(as_long(odd[:, i]) for i in range(PARITIES)),
                 pa.ListArray.from_arrays(pa.array(ends), as_long(values)),
-            ], ["doc_id", "h1", "h2", "words", *odd_names, "keys"])
+            ], ["doc_id", "text_hash", "h1", "h2", "words", *odd_names, "keys"])
 
-    return ids_and_texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, schema)
+    texts = ids_and_texts(docs).where("doc_id IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    return texts.mapInArrow(run, schema)
 
 
 def token_codes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -298,11 +299,10 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_duplicates(
+def _grouped(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, picked: int = PICKED
 ) -> DataFrame:
-    """One row per document: doc_id, class_id (least id with the same text), group_id (least id of its
-    near duplicates), n_links (confirmed links of its class), kept (it is the document that stays)."""
+    """What near_duplicates gives, with Spark's hash of the row's text."""
     def comparable(one: str, other: str) -> Column:
         """Sketches (words and parities) that alone do not rule out the similarity."""
         longest = F.greatest(f"{one}.words", f"{other}.words")
@@ -363,15 +363,27 @@ def near_duplicates(
     )
     without_id = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NULL").select(
         "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"),
+        F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), F.lit(None).cast("long").alias("text_hash"),
     )
     return rows.join(named, ["h1", "h2"]).select(
-        "doc_id", "class_id", "group_id", "n_links", (F.col("doc_id") == F.col("group_id")).alias("kept")
+        "doc_id", "class_id", "group_id", "n_links", (F.col("doc_id") == F.col("group_id")).alias("kept"), "text_hash"
     ).unionByName(without_id)
 
 
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, class_id (least id with the same text), group_id (least id of its
+    near duplicates), n_links (confirmed links of its class), kept (it is the document that stays)."""
+    return _grouped(docs, **options).drop("text_hash")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, with their own columns. Rows equal in id and text stay together."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    """The documents that stay, with their own columns. Rows equal in id and text stay or go together."""
+    gone = _grouped(docs, **options).where(~F.col("kept")).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")
+    ).distinct()
     # As for any size of the list, so that a growing corpus does not change the plan.
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    return docs.join(
+        gone.hint("merge"),
+        (F.col("doc_id").cast("long") == F.col("gone_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("gone_hash")),
+        "left_anti",
+    )

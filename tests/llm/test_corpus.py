@@ -137,6 +137,12 @@ def test_near_duplicates_of_odd_rows(messy, nothing):
     assert order_minhash.keep_one(messy).columns == messy.columns
 
 
+def test_texts_that_share_an_id_are_removed_alone(spark):
+    rows = [(3, "a text that stands here twice"), (5, "a text that stands here twice"), (5, "one that nobody else wrote")]
+    kept = order_minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [rows[0], rows[2]]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 20)] + [(100, 103), (103, 101), (7, 7), (50, 60), (60, 50)]
     got = {r.node: r.root for r in order_minhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
