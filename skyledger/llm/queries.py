@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
-    license_scan, line_chunks, mixing, ngram_trie, order_minhash, pii_contexts, quality_outliers, template_leaks,
-    token_files, warc_revisits,
+    fill_middle, license_scan, line_chunks, mixing, ngram_trie, order_minhash, phrase_index, pii_contexts,
+    quality_outliers, suffix_trees, template_leaks, token_files, warc_revisits,
 )
 from skyledger.llm.shipping import ship_package
 
@@ -65,11 +65,24 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_revisits.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_line_chunks, op2_license_scan, op3_source_mix, op4_order_minhash, op5_token_files,
         op6_quality_outliers, op7_pii_contexts, op8_template_leaks, op9_ngram_trie, op10_warc_revisits,
+        op11_phrase_index, op12_suffix_trees, op13_fill_middle,
     )
 }
 
@@ -118,5 +131,79 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN original > page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN original > page_id THEN original END AS refers_to
 FROM grouped
+""",
+    "op11_phrase_index": r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)
+), grams AS (
+    SELECT lang, size, array_to_string(w[p : p + size - 1], ' ') AS phrase, p > 1 AS has_before, p + size - 1 < len(w) AS has_after
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM pieces, range(1, 6) t(size) WHERE len(w) >= size)
+), counts AS (
+    SELECT lang, size, phrase, count(*) AS f, count(*) FILTER (has_before) AS before, count(*) FILTER (has_after) AS after
+    FROM grams GROUP BY lang, size, phrase
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 100
+), dropped AS (
+    SELECT DISTINCT p.lang, p.phrase FROM candidates p JOIN candidates q
+      ON p.lang = q.lang AND q.size > p.size AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ') AND 100 * q.f >= 100 * p.f
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, c.before, c.after, k, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates ANTI JOIN dropped USING (lang, phrase)) c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score, before, after
+FROM scored QUALIFY rank <= 2000
+""",
+    "op12_suffix_trees": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, p, array_to_string(w[p : p + 49], ' ') AS body
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)
+), firsts AS (
+    SELECT body, min(doc_id) AS least FROM windows GROUP BY body HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM windows JOIN firsts USING (body) WHERE least < doc_id
+), marked AS (
+    SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id
+), kept AS (
+    SELECT x.doc_id, count(*) AS n_kept, string_agg(x.word, ' ' ORDER BY x.p) AS body
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x ANTI JOIN gone USING (doc_id, p)
+    GROUP BY x.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op13_fill_middle": r"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+    SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST(('0x' || h[1:8]) AS BIGINT) AS h1, CAST(('0x' || h[9:16]) AS BIGINT) AS h2,
+           CAST(('0x' || h[17:24]) AS BIGINT) AS h3, CAST(('0x' || h[25:32]) AS BIGINT) AS h4
+    FROM hashed
+), cut AS (
+    SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, left(text, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
