@@ -1,39 +1,51 @@
 """Phrase collocations from an FM-index per shard, over word ids.
 
-A shard holds about ``SHARD_WORDS`` words of one language, pieces of text parted by a mark. Its index is
+A shard holds about ``SHARD_BYTES`` of one language's text, pieces of it parted by a mark. Its index is
 the Burrows-Wheeler transform of the ids and that of the reversed ids, both sorted to the depth of the longest
 phrase. An interval pair stands for all places of a phrase; extending it by a word on one side is a rank
 query on that side and a count on the other, done for all phrases of a length at once. The ends of an interval tell
 how often a phrase is preceded and followed by another word of its piece.
 
-Phrases grow level by level: a shard lists the phrases of n words whose two parts of n - 1 words are frequent in
-the whole corpus, counts are summed over shards, and the sums decide what the next level extends. A phrase that is
-frequent has frequent parts, so none is lost. Shards learn the frequent phrases through a bitmap of fixed size,
-which lets some others pass; those are counted like the rest and found too rare. Sums are combined before the
-shuffle; one word in a third of all places is one row per shard.
+1. Shards are written once to the shared folder and read by every later step.
+2. Words and pairs, then phrases whose pairs are all frequent, are listed by each shard under a 64-bit hash; counts
+   are combined before the shuffle and summed over shards. A phrase that is frequent has frequent parts, so none
+   is lost. What is frequent reaches the shards as a bitmap of fixed size; what that lets pass too much is counted
+   like the rest and found too rare.
+3. Of the shards that hold a frequent phrase the one of least number spells it out, so texts move once each.
 
-Shards are written once to the shared folder and read by every level. Missing texts have no words, a missing
-language is ``und``; repeated rows count as often as they stand there; ids play no part. An empty table gives an
-empty result. A text without any mark is one piece, however long, and its shard is as large as it.
+Missing texts have no words, a missing language is ``und``; repeated rows count as often as they stand there; ids
+play no part. An empty table gives an empty result. The text of a document is never cut, so a shard may be longer
+by one document.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import LOWER_ASCII, column_of, hash_filter, in_filter, mix, settle, texts_of
+from skyledger.llm.common import (
+    LOWER_ASCII, as_long, column_of, hash_filter, in_filter, mix, scratch_dir, settle, spark_hash,
+    texts_of,
+)
 
 LONGEST = 5
 LEAST_COUNT = 100
 TOP = 2000
-SHARD_WORDS = 1 << 19
+#: Small enough that several shards, both sides of each, fit a worker and the buffers on its way.
+SHARD_BYTES = 1 << 20
+SHARDS_PER_FILE = 16
+#: Rows of text that are taken out of a batch together.
+SLICE = 500
 FILTER_BITS = 1 << 26
 NO_LANGUAGE = "und"
 
@@ -44,22 +56,17 @@ _PIECES = LOWER_ASCII.translate(bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"
 END = 0
 
 
-class _Ids(dict):
-    """Word to id, in order of appearance."""
-
-    def __init__(self) -> None:
-        super().__init__({b"\n": END, b"": -1})
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) - 1
-        return number
-
-
-def piece_ids(text: bytes, ids: _Ids) -> np.ndarray:
-    """Ids of a text's words with ends between pieces, and one at its end."""
-    tokens = text.translate(_PIECES).replace(b"\n", b" \n ").split(b" ")
-    found = np.fromiter(map(ids.__getitem__, tokens), np.int32, len(tokens))
-    return np.append(found[found >= 0], np.int32(END))
+def word_ids(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """Words, and their ids from 1 in the order of the texts, each piece between two ends."""
+    joined = b"\n".join([b"", *(text.translate(_PIECES) for text in texts), b""]).replace(b"\n", b" \n ")
+    tokens = pc.split_pattern(pa.array([joined], pa.large_binary()), b" ").flatten().dictionary_encode()
+    listed = tokens.dictionary.to_pylist()
+    # Places between two spaces are no words.
+    number = np.cumsum([token not in (b"", b"\n") for token in listed], dtype=np.int32)
+    number[[i for i, token in enumerate(listed) if token == b""]] = -1
+    number[[i for i, token in enumerate(listed) if token == b"\n"]] = END
+    found = number[tokens.indices.to_numpy()]
+    return [token for token in listed if token not in (b"", b"\n")], found[found >= 0]
 
 
 def _order(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +91,7 @@ def transform(text: np.ndarray) -> np.ndarray:
     two = _ranks(text, np.roll(text, -1))
     four = _ranks(two, np.roll(two, -2))
     order, _ = _order(four, np.roll(text, -4))
-    return text[order - 1].astype(np.int32)
+    return text[order - 1]
 
 
 class ShardIndex:
@@ -133,124 +140,165 @@ class ShardIndex:
         return owner[inside], word[inside], grown[inside]
 
 
-SHARD = "lang string, words binary, before binary, after binary"
-COUNTED = "lang string, phrase string, f long, before long, after long"
+SHARD = "lang string, shard long, n long, words binary, before binary, after binary"
+COUNTED = "value long, shard long, f long, before long, after long"
+SPELT = "value long, lang string, phrase string"
 
 
-def build_shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Index shards: the words of each in order of their ids, and both transforms."""
+def build_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Index shards: the number of words, the different ones in order of their ids, and both transforms."""
     names = [part.split()[0] for part in SHARD.split(", ")]
 
+    def close(lang: str, texts: list[bytes], number: int) -> pa.RecordBatch:
+        words, ids = word_ids(texts)
+        kind = _kind(len(words) + 1)
+        before, after = transform(ids).astype(kind), transform(ids[::-1]).astype(kind)
+        return pa.RecordBatch.from_arrays([
+            pa.array([lang], pa.string()), pa.array([number], pa.int64()), pa.array([np.count_nonzero(ids)], pa.int64()),
+            *(pa.array([value], pa.binary()) for value in (b"\n".join(words), before.tobytes(), after.tobytes())),
+        ], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_shards: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
-        sizes: dict[str, int] = {}
-
-        def close(lang: str) -> pa.RecordBatch:
-            ids, parts = open_shards.pop(lang)
-            del sizes[lang]
-            text = np.concatenate([np.array([END], np.int32), *parts])
-            words = b"\n".join(word for word, number in ids.items() if number > 0)
-            row = [[lang], [words], [transform(text).tobytes()], [transform(text[::-1]).tobytes()]]
-            return pa.RecordBatch.from_arrays([pa.array(row[0], pa.string()), *(pa.array(x, pa.binary()) for x in row[1:])], names)
-
-        for batch in batches:
-            for lang, text in zip(column_of(batch, "lang").to_pylist(), texts_of(batch)):
-                ids, parts = open_shards.setdefault(lang, (_Ids(), []))
-                parts.append(piece_ids(text, ids))
-                sizes[lang] = sizes.get(lang, 0) + len(parts[-1])
-                if sizes[lang] >= shard_words:
-                    yield close(lang)
-                elif sum(sizes.values()) >= 4 * shard_words:
-                    yield close(max(sizes, key=sizes.get))
-        for lang in list(open_shards):
-            yield close(lang)
+        held: dict[str, list[bytes]] = {}
+        sizes: Counter[str] = Counter()
+        numbers = count(TaskContext.get().partitionId() << 32)
+        for part in (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE)):
+            for lang, text in zip(column_of(part, "lang").to_pylist(), texts_of(part)):
+                held.setdefault(lang, []).append(text)
+                sizes[lang] += len(text) + 1
+                # The longest goes as well where many languages are open.
+                full = lang if sizes[lang] >= shard_bytes else max(sizes, key=sizes.get) if sizes.total() >= 8 * shard_bytes else None
+                if full is not None:
+                    yield close(full, held.pop(full), next(numbers))
+                    del sizes[full]
+        for lang, texts in held.items():
+            yield close(lang, texts, next(numbers))
 
     return docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     ).mapInArrow(run, SHARD)
 
 
-def _phrase_hashes(lang: str, codes: np.ndarray, phrases: np.ndarray) -> np.ndarray:
-    value = np.full(len(phrases), xxhash.xxh64_intdigest(lang), np.uint64)
-    for word in phrases.T:
-        value = mix(value * _K + codes[word])
-    return value
+def _kind(n_ids: int) -> type:
+    return np.uint16 if n_ids <= 1 << 16 else np.int32
 
 
-def _values(frequent: DataFrame) -> DataFrame:
-    """(value): the hashes of phrases."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = []
-            for lang, phrase in zip(column_of(batch, "lang").to_pylist(), texts_of(batch, "phrase")):
-                words = phrase.split(b" ")
-                codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-                values.append(_phrase_hashes(lang, codes, np.arange(len(words))[None, :])[0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(values, np.uint64).view(np.int64))], ["value"])
+@dataclass
+class Shard:
+    """A shard as it is read back."""
+
+    lang: str
+    number: int
+    words: list[bytes]
+    codes: np.ndarray
+    index: ShardIndex
+
 
-    return frequent.select("lang", "phrase").mapInArrow(run, "value long")
+def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            lang, number, _, words, before, after = (batch.column(i)[row].as_py() for i in range(6))
+            words = words.split(b"\n") if words else []
+            codes = np.concatenate([[np.uint64(0)], np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))])
+            sides = [np.frombuffer(side, _kind(len(codes))) for side in (before, after)]
+            yield Shard(lang, number, words, codes, ShardIndex(*sides, len(codes)))
 
 
-def list_phrases(
-    lang: str, words: list[bytes], index: ShardIndex, filters: list[np.ndarray]
-) -> tuple[np.ndarray, np.ndarray]:
-    """(word ids, interval pairs) of a shard's phrases, one word longer than there are filters.
+def _phrase_hashes(shard: Shard, phrases: np.ndarray) -> np.ndarray:
+    value = np.full(len(phrases), xxhash.xxh64_intdigest(shard.lang), np.uint64)
+    for word in phrases.T:
+        value = mix(value * _K + shard.codes[word])
+    return value
+
 
-    Filter k says which phrases of k words may be frequent: a phrase is extended if it is, and kept if both
-    its parts are.
+def list_phrases(shard: Shard, held: list[np.ndarray | None], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(word ids, hashes, interval pairs) of a shard's phrases of 1, 2, ... words.
+
+    Filter k of ``held``, if there is one, says which phrases of k words may be frequent. Phrases pass that of their
+    own length, or else of as many of their first words as there is one for; so do all their parts.
     """
-    codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    codes = np.concatenate([[np.uint64(0)], codes])
-    phrases, pairs = np.arange(1, len(words) + 1)[:, None], index.words()
-    for held in filters:
-        pick = in_filter(held, _phrase_hashes(lang, codes, phrases))
-        phrases, pairs = phrases[pick], pairs[pick]
-        owner, word, pairs = index.extend(pairs, 0)
-        phrases = np.concatenate([word[:, None], phrases[owner]], axis=1)
-        both = in_filter(held, _phrase_hashes(lang, codes, phrases[:, :-1]))
-        phrases, pairs = phrases[both], pairs[both]
-    return phrases, pairs
-
-
-def count_phrases(shards: DataFrame, filters: list[np.ndarray]) -> DataFrame:
-    """Phrases one word longer than there are filters, with their counts in the whole corpus."""
+    phrases, pairs = np.arange(1, len(shard.codes))[:, None], shard.index.words()
+    for n in range(1, longest + 1):
+        if n > 1:
+            owner, word, pairs = shard.index.extend(pairs, 0)
+            phrases = np.concatenate([word[:, None], phrases[owner]], axis=1)
+        values = _phrase_hashes(shard, phrases)
+        if held:
+            first = values if n <= len(held) else _phrase_hashes(shard, phrases[:, : len(held)])
+            wanted = held[min(n, len(held)) - 1]
+            if wanted is not None:
+                pick = in_filter(wanted, first)
+                phrases, values, pairs = phrases[pick], values[pick], pairs[pick]
+        if not len(phrases):
+            return
+        yield phrases, values, pairs
+
+
+def _frequent(shards: DataFrame, held: list[np.ndarray | None], longest: int, least: int) -> DataFrame:
+    """Hashes and counts of frequent phrases longer than there are filters, and the least shard that has them."""
     names = [part.split()[0] for part in COUNTED.split(", ")]
-    shared = shards.sparkSession.sparkContext.broadcast(filters)
+    shared = shards.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lang, words, before, after = (batch.column(i)[row].as_py() for i in range(4))
-                words = words.split(b"\n") if words else []
-                index = ShardIndex(np.frombuffer(before, np.int32), np.frombuffer(after, np.int32), len(words) + 1)
-                phrases, pairs = list_phrases(lang, words, index, shared.value)
-                if not len(phrases):
-                    continue
-                vocabulary = pa.array([b"", *words], pa.binary())
-                text = pc.binary_join_element_wise(*(vocabulary.take(pa.array(word)) for word in phrases.T), b" ")
+        for shard in _shards_of(batches):
+            for _, values, pairs in islice(list_phrases(shard, shared.value, longest), len(shared.value), None):
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(phrases), pa.string()), text.cast(pa.string()), pa.array(pairs[:, 2]),
-                    pa.array(index.neighbours(pairs, 0)), pa.array(index.neighbours(pairs, 1)),
+                    as_long(values), pa.array(np.full(len(values), shard.number)), pa.array(pairs[:, 2]),
+                    *(pa.array(shard.index.neighbours(pairs, side)) for side in (0, 1)),
                 ], names)
 
-    return shards.mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(*[F.sum(name).alias(name) for name in names[2:]])
+    counts = shards.mapInArrow(run, COUNTED).groupBy("value").agg(
+        F.min("shard").alias("shard"), *[F.sum(name).alias(name) for name in names[2:]]
+    )
+    return settle(counts.where(F.col("f") >= least), "phrase-counts")
+
+
+def _spelt(shards: DataFrame, held: list[np.ndarray | None], longest: int, frequent: DataFrame) -> DataFrame:
+    """The texts of frequent phrases, each from the shard named for it."""
+    names = [part.split()[0] for part in SPELT.split(", ")]
+    named = hash_filter(frequent.select(F.xxhash64("shard", "value").alias("value")), FILTER_BITS)
+    shared = shards.sparkSession.sparkContext.broadcast((held, named))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, named = shared.value
+        for shard in _shards_of(batches):
+            seed = int(spark_hash(np.array([shard.number]))[0])
+            vocabulary = pa.array([b"", *shard.words], pa.binary())
+            for phrases, values, _ in list_phrases(shard, held, longest):
+                pick = in_filter(named, spark_hash(values, seed))
+                text = pc.binary_join_element_wise(*(vocabulary.take(pa.array(word)) for word in phrases[pick].T), b" ")
+                yield pa.RecordBatch.from_arrays(
+                    [as_long(values[pick]), pa.array([shard.lang] * len(text), pa.string()), text.cast(pa.string())], names
+                )
+
+    # A filter may let several shards spell a phrase.
+    return shards.mapInArrow(run, SPELT).groupBy("value").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, shard_words: int = SHARD_WORDS
+    docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, shard_bytes: int = SHARD_BYTES
 ) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, n_words, f, before, after) of all phrases that occur often enough, and (lang, n) of all words."""
-    shards = settle(build_shards(docs, shard_words), "phrase-shards")
-    words = settle(count_phrases(shards, []), "phrase-words")
-    totals = settle(words.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
-    levels, filters = [words.where(F.col("f") >= least)], []
-    for n in range(2, longest + 1):
-        filters.append(hash_filter(_values(levels[-1]), FILTER_BITS))
-        levels.append(settle(count_phrases(shards, filters).where(F.col("f") >= least), f"phrases-{n}"))
-    found = None
-    for n, level in enumerate(levels, 1):
-        level = level.withColumn("n_words", F.lit(n))
-        found = level if found is None else found.unionByName(level)
+    """(lang, phrase, f, before, after) of all phrases that occur often enough, and (lang, n) of all words."""
+    spark = docs.sparkSession
+    path = f"{scratch_dir(spark, 'phrase-shards')}/table"
+    build_shards(docs, shard_bytes).write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
+    shards = spark.read.schema(SHARD).parquet(path)
+    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
+
+    def bitmap(counts: DataFrame) -> np.ndarray:
+        return hash_filter(counts.select("value"), FILTER_BITS)
+
+    # A word of a frequent pair is frequent itself, so words need no filter of their own.
+    frequent = _frequent(shards, [], min(2, longest), least)
+    pairs = bitmap(frequent)
+    held = [None, pairs]
+    if longest > 2:
+        longer = _frequent(shards, held, longest, least)
+        held += [bitmap(longer)] * (longest - 2)
+        frequent = frequent.unionByName(longer)
+    # Here words are wanted too, those of the first filter.
+    spelt = _spelt(shards, [pairs, *held[1:]], longest, frequent)
+    found = settle(spelt.join(frequent, "value").select("lang", "phrase", "f", "before", "after"), "phrases")
     return found, totals
 
 
@@ -258,15 +306,16 @@ def _part(first: Column | int, size: Column) -> Column:
     return F.array_join(F.slice("words", first, size), " ")
 
 
-def collocations(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, top: int = TOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Each language's best phrases by how much likelier they are than their weakest cut into two parts.
 
     A phrase goes where a longer one that contains it is as frequent; such a longer one may be taken to
     be one word longer, since what lies between has the same count.
     """
-    found, totals = frequent_phrases(docs, least, longest, shard_words)
+    found, totals = frequent_phrases(docs, least, longest, shard_bytes)
     counts = found.select("lang", "phrase", "f")
-    phrases = found.where("n_words > 1").withColumn("words", F.split("phrase", " "))
+    words = F.split("phrase", " ")
+    phrases = found.select("*", words.alias("words"), F.size(words).alias("n_words")).where("n_words > 1")
 
     size = F.size("words") - 1
     inside = (

@@ -174,8 +174,8 @@ def ranked(rows, least, longest, top):
     }
 
 
-@pytest.mark.parametrize("shard_words", [phrase_index.SHARD_WORDS, 60])
-def test_phrases_equal_all_windows(spark, shard_words):
+@pytest.mark.parametrize("shard_bytes", [phrase_index.SHARD_BYTES, 150])
+def test_phrases_equal_all_windows(spark, shard_bytes):
     rng = random.Random(8)
     rows = []
     for _ in range(80):
@@ -183,7 +183,7 @@ def test_phrases_equal_all_windows(spark, shard_words):
         rows.append((rng.choice(("x", "y", None)), "".join(word + rng.choice((" ", " ", "\t ", ", ", "\n", ".")) for word in words)))
     rows += rows[:5] + [("z", None), ("z", ""), (None, None)]
     frame = spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(rows)], DOCUMENTS)
-    got = phrase_index.collocations(frame, least=4, longest=4, top=25, shard_words=shard_words)
+    got = phrase_index.collocations(frame, least=4, longest=4, top=25, shard_bytes=shard_bytes)
     assert {tuple(r) for r in got.collect()} == ranked(rows, 4, 4, 25)
 
 
