@@ -67,29 +67,44 @@ def normalize_observations(observations: DataFrame, zone: str | Column = DEFAULT
     ).withColumn("day", F.to_date("local_time"))
 
 
-def summarize_days(normalized: DataFrame) -> DataFrame:
-    """One row per station, run and local day, with metadata of the earliest observation that has any.
+#: What a station-day's observations state besides their measures; nearly always one variant a day.
+VARIANT_KEYS = (*DAY_KEYS, "station_name", "payload_latitude", "payload_longitude")
+
+
+def day_partials(normalized: DataFrame) -> DataFrame:
+    """Station-days in a form that can be merged, per metadata stated.
 
     Choosing the earliest text or position needs a sort-based aggregate. So that it does not sort
-    every observation, rows are first combined per stated metadata as well, which is nearly
-    always one group per station-day, and with numbers only, which Spark does in hash maps.
+    every observation, rows are combined per stated metadata here, and with numbers only, which
+    Spark does in hash maps.
     """
-    variants = (
-        accepted(normalized, CHECKS)
-        .groupBy(*DAY_KEYS, "station_name", "payload_latitude", "payload_longitude")
-        .agg(
-            F.min("observed_at").alias("first_at"),
-            F.count(F.lit(1)).alias("obs_count"),
-            F.sum("temperature_c").alias("temp_sum"),
-            F.count("temperature_c").alias("temp_count"),
-            F.min("temperature_c").alias("min_temp_c"),
-            F.max("temperature_c").alias("max_temp_c"),
-            F.sum("wind_mps").alias("wind_sum"),
-            F.count("wind_mps").alias("wind_count"),
-            F.max("wind_mps").alias("max_wind_mps"),
-        )
+    return accepted(normalized, CHECKS).groupBy(*VARIANT_KEYS).agg(
+        F.min("observed_at").alias("first_at"),
+        F.count(F.lit(1)).alias("obs_count"),
+        F.sum("temperature_c").alias("temp_sum"),
+        F.count("temperature_c").alias("temp_count"),
+        F.min("temperature_c").alias("min_temp_c"),
+        F.max("temperature_c").alias("max_temp_c"),
+        F.sum("wind_mps").alias("wind_sum"),
+        F.count("wind_mps").alias("wind_count"),
+        F.max("wind_mps").alias("max_wind_mps"),
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partial station-days of several parts of the observations as those of all of them."""
+    totals = ("obs_count", "temp_sum", "temp_count", "wind_sum", "wind_count")
+    least, most = ("first_at", "min_temp_c"), ("max_temp_c", "max_wind_mps")
+    merged = partials.groupBy(*VARIANT_KEYS).agg(
+        *[F.sum(name).alias(name) for name in totals],
+        *[F.min(name).alias(name) for name in least],
+        *[F.max(name).alias(name) for name in most],
     )
+    return merged.select(*partials.columns)
+
 
+def finish_days(partials: DataFrame) -> DataFrame:
+    """One row per station, run and local day, with metadata of the earliest observation that has any."""
     def earliest(value: Column, present: Column) -> Column:
         return F.min(F.when(present, F.struct(F.col("first_at"), value.alias("value"))))["value"]
 
@@ -98,7 +113,7 @@ def summarize_days(normalized: DataFrame) -> DataFrame:
 
     position = F.struct(F.col("payload_latitude").alias("lat"), F.col("payload_longitude").alias("lon"))
     has_position = F.col("payload_latitude").isNotNull() | F.col("payload_longitude").isNotNull()
-    return variants.groupBy(*DAY_KEYS).agg(
+    return partials.groupBy(*DAY_KEYS).agg(
         earliest(F.col("station_name"), F.col("station_name").isNotNull()).alias("station_name"),
         earliest(position, has_position).alias("position"),
         F.sum("obs_count").alias("obs_count"),
@@ -110,6 +125,11 @@ def summarize_days(normalized: DataFrame) -> DataFrame:
     )
 
 
+def summarize_days(normalized: DataFrame) -> DataFrame:
+    """One row per station, run and local day."""
+    return finish_days(day_partials(normalized))
+
+
 def enrich_days(days: DataFrame, manifest: DataFrame) -> DataFrame:
     """Daily rows from local-day summaries, with the manifest's metadata where it knows the station.
 

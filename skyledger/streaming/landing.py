@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from skyledger.functions.values import first_present
 from skyledger.operators.observations import CHECKS, DAY_KEYS, summarize_days
 from skyledger.operators.validity import accepted
 
@@ -29,6 +30,10 @@ def stream_json_lines(spark: SparkSession, root: str, schema: str, file_glob: st
     return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).json(root)
 
 
+#: How long after its arrival a record is known.
+REMEMBER = "7 days"
+
+
 def land(stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:
     """Appends what has newly arrived to a Parquet dataset, once per input file, and waits."""
     writer = stream.writeStream.format("parquet").outputMode("append")
@@ -40,6 +45,31 @@ def land(stream: DataFrame, out: str, checkpoint: str, partition_by: tuple[str,
     query.awaitTermination()
 
 
+def record_key(*names: str) -> Column:
+    """What identifies a record: the first of the ids that is stated, else all it says.
+
+    Rows that state nothing that tells them apart are one record.
+    """
+    stated = F.concat(F.lit("id:"), first_present(*[F.col(f"`{name}`") for name in names]))
+    return F.coalesce(stated, F.concat(F.lit("row:"), F.sha2(F.to_json(F.struct("*")), 256)))
+
+
+def first_arrivals(stream: DataFrame, key: Column, remember: str = REMEMBER) -> DataFrame:
+    """The records of a stream of files without those that came before.
+
+    Event time is the arrival of a record's file, not the time of the observation: a record is
+    forgotten ``remember`` after it came, however old it is, and a file that holds old observations is
+    never too late. Of the records of one key the first to come stays.
+    """
+    columns = stream.columns
+    return (
+        stream.select("*", key.alias("_record"), F.col("_metadata.file_modification_time").alias("_arrived"))
+        .withWatermark("_arrived", remember)
+        .dropDuplicatesWithinWatermark(["_record"])
+        .select(*[F.col(f"`{name}`") for name in columns])
+    )
+
+
 def _numbered(df: DataFrame) -> StructType:
     """The frame's schema with the number of the batch."""
     return StructType([*df.schema.fields, StructField("batch", LongType())])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import observations
 from skyledger.schemas import RAW_LONG, ddl
 from skyledger.sources import raw
-from skyledger.streaming import landing
+from skyledger.streaming import closing, landing
 from test_sources import LONG, lines, put
 
 FIELDS = (
@@ -83,3 +83,78 @@ def test_new_files_are_landed_once(spark, tmp_path):
     put(tmp_path / "raw" / "run_date=2024-01-02" / raw.LONG_FILE, lines(LONG))
     assert [tuple(r) for r in run()] == [("2024-01-01", 2), ("2024-01-02", 1)]
     assert [tuple(r) for r in run()] == [("2024-01-01", 2), ("2024-01-02", 1)]
+
+
+def closing_run(spark, tmp_path, batches, **kwargs):
+    """Batches of (station, day and time, temperature) closed one after the other; returns days, late rows, open days."""
+    folder = str(tmp_path / "closing")
+    for number, rows in enumerate(batches):
+        frame = spark.createDataFrame(
+            [("r", s, "N", f"2024-01-{at}+00:00", (t,), (None, None), None) for s, at, t in rows], FIELDS
+        )
+        closing.close_days(observations.normalize_observations(frame, "UTC"), number, folder, **kwargs)
+    days = sorted((r.batch, r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in closing.read_closed_days(spark, folder).collect())
+    late = sorted((r.batch, r.station_id, r.day.day) for r in closing.read_late_rows(spark, folder).collect())
+    still = sorted((r.station_id, r.day.day, r.obs_count) for r in closing.read_open_days(spark, folder).collect())
+    return days, late, still
+
+
+CLOSING = [
+    [("K1", "02T12:00:00", 1.0), ("K2", "03T04:30:00", 5.0)],
+    [("K1", "02T15:00:00", 3.0), ("K2", "04T23:59:59", 7.0), (None, "29T00:00:00", 1.0)],
+    [("K1", "05T00:00:00", 9.0)],
+    [],
+    [("K1", "02T16:00:00", 50.0), ("K1", "07T00:00:00", 1.0), ("K2", "04T01:00:00", 9.0)],
+]
+
+
+def test_days_close_once_and_late_rows_are_listed(spark, tmp_path):
+    """Two days after the newest time a day is closed; a row of an open day counts, however far behind it comes."""
+    days, late, still = closing_run(spark, tmp_path, CLOSING)
+    assert days == [(2, "K1", 2, 2, 2.0), (4, "K2", 3, 1, 5.0), (4, "K2", 4, 2, 8.0)]
+    assert late == [(4, "K1", 2)]
+    assert still == [("K1", 5, 1), ("K1", 7, 1)]
+
+
+def test_a_repeated_batch_closes_the_same_days(spark, tmp_path):
+    seen = []
+    publish = lambda days, number: seen.append((number, sorted((r.station_id, r.day.day) for r in days.collect())))
+    before = closing_run(spark, tmp_path, CLOSING, publish=publish)
+    folder = str(tmp_path / "closing")
+    frame = spark.createDataFrame(
+        [("r", s, "N", f"2024-01-{at}+00:00", (t,), (None, None), None) for s, at, t in CLOSING[-1]], FIELDS
+    )
+    closing.close_days(observations.normalize_observations(frame, "UTC"), 4, folder, publish=publish)
+    again = sorted((r.batch, r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in closing.read_closed_days(spark, folder).collect())
+    assert again == before[0] and seen[-1] == seen[-2]
+    # The tables of open days do not pile up.
+    assert len(list((tmp_path / "closing" / "state").iterdir())) == 2
+
+
+def test_closing_reads_no_earlier_rows(spark, tmp_path):
+    """Files of earlier batches may be gone: what is open is kept as partial days."""
+    folder, source = str(tmp_path / "closing"), tmp_path / "in"
+    for number, rows in enumerate((CLOSING[0], CLOSING[1], CLOSING[2])):
+        observed(spark, source / str(number), *[row for row in rows if row[0]])
+        stream = spark.readStream.schema(FIELDS).parquet(f"{source}/*")
+        closing.stream_closed_days(observations.normalize_observations(stream, "UTC"), folder, str(tmp_path / "checkpoint"))
+        for file in (source / str(number)).iterdir():
+            file.unlink()
+    days = closing.read_closed_days(spark, folder).collect()
+    assert [(r.batch, r.station_id, r.day.day, r.obs_count, r.avg_temp_c) for r in days] == [(2, "K1", 2, 2, 2.0)]
+
+
+def test_records_come_out_once(spark, tmp_path):
+    """By id, else by another id, else by content; old rows in a new file are not too late."""
+    schema = "`@id` string, feature_id string, timestamp string, value double"
+    arrivals = [
+        [("a", "f", "2024-01-09", 1.0), ("", "g", "2024-01-09", 2.0), (None, None, "2024-01-09", 3.0), (None, None, "2024-01-09", 4.0)],
+        [("a", "x", "2024-01-09", 1.0), (None, "g", "2024-01-09", 2.0), (None, None, "2024-01-09", 3.0), ("old", None, "1999-01-01", 5.0)],
+        [("h", None, "2024-01-10", 6.0), ("old", None, "1999-01-01", 5.0)],
+    ]
+    for number, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, schema).write.json(str(tmp_path / "in" / str(number)))
+        stream = spark.readStream.schema(schema).json(f"{tmp_path}/in/*")
+        once = landing.first_arrivals(stream, landing.record_key("@id", "feature_id"))
+        landing.land(once, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
