@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from skyledger.functions.values import round_aggregate
 
 STATION_YEAR_KEYS = ("source", "noaa_station_id", "station_name", "state", "country", "year")
+PLACE_KEYS = (*STATION_YEAR_KEYS, "latitude", "longitude")
+#: What is summed over a year; all but precipitation become means.
+YEARLY_MEASURES = ("avg_temp_c", "min_temp_c", "max_temp_c", "precip_mm", "avg_wind_mps")
 
 
 def unite(frames: list[DataFrame]) -> DataFrame:
@@ -35,14 +38,17 @@ def station_years(daily: DataFrame) -> DataFrame:
     rows does not weigh on one task. The place is one position that the days state: of several the one
     of least latitude, then longitude; positions that lack a coordinate come last.
     """
-    means = ("avg_temp_c", "min_temp_c", "max_temp_c", "avg_wind_mps")
-    places = daily.groupBy(*STATION_YEAR_KEYS, "latitude", "longitude").agg(
+    means = [name for name in YEARLY_MEASURES if name != "precip_mm"]
+    return finish_station_years(daily.groupBy(*PLACE_KEYS).agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("precip_mm").alias("precip_mm"),
         *[F.sum(name).alias(f"{name}_sum") for name in means],
         *[F.count(name).alias(f"{name}_count") for name in means],
-    )
+    ))
+
 
+def finish_station_years(places: DataFrame) -> DataFrame:
+    """Yearly values per station from sums and counts per station-year and position."""
     def mean(name: str) -> Column:
         return round_aggregate(F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")))
 

