@@ -125,3 +125,47 @@ def publication_order(daily: DataFrame) -> DataFrame:
     keys = [F.desc("date"), F.asc("source"), F.asc("source_station_id")]
     spread = F.xxhash64(*[F.col(name) for name in daily.columns])
     return daily.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
+
+
+#: Rows that are looked at to cut dates and stations into ranges, and ranges of each as a power of 2.
+LAYOUT_SAMPLE = 4096
+LAYOUT_BITS = 4
+
+
+def range_bounds(df: DataFrame, column: str) -> list:
+    """Up to 15 values that cut a column into ranges of about as many rows each.
+
+    From a sample of fixed size: the rows of least hash, which each task finds for itself. Bounds decide
+    where rows lie, never which rows there are.
+    """
+    key = F.xxhash64(*[F.col(name) for name in df.columns])
+    rows = df.select(F.col(column).alias("value"), key.alias("key")).filter("value IS NOT NULL").orderBy("key", "value").limit(LAYOUT_SAMPLE)
+    values = sorted(row.value for row in rows.collect())
+    parts = 1 << LAYOUT_BITS
+    return sorted({values[len(values) * i // parts] for i in range(1, parts)}) if values else []
+
+
+def cell_of(date_rank: Column, station_rank: Column) -> Column:
+    """The place of a cell on a Z-shaped curve through all cells: the bits of both ranks in turn."""
+    cell = F.lit(0)
+    for bit in range(LAYOUT_BITS):
+        for side, rank in ((1, station_rank), (0, date_rank)):
+            cell = cell.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), 2 * bit + side))
+    return cell
+
+
+def cell_order(daily: DataFrame, files: int) -> DataFrame:
+    """Rows in files by cells of date range and station range, along a Z-shaped curve.
+
+    ``publication_order`` serves filters by date; here a filter by station skips as many files as one by date. The
+    range keys end in a hash of the row, so that a hot cell can be cut apart.
+    """
+    def rank(column: str) -> Column:
+        bounds = range_bounds(daily, column)
+        below = [F.when(F.col(column) >= F.lit(bound), 1).otherwise(0) for bound in bounds]
+        return sum(below, F.lit(0))
+
+    spread = F.xxhash64(*[F.col(name) for name in daily.columns])
+    laid = daily.withColumn("_cell", cell_of(rank("date"), rank("source_station_id")))
+    keys = ("_cell", "source_station_id", "date")
+    return laid.repartitionByRange(files, "_cell", spread).sortWithinPartitions(*keys).drop("_cell")

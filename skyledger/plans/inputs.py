@@ -346,3 +346,21 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"station_name": '), line)).otherwise(line).alias("value")
     )
+
+
+def station_year_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole station-year file per customer and year, in one of three layouts, a line per order."""
+    day, price, customer = F.to_date("o_orderdate"), F.floor("o_totalprice").cast("string"), F.col("o_custkey")
+    layout = customer % 3
+    line = (
+        F.when(layout == 0, text(day, ",", price, ",x,7"))
+        .when(layout == 1, text('"', price, '" , ', price, ',"', day, ' 00:00, noon"'))
+        .otherwise(text(F.year(day), ",", F.month(day), ",", F.dayofmonth(day), ",,", price))
+    )
+    header = F.when(layout == 0, "date,temp,other,wspd,temp").when(layout == 1, '"PRCP", tmin ,Time,wpgt').otherwise("year,month,day,temp,tmax")
+    lines = table(spark, sf, "orders").groupBy("o_custkey", F.year(day).alias("year")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    end = F.when(layout == 0, "\r\n").otherwise("\n")
+    return lines.select(
+        text("file:/data/", F.col("year"), "/M", customer, ".csv.gz").alias("path"),
+        F.concat(header, end, F.concat_ws("\n", "lines"), end, end).alias("value"),
+    )

@@ -417,6 +417,14 @@ WITH lines AS (
 SELECT f[1] AS station_id, f[2] AS raw_day, f[3] AS datatype, f[4] AS raw_value, f[5] AS mflag, f[6] AS qflag, f[7] AS sflag,
   f[8] AS obs_time
 FROM lines WHERE len(f) >= 8""",
+    "station_year_fields": """
+SELECT 'M' || o_custkey AS meteostat_station_id,
+  CASE WHEN k = 0 THEN d::varchar END AS date, CASE WHEN k = 1 THEN d || ' 00:00, noon' END AS time,
+  CASE WHEN k = 2 THEN year(d)::varchar END AS year, CASE WHEN k = 2 THEN month(d)::varchar END AS month,
+  CASE WHEN k = 2 THEN day(d)::varchar END AS day, CASE WHEN k = 0 THEN price END AS temp,
+  CASE WHEN k = 1 THEN ' ' || price END AS tmin, CASE WHEN k = 2 THEN price END AS tmax,
+  CASE WHEN k = 1 THEN price END AS prcp, NULL::varchar AS snwd, CASE WHEN k = 0 THEN '7' END AS wspd, NULL::varchar AS wpgt
+FROM (SELECT *, o_custkey % 3 AS k, o_orderdate::date AS d, floor(o_totalprice)::bigint::varchar AS price FROM orders)""",
     "stated_fields": """
 SELECT 'event_id' AS field FROM events WHERE event_id % 7 <> 0 GROUP BY 1
 UNION ALL SELECT 'kind' FROM events WHERE event_id % 7 <> 0 GROUP BY 1
@@ -528,12 +536,17 @@ FROM catalog c JOIN (
   SELECT n_name AS region, o_custkey, min(o_orderdate)::date AS f, max(o_orderdate)::date AS l
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, o_custkey
 ) r ON c.region = r.region AND daily_start <= l AND daily_end >= f AND daily_start <= daily_end""", "catalog"),
+    "prune_partitions": sql("""
+SELECT station_id AS station, 'feature-' || event_id AS feature_id, stamp AS timestamp FROM obs
+WHERE station_id IN (SELECT nws_station_id FROM manifest WHERE nws_station_id IS NOT NULL)""", "obs", "manifest"),
     "prune_semi": sql("""
 SELECT station_id AS station, 'feature-' || event_id AS feature_id, stamp AS timestamp FROM obs
 WHERE station_id IN (SELECT nws_station_id FROM manifest WHERE nws_station_id IS NOT NULL)""", "obs", "manifest"),
     "publish_documents": sql("SELECT * FROM documents_all", "documents_all"),
     "latest_per_key": sql(LATEST % "SELECT * FROM documents_all", "documents_all"),
     "keyed_upsert": sql("SELECT * FROM merged", "merged"),
+    "bucketed_upsert": sql("SELECT * FROM merged", "merged"),
+    "cell_lookup": sql("SELECT * FROM unified WHERE source_station_id = 'M7' OR date = date '2024-01-15'", "unified"),
     "upsert_counts": sql("""
 SELECT (SELECT count(_id) FROM handed_over) AS to_process, count(*) FILTER (action = 'inserted') AS upserted,
   count(*) FILTER (action = 'replaced') AS modified, count(*) FILTER (action IN ('replaced', 'unchanged')) AS matched

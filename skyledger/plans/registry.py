@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -26,7 +27,7 @@ from skyledger.operators import (
 from skyledger.operators.validity import REASON, rejected
 from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
-from skyledger.schemas import CATALOG
+from skyledger.schemas import CATALOG, CLIMATE_DAILY
 from skyledger.session import scratch_dir, settle
 from skyledger.sources import raw, tables
 from skyledger.streaming import closing, landing
@@ -37,6 +38,7 @@ LINES_START, LINES_END = date(1996, 1, 1), date(2000, 12, 31)
 WINDOW_START, WINDOW_END = date(2014, 1, 1), date(2023, 12, 31)
 TREND_YEAR = 1998
 SAMPLE_DAY = "2024-01-15"
+LOOKUP_STATION = "M7"
 EARLIER_RUN_UNTIL = "2024-01-16"
 
 QUERIES: dict[str, Query] = {}
@@ -61,6 +63,12 @@ def stated_fields(spark: SparkSession, sf: str) -> DataFrame:
     return raw.stated_fields(inputs.event_lines(spark, sf), ["event_id", "kind", "value", "station_name"])
 
 
+@query
+def station_year_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole station-year files of three layouts, taken apart by their first lines."""
+    return raw.split_station_years(inputs.station_year_files(spark, sf))
+
+
 # Shared steps
 
 def long_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -474,6 +482,16 @@ def inventory_overlaps(spark: SparkSession, sf: str) -> DataFrame:
     ).select("region", "id", "o_custkey", "overlap_start", "overlap_end")
 
 
+@query
+def prune_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``prune_semi``, of rows that lie in a folder per station: others' folders are not read."""
+    path = f"{scratch_dir(spark, 'prune-partitions')}/landed"
+    rows = inputs.observations(spark, sf).filter("stationId IS NOT NULL").withColumn("station", F.col("stationId"))
+    rows.select("station", "feature_id", "timestamp").hint("rebalance", "station").write.partitionBy("station").parquet(path)
+    landed = spark.read.schema("feature_id string, timestamp string, station string").parquet(path)
+    return incremental.prune_to_manifest(landed, inputs.manifest(spark, sf)).select("station", "feature_id", "timestamp")
+
+
 # Publishing
 
 @query
@@ -508,6 +526,28 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return publish.merge_snapshot(earlier_snapshot(spark, sf), next_documents(spark, sf))
 
 
+SNAPSHOT_BUCKETS = 8
+
+
+@query
+def bucketed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``keyed_upsert``, into a snapshot that lies in buckets of its key and is not moved."""
+    folder = scratch_dir(spark, "bucketed-upsert")
+    table = "snapshot_" + uuid.uuid4().hex
+    for documents in (earlier_snapshot(spark, sf), handed_over(spark, sf)):
+        tables.publish_bucketed(spark, table, folder, documents, SNAPSHOT_BUCKETS)
+    return spark.table(table)
+
+
+@query
+def cell_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Of daily rows laid out by cells of date and station: one station's, and one day's."""
+    path = f"{scratch_dir(spark, 'cells')}/daily"
+    tables.write_in_cells(unified(spark, sf), path, 16)
+    daily = tables.read_table(spark, path, CLIMATE_DAILY)
+    return daily.filter((F.col("source_station_id") == LOOKUP_STATION) | (F.col("date") == F.lit(SAMPLE_DAY).cast("date")))
+
+
 @query
 def upsert_counts(spark: SparkSession, sf: str) -> DataFrame:
     return publish.upsert_counts(keyed_upsert(spark, sf), handed_over(spark, sf))

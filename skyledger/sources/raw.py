@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable, Iterable
 from datetime import date
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.functions.values import whole_number
 from skyledger.schemas import (
@@ -38,6 +35,7 @@ GHCN_FIELDS = ("station_id", "raw_day", "datatype", "raw_value", "mflag", "qflag
 STATION_YEAR_FIELDS = (
     "date", "time", "year", "month", "day", "temp", "tmin", "tmax", "prcp", "snwd", "wspd", "wpgt",
 )
+STATION_YEAR_COLUMNS = 32
 
 
 def optional(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -144,49 +142,42 @@ def split_ghcn_lines(lines: DataFrame) -> DataFrame:
     return fields.select(*[F.col("fields")[i].alias(name) for i, name in enumerate(GHCN_FIELDS)])
 
 
-def station_year_headers(lines: DataFrame) -> DataFrame:
-    """(path, header): the first line of each file, whatever it says.
+def read_station_years(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
+    """Lines of the station-year files ``root/<year>/<station>.csv.gz`` of a window's years.
 
-    Lines of a compressed file come from one task in their order, and splits of a plain file in theirs,
-    so the least (start of the split, place in the task) is the first line. One row a file is combined in each task.
+    Years without files are passed over. A file holds a station's days of one year, so it is read whole, as a row of
+    its own: its first line is at hand wherever it is parsed, and files are read once, in one plan for all layouts.
     """
-    first = F.min(F.struct("start", "place", "value")).alias("first")
-    return lines.groupBy("path").agg(first).select("path", F.col("first.value").alias("header"))
+    years = ",".join(str(year) for year in range(start.year, end.year + 1))
+    files = spark.read.text(f"{root}/{{{years}}}/*.csv*", wholetext=True)
+    return split_station_years(files.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
-def read_station_years(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:
-    """Lines of the station-year files ``root/<year>/<station>.csv.gz`` of a window's years.
+def split_station_years(files: DataFrame) -> DataFrame:
+    """The known fields of each line behind the first of whole files (``path``, ``value``).
 
-    Years without files are passed over. The station is named by the file, the fields by the file's
-    first line, quoted or not. Files are read layout by layout: those with one header are parsed
-    together by Spark's CSV reader, so no line is joined with its header. A file without any known
-    field gives rows of nulls, whose date counts as missing; nothing is dropped here.
+    The station is named by the path, the fields by the file's first line, quoted or not, of which the first
+    ``STATION_YEAR_COLUMNS`` count. Blank lines go; a line that ends early lacks its last fields. A file without
+    any known field gives rows of nulls, whose date counts as missing.
     """
-    years = ",".join(str(year) for year in range(start.year, end.year + 1))
-    pattern = f"{root}/{{{years}}}/*.csv*"
-    lines = spark.read.text(pattern).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"), "value",
+    columns = ", ".join(f"c{i} string" for i in range(STATION_YEAR_COLUMNS))
+
+    def cells(line: Column) -> Column:
+        row = F.from_csv(line, columns)
+        return F.array(*[row[f"c{i}"] for i in range(STATION_YEAR_COLUMNS)])
+
+    station = F.regexp_extract("path", r"([^/]+)\.csv(\.gz)?$", 1).alias("meteostat_station_id")
+    lines = files.select(station, F.split("value", "\r?\n").alias("lines")).select(
+        "meteostat_station_id", F.transform(cells(F.col("lines")[0]), lambda name: F.lower(F.trim(name))).alias("names"),
+        F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
     )
-    # Names of files, which the driver lists for any scan, and their headers: a few layouts.
-    layouts: dict[str, list[str]] = {}
-    for row in station_year_headers(lines).toLocalIterator():
-        layouts.setdefault(row.header, []).append(row.path)
-    station = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(\.gz)?$", 1).alias("meteostat_station_id")
-    frames = []
-    for header, paths in layouts.items():
-        names = [name.strip().lower() for name in next(csv.reader([header]), [])]
-        columns = StructType([StructField(f"c{i}", StringType()) for i in range(max(1, len(names)))])
-        rows = spark.read.schema(columns).option("header", True).option("enforceSchema", True).csv(paths)
-        fields = [
-            (F.col(f"c{names.index(name)}") if name in names else F.lit(None).cast("string")).alias(name)
-            for name in STATION_YEAR_FIELDS
-        ]
-        frames.append(rows.select(station, *fields))
-    if not frames:
-        empty = ", ".join(f"{name} string" for name in ("meteostat_station_id", *STATION_YEAR_FIELDS))
-        return spark.createDataFrame([], empty)
-    return reduce(DataFrame.unionByName, frames)
+    rows = lines.filter(F.trim("line") != "").select("meteostat_station_id", "names", cells(F.col("line")).alias("cells"))
+
+    def field(name: str) -> Column:
+        place = F.array_position(F.transform("names", lambda stated: F.coalesce(stated, F.lit(""))), name)
+        return F.when(place > 0, F.get("cells", (place - 1).cast("int"))).alias(name)
+
+    return rows.select("meteostat_station_id", *[field(name) for name in STATION_YEAR_FIELDS])
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import rollup_view
-from skyledger.operators.curate import publication_order
+from skyledger.operators.curate import cell_order, publication_order
 from skyledger.operators.publish import KEY, latest_per_key, merge_snapshot, snapshot_changes, upsert_counts
 from skyledger.schemas import CLIMATE_DAILY, FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
 from skyledger.session import has_mark, remove_folder, set_mark, settle
@@ -52,6 +52,11 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str, ordered:
     )
 
 
+def write_in_cells(df: DataFrame, path: str, files: int) -> None:
+    """Writes daily rows so that files hold few dates and few stations each; see ``curate.cell_order``."""
+    cell_order(df, files).write.mode("overwrite").parquet(path)
+
+
 def overwrite_run(df: DataFrame, path: str, partition: str, run_date: str, ordered: bool = False) -> None:
     """Replaces one run's partition of a Parquet dataset, also with nothing; ``ordered`` as above."""
     rows = publication_order(df) if ordered else df.hint("rebalance")
@@ -117,6 +122,35 @@ def publish_snapshot(
     return spark.createDataFrame([counts], "to_process bigint, upserted bigint, modified bigint, matched bigint")
 
 
+def publish_bucketed(
+    spark: SparkSession, table: str, path: str, documents: DataFrame, buckets: int, order: str = "ingest_run_date"
+) -> DataFrame:
+    """Merges documents into a snapshot kept as a table in buckets of its key; returns what was done, as counts.
+
+    For snapshots whose keys do not tell their partition. The documents are dealt out to the buckets once, before the
+    newest of each key is taken; the snapshot, whatever its size, is read bucket by bucket and not moved, and the
+    merged rows are written by the tasks that hold their bucket. The table's ``action`` is that of the last
+    publish. Files lie below ``path``; the table is exchanged when the new one is whole.
+    """
+    incoming = latest_per_key(documents.repartition(buckets, KEY), order=order)
+    held = spark.catalog.tableExists(table)
+    existing = spark.table(table).select(*incoming.columns) if held else spark.createDataFrame([], incoming.schema)
+    following = f"{table}_next"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    (
+        merge_snapshot(existing, incoming).write.bucketBy(buckets, KEY).sortBy(KEY)
+        .option("path", f"{path.rstrip('/')}/{uuid.uuid4().hex}").saveAsTable(following)
+    )
+    counts = upsert_counts(spark.table(following), documents).first()
+    if held:
+        old = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first().data_type
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    if held:
+        remove_folder(spark, old)
+    return spark.createDataFrame([counts], "to_process bigint, upserted bigint, modified bigint, matched bigint")
+
+
 def publish_with_view(
     spark: SparkSession, path: str, view_path: str, documents: DataFrame, order: str = "ingest_run_date"
 ) -> DataFrame:

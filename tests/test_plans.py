@@ -99,3 +99,14 @@ def test_publication_order_splits_a_hot_day(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert max(sizes) < 0.4 * sum(sizes)
+
+
+def test_folders_of_other_stations_are_not_read(spark, tmp_path):
+    """The manifest's stations are looked up when the query runs, and only their folders are scanned."""
+    from skyledger.operators import incremental
+    path = str(tmp_path / "landed")
+    spark.range(40).selectExpr("id AS v", "concat('K', id) AS station").write.partitionBy("station").parquet(path)
+    landed = spark.read.schema("v long, station string").parquet(path)
+    kept = incremental.prune_to_manifest(landed, inputs.manifest(spark, SF_DIR).filter("nws_station_id IN ('K3', 'K5', 'K7')"))
+    assert "dynamicpruning" in plan(kept)
+    assert kept.count() == len({"K3", "K5", "K7"} & {r.nws_station_id for r in inputs.manifest(spark, SF_DIR).collect()})

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from skyledger import session
@@ -131,3 +133,54 @@ def test_compared_snapshots_show_lost_documents(spark):
     assert actions(publish.compare_snapshots(before, after)) == {
         "A": ("lost", 1.0), "B": ("replaced", 2.5), "C": ("unchanged", None), "D": ("inserted", 4.0),
     }
+
+
+def test_bucketed_snapshot_is_not_moved(spark, tmp_path):
+    """Like a merge of frames, publish after publish; only the documents that come are shuffled."""
+    table = "snapshot_" + uuid.uuid4().hex
+    old = publish.to_documents(daily(spark, ("A", D2, 1.0), ("B", D2, 2.0), ("C", D2, None)))
+    new = publish.to_documents(daily(spark, ("B", D2, 2.5), ("C", D2, None), ("D", D2, 4.0), ("D", D2, 3.0)))
+    assert tuple(tables.publish_bucketed(spark, table, str(tmp_path), old, 4).first()) == (3, 3, 0, 0)
+    assert tuple(tables.publish_bucketed(spark, table, str(tmp_path), new, 4).first()) == (4, 1, 1, 2)
+    assert actions(spark.table(table)) == {
+        "A": ("kept", 1.0), "B": ("replaced", 2.5), "C": ("unchanged", None), "D": ("inserted", 4.0),
+    }
+    assert tuple(tables.publish_bucketed(spark, table, str(tmp_path), new, 4).first()) == (4, 0, 0, 3)
+    assert len(list(tmp_path.iterdir())) == 1
+    incoming = publish.latest_per_key(new.repartition(4, publish.KEY))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = publish.merge_snapshot(spark.table(table).select(*incoming.columns), incoming)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def test_cells_serve_filters_by_date_and_by_station(spark, tmp_path):
+    """Either filter leaves out most files; in published order a station is in every file."""
+    rows = spark.range(64 * 64).selectExpr(
+        "'x' AS source", "date_add(date '2024-01-01', cast(id % 64 AS int)) AS date", "format_string('S%03d', id div 64) AS source_station_id", "id AS v"
+    )
+    path = str(tmp_path / "cells")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_in_cells(rows, path, 16)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(path).exceptAll(rows).count() == 0 and spark.read.parquet(path).count() == 4096
+
+    def touched(column, value):
+        files = [pq.ParquetFile(file) for file in (tmp_path / "cells").glob("*.parquet")]
+        held = 0
+        for file in files:
+            at = file.schema_arrow.names.index(column)
+            stats = [file.metadata.row_group(g).column(at).statistics for g in range(file.metadata.num_row_groups)]
+            held += any(s.min <= value <= s.max for s in stats)
+        return held, len(files)
+
+    for column, value in (("source_station_id", "S040"), ("date", date(2024, 2, 9))):
+        held, files = touched(column, value)
+        assert files >= 12 and held <= files / 2
+    empty = rows.filter("v < 0")
+    assert curate.cell_order(empty, 4).count() == 0

@@ -215,3 +215,12 @@ def test_partition_overwrite_keeps_other_partitions(spark, tmp_path):
 
 def test_raw_schemas_keep_published_fields():
     assert len(RAW_LONG) == 16 and len(RAW_WIDE) == 25 and len(DAILY) == 18 and len(MANIFEST) == 14
+
+
+def test_station_year_files_are_read_once(spark, tmp_path):
+    """One scan of whole files serves headers and lines; cells behind a short line's end are missing."""
+    put(tmp_path / "2024" / "A.csv.gz", "temp,temp,date,wspd\r\n1,2,2024-01-01\r\n \r\n,5,2024-01-02,7,8\r\n")
+    rows = raw.read_station_years(spark, str(tmp_path), date(2024, 1, 1), date(2024, 12, 31))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert sorted((r.date, r.temp, r.wspd) for r in rows.collect()) == [("2024-01-01", "1", None), ("2024-01-02", None, "7")]
