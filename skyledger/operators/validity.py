@@ -6,12 +6,16 @@ Usable rows are filtered by the plain predicates, which Spark can push down to t
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASON = "reject_reason"
+RAISED = "unusable row: "
 
 Checks = Mapping[str, str]
 
@@ -35,8 +39,25 @@ def rejected(rows: DataFrame, checks: Checks) -> DataFrame:
     return rows.withColumn(REASON, reason(checks)).filter(F.col(REASON).isNotNull())
 
 
-def require_usable(rows: DataFrame, checks: Checks) -> None:
-    """Fails if there is an unusable row; looks for one until it is found."""
-    first = rejected(rows, checks).select(REASON).first()
-    if first is not None:
-        raise UnusableRowError(f"unusable row: {first[REASON]}")
+def guarded(rows: DataFrame, checks: Checks) -> DataFrame:
+    """The rows, of which an unusable one fails the job that reads them.
+
+    Part of the plan, so the input is read once. The condition counts as not deterministic, so that no filter behind it,
+    such as ``accepted``, is pushed past it and drops an unusable row unseen.
+    """
+    usable = F.when(reason(checks).isNull(), F.monotonically_increasing_id() >= 0).otherwise(
+        F.raise_error(F.concat(F.lit(RAISED), reason(checks))).cast("boolean")
+    )
+    return rows.filter(usable)
+
+
+@contextmanager
+def raising_unusable() -> Iterator[None]:
+    """Turns the failure of a job at an unusable row into ``UnusableRowError``."""
+    try:
+        yield
+    except PySparkException as error:
+        found = re.search(f"{RAISED}(\\w+)", str(error))
+        if not found:
+            raise
+        raise UnusableRowError(found[0]) from error

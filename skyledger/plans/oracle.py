@@ -425,6 +425,15 @@ SELECT 'M' || o_custkey AS meteostat_station_id,
   CASE WHEN k = 1 THEN ' ' || price END AS tmin, CASE WHEN k = 2 THEN price END AS tmax,
   CASE WHEN k = 1 THEN price END AS prcp, NULL::varchar AS snwd, CASE WHEN k = 0 THEN '7' END AS wspd, NULL::varchar AS wpgt
 FROM (SELECT *, o_custkey % 3 AS k, o_orderdate::date AS d, floor(o_totalprice)::bigint::varchar AS price FROM orders)""",
+    "manifest_file": sql("""
+SELECT noaa_station_id, station_name, nullif(state, '') AS state, nullif(country, '') AS country, nullif(ingest_enabled, '') AS ingest_enabled,
+  priority_rank, latitude, longitude, nws_station_id, NULL::varchar AS source_api FROM manifest""", "manifest"),
+    "landed_lines": sql("""
+SELECT run_date, noaa_station_id, station_name, coalesce(day::varchar, 'bad-date') AS date, datatype, value, NULL::varchar AS malformed
+FROM raw_long
+UNION ALL SELECT '2024-02-01', NULL, NULL, NULL, NULL, NULL, '{"station_name": {"event_id": ' || event_id || ', "kind": "' || event_type || '"'
+  || CASE event_type WHEN 'purchase' THEN ', "value": ' || floor(value)::bigint ELSE '' END || '}' FROM events WHERE event_id % 7 = 0""", "raw_long"),
+    "guarded_daily": sql("SELECT * FROM long_daily", "long_daily"),
     "stated_fields": """
 SELECT 'event_id' AS field FROM events WHERE event_id % 7 <> 0 GROUP BY 1
 UNION ALL SELECT 'kind' FROM events WHERE event_id % 7 <> 0 GROUP BY 1

@@ -24,7 +24,7 @@ from skyledger.operators import (
     wide_rows,
     windows,
 )
-from skyledger.operators.validity import REASON, rejected
+from skyledger.operators.validity import REASON, accepted, guarded, rejected
 from skyledger.plans import inputs
 from skyledger.plans.inputs import RUN_DATE
 from skyledger.schemas import CATALOG, CLIMATE_DAILY
@@ -69,6 +69,39 @@ def station_year_fields(spark: SparkSession, sf: str) -> DataFrame:
     return raw.split_station_years(inputs.station_year_files(spark, sf))
 
 
+@query
+def manifest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A station manifest written as CSV and read back by the names of its header."""
+    path = f"{scratch_dir(spark, 'manifest-file')}/manifest"
+    rows = inputs.manifest(spark, sf).drop("source_api")
+    rows.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return raw.read_manifest(spark, path).select(
+        "noaa_station_id", "station_name", "state", "country", "ingest_enabled", "priority_rank", "latitude", "longitude",
+        "nws_station_id", "source_api",
+    )
+
+
+@query
+def landed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw rows landed as JSON lines of two runs, broken lines among them: those of one run, read back."""
+    root = f"{scratch_dir(spark, 'landed-lines')}/noaa"
+    rows = inputs.raw_long(spark, sf)
+    for run_date in (RUN_DATE, "2024-03-01"):
+        tables.write_json_lines(rows.drop("run_date"), f"{root}/run_date={run_date}")
+    broken = inputs.event_lines(spark, sf).filter(F.substring("value", 1, 18) == '{"station_name": {')
+    broken.write.mode("append").text(f"{root}/run_date={RUN_DATE}")
+    return raw.read_long(spark, root, RUN_DATE, malformed=True).select(
+        "run_date", "noaa_station_id", "station_name", "date", "datatype", "value", "malformed"
+    )
+
+
+@query
+def guarded_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows of a run in which an unusable row would be an error, after those were set aside."""
+    rows = long_rows.normalize_long(inputs.raw_long(spark, sf))
+    return long_rows.normalized_to_daily(guarded(accepted(rows, long_rows.CHECKS), long_rows.CHECKS))
+
+
 # Shared steps
 
 def long_daily(spark: SparkSession, sf: str) -> DataFrame:

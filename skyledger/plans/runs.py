@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from skyledger.functions.dates import leading_date
 from skyledger.functions.values import station_code
-from skyledger.operators import curate, incremental, long_rows, observations, publish, stations, wide_rows
+from skyledger.operators import curate, incremental, long_rows, observations, publish, stations, wide_rows, windows
 from skyledger.operators.quality import (
     bad_stations,
     metrics_summary,
     require_some_success,
 )
-from skyledger.operators.validity import rejected, require_usable
+from skyledger.operators.validity import guarded, raising_unusable, rejected
 from skyledger.schemas import (
     CLIMATE_DAILY,
     DAILY,
@@ -174,6 +175,21 @@ def land_wide(
     return failed
 
 
+def pending_windows(
+    spark: SparkSession, zones: Zones, source: str, run_date: str, manifest: DataFrame, start: date, end: date
+) -> DataFrame:
+    """What is still to be fetched for a run: enabled stations and the parts of each calendar year of the window of
+    which no day has landed (``window_start`` to ``window_end`` is the year's part of the window)."""
+    read = {"noaa": raw.read_long, "meteostat": raw.read_wide}[source]
+    landed = raw.optional(lambda: read(spark, zones.raw(source), run_date))
+    listed = stations.slice_manifest(manifest, 0, None).filter(F.col("noaa_station_id") != "")
+    asked = windows.year_windows(listed.select("noaa_station_id", F.lit(start).alias("start_date"), F.lit(end).alias("end_date")))
+    if landed is None:
+        landed = spark.createDataFrame([], "noaa_station_id string, date string")
+    days = landed.select("noaa_station_id", leading_date(F.col("date")).alias("day"))
+    return incremental.missing_windows(asked, incremental.landed_islands(days, "noaa_station_id"), "noaa_station_id")
+
+
 def process_source(
     spark: SparkSession, zones: Zones, source: str, run_date: str, manifest: DataFrame, on_error: str = "reject",
     ordered: bool = False,
@@ -201,10 +217,14 @@ def process_source(
         normalized, checks = wide_rows.normalize_wide(rows), wide_rows.CHECKS
         daily = wide_rows.normalized_to_daily
 
-    if on_error == "fail":
-        require_usable(normalized, checks)
     rejects = rejected(normalized, checks).drop("run_date")
-    tables.overwrite_run(daily(normalized), zones.daily(source), "ingest_run_date", run_date, ordered)
+    # A run that may not have unusable rows fails while it is written, beside the rows of the run it replaces.
+    strict = on_error == "fail"
+    with raising_unusable():
+        tables.overwrite_run(
+            daily(guarded(normalized, checks) if strict else normalized),
+            zones.daily(source), "ingest_run_date", run_date, ordered, staged=strict,
+        )
     tables.overwrite_run(rejects, zones.rejects(source), "run_date", run_date)
     metrics = committed_metrics(spark, zones, source, run_date, rejects.schema)
     tables.write_metrics(metrics, zones.processed, source, run_date)

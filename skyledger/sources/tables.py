@@ -57,10 +57,21 @@ def write_in_cells(df: DataFrame, path: str, files: int) -> None:
     cell_order(df, files).write.mode("overwrite").parquet(path)
 
 
-def overwrite_run(df: DataFrame, path: str, partition: str, run_date: str, ordered: bool = False) -> None:
-    """Replaces one run's partition of a Parquet dataset, also with nothing; ``ordered`` as above."""
-    rows = publication_order(df) if ordered else df.hint("rebalance")
-    rows.drop(partition).write.mode("overwrite").parquet(f"{path}/{partition}={run_date}")
+def overwrite_run(
+    df: DataFrame, path: str, partition: str, run_date: str, ordered: bool = False, staged: bool = False
+) -> None:
+    """Replaces one run's partition of a Parquet dataset, also with nothing; ``ordered`` as above.
+
+    ``staged`` writes the rows beside the dataset first: if that fails, the run's earlier rows stay.
+    """
+    target = f"{path}/{partition}={run_date}"
+    rows = (publication_order(df) if ordered else df.hint("rebalance")).drop(partition)
+    beside = f"{path.rstrip('/')}_staged/{uuid.uuid4().hex}"
+    if staged:
+        rows = settle(rows, "run", beside)
+    rows.write.mode("overwrite").parquet(target)
+    if staged:
+        remove_folder(df.sparkSession, beside)
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

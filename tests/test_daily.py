@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import curate, long_rows, observations, quality, wide_rows
-from skyledger.operators.validity import REASON, UnusableRowError, reason, rejected, require_usable
+from skyledger.operators.validity import REASON, UnusableRowError, accepted, guarded, raising_unusable, reason, rejected
 from skyledger.schemas import DAILY, OBSERVATION_PROPERTIES, RAW_LONG, RAW_OBSERVATIONS, RAW_WIDE, MissingColumnsError, ddl
 
 LONG = "noaa_station_id string, station_name string, state string, country string, latitude string, " \
@@ -73,9 +73,11 @@ def test_missing_columns_fail_at_once(spark):
 def test_on_error_fail(spark):
     rows = long_rows.normalize_long(long(spark, ("S", "r", "x", "TMAX", 1.0), ("S", "r", "2024-01-01", "TMAX", 1.0)))
     assert [r[REASON] for r in rejected(rows, long_rows.CHECKS).collect()] == ["bad_date"]
-    with pytest.raises(UnusableRowError, match="bad_date"):
-        require_usable(rows, long_rows.CHECKS)
-    require_usable(rows.filter("day IS NOT NULL"), long_rows.CHECKS)
+    # Also where the very next step would leave the row out.
+    with pytest.raises(UnusableRowError, match="unusable row: bad_date"), raising_unusable():
+        accepted(guarded(rows, long_rows.CHECKS), long_rows.CHECKS).count()
+    good = rows.filter("day IS NOT NULL")
+    assert guarded(good, long_rows.CHECKS).count() == good.count()
 
 
 GHCN = "station_id string, raw_day string, datatype string, raw_value string, mflag string, qflag string, sflag string, obs_time string"

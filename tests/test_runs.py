@@ -7,6 +7,7 @@ import pytest
 
 from skyledger.operators import incremental
 from skyledger.operators.quality import AllStationsFailedError
+from skyledger.operators.validity import UnusableRowError
 from skyledger.plans import runs
 from skyledger.schemas import CLIMATE_DAILY, DAILY, SOURCE_YEAR, STATION_YEAR, MissingColumnsError
 from skyledger.sources import raw, tables
@@ -122,8 +123,11 @@ def test_rejects_are_kept_with_their_reason(spark, landing):
     assert tuple(metrics.first())[2:] == (3, 2, 1, 1, 0)
     rejects = spark.read.parquet(zones.rejects("noaa"))
     assert sorted(r.reject_reason for r in rejects.collect()) == ["bad_date", "missing_station"]
-    with pytest.raises(Exception, match="unusable row"):
+    written = sorted(tables.read_table(spark, zones.daily("noaa"), DAILY).collect())
+    with pytest.raises(UnusableRowError, match="unusable row"):
         runs.process_source(spark, zones, "noaa", RUN, manifest, on_error="fail")
+    # What failed has replaced nothing.
+    assert written and sorted(tables.read_table(spark, zones.daily("noaa"), DAILY).collect()) == written
 
 
 def test_only_enabled_stations_are_landed(spark, landing):
@@ -170,3 +174,21 @@ def test_years_that_a_run_lost_leave_the_curated_data(spark, landing):
     assert years == {("noaa", 2024), ("meteostat", 2023), ("meteostat", 2024), ("nws", 2024)}
     trends = tables.read_table(spark, zones.curated("climate_trends"), STATION_YEAR)
     assert {(r.source, r.year) for r in trends.select("source", "year").collect()} == years
+
+
+def test_windows_still_to_fetch(spark, landing):
+    zones = runs.Zones(str(landing / "zones"))
+    manifest = raw.read_manifest(spark, str(landing / "manifest.csv"))
+
+    def pending():
+        rows = runs.pending_windows(spark, zones, "noaa", RUN, manifest, date(2023, 12, 30), date(2024, 1, 3)).collect()
+        return sorted((r.noaa_station_id[-2:], str(r.missing_start)[5:], str(r.missing_end)[5:]) for r in rows)
+
+    nothing_yet = [(s, a, b) for s in ("U1", "U2", "U3") for a, b in (("01-01", "01-03"), ("12-30", "12-31"))]
+    assert pending() == nothing_yet
+    # U1 has the last of December and the first of January, two datatypes of it; U2 the first of January.
+    runs.land_long(spark, zones, str(landing / "ghcn" / "*.gz"), manifest, START, END, RUN)
+    assert pending() == [
+        ("U1", "01-02", "01-03"), ("U1", "12-30", "12-30"), ("U2", "01-02", "01-03"), ("U2", "12-30", "12-31"),
+        ("U3", "01-01", "01-03"), ("U3", "12-30", "12-31"),
+    ]
