@@ -85,6 +85,14 @@ def counts_by_source(daily: DataFrame) -> DataFrame:
     return daily.groupBy("source").count()
 
 
+def extent_by_year(daily: DataFrame) -> DataFrame:
+    """Rows, stated means and first and last day per source and year."""
+    return daily.groupBy("source", "year").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("avg_temp_c").alias("with_mean"),
+        F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+    )
+
+
 def warmest_stations(daily: DataFrame, year: int, n: int = 10) -> DataFrame:
     """The ``n`` highest station means of one year, per station name and source."""
     return (

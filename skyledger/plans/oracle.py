@@ -400,6 +400,9 @@ SELECT source, year, count(*) AS stations_covered, {rounded("avg(annual_avg_temp
   {rounded("avg(annual_avg_wind_mps)")} AS mean_station_wind_mps
 FROM yearly_station GROUP BY source, year""", "yearly_station"),
     "counts_by_source": sql("SELECT source, count(*) AS count FROM unified GROUP BY source", "unified"),
+    "stored_extent": sql("""
+SELECT source, year, count(*) AS rows, count(avg_temp_c) AS with_mean, min(date) AS first_day, max(date) AS last_day
+FROM unified GROUP BY source, year""", "unified"),
     "warmest_stations": sql(f"""
 SELECT station_name, source, {rounded("avg(avg_temp_c)")} AS yearly_avg_temp_c, count(*) AS days_counted
 FROM unified WHERE year = 1998 AND avg_temp_c IS NOT NULL GROUP BY station_name, source

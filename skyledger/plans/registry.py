@@ -286,6 +286,14 @@ def counts_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return curate.counts_by_source(unified(spark, sf))
 
 
+@query
+def stored_extent(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows of which days each partition of the stored daily rows has, read from the files' footers."""
+    path = f"{scratch_dir(spark, 'stored-extent')}/daily"
+    tables.overwrite_partitions(unified(spark, sf), path, "source", "year")
+    return curate.extent_by_year(tables.read_by_footers(spark, path, CLIMATE_DAILY))
+
+
 @query
 def warmest_stations(spark: SparkSession, sf: str) -> DataFrame:
     return curate.warmest_stations(unified(spark, sf), TREND_YEAR)

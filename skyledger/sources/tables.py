@@ -24,6 +24,19 @@ def read_table(spark: SparkSession, path: str, schema: Mapping[str, str]) -> Dat
     return spark.read.schema(ddl(schema)).parquet(path).select(*schema)
 
 
+def read_by_footers(spark: SparkSession, path: str, schema: Mapping[str, str]) -> DataFrame:
+    """As ``read_table``, for counts, minima and maxima of whole partitions, which come from the files' footers.
+
+    Of such aggregates over partition columns no data page is read. The frame belongs to a session of its own, whose
+    reader pushes aggregates down; other readers of the calling session stay as they are.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own.read.schema(ddl(schema)).parquet(path)
+
+
 def read_existing(spark: SparkSession, root: str, sources: list[str], schema: Mapping[str, str]) -> list[DataFrame]:
     """Processed datasets of the named sources; unknown names and missing datasets are passed over."""
     frames = [

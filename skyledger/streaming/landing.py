@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from skyledger.functions.values import first_present
-from skyledger.operators.observations import CHECKS, DAY_KEYS, summarize_days
-from skyledger.operators.validity import accepted
+from skyledger.operators.observations import DAY_KEYS, day_partials, finish_days
 
 
 def stream_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -80,23 +79,24 @@ def stream_days(
 ) -> None:
     """Station-day summaries of a stream of normalised observations, complete at any moment.
 
-    Each micro-batch adds its usable rows to ``folder/rows`` and computes every station-day it touches
-    anew from all rows of those days, so a day needs no closing and a late row is never lost: its day
-    simply comes out again. Days that had been summarised before are listed in ``folder/late``. Everything
-    is written under the batch's number and replaced when Spark repeats the batch. ``publish`` gets the
-    batch's days and its number, and must be repeatable too (a merge by key is).
+    Each micro-batch adds its partial station-days to ``folder/partials``, a row per station-day and batch whatever
+    the number of its observations, and finishes every station-day it touches anew from all partials of those
+    days. So a day needs no closing and a late row is never lost: its day simply comes out again. Days that
+    had been summarised before are listed in ``folder/late``. Everything is written under the batch's number and
+    replaced when Spark repeats the batch. ``publish`` gets the batch's days and its number, and must be
+    repeatable too (a merge by key is). Where a day is to come out once, see ``closing``.
     """
     def add(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = f"{folder}/rows"
-        usable = accepted(batch, CHECKS)
-        usable.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{rows}/batch={number}")
-        landed = spark.read.schema(_numbered(usable)).option("basePath", rows).parquet(rows).filter(F.col("batch") <= number)
+        partials = f"{folder}/partials"
+        own = day_partials(batch)
+        own.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{partials}/batch={number}")
+        landed = spark.read.schema(_numbered(own)).option("basePath", partials).parquet(partials).filter(F.col("batch") <= number)
         # The dates of one batch are few, and named in the scan; its stations may be many, and are joined.
         dates = [row.day for row in landed.filter(F.col("batch") == number).select("day").distinct().collect()]
         touched = landed.filter(F.col("batch") == number).select(*DAY_KEYS).distinct()
         found = landed.filter(F.col("day").isin(dates)).join(touched, list(DAY_KEYS), "left_semi")
-        days = summarize_days(found.drop("batch"))
+        days = finish_days(found.drop("batch"))
         days.write.mode("overwrite").parquet(f"{folder}/days/batch={number}")
         late = found.filter(F.col("batch") < number).select(*DAY_KEYS).distinct()
         late.write.mode("overwrite").parquet(f"{folder}/late/batch={number}")

@@ -110,3 +110,17 @@ def test_folders_of_other_stations_are_not_read(spark, tmp_path):
     kept = incremental.prune_to_manifest(landed, inputs.manifest(spark, SF_DIR).filter("nws_station_id IN ('K3', 'K5', 'K7')"))
     assert "dynamicpruning" in plan(kept)
     assert kept.count() == len({"K3", "K5", "K7"} & {r.nws_station_id for r in inputs.manifest(spark, SF_DIR).collect()})
+
+
+def test_extents_come_from_footers(spark, tmp_path):
+    from skyledger.operators import curate
+    from skyledger.schemas import CLIMATE_DAILY
+    from skyledger.sources import tables
+    path = str(tmp_path / "daily")
+    tables.overwrite_partitions(registry.unified(spark, SF_DIR), path, "source", "year")
+    found = curate.extent_by_year(tables.read_by_footers(spark, path, CLIMATE_DAILY))
+    text = plan(found)
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), COUNT\(avg_temp_c\), MIN\(date\), MAX\(date\)\]", text)
+    assert re.search(r"PushedGroupBy: \[source, year\]", text)
+    # The calling session reads as before.
+    assert "PushedAggregation" not in plan(curate.extent_by_year(tables.read_table(spark, path, CLIMATE_DAILY)))
