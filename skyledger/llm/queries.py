@@ -27,7 +27,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +118,7 @@ WITH sized AS (
 ), copied AS (
     SELECT *, whole + CASE WHEN size > 0 AND before + size / 2 <= quota THEN 1 ELSE 0 END AS n FROM running
 )
-SELECT doc_id, size, source_size, target, CAST(n AS BIGINT) AS copies, CAST(n * size AS BIGINT) AS taken FROM copied
+SELECT doc_id, size, source_size, target, CAST(n * size AS BIGINT) AS taken, CAST(n AS BIGINT) AS copies FROM copied
 """,
     "op10_warc_revisits": """
 WITH headers AS (
