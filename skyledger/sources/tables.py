@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from skyledger.schemas import CLIMATE_DAILY, FAILURES, PROCESSED_DATASETS, RUN_M
 from skyledger.session import has_mark, remove_folder, set_mark, settle
 from skyledger.sources.raw import optional
 
-#: As many touched partitions are named in the scan of a snapshot; beyond that it is read whole.
+#: As many touched partitions are named in the scan of a snapshot; beyond that they are found by a join.
 NAMED_PARTITIONS = 2000
 
 
@@ -136,7 +137,7 @@ def publish_snapshot(
     if existing is None:
         existing = spark.createDataFrame([], incoming.schema)
     else:
-        existing = existing.filter(touched_partitions(documents, partition_by))
+        existing = touched_rows(existing, documents, partition_by)
 
     beside = f"{path.rstrip('/')}_staged/{uuid.uuid4().hex}"
     staged = settle(merge_snapshot(existing, incoming), "snapshot", beside)
@@ -193,12 +194,12 @@ def publish_with_view(
     if existing is None:
         existing = spark.createDataFrame([], incoming.schema)
     else:
-        existing = existing.filter(touched_partitions(documents, ("source", "year")))
+        existing = touched_rows(existing, documents, ("source", "year"))
     sums = settle(rollup_view.change_sums(snapshot_changes(existing, incoming)), "changes", f"{beside}/changes")
     counts = publish_snapshot(spark, path, documents, order=order)
     view = optional(lambda: read_table(spark, view_path, rollup_view.VIEW))
     if view is not None:
-        view = view.filter(touched_partitions(sums, ("source", "year"), None))
+        view = touched_rows(view, sums, ("source", "year"), None)
         sums = settle(rollup_view.add_changes(view, sums), "view", f"{beside}/view")
     overwrite_partitions(sums, view_path, "source", "year")
     remove_folder(spark, beside)
@@ -214,19 +215,24 @@ def rebuild_view(spark: SparkSession, path: str, view_path: str) -> None:
         overwrite_partitions(rollup_view.change_sums(snapshot.withColumn("sign", F.lit(1))), view_path, "source", "year")
 
 
-def touched_partitions(documents: DataFrame, partition_by: tuple[str, ...], key: str | None = KEY) -> Column:
-    """A predicate of literals that holds for the partitions of the documents."""
+def touched_rows(
+    existing: DataFrame, documents: DataFrame, partition_by: tuple[str, ...], key: str | None = KEY
+) -> DataFrame:
+    """Rows of the partitions that the documents belong to: named in the scan, or joined where they are many."""
     keyed = documents if key is None else documents.filter(F.col(key).isNotNull())
-    found = keyed.select(*partition_by).distinct().limit(NAMED_PARTITIONS + 1).collect()
+    touched = keyed.select(*partition_by).distinct()
+    found = touched.limit(NAMED_PARTITIONS + 1).collect()
     if len(found) > NAMED_PARTITIONS:
-        return F.lit(True)
+        others = touched.select(*[F.col(name).alias(f"_{name}") for name in partition_by])
+        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in partition_by]
+        return existing.join(others, reduce(Column.__and__, same), "left_semi")
     held = F.lit(False)
     for row in found:
         same = F.lit(True)
         for name, value in zip(partition_by, row):
             same = same & (F.col(name).isNull() if value is None else F.col(name) == F.lit(value))
         held = held | same
-    return held
+    return existing.filter(held)
 
 
 def overwrite_source(df: DataFrame, path: str, source: str, ordered: bool = False) -> None:

@@ -4,6 +4,7 @@ import uuid
 from datetime import date
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger import session
@@ -57,7 +58,9 @@ def test_merge(spark):
     assert again.drop("action").exceptAll(merged.drop("action")).count() == 0
 
 
-def test_snapshot_on_disk(spark, tmp_path):
+@pytest.mark.parametrize("named", [tables.NAMED_PARTITIONS, 0])
+def test_snapshot_on_disk(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(tables, "NAMED_PARTITIONS", named)
     path = str(tmp_path / "snapshot")
     first = publish.to_documents(daily(spark, ("A", D1, 1.0), ("A", D2, 2.0), ("B", D2, 3.0)))
     assert tuple(tables.publish_snapshot(spark, path, first).first()) == (3, 3, 0, 0)
@@ -71,9 +74,10 @@ def test_snapshot_on_disk(spark, tmp_path):
     assert {p.name for p in (tmp_path / "snapshot" / "source=noaa" / "year=2023").iterdir()} == untouched
     assert tuple(tables.publish_snapshot(spark, path, second).first()) == (3, 0, 0, 3)
     assert not list((tmp_path / "snapshot_staged").iterdir())
-    named = spark.read.parquet(path).filter(tables.touched_partitions(second, ("source", "year")))
-    plan = named._jdf.queryExecution().executedPlan().toString()
-    assert "2024" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    touched = tables.touched_rows(spark.read.parquet(path), second, ("source", "year"))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert ("2024" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]) == (named > 0)
+    assert {r.year for r in touched.collect()} == {2024}
 
 
 def test_publish_batches_on_executors(spark, tmp_path):
