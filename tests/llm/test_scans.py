@@ -203,3 +203,7 @@ def test_token_files_hold_every_id(spark, documents, messy, nothing):
         ids = [r.doc_id if r.doc_id is not None else -1 for r in sorted(rows, key=lambda r: r.start)]
         assert ids == sorted(ids)
     assert token_files.round_trip(nothing, tokenizer_path()).count() == 0
+
+
+def test_licenses_of_an_empty_table(nothing):
+    assert license_scan.scan_licenses(nothing).count() == 0
