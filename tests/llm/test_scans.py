@@ -144,26 +144,78 @@ def test_outlier_distances_equal_the_estimate_in_numpy(spark):
 
 
 def plain_dedup(rows):
-    """Chunks by the operator's boundaries, removal by comparing all texts."""
-    first, result = {}, {}
-    for i, text in sorted(set(rows)):
-        lines, chunks = line_chunks.chunk_lines(text.encode())
-        kept = []
-        for a, b, may_go in chunks:
-            body = b"\n".join(lines[a:b])
-            if may_go and first.setdefault(body, (i, a)) != (i, a):
-                continue
-            kept += lines[a:b]
-        result[i] = b"\n".join(kept).decode()
+    """Of runs of repeated lines, joined where neighbours stand together elsewhere too, those of 20 words count;
+    in them a line goes if it stands at an earlier place of such a run, with neighbours that go, 20 words or more."""
+    texts = {i: [line for line in text.split("\n") if line.split()] for i, text in rows}
+    singles = Counter(line for lines in texts.values() for line in lines)
+    pairs = Counter(pair for lines in texts.values() for pair in zip(lines, lines[1:]))
+
+    def runs_of(lines, places):
+        runs = []
+        for k in places:
+            if runs and runs[-1][-1] == k - 1 and pairs[lines[k - 1], lines[k]] > 1:
+                runs[-1].append(k)
+            else:
+                runs.append([k])
+        return {k for run in runs if sum(len(lines[k].split()) for k in run) >= 20 for k in run}
+
+    first, result = set(), {}
+    for i in sorted(texts):
+        lines, later = texts[i], []
+        for k in sorted(runs_of(lines, [k for k, line in enumerate(lines) if singles[line] > 1])):
+            if lines[k] in first:
+                later.append(k)
+            first.add(lines[k])
+        gone = runs_of(lines, later)
+        result[i] = [line for k, line in enumerate(lines) if k not in gone], len(gone)
     return result
 
 
-def test_line_dedup_equals_plain_removal(documents):
+def dedup_result(frame):
+    return {
+        r.doc_id: ([line for line in r.text.split("\n") if line.split()], r.n_removed_lines)
+        for r in line_chunks.dedup_lines(frame).collect()
+    }
+
+
+def test_line_dedup_equals_plain_removal(spark, documents):
     rows = [(r.doc_id, r.text or "") for r in documents.collect()]
-    got = {r.doc_id: r for r in line_chunks.dedup_lines(documents).collect()}
-    want = plain_dedup(rows)
-    assert {i: r.text for i, r in got.items()} == want
-    assert any(r.n_removed_chunks for r in got.values())
+    got = dedup_result(documents)
+    assert got == plain_dedup(rows) and any(n for _, n in got.values())
+    # Few different lines, so that passages overlap, nest and repeat within a document.
+    rng = np.random.default_rng(6)
+    vocabulary = [" ".join(f"w{k}" for k in range(n)) for n in (0, 1, 3, 4, 7, 12, 19, 20, 21, 30)]
+    rows = [(i, "\n".join(f"{rng.choice(vocabulary)}" for _ in range(rng.integers(1, 12)))) for i in range(60)]
+    rows += [(100 + i, "\n".join(f"{rng.choice(vocabulary)} {rng.integers(0, 40)}" for _ in range(40))) for i in range(60)]
+    got = dedup_result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == plain_dedup(rows) and any(n for _, n in got.values())
+
+
+def test_line_dedup_finds_planted_passages_of_any_shape(spark):
+    rng = np.random.default_rng(5)
+
+    def lines(n, size):
+        return [" ".join(f"v{w}" for w in rng.integers(0, 5000, size)) for _ in range(n)]
+
+    rows, want = [], {}
+    for shape in ((20, 4), (10, 6), (6, 9), (4, 15), (3, 20), (2, 30), (10, 12), (1, 49), (1, 50), (50, 1)):
+        for _ in range(40):
+            passage, i = lines(*shape), len(rows)
+            for k in range(2):
+                # Neighbours are new, blank, or one line that stands everywhere.
+                before, after = ([lines(2, 9), ["", *lines(1, 5)], ["share this page"]][rng.integers(3)] for _ in range(2))
+                rows.append((i + k, "\n".join(before + passage + after + lines(1, 8))))
+            want[i + 1] = passage
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for i, text in texts.items():
+        kept = got[i].text.split("\n")
+        # First places stay whole; of later ones the passage goes, with no more than the line that stands everywhere.
+        left = [line for line in text.split("\n") if line not in want.get(i, ())]
+        if i not in want:
+            assert got[i].text == text
+        else:
+            assert not set(kept) & set(want[i]) and {x for x in left if x.split()} - {"share this page"} <= set(kept)
 
 
 def test_line_dedup_finds_shifted_passages(spark, messy, nothing):
