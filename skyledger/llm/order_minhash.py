@@ -15,9 +15,11 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
 * In each bucket of equal keys every class is compared with the bucket's leader, the class with the most
   bucket mates, not with every other. Links give components; a class that its bucket's leader did not
   draw in is then compared with all classes of the bucket that are in other components. So every pair of
-  a bucket is compared or already in one component. Pairs that cannot reach the similarity are not formed:
-  those whose lengths differ too much, and those whose words differ in too many of 256 parities (one edit
-  changes two at most).
+  a bucket is compared or already in one component. Pairs that cannot reach the similarity are not compared:
+  those whose lengths differ too much, those whose words differ in too many of 256 parities (one edit
+  changes two at most), and, word edits being a metric, those of which one is close to the leader and the
+  other farther from it than both that and the allowed edits. So a large group of near copies is met by
+  its leader alone.
 * Components by alternating large and small stars on edges; nothing is collected. Buckets, classes and
   stars of any size are rows of joins that Spark may split.
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
@@ -175,39 +177,47 @@ def _least_edits(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.minimum(own, other).sum())
 
 
-def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
-    """Edit similarity of each pair, or -1 where it is below ``similarity``."""
-    result = np.full(len(pairs), -1.0)
+def measured(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each pair reaches ``similarity``; its word edits if it does, else a lower bound of them."""
+    edits, reached = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
     open_pairs = []
     for i, (a, b) in enumerate(pairs):
-        longest = max(len(a), len(b))
-        most = int((1.0 - similarity) * longest + 1e-9)
+        most = int((1.0 - similarity) * max(len(a), len(b)) + 1e-9)
         a, b = _trim(a, b)
+        least = max(len(a), len(b)) if not len(a) or not len(b) else max(abs(len(a) - len(b)), _least_edits(a, b))
+        edits[i] = least
         if not len(a) or not len(b):
-            edits = max(len(a), len(b))
-            if edits <= most:
-                result[i] = 1.0 - edits / max(longest, 1)
-        elif abs(len(a) - len(b)) <= most and _least_edits(a, b) <= most:
-            open_pairs.append((i, longest, most, *((a, b) if len(a) <= len(b) else (b, a))))
+            reached[i] = least <= most
+        elif least <= most:
+            open_pairs.append((i, most, *((a, b) if len(a) <= len(b) else (b, a))))
     width = 16
     while open_pairs:
-        open_pairs.sort(key=lambda p: len(p[3]))
+        open_pairs.sort(key=lambda p: len(p[2]))
         left = []
         first = 0
         while first < len(open_pairs):
             end = first
-            while end < len(open_pairs) and (end == first or (end + 1 - first) * (len(open_pairs[end][3]) + 6 * width) <= 1 << 21):
+            while end < len(open_pairs) and (end == first or (end + 1 - first) * (len(open_pairs[end][2]) + 6 * width) <= 1 << 21):
                 end += 1
             group = open_pairs[first:end]
-            for pair, edits in zip(group, _band([p[3] for p in group], [p[4] for p in group], width)):
-                i, longest, most = pair[:3]
-                if edits <= min(width, most) and abs(len(pair[3]) - len(pair[4])) <= width:
-                    result[i] = 1.0 - edits / longest
+            for pair, found in zip(group, _band([p[2] for p in group], [p[3] for p in group], width)):
+                i, most = pair[:2]
+                if found <= min(width, most) and abs(len(pair[3]) - len(pair[2])) <= width:
+                    edits[i], reached[i] = found, True
                 elif width < most:
                     left.append(pair)
+                else:
+                    edits[i] = max(edits[i], most + 1)
             first = end
         open_pairs, width = left, width * 4
-    return result
+    return edits, reached
+
+
+def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
+    """Edit similarity of each pair, or -1 where it is below ``similarity``."""
+    edits, reached = measured(pairs, similarity)
+    longest = np.array([max(len(a), len(b), 1) for a, b in pairs])
+    return np.where(reached, 1.0 - edits / longest, -1.0) if len(pairs) else np.empty(0)
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similarity: float = SIMILARITY) -> DataFrame:
@@ -259,7 +269,7 @@ def token_codes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def verified(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Of the pairs (a, b), those that alignment confirms, with their similarity."""
+    """The pairs (a, b) as alignment finds them: ``near``, and the word edits or else a lower bound of them."""
     both = pairs.join(codes.withColumnsRenamed({"node": "a", "codes": "left"}), "a").join(
         codes.withColumnsRenamed({"node": "b", "codes": "right"}), "b"
     )
@@ -267,16 +277,16 @@ def verified(pairs: DataFrame, codes: DataFrame, similarity: float = SIMILARITY)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = column_of(batch, "left"), column_of(batch, "right")
-            found = near(
+            edits, reached = measured(
                 [(np.frombuffer(x.as_buffer(), np.int32), np.frombuffer(y.as_buffer(), np.int32)) for x, y in zip(a, b)],
                 similarity,
             )
-            out = pa.RecordBatch.from_arrays(
-                [column_of(batch, "a"), column_of(batch, "b"), pa.array(np.round(found, 6))], ["a", "b", "similarity"]
+            yield pa.RecordBatch.from_arrays(
+                [column_of(batch, "a"), column_of(batch, "b"), pa.array(edits, pa.int32()), pa.array(reached)],
+                ["a", "b", "edits", "near"],
             )
-            yield out.filter(pa.array(found >= 0))
 
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, similarity double")
+    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, edits int, near boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -303,62 +313,84 @@ def _grouped(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, picked: int = PICKED
 ) -> DataFrame:
     """What near_duplicates gives, with Spark's hash of the row's text."""
-    def comparable(one: str, other: str) -> Column:
-        """Sketches (words and parities) that alone do not rule out the similarity."""
-        longest = F.greatest(f"{one}.words", f"{other}.words")
+    def least_edits(one: str, other: str) -> Column:
+        """Fewest edits that two looks (words and parities) allow; a missing look allows any."""
         differ = sum(
             (F.bit_count(F.col(f"{one}.odd{i}").bitwiseXOR(F.col(f"{other}.odd{i}"))) for i in range(PARITIES)), F.lit(0)
         )
-        return (F.least(f"{one}.words", f"{other}.words") >= F.lit(similarity) * longest - 1e-6) & (
-            differ <= F.lit(2 * (1 - similarity)) * longest + 1e-6
-        )
+        return F.coalesce(F.greatest(F.abs(F.col(f"{one}.words") - F.col(f"{other}.words")), F.ceil(differ / 2).cast("int")), F.lit(0))
+
+    def most_edits(one: str, other: str) -> Column:
+        longest = F.when(F.col(one).isNotNull() & F.col(other).isNotNull(), F.greatest(f"{one}.words", f"{other}.words"))
+        return F.coalesce(F.lit(1 - similarity) * longest + 1e-6, F.lit(1e9))
+
+    def looked(frame: DataFrame, node: str, look: str) -> DataFrame:
+        return frame.join(looks.withColumnsRenamed({"node": node, "look": look}), node)
 
     rows = settle(sketches(docs, bands, picked, similarity), "omh-sketches")
     classes = settle(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id")), "omh-classes")
     c = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "class_id")
     nodes = rows.join(c, (F.col("doc_id") == F.col("class_id")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")))
-    look = F.struct("words", *[f"odd{i}" for i in range(PARITIES)]).alias("look")
-    keyed = nodes.select(F.explode("keys").alias("key"), F.col("class_id").alias("node"), look)
+    nodes = nodes.select(F.col("class_id").alias("node"), F.struct("words", *[f"odd{i}" for i in range(PARITIES)]).alias("look"), "keys")
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
     members = settle(keyed.join(buckets, "key").distinct(), "omh-members")
     degrees = members.groupBy("node").agg(F.sum("mates").alias("degree"))
-    ranked = members.join(degrees, "node")
-    leaders = settle(
-        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "look")).alias("top"))
-        .select("key", (-F.col("top.minus")).alias("leader"), F.col("top.look").alias("leader_look")),
-        "omh-leaders",
+    met = hash_filter(members.select(F.col("node").alias("value")).distinct())
+    # Texts that share an id have no look of their own.
+    looks = settle(
+        nodes.join(degrees.select("node"), "node", "left_semi").groupBy("node").agg(F.min("look").alias("look"), F.max("look").alias("other"))
+        .select("node", F.when(F.col("look") == F.col("other"), F.col("look")).alias("look")),
+        "omh-looks",
     )
-    codes = settle(token_codes(docs, hash_filter(members.select(F.col("node").alias("value")).distinct())), "omh-codes")
-    led = members.join(leaders, "key").where("node <> leader")
-    first = led.where(comparable("look", "leader_look")).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
-    found = settle(verified(first, codes, similarity), "omh-links")
+    leaders = (
+        members.join(degrees, "node").groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("top"))
+        .select("key", (-F.col("top.minus")).alias("leader"))
+    )
+    codes = settle(token_codes(docs, met), "omh-codes")
+    led = settle(members.select("key", "node").join(leaders, "key").where("node <> leader"), "omh-led")
+    ends = (F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
+    first = settle(
+        looked(looked(led.select(*ends).distinct(), "a", "look_a"), "b", "look_b")
+        .select("a", "b", least_edits("look_a", "look_b").alias("least"), (least_edits("look_a", "look_b") <= most_edits("look_a", "look_b")).alias("open")),
+        "omh-first",
+    )
+    tested = settle(verified(first.where("open").select("a", "b"), codes, similarity), "omh-tested")
+    found = tested.where("near").select("a", "b")
     held = settle(components(found), "omh-components")
 
     def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
         own = held.withColumnsRenamed({"node": node, "root": root})
         return frame.join(own, node, "left").withColumn(root, F.coalesce(root, node))
 
-    # What the leader did not draw in meets the rest of its bucket, unless they are in one component.
-    placed = settle(rooted(rooted(led, "node", "root"), "leader", "leader_root"), "omh-placed")
-    apart = placed.where("root <> leader_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"))
-    rest = placed.select(
-        "key", F.col("node").alias("y"), F.col("root").alias("y_root"), F.col("look").alias("y_look"),
-        (F.col("root") != F.col("leader_root")).alias("y_apart"),
+    # What the leader did not draw in meets the rest of its bucket, unless they are in one component. Edits are a
+    # metric: who is far from the leader is far from those close to it, and is not compared with them.
+    known = tested.groupBy("a", "b").agg(F.min("edits").alias("fewest"), F.max("edits").alias("edits"), F.bool_and("near").alias("near"))
+    bounds = first.join(known, ["a", "b"], "left").select(
+        "a", "b", F.greatest("least", "fewest").alias("least"), F.when(F.col("near"), F.col("edits")).alias("edits")
+    )
+    placed = rooted(rooted(led, "node", "root"), "leader", "leader_root").withColumn("apart", F.col("root") != F.col("leader_root"))
+    some = placed.where("apart").select("key").distinct()
+    placed = placed.join(some, "key", "left_semi").withColumns({"a": ends[0], "b": ends[1]}).join(bounds, ["a", "b"])
+    placed = settle(looked(placed.select("key", "node", "root", "apart", "least", "edits"), "node", "look"), "omh-placed")
+    x = placed.where("apart").select(
+        F.col("key").alias("x_key"), F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"), F.col("least").alias("x_least")
     )
-    x, y = apart.withColumnRenamed("key", "x_key"), rest
+    y = placed.withColumnsRenamed({"node": "y", "look": "y_look"})
     meet = (
-        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("y_root")) & comparable("x_look", "y_look")
-        & (~F.col("y_apart") | (F.col("x") < F.col("y")))
+        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("root")) & (~F.col("apart") | (F.col("x") < F.col("y")))
+        & (F.col("x_least") - F.coalesce("edits", F.lit(1 << 30)) <= most_edits("x_look", "y_look"))
+        & (least_edits("x_look", "y_look") <= most_edits("x_look", "y_look"))
     )
     second = (
         x.join(y, meet).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    links = settle(found.unionByName(verified(second, codes, similarity)), "omh-all-links")
+    links = settle(found.unionByName(verified(second, codes, similarity).where("near").select("a", "b")), "omh-all-links")
     roots = components(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = (
-        classes.withColumn("node", F.col("class_id")).join(roots, "node", "left").join(ends, "node", "left")
+        classes.withColumn("node", F.col("class_id")).join(roots, "node", "left").join(linked, "node", "left")
         .select("h1", "h2", "class_id", F.coalesce("root", "class_id").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
     without_id = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NULL").select(
