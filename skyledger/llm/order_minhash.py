@@ -18,8 +18,8 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
   a bucket is compared or already in one component. Pairs that cannot reach the similarity are not compared:
   those whose lengths differ too much, those whose words differ in too many of 256 parities (one edit
   changes two at most), and, word edits being a metric, those of which one is close to the leader and the
-  other farther from it than both that and the allowed edits. So a large group of near copies is met by
-  its leader alone.
+  other farther from it than both that and the allowed edits. Classes of one bucket that lie just beyond
+  the similarity of each other are all compared: their number of pairs grows with its square.
 * Components by alternating large and small stars on edges; nothing is collected. Buckets, classes and
   stars of any size are rows of joins that Spark may split.
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
