@@ -331,6 +331,41 @@ def test_pii_contexts_discover_unseen_values(spark, messy):
     assert pii_contexts.find_pii(messy).count() == messy.count()
 
 
+def test_pii_contexts_of_two_generations_and_in_prose(spark):
+    rows, want = [], {}
+
+    def add(text, value, kind):
+        rows.append((len(rows), text))
+        at = text.index(value)
+        want[rows[-1][0]] = f"{kind}:{at}:{at + len(value)}" if kind else ""
+
+    for i in range(30):
+        add(f"record {i} email: user{i}@mail.org end", f"user{i}@mail.org", "email")
+        add(f"the entry has email: hidden{i:02}at, as before", f"hidden{i:02}at", "context_email")
+        add(f"now login=hidden{i:02}at here", f"hidden{i:02}at", "context_email")
+        add(f"and login=secret{i:02}zz here", f"secret{i:02}zz", "context_email")
+        add(f"please call us by phone at +1 555 020 {1000 + i} today", f"+1 555 020 {1000 + i}", "phone")
+        # Identifiers that few or no known values stand beside, and words after good patterns.
+        add(f"the build of version v{i}.20{i} failed", f"v{i}.20{i}", None)
+        add(f"email: see page {i}", "see", None)
+        add(f"seen in report 2020{i:02} and host 10.0.0.{i}" if i < 9 else f"seen in report 2020{i:02}", f"2020{i:02}", None)
+    add("we met, call by phone at ext44551 or not", "ext44551", "context_phone")
+    add("he met me at gate77b21", "gate77b21", None)
+    # The same place twice, and an identifier in a seed, give no span of their own.
+    add("email: x123456@mail.org", "x123456@mail.org", "email")
+    rows.append((None, rows[1][1]))
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    got = pii_contexts.find_pii(docs).collect()
+    assert len(got) == len(rows) + 5
+    for r in got:
+        if r.doc_id is None:
+            assert r.spans == want[1]
+        else:
+            found = [s for s in r.spans.split(",") if s and not s.startswith("ip:")]
+            assert found == [s for s in [want[r.doc_id]] if s], rows[r.doc_id]
+            assert r.n_spans == len([s for s in r.spans.split(",") if s])
+
+
 def test_pii_runs_no_python(documents):
     plan = pii_contexts.find_seeds(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
