@@ -3,18 +3,20 @@
 Words become a template: numbers, names (capitalised words inside a sentence) and units turn into typed
 placeholders, all others into their lower-case form. Windows of eight template words of documents and
 benchmark items are hash-joined. A window of an item with fewer literals than placeholders is no evidence
-as a template: it is hashed by its written values and the signs between them, so that it matches verbatim
-copies only. Matching windows of one alignment (same shift between document and item) must fill
-their slots consistently: one value of the item stands for one value of the document, the one that most of its
-places have. Windows with a slot that disagrees, or whose value has no such reading, do not count unless
-they are verbatim. An item
-leaked into a document if consistent windows cover at least ``SHARE`` of its windows, or of its template
-windows, so re-parameterised questions are caught with their verbatim copies.
+as a template. Every window of an item is also hashed by its written values in lower case and the signs between
+them, so copies match whatever their case, and whatever that makes of names. Matching windows of one alignment
+(same shift between document and item) must fill their slots consistently: one value of the item stands for one
+value of the document, the one that most of its places have. Windows with a slot that disagrees, or whose value
+has no such reading, do not count unless they are verbatim. An item leaked into a document if consistent windows
+cover at least ``SHARE`` of its windows, or of its template windows, so re-parameterised questions are caught with
+their verbatim copies.
 
 Items of fewer than eight words are one window of their own length, which must match by its written values
-if they are fewer than four. Only windows that pass
-a filter of fixed size, built from all items, leave the scan; the join decides. One window may stand in any
-share of the documents: its rows are a side of a join that Spark may split, with few items on the other.
+if they are fewer than four. Only windows that pass a filter of fixed size, built from all items, leave the
+scan; the join decides. A leak of m of an item's t windows has one of any t - m + 1 of them, so pairs of
+document and item are sought by the item's rarest windows alone (rows of documents times items that have them)
+and only these pairs are compared by all windows: a window that stands in very many documents and items pairs
+them only where nearly all of the item is as common.
 
 Missing texts are empty and match nothing; rows that share an id are told apart by their text; a missing
 id stays missing in the result. Empty tables give an empty result.
@@ -28,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of, windows
+from skyledger.llm.common import as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of
 
 WINDOW = 8
 LEAST_ITEM = 4
@@ -53,6 +55,7 @@ _EDGES = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _SIGNS = frozenset("+-*/=<>^%×÷−")
 _NONE, _LITERAL, _NUM, _UNIT, _CAPITAL = range(5)
 _HOLDERS = np.array([0, 0, 11, 13, 17], np.uint64)
+_BASE = 0x9E3779B97F4A7C15
 
 
 class TemplateWords(dict):
@@ -116,32 +119,42 @@ class TemplateWords(dict):
         return self.arrays
 
 
+def runs(codes: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of all runs of ``size`` codes, put together from those of their halves."""
+    if size == 1:
+        return codes
+    left, n = size // 2, len(codes) - size + 1
+    first = runs(codes, left)
+    second = first if size == 2 * left else runs(codes, size - left)
+    return first[:n] * np.uint64(pow(_BASE, size - left, 1 << 64)) + second[left : left + n]
+
+
 def template_windows(template: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows, and which of them have at least as many literals as placeholders."""
-    hashes = windows(template, size) ^ np.uint64(size)
+    if len(template) < size:
+        return np.empty(0, np.uint64), np.empty(0, bool)
     held = np.concatenate(([0], np.cumsum(slots)))
-    return hashes, 2 * (held[size:] - held[:-size]) <= size if len(hashes) else np.empty(0, bool)
+    return mix(runs(template, size)) ^ np.uint64(size), 2 * (held[size:] - held[:-size]) <= size
 
 
 def written_windows(codes: np.ndarray, signs: np.ndarray, size: int) -> np.ndarray:
     """Hashes of the windows by written values and the signs between them, not the sign before the first."""
     n = len(codes) - size + 1
-    signed = codes + mix(signs) * (signs > 0)
     if n <= 0:
         return np.empty(0, np.uint64)
-    whole = np.zeros(n, np.uint64)
-    for i in range(size):
-        whole = whole * np.uint64(0x9E3779B97F4A7C15) + (signed if i else codes)[i : i + n]
-    return mix(whole) ^ np.uint64(1024 + size)
+    if not signs.any():
+        return mix(runs(codes, size)) ^ np.uint64(1024 + size)
+    extra = mix(signs) * (signs > 0)
+    return mix(runs(codes + extra, size) - extra[:n] * np.uint64(pow(_BASE, size - 1, 1 << 64))) ^ np.uint64(1024 + size)
 
 
-WINDOWS = "id long, own long, hash long, place int, total int, templates int, written boolean, slots array<long>, at array<int>"
+WINDOWS = "id long, own long, hash long, place int, total int, templates int, written boolean, evident boolean, slots array<long>, at array<int>"
 
 
 def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None, wanted: np.ndarray | None) -> DataFrame:
     """Windows of every text: of the sizes given, by template or (True) as written; or, of items, of the item's
-    own size up to WINDOW, each by its template if that is evidence and else as written. ``templates`` counts
-    the item's windows by template; windows as written have no slots."""
+    own size up to WINDOW, as written, and by their template where that is evidence (``evident``). ``templates``
+    counts these; windows as written have no slots."""
     names = [part.split()[0] for part in WINDOWS.split(", ")]
     shared = rows.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
 
@@ -159,13 +172,11 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None
                     hashes, usable = template_windows(template, slots, size)
                     if size < LEAST_ITEM:
                         usable = np.zeros(len(hashes), bool)
-                    total, templates = len(hashes), int(usable.sum())
+                    total, templates, evident = len(hashes), int(usable.sum()), usable
                     if written:
-                        hashes = written_windows(codes, signs, size)
-                        # An item's window is one or the other; a document's may meet either.
-                        usable = ~usable if sizes is None else np.ones(len(hashes), bool)
+                        hashes, usable = written_windows(codes, signs, size), np.ones(total, bool)
                     if bits is not None:
-                        usable &= in_filter(bits, hashes)
+                        usable = usable & in_filter(bits, hashes)
                     found = np.flatnonzero(usable)
                     if not len(found):
                         continue
@@ -174,13 +185,13 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None
                         span = slice(place, place + size)
                         values = [] if written else codes[span][slots[span]].view(np.int64).tolist()
                         at = [] if written else (place + np.flatnonzero(slots[span])).tolist()
-                        out.append((row_id, own, int(hashes[place]), place, total, templates, written, values, at))
+                        out.append((row_id, own, int(hashes[place]), place, total, templates, written, bool(evident[place]), values, at))
             if out:
-                ids, own, hashes, places, totals, templates, written, values, at = zip(*out)
+                ids, own, hashes, places, totals, templates, written, evident, values, at = zip(*out)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64()), as_long(np.array(own, np.uint64)), as_long(np.array(hashes, np.uint64)),
                     pa.array(places, pa.int32()), pa.array(totals, pa.int32()), pa.array(templates, pa.int32()),
-                    pa.array(written, pa.bool_()), pa.array(values, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())),
+                    pa.array(written, pa.bool_()), pa.array(evident, pa.bool_()), pa.array(values, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())),
                 ], names)
 
     return ids_and_texts(rows, key).mapInArrow(run, WINDOWS)
@@ -191,16 +202,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     item_windows, n_slots compared, n_changed of them with another value."""
     items = settle(_window_rows(benchmark, "item_id", None, None), "leak-items")
     short = _window_rows_sizes(benchmark)
-    found = _window_rows(docs, "doc_id", short, hash_filter(items.select(F.col("hash").alias("value")).distinct()))
+    wanted = hash_filter(items.select(F.col("hash").alias("value")).distinct())
+    found = settle(
+        _window_rows(docs, "doc_id", short, wanted).select(F.col("id").alias("doc_id"), F.col("own").alias("text_hash"), "hash", "place", "slots"),
+        "leak-found",
+    )
+    sought = _pairs_by_rarest(found, items, share).withColumnsRenamed({"item_id": "s_id", "item_own": "s_own", "doc_id": "s_doc", "text_hash": "s_text"})
     i = items.select(
-        F.col("id").alias("item_id"), F.col("own").alias("item_own"), "hash", F.col("place").alias("item_place"),
-        F.col("total").alias("item_windows"), F.col("templates").alias("item_templates"), "written",
+        F.col("id").alias("item_id"), F.col("own").alias("item_own"), F.col("hash").alias("item_hash"), F.col("place").alias("item_place"),
+        F.col("total").alias("item_windows"), F.col("templates").alias("item_templates"), "evident",
         F.col("slots").alias("item_slots"), "at",
-    )
+    ).distinct()
     pairs = settle(
-        found.select(F.col("id").alias("doc_id"), F.col("own").alias("text_hash"), "hash", "place", "slots")
-        .join(i, "hash").where(F.size("slots") == F.size("item_slots"))
-        .withColumn("shift", F.col("place") - F.col("item_place")),
+        sought.join(i, F.col("item_id").eqNullSafe(F.col("s_id")) & (F.col("item_own") == F.col("s_own")))
+        .join(found, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("text_hash") == F.col("s_text")) & (F.col("hash") == F.col("item_hash")))
+        .where(F.size("slots") == F.size("item_slots"))
+        .withColumn("shift", F.col("place") - F.col("item_place")).drop("s_id", "s_own", "s_doc", "s_text", "item_hash"),
         "leak-windows",
     )
     line = ["doc_id", "text_hash", "item_id", "item_own", "shift"]
@@ -228,19 +245,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     agrees = F.expr(
         "slots = item_slots OR forall(arrays_zip(item_slots, slots), v -> coalesce(readings[v.item_slots] = v.slots, false))"
     )
-    consistent = pairs.join(b, same, "left").where(agrees).select(
-        *line, "item_windows", "item_templates", "written", "item_place", "n_slots", "n_changed"
-    ).distinct().groupBy(*line, "item_windows", "item_templates", "n_slots", "n_changed").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("written")).alias("n_by_template")
+    consistent = settle(
+        pairs.join(b, same, "left").where(agrees)
+        .select(*line, "item_windows", "item_templates", "evident", "item_place", "n_slots", "n_changed").distinct(),
+        "leak-consistent",
     )
+    item = ["doc_id", "text_hash", "item_id", "item_own", "item_windows", "item_templates"]
+    # A place of the item counts once, at however many shifts it is found; slots count once per shift.
+    places = consistent.select(*item, "evident", "item_place", F.lit(0).alias("n_slots"), F.lit(0).alias("n_changed")).distinct()
+    shifts = consistent.select(
+        *line, "item_windows", "item_templates", F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).alias("n_changed")
+    ).distinct().select(*item, F.lit(False).alias("evident"), F.lit(None).cast("int").alias("item_place"), "n_slots", "n_changed")
     return (
-        consistent.groupBy("doc_id", "text_hash", "item_id", "item_windows", "item_templates")
-        .agg(
-            F.least(F.sum("n_by_template"), F.col("item_templates").cast("long")).alias("n_templates"),
-            F.max("n").alias("n_longest"), F.sum("n").alias("n_all"),
-            F.sum(F.coalesce("n_slots", F.lit(0))).alias("n_slots"), F.sum(F.coalesce("n_changed", F.lit(0))).alias("n_changed"),
+        places.unionByName(shifts).groupBy(*item).agg(
+            F.count("item_place").alias("n_windows"), F.count_if("evident").alias("n_templates"),
+            F.sum("n_slots").alias("n_slots"), F.sum("n_changed").alias("n_changed"),
         )
-        .withColumn("n_windows", F.least("n_all", F.col("item_windows").cast("long")))
         .where(
             (F.col("n_windows") >= F.lit(share) * F.col("item_windows"))
             | ((F.col("n_templates") > 0) & (F.col("n_templates") >= F.lit(share) * F.col("item_templates")))
@@ -249,8 +269,30 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     )
 
 
+def _pairs_by_rarest(found: DataFrame, items: DataFrame, share: float) -> DataFrame:
+    """Pairs (doc_id, text_hash, item_id, item_own) that share one of the item's rarest windows. A leak has at
+    least ``need`` of the item's ``total`` windows, so one of any ``total - need + 1``."""
+    cost = (
+        items.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+        .join(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs")), "hash").select("hash", (F.col("n") * F.col("n_docs")).alias("cost"))
+    )
+    rank = F.row_number().over(Window.partitionBy("id", "own").orderBy("cost", "place"))
+    need = F.least(
+        F.ceil(F.lit(share) * F.col("total") - 1e-9),
+        F.when(F.col("templates") > 0, F.ceil(F.lit(share) * F.col("templates") - 1e-9)),
+    )
+    kept = (
+        items.join(cost, "hash", "left").groupBy("id", "own", "place", "total", "templates")
+        .agg(F.sum(F.coalesce("cost", F.lit(0))).alias("cost"), F.collect_set(F.when(F.col("cost").isNotNull(), F.col("hash"))).alias("hashes"))
+        .withColumn("rank", rank).where(F.col("rank") <= F.col("total") - F.greatest(need, F.lit(1)) + 1)
+    )
+    rarest = kept.select(F.col("id").alias("item_id"), F.col("own").alias("item_own"), F.explode("hashes").alias("hash"))
+    return found.select("doc_id", "text_hash", "hash").distinct().join(rarest, "hash").drop("hash").distinct()
+
+
 def _window_rows_sizes(benchmark: DataFrame) -> list[tuple[int, bool]]:
-    """The window sizes that occur, by template and as written: WINDOW, and the lengths of shorter items."""
+    """The window sizes that occur, as written and, where one is evidence, by template: WINDOW, and the lengths
+    of shorter items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = TemplateWords()
         for batch in batches:
@@ -259,7 +301,7 @@ def _window_rows_sizes(benchmark: DataFrame) -> list[tuple[int, bool]]:
                 template, _, slots, _ = words.template(text)
                 if size := min(WINDOW, len(template)):
                     usable = template_windows(template, slots, size)[1] & (size >= LEAST_ITEM)
-                    sizes |= {(size, bool(written)) for written in ~usable}
+                    sizes |= {(size, True)} | ({(size, False)} if usable.any() else set())
             size, written = zip(*sorted(sizes)) if sizes else ((), ())
             yield pa.RecordBatch.from_pydict({"size": pa.array(size, pa.int32()), "written": pa.array(written, pa.bool_())})
 

@@ -199,6 +199,38 @@ def test_leaks_with_one_conflicting_mention(spark):
     assert got[1, 2].n_windows < got[1, 2].item_windows
 
 
+def test_leaks_in_other_case(spark):
+    item = "On Monday the trader Anna sold fish to Bob while Carl and Dora watched Emil and Fritz repair a boat for Gustav"
+    texts = [item, item.lower(), item.upper(), item.title(), item.replace("Anna", "Olga"), "Anna and Bob watched a boat on Monday while Carl slept"]
+    docs = [(i, f"some words before it {text} and others after it") for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(docs + [(9, " ".join(["On Monday the trader Anna sold fish to"] * 40))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item), (2, item.upper())], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in template_leaks.find_leaks(frame, benchmark).collect()}
+    assert {d for d, item_id in got if item_id == 1} == {0, 1, 2, 3, 4}
+    assert {d for d, item_id in got if item_id == 2} >= {0, 1, 2, 3}
+    assert all(r.n_windows <= r.item_windows for r in got.values()) and got[1, 1].n_windows == got[1, 1].item_windows
+
+
+def test_leaks_with_one_window_in_all_documents_and_items(spark):
+    """Twenty million pairs have the common window; only those with rarer ones are compared."""
+    hot = "what is the right answer to this question"
+    items = spark.range(10_000).selectExpr("id AS item_id", f"concat('{hot} ', array_join(transform(sequence(0, 11), j -> concat('w', id, 'x', j)), ' ')) AS text")
+    docs = spark.range(2_000).selectExpr(
+        "id AS doc_id", f"concat('{hot} ', array_join(transform(sequence(0, 11), j -> concat(if(id % 100 = 0, 'w', 'z'), id, 'x', j)), ' ')) AS text")
+    got = {(r.doc_id, r.item_id) for r in template_leaks.find_leaks(docs, items).collect()}
+    assert got == {(i, i) for i in range(0, 2_000, 100)}
+
+
+def test_runs_equal_plain_hashes():
+    codes = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
+    for size in range(1, 9):
+        plain = [0] * (50 - size + 1)
+        for at in range(len(plain)):
+            for code in codes[at : at + size].tolist():
+                plain[at] = (plain[at] * 0x9E3779B97F4A7C15 + code) % (1 << 64)
+        assert template_leaks.runs(codes, size).tolist() == plain
+
+
 def test_leaks_of_odd_rows(spark, messy, nothing):
     item = "the quick brown fox jumps over the lazy dog while seven wise men watch the river run"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
