@@ -129,14 +129,16 @@ def salt(n: int, *columns: str) -> Column:
 FILTER_BITS = 1 << 24
 
 
-def hash_filter(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of fixed size over the longs in column ``value``; at most bits / 64 numbers reach the driver.
+def hash_filter(values: DataFrame, bits: int = FILTER_BITS, mixed: bool = False) -> np.ndarray:
+    """A bitmap of fixed size (a power of two) over the longs in column ``value``; at most bits / 64 numbers reach
+    the driver. Values that are ``mixed`` already are not hashed again.
 
     What it lets pass may be too much, never too little: a join decides. It only saves moving rows.
     """
-    slot = F.pmod(F.xxhash64("value"), F.lit(bits))
+    spread = "value" if mixed else "xxhash64(value)"
+    slot = F.pmod(F.expr(spread), F.lit(bits))
     found = (
-        values.select((slot / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(value), 64) as int))").alias("bit"))
+        values.select((slot / 64).cast("long").alias("word"), F.expr(f"shiftleft(1L, cast(pmod({spread}, 64) as int))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("held"))
     ).toArrow()
     bitmap = np.zeros(bits // 64, np.int64)
@@ -164,6 +166,6 @@ def spark_hash(values: np.ndarray, seed: int = 42) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def in_filter(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    slot = spark_hash(values) % np.uint64(len(bitmap) * 64)
+def in_filter(bitmap: np.ndarray, values: np.ndarray, mixed: bool = False) -> np.ndarray:
+    slot = (values if mixed else spark_hash(values)) & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

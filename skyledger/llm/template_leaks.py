@@ -54,12 +54,17 @@ _NUMBER = re.compile(r"[0-9][0-9.,/:]*[0-9]|[0-9]")
 _EDGES = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _SIGNS = frozenset("+-*/=<>^%×÷−")
 _NONE, _LITERAL, _NUM, _UNIT, _CAPITAL = range(5)
+#: Kinds of words written in lower-case letters alone, unless literals.
+_PLAIN = {word.encode(): kind for words, kind in ((UNITS, _UNIT), (NUMBER_WORDS, _NUM)) for word in words}
+#: Marks beside a kind.
+_ENDS, _SIGNED = 8, 16
 _HOLDERS = np.array([0, 0, 11, 13, 17], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
 class TemplateWords(dict):
-    """Written tokens to rows of a table (kind, code of the lower-case form, ends a sentence, code of its sign)."""
+    """Written tokens to rows of a table: kind with marks (ends a sentence, has a sign), code of the lower-case
+    form, code of the sign."""
 
     BOUND = 300_000
 
@@ -68,10 +73,17 @@ class TemplateWords(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.kinds, self.codes, self.ends, self.signs, self.filled = [], [], [], [], 0
-        self.arrays = tuple(np.empty(4096, kind) for kind in (np.int8, np.uint64, bool, np.uint64))
+        self.kinds, self.codes, self.signs, self.filled = [], [], [], 0
+        self.arrays = tuple(np.empty(4096, kind) for kind in (np.uint8, np.uint64, np.uint64))
 
     def __missing__(self, token: bytes) -> int:
+        place = self[token] = len(self.kinds)
+        if token.isalpha() and token.islower():
+            # Most words: nothing to strip, to lower or to mark.
+            self.kinds.append(_PLAIN.get(token, _LITERAL))
+            self.codes.append(xxhash.xxh64_intdigest(token))
+            self.signs.append(0)
+            return place
         text = token.decode("utf-8", "replace")
         word = text.strip(_EDGES)
         lower = word.lower()
@@ -83,12 +95,11 @@ class TemplateWords(dict):
             kind = _UNIT
         else:
             kind = _CAPITAL if len(word) > 1 and word[0].isupper() and word[1:].islower() else _LITERAL
-        place = self[token] = len(self.kinds)
-        self.kinds.append(kind)
         self.codes.append(xxhash.xxh64_intdigest(lower.encode()))
-        self.ends.append(text.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":"))
         sign = text if not word and set(text) <= _SIGNS else text[:1] if kind == _NUM and text[:1] in _SIGNS else ""
         self.signs.append(xxhash.xxh64_intdigest(sign.encode()) if sign else 0)
+        ends = text.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
+        self.kinds.append(kind | (_ENDS if ends else 0) | (_SIGNED if sign else 0))
         return place
 
     def template(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,15 +108,23 @@ class TemplateWords(dict):
             self.reset()
         tokens = text.split()
         places = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        kinds, codes, ends, signs = (column[places] for column in self._columns())
-        starts = np.concatenate(([True], ends[:-1]))[: len(places)]
-        kinds = np.where((kinds == _CAPITAL) & starts, _LITERAL, kinds)
+        marked, codes, signs = self._columns()
+        marked, codes = marked[places], codes[places]
+        kinds, starts = marked & np.uint8(_ENDS - 1), np.ones(len(places), bool)
+        starts[1:] = marked[:-1] & np.uint8(_ENDS) > 0
+        kinds[(kinds == _CAPITAL) & starts] = _LITERAL
         worded = kinds != _NONE
-        last = np.flatnonzero(worded)
-        summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(signs, dtype=np.uint64)))[np.concatenate(([0], last + 1))]
-        kinds, codes = kinds[worded], codes[worded]
+        if (marked & np.uint8(_SIGNED)).any():
+            summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(signs[places], dtype=np.uint64)))
+            before = np.diff(summed[np.concatenate(([0], np.flatnonzero(worded) + 1))])
+        else:
+            before = np.zeros(int(worded.sum()), np.uint64)
+        if not worded.all():
+            kinds, codes = kinds[worded], codes[worded]
         slots = kinds > _LITERAL
-        return np.where(slots, _HOLDERS[kinds], codes), codes, slots, np.diff(summed)
+        template = codes.copy()
+        template[slots] = _HOLDERS[kinds[slots]]
+        return template, codes, slots, before
 
     def _columns(self) -> tuple[np.ndarray, ...]:
         """The table as arrays, grown in place as rows are added."""
@@ -113,7 +132,7 @@ class TemplateWords(dict):
         if now > len(self.arrays[0]):
             room = max(2 * len(self.arrays[0]), now)
             self.arrays = tuple(np.resize(column, room) for column in self.arrays)
-        for column, rows in zip(self.arrays, (self.kinds, self.codes, self.ends, self.signs)):
+        for column, rows in zip(self.arrays, (self.kinds, self.codes, self.signs)):
             column[done:now] = rows[done:now]
         self.filled = now
         return self.arrays
@@ -176,7 +195,7 @@ def _window_rows(rows: DataFrame, key: str, sizes: list[tuple[int, bool]] | None
                     if written:
                         hashes, usable = written_windows(codes, signs, size), np.ones(total, bool)
                     if bits is not None:
-                        usable = usable & in_filter(bits, hashes)
+                        usable = usable & in_filter(bits, hashes, mixed=True)
                     found = np.flatnonzero(usable)
                     if not len(found):
                         continue
@@ -202,7 +221,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     item_windows, n_slots compared, n_changed of them with another value."""
     items = settle(_window_rows(benchmark, "item_id", None, None), "leak-items")
     short = _window_rows_sizes(benchmark)
-    wanted = hash_filter(items.select(F.col("hash").alias("value")).distinct())
+    wanted = hash_filter(items.select(F.col("hash").alias("value")).distinct(), mixed=True)
     found = settle(
         _window_rows(docs, "doc_id", short, wanted).select(F.col("id").alias("doc_id"), F.col("own").alias("text_hash"), "hash", "place", "slots"),
         "leak-found",
