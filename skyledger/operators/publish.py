@@ -90,20 +90,28 @@ def snapshot_changes(existing: DataFrame, incoming: DataFrame, key: str = KEY) -
     )
 
 
-def compare_snapshots(before: DataFrame, after: DataFrame, key: str = KEY) -> DataFrame:
-    """What became of each document between two whole snapshots; ``lost`` ones come as they were."""
+def compare_snapshots(before: DataFrame, after: DataFrame, key: str = KEY, handed: DataFrame | None = None) -> DataFrame:
+    """What became of each document between two whole snapshots; ``lost`` ones come as they were.
+
+    With the keys of the documents ``handed`` over in between (repeats count once), those that are as they were
+    are told apart: ``unchanged`` if they were handed over again, else ``kept``.
+    """
     fields = [name for name in after.columns if name != key]
     old = before.select(key, F.struct(*fields).alias("old"))
     new = after.select(key, F.struct(*fields).alias("new"))
+    both = old.join(new, key, "full_outer")
+    same = F.lit(UNCHANGED)
+    if handed is not None:
+        both = both.join(handed.select(key).distinct().withColumn("handed", F.lit(True)), key, "left")
+        same = F.when(F.col("handed"), same).otherwise(F.lit(KEPT))
     action = (
         F.when(F.col("new").isNull(), F.lit(LOST))
         .when(F.col("old").isNull(), F.lit(INSERTED))
-        .when(F.col("old") == F.col("new"), F.lit(UNCHANGED))
+        .when(F.col("old") == F.col("new"), same)
         .otherwise(F.lit(REPLACED))
     )
     return (
-        old.join(new, key, "full_outer")
-        .select(key, F.coalesce("new", "old").alias("document"), action.alias("action"))
+        both.select(key, F.coalesce("new", "old").alias("document"), action.alias("action"))
         .select(key, "document.*", "action")
         .select(*after.columns, "action")
     )

@@ -702,4 +702,5 @@ def streaming_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
     # Both whole: a document that the stream lost or left alone shows as such.
     published = spark.read.schema(before.schema).parquet(snapshot).select(*before.columns)
-    return publish.compare_snapshots(before, published)
+    streamed = documents(landing.read_days(spark, folder, days_like(spark, sf))).select(publish.KEY)
+    return publish.compare_snapshots(before, published, handed=streamed)

@@ -139,6 +139,16 @@ def test_compared_snapshots_show_lost_documents(spark):
     }
 
 
+def test_compared_snapshots_tell_kept_from_unchanged(spark):
+    """A document that was handed over again as it was, twice even, is not one that nobody handed over."""
+    before = publish.to_documents(daily(spark, ("A", D2, 1.0), ("B", D2, 2.0), ("C", D2, None), ("E", D2, 5.0)))
+    after = publish.to_documents(daily(spark, ("A", D2, 1.0), ("B", D2, 2.5), ("C", D2, None), ("D", D2, 4.0)))
+    handed = publish.to_documents(daily(spark, ("B", D2, 2.5), ("C", D2, None), ("D", D2, 4.0), ("C", D2, None)))
+    assert actions(publish.compare_snapshots(before, after, handed=handed)) == {
+        "A": ("kept", 1.0), "B": ("replaced", 2.5), "C": ("unchanged", None), "D": ("inserted", 4.0), "E": ("lost", 5.0),
+    }
+
+
 def test_bucketed_snapshot_is_not_moved(spark, tmp_path):
     """Like a merge of frames, publish after publish; only the documents that come are shuffled."""
     table = "snapshot_" + uuid.uuid4().hex
