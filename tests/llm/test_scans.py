@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from functools import cache
+from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -236,6 +239,31 @@ def test_rank_codes_round_trip(values):
     assert back.tolist() == values
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab Zé×÷ßñ\n\t.,!?'s1<|>\u00a0\u0085\u2003\u3000漢я🙂\x1c\x7f", max_size=25) | st.just("x<|endoftext|> y.\nz"), max_size=6))
+def test_pieces_give_the_ids_of_whole_texts(texts):
+    pieces = _pieces()
+    counts, tokens = pieces.encode(pa.array(["", *texts], pa.string())[1:])
+    want = [pieces.tokenizer.encode(text, add_special_tokens=False).ids + [0] for text in texts]
+    assert counts.tolist() == [len(ids) for ids in want]
+    assert tokens.tolist() == [i for ids in want for i in ids]
+
+
+def test_words_are_encoded_once_beside_marks_and_line_ends():
+    words = ["".join(pair) for pair in product("abcde", "fghij")]
+    text = " ".join(f"{a}.\n{b}, {a}" for a in words for b in words)
+    pieces = _pieces()
+    pieces.reset()
+    pieces.encode(pa.array([text]))
+    # Each word with and without a space before it, two marks, the line end, and the end id.
+    assert pieces.next == 2 * len(words) + 2 + 1 + 1
+
+
+@cache
+def _pieces():
+    return token_files.Pieces(tokenizer_path())
+
+
 def test_token_files_hold_every_id(spark, documents, messy, nothing):
     from tokenizers import Tokenizer
 
