@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, connect
@@ -275,6 +276,28 @@ def test_mix_of_odd_rows(spark, messy, nothing):
     assert mixing.mix_sources(nothing).count() == 0 and mixing.repeat_documents(nothing).count() == 0
 
 
+def test_mix_repeats_documents_of_their_own_source(spark, documents):
+    """Rows of two sources that share ids and sizes, some rows twice: each source's words are those that the mix takes."""
+    rows = [(i, f"{source} b c", "en", source, n) for i in range(300) for source, n in [("x", 1), ("y", 2), ("y", 2), ("z", 3)]]
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), documents):
+        repeated = mixing.repeat_documents(docs)
+        counts = Counter((r.source, r.doc_id) for r in repeated.collect())
+        sized = mixing.mix_sizes(docs, mixing.SEED)
+        words = {r.source: r.n for r in repeated.groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("n")).collect()}
+        aim = {(r.source_size, r.target) for r in mixing.mix_sources(docs).collect()}
+        largest = max(r["size"] for r in sized.collect())
+        sizes = {r.source: r.n for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+        for source, size in sizes.items():
+            assert any(own == size and abs(words.get(source, 0) - target) <= largest for own, target in aim)
+        assert sum(counts.values()) == sum(r.copies for r in mixing.mix_sources(docs).collect())
+
+
+def test_mix_moves_no_texts_but_those_of_cut_buckets(documents):
+    plan = mixing.repeat_documents(documents)._jdf.queryExecution().executedPlan().toString()
+    most = plan.split("SortMergeJoin")[0]
+    assert "FileScan" in most and "hashpartitioning" not in most
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n, top in ((1, 1), (1, 10**12), (5, 3), (1000, 100), (50_000, 10**9), (30_000, 2**50)):
