@@ -52,6 +52,9 @@ SIMILARITY = 0.8
 #: Longest text that has keys of its shortened forms; at SIMILARITY two words may go.
 SHORT = 14
 PARITIES = 4
+#: Texts of more words than this have finer parities too, of at least four classes a word up to MOST_FINE.
+FINE_FROM = 256
+MOST_FINE = 1 << 16
 _BLOCK = 1 << 20
 
 
@@ -119,9 +122,16 @@ def short_keys(codes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     return np.unique(np.concatenate(forms))
 
 
-def parities(codes: np.ndarray) -> np.ndarray:
-    """Whether the words of each of 64 x PARITIES classes are odd in number, as bits."""
-    size = 64 * PARITIES
+def fine_classes(words: int) -> int:
+    """Classes of the finer parities of a text: a power of four, 0 for a short text."""
+    size = 1024
+    while size < min(4 * words, MOST_FINE):
+        size *= 4
+    return size if words > FINE_FROM else 0
+
+
+def parities(codes: np.ndarray, size: int = 64 * PARITIES) -> np.ndarray:
+    """Whether the words of each of ``size`` classes are odd in number, as bits."""
     odd = np.bincount((mix(codes) % np.uint64(size)).astype(np.intp), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
@@ -220,10 +230,35 @@ def near(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILAR
     return np.where(reached, 1.0 - edits / longest, -1.0) if len(pairs) else np.empty(0)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), as_long(np.concatenate(arrays) if arrays else np.empty(0, np.uint64)))
+
+
+def fine_edits(one: str, other: str) -> Column:
+    """Fewest edits that the finer parities of two texts (words, fine, coarse) allow, 0 where they have none in common."""
+    def edits(left: Column, right: Column) -> Column:
+        differ = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        differ = F.aggregate(differ, F.lit(0), lambda total, n: total + n)
+        return F.ceil((differ + F.abs(F.col(f"{one}.words") - F.col(f"{other}.words"))) / 2).cast("int")
+
+    a, b = F.col(f"{one}.fine"), F.col(f"{other}.fine")
+    a_coarse, b_coarse = F.col(f"{one}.coarse"), F.col(f"{other}.coarse")
+    return F.coalesce(
+        F.when(F.size(a) == F.size(b), edits(a, b))
+        .when(F.size(a_coarse) == F.size(b), edits(a_coarse, b))
+        .when(F.size(a) == F.size(b_coarse), edits(a, b_coarse)),
+        F.lit(0),
+    )
+
+
 def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, 128-bit hash of the text (h1, h2), Spark's hash of it, its word parities and its keys; one scan, no shuffle."""
     odd_names = [f"odd{i}" for i in range(PARITIES)]
-    schema = f"doc_id long, text_hash long, h1 long, h2 long, words int, {', '.join(f'{name} long' for name in odd_names)}, keys array<long>"
+    schema = (
+        f"doc_id long, text_hash long, h1 long, h2 long, words int, {', '.join(f'{name} long' for name in odd_names)}, "
+        "keys array<long>, fine array<long>, coarse array<long>"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
@@ -233,16 +268,21 @@ def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similari
             found = [codes.array(text.translate(WORD_BYTES).split()) for text in texts]
             keys = [np.concatenate((sketch(own, bands, picked), short_keys(own, similarity))) for own in found]
             odd = np.array([parities(own) for own in found], np.uint64).reshape(len(found), PARITIES)
-            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            values = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+            words = [len(own) for own in found]
+            sizes = [fine_classes(n) for n in words]
+            # The second of equal words is another word here, so that counts differ by more than parity.
+            found = [labelled(own) if size else own for own, size in zip(found, sizes)]
+            fine = [parities(own, size) if size else own[:0] for own, size in zip(found, sizes)]
+            # As a text with a fourth of the classes has them, for pairs of the two.
+            coarse = [parities(own, size // 4) if size > 1024 else own[:0] for own, size in zip(found, sizes)]
             yield pa.RecordBatch.from_arrays([
                 column_of(batch, "doc_id"), column_of(batch, "text_hash"),
                 as_long(np.array([d >> 64 for d in digests], np.uint64)),
                 as_long(np.array([d & 0xFFFFFFFFFFFFFFFF for d in digests], np.uint64)),
-                pa.array([len(own) for own in found], pa.int32()),
+                pa.array(words, pa.int32()),
                 *(as_long(odd[:, i]) for i in range(PARITIES)),
-                pa.ListArray.from_arrays(pa.array(ends), as_long(values)),
-            ], ["doc_id", "text_hash", "h1", "h2", "words", *odd_names, "keys"])
+                _lists(keys), _lists(fine), _lists(coarse),
+            ], ["doc_id", "text_hash", "h1", "h2", "words", *odd_names, "keys", "fine", "coarse"])
 
     texts = ids_and_texts(docs).where("doc_id IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
     return texts.mapInArrow(run, schema)
@@ -318,7 +358,9 @@ def _grouped(
         differ = sum(
             (F.bit_count(F.col(f"{one}.odd{i}").bitwiseXOR(F.col(f"{other}.odd{i}"))) for i in range(PARITIES)), F.lit(0)
         )
-        return F.coalesce(F.greatest(F.abs(F.col(f"{one}.words") - F.col(f"{other}.words")), F.ceil(differ / 2).cast("int")), F.lit(0))
+        # Edits are at least the words that either has beyond the other: half of both, and half the lengths' difference.
+        longer = F.abs(F.col(f"{one}.words") - F.col(f"{other}.words"))
+        return F.coalesce(F.greatest(longer, F.ceil((differ + longer) / 2).cast("int")), F.lit(0))
 
     def most_edits(one: str, other: str) -> Column:
         longest = F.when(F.col(one).isNotNull() & F.col(other).isNotNull(), F.greatest(f"{one}.words", f"{other}.words"))
@@ -372,15 +414,22 @@ def _grouped(
     placed = rooted(rooted(led, "node", "root"), "leader", "leader_root").withColumn("apart", F.col("root") != F.col("leader_root"))
     some = placed.where("apart").select("key").distinct()
     placed = placed.join(some, "key", "left_semi").withColumns({"a": ends[0], "b": ends[1]}).join(bounds, ["a", "b"])
-    placed = settle(looked(placed.select("key", "node", "root", "apart", "least", "edits"), "node", "look"), "omh-placed")
+    placed = looked(placed.select("key", "node", "root", "apart", "least", "edits"), "node", "look")
+    fine = rows.withColumnRenamed("doc_id", "node").join(placed.select("node").distinct(), "node", "left_semi")
+    fine = fine.select("node", F.struct("h1", "h2", "words", "fine", "coarse").alias("fine")).groupBy("node").agg(
+        F.min("fine").alias("fine"), F.max("fine").alias("other")
+    ).where("fine = other").where(F.size("fine.fine") > 0).select("node", "fine")
+    placed = settle(placed.join(fine, "node", "left"), "omh-placed")
     x = placed.where("apart").select(
-        F.col("key").alias("x_key"), F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"), F.col("least").alias("x_least")
+        F.col("key").alias("x_key"), F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"), F.col("least").alias("x_least"),
+        F.col("fine").alias("x_fine"),
     )
-    y = placed.withColumnsRenamed({"node": "y", "look": "y_look"})
+    y = placed.withColumnsRenamed({"node": "y", "look": "y_look", "fine": "y_fine"})
     meet = (
         (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("root")) & (~F.col("apart") | (F.col("x") < F.col("y")))
         & (F.col("x_least") - F.coalesce("edits", F.lit(1 << 30)) <= most_edits("x_look", "y_look"))
         & (least_edits("x_look", "y_look") <= most_edits("x_look", "y_look"))
+        & (fine_edits("x_fine", "y_fine") <= most_edits("x_look", "y_look"))
     )
     second = (
         x.join(y, meet).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()

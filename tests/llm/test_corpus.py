@@ -144,6 +144,44 @@ def test_texts_that_share_an_id_are_removed_alone(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [rows[0], rows[2]]
 
 
+def test_long_texts_that_share_a_passage_are_told_apart_by_their_looks(spark, monkeypatch):
+    """Texts of a long common passage and ends of a few frequent words of their own: just beyond the similarity."""
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(560)]
+    rows = [(n, " ".join([*passage, *(f"t{n}x{i}" for i in rng.integers(0, 12, 240))])) for n in range(40)]
+    rows.append((40, rows[7][1] + " and a little more"))
+    pairs = []
+    verified = order_minhash.verified
+
+    def counted(frame, *args):
+        pairs.append(frame.count())
+        return verified(frame, *args)
+
+    monkeypatch.setattr(order_minhash, "verified", counted)
+    got = order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.group_id) for r in got if r.doc_id != r.group_id} == {(40, 7)}
+    assert pairs[1] <= 5
+
+
+def test_finer_parities_bound_the_edits(spark):
+    """Never more than the edits, whatever the two lengths' classes."""
+    rng = np.random.default_rng(4)
+    texts, edits = [], []
+    for n in (257, 300, 1010, 1024, 1030, 4100):
+        words = rng.integers(0, 90, n).tolist()
+        for gone in (1, 20, n // 5):
+            places = set(rng.permutation(n)[:gone].tolist())
+            texts += [words, [w for i, w in enumerate(words) if i not in places], [900 + w if i in places else w for i, w in enumerate(words)]]
+            edits.append(gone)
+    docs = spark.createDataFrame([(i, " ".join(map(str, t))) for i, t in enumerate(texts)], "doc_id long, text string")
+    looks = order_minhash.sketches(docs).select("doc_id", F.struct("words", "fine", "coarse").alias("look"))
+    one = looks.where("doc_id % 3 = 0").withColumnsRenamed({"doc_id": "a", "look": "x"})
+    other = looks.where("doc_id % 3 > 0").withColumnsRenamed({"doc_id": "b", "look": "y"})
+    found = one.join(other, F.floor(F.col("a") / 3) == F.floor(F.col("b") / 3)).select("a", order_minhash.fine_edits("x", "y").alias("least")).collect()
+    assert len(found) == 2 * len(edits) and all(r.least <= edits[r.a // 3] for r in found)
+    assert sum(r.least >= 0.8 * edits[r.a // 3] for r in found) >= len(found) / 2
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 20)] + [(100, 103), (103, 101), (7, 7), (50, 60), (60, 50)]
     got = {r.node: r.root for r in order_minhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
