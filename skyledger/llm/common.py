@@ -13,6 +13,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,9 @@ WORD_BYTES = bytes(
     ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else (b if b >= 128 else 32) for b in range(256)
 )
 
+#: Bytes of text that are worked on at a time.
+TEXT_BYTES = 1 << 22
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,6 +55,25 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def slices(batch: pa.RecordBatch, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about TEXT_BYTES of text; a longer text is a run of its own."""
+    ends = np.cumsum(pc.binary_length(column_of(batch, name)).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        start = ends[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, start + TEXT_BYTES, side="right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
+def text_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of all batches; then what Arrow keeps is given back, as the worker lives on for other stages."""
+    for batch in batches:
+        yield from slices(batch)
+    batch = None
+    pa.default_memory_pool().release_unused()
+
+
 class TokenCodes(dict):
     """Token bytes to 64-bit hashes, remembered up to a bound that only saves time."""
 

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import (
-    WORD_BYTES, TokenCodes, as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, texts_of, windows,
+    WORD_BYTES, TokenCodes, as_long, column_of, hash_filter, ids_and_texts, in_filter, mix, settle, text_runs, texts_of, windows,
 )
 
 SHINGLE = 2
@@ -262,7 +262,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, picked: int = PICKED, similari
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
-        for batch in batches:
+        for batch in text_runs(batches):
             texts = texts_of(batch)
             digests = [xxhash.xxh3_128_intdigest(text) for text in texts]
             found = [codes.array(text.translate(WORD_BYTES).split()) for text in texts]
@@ -294,7 +294,7 @@ def token_codes(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TokenCodes()
-        for batch in batches:
+        for batch in text_runs(batches):
             ids = column_of(batch, "doc_id")
             keep = in_filter(shared.value, ids.to_numpy(zero_copy_only=False))
             part = batch.filter(pa.array(keep))

@@ -30,15 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import column_of, ids_and_texts, open_shared, publish_file, scratch_dir, settle
+from skyledger.llm.common import column_of, ids_and_texts, open_shared, publish_file, scratch_dir, settle, text_runs
 
 MAGIC = b"RANKVB01"
 END_ID = 0
-BLOCK_TOKENS = 1 << 21
-#: Bytes of text that are encoded at a time.
-TEXT_BYTES = 1 << 22
+BLOCK_TOKENS = 1 << 20
 #: Remembered pieces; only time depends on it.
-PIECES = 800_000
+PIECES = 400_000
 #: How byte-level vocabularies write a space.
 _SPACE = "\u0120"
 
@@ -262,16 +260,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame
         def blocks() -> Iterator[bytes]:
             held: list[tuple[list, np.ndarray, np.ndarray]] = []
             size = 0
-            for batch in batches:
-                for part in _slices(batch):
-                    ids = column_of(part, "doc_id").to_pylist()
-                    counts, tokens = pieces.encode(column_of(part, "text"))
-                    held.append((ids, counts, tokens))
-                    size += len(tokens)
-                    written[:] += len(ids), len(tokens)
-                    if size >= BLOCK_TOKENS:
-                        yield _block(held)
-                        held, size = [], 0
+            for part in text_runs(batches):
+                ids = column_of(part, "doc_id").to_pylist()
+                counts, tokens = pieces.encode(column_of(part, "text"))
+                held.append((ids, counts, tokens))
+                size += len(tokens)
+                written[:] += len(ids), len(tokens)
+                if size >= BLOCK_TOKENS:
+                    yield _block(held)
+                    held, size = [], 0
             if held:
                 yield _block(held)
 
@@ -289,17 +286,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame
     )
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of about TEXT_BYTES; a longer text is a run of its own."""
-    ends = np.cumsum(pc.binary_length(column_of(batch, "text")).to_numpy(zero_copy_only=False).astype(np.int64))
-    first = 0
-    while first < batch.num_rows:
-        start = ends[first - 1] if first else 0
-        end = max(first + 1, int(np.searchsorted(ends, start + TEXT_BYTES, side="right")))
-        yield batch.slice(first, end - first)
-        first = end
-
-
 def _chain(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
     yield first
     yield from rest

@@ -9,13 +9,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, connect
 from skyledger.llm import (
-    elias_fano, mixing, ngram_trie, order_minhash, pii_contexts, queries, template_leaks, warc_revisits,
+    common, elias_fano, mixing, ngram_trie, order_minhash, pii_contexts, queries, template_leaks, warc_revisits,
 )
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -163,6 +164,28 @@ def test_long_texts_that_share_a_passage_are_told_apart_by_their_looks(spark, mo
     assert pairs[1] <= 5
 
 
+def test_sketches_take_a_batch_in_runs_of_text(spark, monkeypatch):
+    """Memory follows a run of texts, not the rows that Spark hands over at once; the sketches are the same."""
+    class Held:
+        def same(self, *args):
+            return self
+
+        select = where = withColumn = same
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [f"text {i} of a few words and {i * i} more" for i in range(9)]
+    columns = [pa.array(range(9), pa.int64()), pa.array(texts), pa.array(range(9), pa.int64())]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "text_hash"])
+    run = order_minhash.sketches(Held())
+    whole = pa.Table.from_batches(run(iter([batch])))
+    monkeypatch.setattr(common, "TEXT_BYTES", 100, raising=False)
+    parts = list(run(iter([batch, batch.slice(0, 0)])))
+    assert max(part.num_rows for part in parts) <= 3
+    assert pa.Table.from_batches(parts).combine_chunks().equals(whole.combine_chunks())
+
+
 def test_finer_parities_bound_the_edits(spark):
     """Never more than the edits, whatever the two lengths' classes."""
     rng = np.random.default_rng(4)
