@@ -18,8 +18,9 @@ A candidate is a near duplicate if its edit similarity, 1 - word edits / longer
   a bucket is compared or already in one component. Pairs that cannot reach the similarity are not compared:
   those whose lengths differ too much, those whose words differ in too many of 256 parities (one edit
   changes two at most), and, word edits being a metric, those of which one is close to the leader and the
-  other farther from it than both that and the allowed edits. Classes of one bucket that lie just beyond
-  the similarity of each other are all compared: their number of pairs grows with its square.
+  other farther from it than both that and the allowed edits. A pair meets in the least of its common
+  buckets only. Classes of one bucket that lie just beyond the similarity of each other are all compared:
+  their number of pairs grows with its square.
 * Components by alternating large and small stars on edges; nothing is collected. Buckets, classes and
   stars of any size are rows of joins that Spark may split.
 * Only token codes of candidate texts move, chosen by a filter of fixed size over document ids.
@@ -349,23 +350,47 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
+def least_edits(one: str, other: str) -> Column:
+    """Fewest edits that two looks (words and parities) allow; a missing look allows any."""
+    differ = sum(
+        (F.bit_count(F.col(f"{one}.odd{i}").bitwiseXOR(F.col(f"{other}.odd{i}"))) for i in range(PARITIES)), F.lit(0)
+    )
+    # Edits are at least the words that either has beyond the other: half of both, and half the lengths' difference.
+    longer = F.abs(F.col(f"{one}.words") - F.col(f"{other}.words"))
+    return F.coalesce(F.greatest(longer, F.ceil((differ + longer) / 2).cast("int")), F.lit(0))
+
+
+def most_edits(one: str, other: str, similarity: float) -> Column:
+    """Most edits that two looks of near duplicates may have; any with a missing look."""
+    longest = F.when(F.col(one).isNotNull() & F.col(other).isNotNull(), F.greatest(f"{one}.words", f"{other}.words"))
+    return F.coalesce(F.lit(1 - similarity) * longest + 1e-6, F.lit(1e9))
+
+
+def meetings(placed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (x, y) of different components that have a bucket in common and may be near duplicates, a row each.
+
+    ``placed`` has a row per bucket and node: key, node, root, apart (from the leader's component), least (edits
+    from the leader at least), edits (if it is close to the leader), look, fine and keys, all keys of the node's rows.
+    """
+    names = ["key", "node", "root", "look", "least", "fine", "keys"]
+    x = placed.where("apart").select(*[F.col(name).alias("x" if name == "node" else f"x_{name}") for name in names])
+    y = placed.withColumnsRenamed({"node": "y", "look": "y_look", "fine": "y_fine"})
+    most = most_edits("x_look", "y_look", similarity)
+    meet = (
+        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("root")) & (~F.col("apart") | (F.col("x") < F.col("y")))
+        & (F.col("x_least") - F.coalesce("edits", F.lit(1 << 30)) <= most)
+        & (least_edits("x_look", "y_look") <= most)
+        # A bound that excludes the pair in one bucket holds in all, so the least common bucket decides for them.
+        & (F.array_min(F.array_intersect("x_keys", "keys")) == F.col("key"))
+        & (fine_edits("x_fine", "y_fine") <= most)
+    )
+    return x.join(y, meet).select("x", "y")
+
+
 def _grouped(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, picked: int = PICKED
 ) -> DataFrame:
     """What near_duplicates gives, with Spark's hash of the row's text."""
-    def least_edits(one: str, other: str) -> Column:
-        """Fewest edits that two looks (words and parities) allow; a missing look allows any."""
-        differ = sum(
-            (F.bit_count(F.col(f"{one}.odd{i}").bitwiseXOR(F.col(f"{other}.odd{i}"))) for i in range(PARITIES)), F.lit(0)
-        )
-        # Edits are at least the words that either has beyond the other: half of both, and half the lengths' difference.
-        longer = F.abs(F.col(f"{one}.words") - F.col(f"{other}.words"))
-        return F.coalesce(F.greatest(longer, F.ceil((differ + longer) / 2).cast("int")), F.lit(0))
-
-    def most_edits(one: str, other: str) -> Column:
-        longest = F.when(F.col(one).isNotNull() & F.col(other).isNotNull(), F.greatest(f"{one}.words", f"{other}.words"))
-        return F.coalesce(F.lit(1 - similarity) * longest + 1e-6, F.lit(1e9))
-
     def looked(frame: DataFrame, node: str, look: str) -> DataFrame:
         return frame.join(looks.withColumnsRenamed({"node": node, "look": look}), node)
 
@@ -394,7 +419,7 @@ def _grouped(
     ends = (F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
     first = settle(
         looked(looked(led.select(*ends).distinct(), "a", "look_a"), "b", "look_b")
-        .select("a", "b", least_edits("look_a", "look_b").alias("least"), (least_edits("look_a", "look_b") <= most_edits("look_a", "look_b")).alias("open")),
+        .select("a", "b", least_edits("look_a", "look_b").alias("least"), (least_edits("look_a", "look_b") <= most_edits("look_a", "look_b", similarity)).alias("open")),
         "omh-first",
     )
     tested = settle(verified(first.where("open").select("a", "b"), codes, similarity), "omh-tested")
@@ -415,25 +440,15 @@ def _grouped(
     some = placed.where("apart").select("key").distinct()
     placed = placed.join(some, "key", "left_semi").withColumns({"a": ends[0], "b": ends[1]}).join(bounds, ["a", "b"])
     placed = looked(placed.select("key", "node", "root", "apart", "least", "edits"), "node", "look")
-    fine = rows.withColumnRenamed("doc_id", "node").join(placed.select("node").distinct(), "node", "left_semi")
+    placed = settle(placed, "omh-placed")
+    shared = placed.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    fine = rows.withColumnRenamed("doc_id", "node").join(shared.select("node"), "node", "left_semi")
     fine = fine.select("node", F.struct("h1", "h2", "words", "fine", "coarse").alias("fine")).groupBy("node").agg(
         F.min("fine").alias("fine"), F.max("fine").alias("other")
     ).where("fine = other").where(F.size("fine.fine") > 0).select("node", "fine")
-    placed = settle(placed.join(fine, "node", "left"), "omh-placed")
-    x = placed.where("apart").select(
-        F.col("key").alias("x_key"), F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("look").alias("x_look"), F.col("least").alias("x_least"),
-        F.col("fine").alias("x_fine"),
-    )
-    y = placed.withColumnsRenamed({"node": "y", "look": "y_look", "fine": "y_fine"})
-    meet = (
-        (F.col("x_key") == F.col("key")) & (F.col("x_root") != F.col("root")) & (~F.col("apart") | (F.col("x") < F.col("y")))
-        & (F.col("x_least") - F.coalesce("edits", F.lit(1 << 30)) <= most_edits("x_look", "y_look"))
-        & (least_edits("x_look", "y_look") <= most_edits("x_look", "y_look"))
-        & (fine_edits("x_fine", "y_fine") <= most_edits("x_look", "y_look"))
-    )
-    second = (
-        x.join(y, meet).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
+    placed = settle(placed.join(shared.join(fine, "node", "left"), "node"), "omh-met")
+    second = meetings(placed, similarity).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).join(
+        first, ["a", "b"], "left_anti"
     )
     links = settle(found.unionByName(verified(second, codes, similarity).where("near").select("a", "b")), "omh-all-links")
     roots = components(links)

@@ -164,6 +164,24 @@ def test_long_texts_that_share_a_passage_are_told_apart_by_their_looks(spark, mo
     assert pairs[1] <= 5
 
 
+def test_a_pair_of_many_common_buckets_meets_once(spark):
+    """Two components of one bucket, and of twenty: the join itself makes a row per pair, and every pair."""
+    rng = np.random.default_rng(8)
+    rows, keys_of = [], {n: sorted(rng.choice(30, 20, replace=False).tolist()) for n in range(12)}
+    root_of = {n: 0 if n < 4 else n - n % 2 for n in keys_of}
+    for n, keys in keys_of.items():
+        look = (100, 0, 0, 0, 0)
+        rows += [(key, n, root_of[n], n >= 4, 30 if n >= 4 else 0, 25 if n < 4 else None, look, None, keys) for key in keys]
+    look_type = "struct<words int, odd0 long, odd1 long, odd2 long, odd3 long>"
+    placed = spark.createDataFrame(
+        rows, f"key long, node long, root long, apart boolean, least int, edits int, look {look_type}, "
+        "fine struct<words int, fine array<long>, coarse array<long>>, keys array<long>"
+    )
+    got = sorted(tuple(sorted((r.x, r.y))) for r in order_minhash.meetings(placed).collect())
+    want = [(a, b) for a in keys_of for b in keys_of if a < b and root_of[a] != root_of[b] and set(keys_of[a]) & set(keys_of[b])]
+    assert got == sorted(want)
+
+
 def test_sketches_take_a_batch_in_runs_of_text(spark, monkeypatch):
     """Memory follows a run of texts, not the rows that Spark hands over at once; the sketches are the same."""
     class Held:
