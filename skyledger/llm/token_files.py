@@ -36,7 +36,7 @@ MAGIC = b"RANKVB01"
 END_ID = 0
 BLOCK_TOKENS = 1 << 20
 #: Remembered pieces; only time depends on it.
-PIECES = 800_000
+PIECES = 400_000
 #: How byte-level vocabularies write a space.
 _SPACE = "\u0120"
 
