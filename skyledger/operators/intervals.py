@@ -8,6 +8,8 @@ may shuffle, sort and split like any other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from pyspark.sql import functions as F
 TOP = 14
 #: Days are counted from 4900 BC, so that none is negative.
 _FIRST = 2_500_000
-#: A bin with more starts than this in it is split.
-SPLIT = 100_000
+#: A bin with more rows than this of either side is split, so that a task pairs no more than the square of it at once.
+SPLIT = 5_000
 
 
 def _day(day: Column) -> Column:
@@ -46,18 +48,38 @@ def bins_of_interval(first: Column, last: Column) -> Column:
     return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(TOP)), at)))
 
 
-def _meet(starts: DataFrame, intervals: DataFrame, on: tuple[str, ...], split: int) -> DataFrame:
-    """Pairs of rows of ``starts`` (with ``day``) and of ``intervals`` (with ``first``, ``last``) that hold the day."""
+def _meet(starts: DataFrame, intervals: DataFrame, on: list[str], split: int) -> DataFrame:
+    """Pairs of rows of ``starts`` (with ``day``) and of ``intervals`` (with ``first``, ``last``) that hold the day.
+
+    Days are put in their bins once, whatever the number of rows that have them, and a bin that one side has no row in
+    is left out. The rows of a bin are dealt out to a grid of parts, by what they hold.
+    """
     keys = [*on, "bin"]
-    starts = starts.select("*", F.explode(bins_of_day(F.col("day"))).alias("bin")).drop("day")
-    intervals = intervals.select("*", F.explode(bins_of_interval(F.col("first"), F.col("last"))).alias("bin")).drop("first", "last")
-    # Starts of a crowded bin go to several tasks, the intervals that hold it to all of those.
-    crowded = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split)
-    parts = crowded.select(*keys, F.ceil(F.col("n") / split).cast("int").alias("parts"))
-    one = F.coalesce("parts", F.lit(1))
-    starts = starts.join(parts, keys, "left").withColumn("part", F.pmod(F.xxhash64("starting"), one).cast("int")).drop("parts")
-    intervals = intervals.join(parts, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
-    return starts.join(intervals, [*keys, "part"])
+
+    def binned(rows: DataFrame, bins: Column, *days: str) -> DataFrame:
+        return rows.groupBy(*on, *days).agg(F.count(F.lit(1)).alias("n")).select("*", F.explode(bins).alias("bin"))
+
+    def parts(bins: DataFrame, name: str) -> DataFrame:
+        return bins.groupBy(*keys).agg(F.ceil(F.sum("n") / split).cast("int").alias(name))
+
+    start_bins = binned(starts, bins_of_day(F.col("day")), "day")
+    interval_bins = binned(intervals, bins_of_interval(F.col("first"), F.col("last")), "first", "last")
+    met = parts(start_bins, "start_parts").join(parts(interval_bins, "interval_parts"), keys)
+    # As many tasks as the session states: few rows make many pairs, so their bytes do not tell how many tasks they need.
+    cell, tasks = [*keys, "start_part", "interval_part"], int(starts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame, bins: DataFrame, days: list[str], own: str, other: str) -> DataFrame:
+        stay = [name for name in rows.columns if name not in days]
+        part = F.pmod(F.xxhash64(*stay), F.col(f"{own}_parts")).cast("int").alias(f"{own}_part")
+        to_all = F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)).alias(f"{other}_part")
+        bins_met = bins.join(met, keys).groupBy(*on, *days).agg(
+            F.collect_list(F.struct("bin", "start_parts", "interval_parts")).alias("bins")
+        )
+        rows = rows.join(bins_met, [*on, *days]).select(*stay, F.inline("bins"))
+        return rows.select(*stay, "bin", part, to_all).repartition(tasks, *cell)
+
+    dealt_starts = dealt(starts, start_bins, ["day"], "start", "interval")
+    return dealt_starts.join(dealt(intervals, interval_bins, ["first", "last"], "interval", "start"), cell)
 
 
 def overlap_join(
@@ -68,33 +90,47 @@ def overlap_join(
 
     The result has ``on``, the other columns of both sides, whose names must differ, and the days shared, as
     ``overlap_start`` and ``overlap_end``. Bounds belong to their interval. An interval that lacks a bound, or ends
-    before it starts, meets nothing.
+    before it starts, meets nothing. Result and time grow with the pairs, that is with the square of the rows that
+    share days and ``on`` columns; memory does not, and neither do the pairs that one key of the join makes.
     """
     clash = (set(left.columns) & set(right.columns)) - set(on)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    # Columns go by their place meanwhile, side by side: a struct would be opened anew for each column of each pair.
+    keys = {name: f"on_{at}" for at, name in enumerate(on)}
+    names = {
+        side: keys | {name: f"{side}_{at}" for at, name in enumerate(df.columns) if name not in on}
+        for side, df in (("left", left), ("right", right))
+    }
 
-    def side(df: DataFrame, bounds: tuple[str, str], name: str) -> DataFrame:
+    def columns(side: str) -> list[str]:
+        return [name for name in names[side].values() if name not in keys.values()]
+
+    def rows(df: DataFrame, bounds: tuple[str, str], side: str) -> DataFrame:
         first, last = (F.col(bound) for bound in bounds)
-        return df.filter(first <= last).select(*on, F.struct("*").alias(name), _day(first).alias("first"), _day(last).alias("last"))
+        stated = reduce(Column.__and__, [F.col(f"`{name}`").isNotNull() for name in on], first <= last)
+        own = [F.col(f"`{name}`").alias(place) for name, place in names[side].items()]
+        # Generated, as days that a plan knows beforehand would be no key of a join any more.
+        days = F.inline(F.array(F.struct(_day(first).alias("first"), _day(last).alias("last"))))
+        return df.filter(stated).select(*own, days)
 
-    def starting(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*on, F.col(name).alias("starting"), F.col("first").alias("day"))
+    def starting(df: DataFrame) -> DataFrame:
+        return df.withColumnRenamed("first", "day").drop("last")
 
-    def holding(df: DataFrame, name: str, later: int) -> DataFrame:
-        return df.filter(F.col("first") + later <= F.col("last")).select(
-            *on, F.col(name).alias("holding"), (F.col("first") + later).alias("first"), "last"
-        )
+    def holding(df: DataFrame, later: int) -> DataFrame:
+        return df.withColumn("first", F.col("first") + later).filter(F.col("first") <= F.col("last"))
 
-    one, other = side(left, left_bounds, "l"), side(right, right_bounds, "r")
+    one, other = rows(left, left_bounds, "left"), rows(right, right_bounds, "right")
+    both = [*keys.values(), *columns("left"), *columns("right")]
     # Pairs that start on one day are met by the first join only.
     pairs = (
-        _meet(starting(one, "l"), holding(other, "r", 0), on, split).select(F.col("starting").alias("l"), F.col("holding").alias("r"))
-        .unionByName(_meet(starting(other, "r"), holding(one, "l", 1), on, split).select(F.col("holding").alias("l"), F.col("starting").alias("r")))
+        _meet(starting(one), holding(other, 0), list(keys.values()), split).select(*both)
+        .unionByName(_meet(starting(other), holding(one, 1), list(keys.values()), split).select(*both))
     )
-    columns = [f"l.`{name}`" for name in left.columns] + [f"r.`{name}`" for name in right.columns if name not in on]
+    bounds = [[names[side][bound] for bound in pair] for side, pair in (("left", left_bounds), ("right", right_bounds))]
     return pairs.select(
-        *columns,
-        F.greatest(*(F.col(f"{side}.`{bounds[0]}`") for side, bounds in (("l", left_bounds), ("r", right_bounds)))).alias("overlap_start"),
-        F.least(*(F.col(f"{side}.`{bounds[1]}`") for side, bounds in (("l", left_bounds), ("r", right_bounds)))).alias("overlap_end"),
+        *[F.col(names["left"][name]).alias(name) for name in left.columns],
+        *[F.col(names["right"][name]).alias(name) for name in right.columns if name not in on],
+        F.greatest(*[first for first, _ in bounds]).alias("overlap_start"),
+        F.least(*[last for _, last in bounds]).alias("overlap_end"),
     )

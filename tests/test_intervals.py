@@ -88,3 +88,19 @@ def test_missing_windows_equal_days_counted_out(spark):
         spark.createDataFrame(asked, "k string, window_start date, window_end date"), incremental.landed_islands(frame, "k"), "k"
     ).collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_pairs_of_one_bin_are_dealt_out_by_either_side(spark):
+    """Few days that very many intervals hold, or the other way round, do not make all their pairs in one task."""
+    few = spark.range(8).selectExpr("id x", "date '2020-01-01' s", "date '2020-01-01' e")
+    many = spark.range(4000).selectExpr("id y", "date '2010-01-01' f", "date '2024-01-01' t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for got in (
+            intervals.overlap_join(few, many, ("s", "e"), ("f", "t"), (), 100),
+            intervals.overlap_join(many, few, ("f", "t"), ("s", "e"), (), 100),
+        ):
+            sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+            assert sum(sizes) == 32_000 and max(sizes) < 16_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
