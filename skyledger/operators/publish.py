@@ -48,10 +48,13 @@ def latest_per_key(documents: DataFrame, key: str = KEY, order: str = "ingest_ru
     )
 
 
-def merge_snapshot(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
+def merge_snapshot(
+    existing: DataFrame, incoming: DataFrame, key: str = KEY, replaced: tuple[str, ...] = ()
+) -> DataFrame:
     """The next snapshot: every incoming document replaces the one with its key, or is added.
 
-    Both sides must be unique by key. ``action`` tells what happened to each document.
+    Both sides must be unique by key. ``action`` tells what happened to each document; with names ``replaced``, a
+    struct of that name has those fields of the document that another took the place of.
     """
     fields = [name for name in incoming.columns if name != key]
     old = existing.select(key, F.struct(*fields).alias("old"))
@@ -62,32 +65,33 @@ def merge_snapshot(existing: DataFrame, incoming: DataFrame, key: str = KEY) ->
         .when(F.col("old") == F.col("new"), F.lit(UNCHANGED))
         .otherwise(F.lit(REPLACED))
     )
+    told = {"action": action}
+    if replaced:
+        fields_before = F.struct(*[F.col(f"old.{name}").alias(name) for name in replaced])
+        told["replaced"] = F.when(action == REPLACED, fields_before)
     return (
         old.join(new, key, "full_outer")
-        .select(key, F.coalesce("new", "old").alias("document"), action.alias("action"))
-        .select(key, "document.*", "action")
-        .select(*incoming.columns, "action")
+        .select(key, F.coalesce("new", "old").alias("document"), *[value.alias(name) for name, value in told.items()])
+        .select(key, "document.*", *told)
+        .select(*incoming.columns, *told)
     )
 
 
-def snapshot_changes(existing: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
-    """What a merge adds (``sign`` 1) and takes away (-1): new documents, and old ones that they replace.
+def snapshot_changes(merged: DataFrame) -> DataFrame:
+    """What a merge adds (``sign`` 1) and takes away (-1), in the fields it has as ``replaced``.
 
-    Both sides must be unique by key; documents that come as they were change nothing.
+    Added are new documents, taken away old ones that they replace; documents that come as they were change nothing.
     """
-    fields = [name for name in incoming.columns if name != key]
-    old = existing.select(key, F.struct(*fields).alias("old"))
-    new = incoming.filter(F.col(key).isNotNull()).select(key, F.struct(*fields).alias("new"))
-    both = new.join(old, key, "left").filter(~F.col("new").eqNullSafe(F.col("old")))
+    names = merged.schema["replaced"].dataType.names
 
-    def signed(name: str, sign: int) -> Column:
-        return F.struct(F.col(name).alias("document"), F.lit(sign).alias("sign"))
+    def signed(prefix: str, sign: int) -> Column:
+        return F.struct(*[F.col(prefix + name).alias(name) for name in names], F.lit(sign).alias("sign"))
 
-    sides = F.array(signed("new", 1), F.when(F.col("old").isNotNull(), signed("old", -1)))
-    return (
-        both.select(key, F.explode(F.array_compact(sides)).alias("side"))
-        .select(key, "side.document.*", "side.sign").select(*incoming.columns, "sign")
+    sides = F.array(
+        F.when(F.col("action").isin(INSERTED, REPLACED), signed("", 1)),
+        F.when(F.col("action") == REPLACED, signed("replaced.", -1)),
     )
+    return merged.select(F.inline(F.array_compact(sides)))
 
 
 def compare_snapshots(before: DataFrame, after: DataFrame, key: str = KEY, handed: DataFrame | None = None) -> DataFrame:

@@ -16,6 +16,9 @@ from skyledger.operators.curate import PLACE_KEYS, YEARLY_MEASURES, finish_stati
 #: Twelve decimals are exact for stated measures and far below what a rounded result shows for converted ones.
 STORED, SUMMED = "decimal(26,12)", "decimal(38,12)"
 
+#: What a document states for the view.
+STATED = (*PLACE_KEYS, *YEARLY_MEASURES)
+
 VIEW = {
     **dict.fromkeys(("source", "noaa_station_id", "station_name", "state", "country"), "string"),
     "year": "int", "latitude": "double", "longitude": "double", "days": "bigint",

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import rollup_view
 from skyledger.operators.curate import cell_order, publication_order
 from skyledger.operators.publish import KEY, latest_per_key, merge_snapshot, snapshot_changes, upsert_counts
 from skyledger.schemas import CLIMATE_DAILY, FAILURES, PROCESSED_DATASETS, RUN_METRICS, conform, ddl
-from skyledger.session import has_mark, remove_folder, set_mark, settle
+from skyledger.session import has_mark, remove_folder, set_mark, settle, shuffles_freed
 from skyledger.sources.raw import optional
 
 #: As many touched partitions are named in the scan of a snapshot; beyond that they are found by a join.
 NAMED_PARTITIONS = 2000
+#: Touched partitions are merged together up to this many documents, so that no more are shuffled at a time; a larger
+#: partition is merged by itself.
+SLICE = 25_000_000
 
 
 def read_table(spark: SparkSession, path: str, schema: Mapping[str, str]) -> DataFrame:
@@ -58,12 +61,13 @@ def overwrite_partitions(df: DataFrame, path: str, *partition_by: str, ordered:
     shuffle. Otherwise partitions are rebalanced: small ones merged, large ones cut up.
     """
     rows = publication_order(df) if ordered else df.hint("rebalance", *partition_by)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with shuffles_freed(rows.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
 
 
 def write_in_cells(df: DataFrame, path: str, files: int) -> None:
@@ -124,6 +128,8 @@ def publish_snapshot(
     documents: DataFrame,
     partition_by: tuple[str, ...] = ("source", "year"),
     order: str = "ingest_run_date",
+    replaced: tuple[str, ...] = (),
+    changed: Callable[[DataFrame], object] | None = None,
 ) -> DataFrame:
     """Merges documents into the snapshot at ``path`` and returns what was done, as counts.
 
@@ -131,22 +137,64 @@ def publish_snapshot(
     its partition. Their values, at most ``NAMED_PARTITIONS``, are named in the scan. The merge
     result is written beside the snapshot first: the snapshot's files are replaced only once it is
     whole, and counts need no second merge. What was staged is removed at the end.
-    """
-    incoming = latest_per_key(documents, order=order)
-    existing = optional(lambda: spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns))
-    if existing is None:
-        existing = spark.createDataFrame([], incoming.schema)
-    else:
-        existing = touched_rows(existing, documents, partition_by)
 
+    The documents are computed once, into folders by partition, and merged by slices of those. So beside the snapshot
+    lie, of each slice, its documents or its merge result, and what a single slice shuffles. ``changed`` is handed the
+    changes of the merge, in the fields ``replaced``, before any file is replaced.
+    """
     beside = f"{path.rstrip('/')}_staged/{uuid.uuid4().hex}"
-    staged = settle(merge_snapshot(existing, incoming), "snapshot", beside)
-    overwrite_partitions(staged.drop("action"), path, *partition_by)
-    counts = upsert_counts(staged, documents).first()
+    handed = settle(documents.filter(F.col(KEY).isNotNull()), "handed", f"{beside}/handed", partition_by)
+    existing = optional(lambda: spark.read.schema(documents.schema).parquet(path).select(*documents.columns))
+    if existing is None:
+        existing = spark.createDataFrame([], documents.schema)
+    staged, done = {}, []
+    for number, (part, folders) in enumerate(slices(handed, partition_by, f"{beside}/handed")):
+        merged = merge_snapshot(
+            touched_rows(existing, part, partition_by, None), latest_per_key(part, order=order), replaced=replaced
+        )
+        folder = f"{beside}/merged/{number}"
+        staged[folder] = settle(merged, "merged", folder)
+        done.append(upsert_counts(staged[folder], part).first())
+        for spent in folders:
+            remove_folder(spark, spent)
+    if changed:
+        changed(reduce(DataFrame.unionByName, map(snapshot_changes, staged.values())))
+    for folder, merged in staged.items():
+        overwrite_partitions(merged.select(*documents.columns), path, *partition_by)
+        remove_folder(spark, folder)
     remove_folder(spark, beside)
+    counts = tuple(map(sum, zip(*done)))
     return spark.createDataFrame([counts], "to_process bigint, upserted bigint, modified bigint, matched bigint")
 
 
+def slices(handed: DataFrame, partition_by: tuple[str, ...], path: str) -> list[tuple[DataFrame, list[str]]]:
+    """Rows that lie at ``path`` in a folder per partition, and their folders: partitions together up to ``SLICE`` rows.
+
+    All at once if there are no more rows than that, or very many partitions.
+    """
+    folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "").alias("_folder")
+    counted = handed.select(*partition_by, folder).groupBy(*partition_by, "_folder").agg(F.count(F.lit(1)).alias("_rows"))
+    found = counted.limit(NAMED_PARTITIONS + 1).collect()
+    if len(found) > NAMED_PARTITIONS or sum(row["_rows"] for row in found) <= SLICE:
+        return [(handed, [path])]
+    groups, size = [], SLICE
+    for row in sorted(found, key=lambda row: row["_rows"]):
+        if size + row["_rows"] > SLICE:
+            groups.append([])
+            size = 0
+        groups[-1].append(row)
+        size += row["_rows"]
+    # File names come as URIs, folders are removed by their path.
+    jvm = handed.sparkSession._jvm
+    return [
+        (
+            handed.filter(one_of(group, partition_by)),
+            [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["_folder"])).toString() for row in group],
+        )
+        for group in groups
+    ]
+
+
 def publish_bucketed(
     spark: SparkSession, table: str, path: str, documents: DataFrame, buckets: int, order: str = "ingest_run_date"
 ) -> DataFrame:
@@ -189,19 +237,17 @@ def publish_with_view(
     if has_mark(spark, mark):
         rebuild_view(spark, path, view_path)
     set_mark(spark, mark)
-    incoming = latest_per_key(documents, order=order)
-    existing = optional(lambda: spark.read.schema(incoming.schema).parquet(path).select(*incoming.columns))
-    if existing is None:
-        existing = spark.createDataFrame([], incoming.schema)
-    else:
-        existing = touched_rows(existing, documents, ("source", "year"))
-    sums = settle(rollup_view.change_sums(snapshot_changes(existing, incoming)), "changes", f"{beside}/changes")
-    counts = publish_snapshot(spark, path, documents, order=order)
+    partition_by, changes = ("source", "year"), f"{beside}/changes"
+    counts = publish_snapshot(
+        spark, path, documents, partition_by, order, rollup_view.STATED,
+        lambda rows: settle(rollup_view.change_sums(rows), "changes", changes),
+    )
+    sums = read_table(spark, changes, rollup_view.VIEW)
     view = optional(lambda: read_table(spark, view_path, rollup_view.VIEW))
     if view is not None:
-        view = touched_rows(view, sums, ("source", "year"), None)
+        view = touched_rows(view, sums, partition_by, None)
         sums = settle(rollup_view.add_changes(view, sums), "view", f"{beside}/view")
-    overwrite_partitions(sums, view_path, "source", "year")
+    overwrite_partitions(sums, view_path, *partition_by)
     remove_folder(spark, beside)
     remove_folder(spark, mark)
     return counts
@@ -226,13 +272,18 @@ def touched_rows(
         others = touched.select(*[F.col(name).alias(f"_{name}") for name in partition_by])
         same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in partition_by]
         return existing.join(others, reduce(Column.__and__, same), "left_semi")
+    return existing.filter(one_of(found, partition_by))
+
+
+def one_of(partitions: list[Row], partition_by: tuple[str, ...]) -> Column:
+    """Whether a row's partition is one of those, null being a value."""
     held = F.lit(False)
-    for row in found:
+    for row in partitions:
         same = F.lit(True)
-        for name, value in zip(partition_by, row):
-            same = same & (F.col(name).isNull() if value is None else F.col(name) == F.lit(value))
+        for name in partition_by:
+            same = same & (F.col(name).isNull() if row[name] is None else F.col(name) == F.lit(row[name]))
         held = held | same
-    return existing.filter(held)
+    return held
 
 
 def overwrite_source(df: DataFrame, path: str, source: str, ordered: bool = False) -> None:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import date
 
@@ -131,6 +132,65 @@ def test_view_follows_the_snapshot(spark, tmp_path):
     assert not session.has_mark(spark, f"{view}_unfinished")
 
 
+@pytest.mark.parametrize("size", [tables.SLICE, 1, 3])
+def test_slices_publish_what_the_whole_does(spark, tmp_path, monkeypatch, size):
+    """Slice after slice of the partitions: the same counts, documents and sums; nothing stays beside the snapshot."""
+    monkeypatch.setattr(tables, "SLICE", size)
+    path, view = str(tmp_path / "snapshot"), str(tmp_path / "view")
+    odd, none = {"source": "a b%20=c/d"}, {"source": None, "year": None}
+    first = publish.to_documents(daily(spark, ("A", D1, 1.0), ("A", D2, 2.0), ("B", D2, 3.0, odd), ("C", D3, 4.0, none)))
+    second = publish.to_documents(daily(
+        spark, ("A", D2, 2.5), ("A", D2, 2.0), ("B", D2, 3.0, odd), ("C", D3, 5.0, none), ("C", D3, 4.5, none), ("D", D1, 6.0, odd),
+    )).union(publish.to_documents(daily(spark, ("E", D2, 7.0))).withColumn("_id", F.lit(None).cast("string")))
+    assert tuple(tables.publish_with_view(spark, path, view, first).first()) == (4, 4, 0, 0)
+    assert tuple(tables.publish_with_view(spark, path, view, second).first()) == (6, 1, 2, 3)
+    whole = tables.read_table(spark, path, CLIMATE_DAILY).select("source", "source_station_id", "year", "avg_temp_c")
+    assert {(r.source, r.source_station_id, r.year, r.avg_temp_c) for r in whole.collect()} == {
+        ("noaa", "A", 2023, 1.0), ("noaa", "A", 2024, 2.5), ("a b%20=c/d", "B", 2024, 3.0), (None, "C", None, 5.0), ("a b%20=c/d", "D", 2023, 6.0),
+    }
+    kept = tables.read_table(spark, view, rollup_view.VIEW).filter("days > 0")
+    assert {(r.source, r.year, float(r.avg_temp_c_sum), r.days) for r in kept.collect()} == {
+        ("noaa", 2023, 1.0, 1), ("noaa", 2024, 2.5, 1), ("a b%20=c/d", 2024, 3.0, 1), (None, None, 5.0, 1), ("a b%20=c/d", 2023, 6.0, 1),
+    }
+    assert not list((tmp_path / "snapshot_staged").iterdir()) and not list((tmp_path / "view_staged").iterdir())
+
+
+def test_a_slice_is_merged_when_the_one_before_is_spent(spark, tmp_path, monkeypatch):
+    """Of a slice that is merged its documents are gone, so documents and merge results do not lie side by side."""
+    monkeypatch.setattr(tables, "SLICE", 1)
+    left, merge = [], tables.merge_snapshot
+
+    def watched(*args, **options):
+        left.append(len({p.parent for p in (tmp_path / "snapshot_staged").glob("*/handed/*/*/part-*")}))
+        return merge(*args, **options)
+
+    monkeypatch.setattr(tables, "merge_snapshot", watched)
+    documents = publish.to_documents(daily(spark, ("A", D1, 1.0), ("A", D2, 2.0), ("B", D2, 3.0, {"source": "a b%20=c/d"})))
+    tables.publish_snapshot(spark, str(tmp_path / "snapshot"), documents)
+    assert left == [3, 2, 1]
+
+
+def test_publishing_leaves_no_large_shuffle(spark, tmp_path):
+    """What the writes of a publish shuffle is gone when it ends, not when the driver collects its garbage."""
+    rows = spark.range(20_000).selectExpr("concat('S', id) AS source_station_id", "rand(7) AS avg_temp_c").withColumns({
+        name: F.lit({"source": "noaa", "date": D2, "year": 2024, "month": 1}.get(name)).cast(kind)
+        for name, kind in CLIMATE_DAILY.items() if name not in ("source_station_id", "avg_temp_c")
+    }).select(*CLIMATE_DAILY)
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(f) for f in map(files.apply, range(files.size())) if "shuffle_" in str(f) and f.length() > 20_000}
+
+    before, settings = shuffled(), spark.conf.get(session.FREED, None)
+    tables.publish_with_view(spark, str(tmp_path / "snapshot"), str(tmp_path / "view"), publish.to_documents(rows))
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(session.FREED, None) == settings
+
+
 def test_compared_snapshots_show_lost_documents(spark):
     before = publish.to_documents(daily(spark, ("A", D2, 1.0), ("B", D2, 2.0), ("C", D2, None)))
     after = publish.to_documents(daily(spark, ("B", D2, 2.5), ("C", D2, None), ("D", D2, 4.0)))
