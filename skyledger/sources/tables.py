@@ -143,7 +143,7 @@ def publish_snapshot(
     changes of the merge, in the fields ``replaced``, before any file is replaced.
     """
     beside = f"{path.rstrip('/')}_staged/{uuid.uuid4().hex}"
-    handed = settle(documents.filter(F.col(KEY).isNotNull()), "handed", f"{beside}/handed", partition_by)
+    handed = settle(documents.filter(F.col(KEY).isNotNull()), "handed", f"{beside}/handed", partition_by, freed=True)
     existing = optional(lambda: spark.read.schema(documents.schema).parquet(path).select(*documents.columns))
     if existing is None:
         existing = spark.createDataFrame([], documents.schema)
@@ -153,7 +153,7 @@ def publish_snapshot(
             touched_rows(existing, part, partition_by, None), latest_per_key(part, order=order), replaced=replaced
         )
         folder = f"{beside}/merged/{number}"
-        staged[folder] = settle(merged, "merged", folder)
+        staged[folder] = settle(merged, "merged", folder, freed=True)
         done.append(upsert_counts(staged[folder], part).first())
         for spent in folders:
             remove_folder(spark, spent)
@@ -240,13 +240,13 @@ def publish_with_view(
     partition_by, changes = ("source", "year"), f"{beside}/changes"
     counts = publish_snapshot(
         spark, path, documents, partition_by, order, rollup_view.STATED,
-        lambda rows: settle(rollup_view.change_sums(rows), "changes", changes),
+        lambda rows: settle(rollup_view.change_sums(rows), "changes", changes, freed=True),
     )
     sums = read_table(spark, changes, rollup_view.VIEW)
     view = optional(lambda: read_table(spark, view_path, rollup_view.VIEW))
     if view is not None:
         view = touched_rows(view, sums, partition_by, None)
-        sums = settle(rollup_view.add_changes(view, sums), "view", f"{beside}/view")
+        sums = settle(rollup_view.add_changes(view, sums), "view", f"{beside}/view", freed=True)
     overwrite_partitions(sums, view_path, *partition_by)
     remove_folder(spark, beside)
     remove_folder(spark, mark)
